@@ -127,3 +127,15 @@ def upsert_lww(new: DataFrame, existing: DataFrame, keys: str | Sequence[str], t
         new.withColumn("_side", F.lit(1)), allowMissingColumns=True
     )
     return dedup_lww(both, keys, ts_col, [F.col("_side").asc(), *_order_cols(order_by)]).drop("_side")
+
+
+def dedup_and_write(df: DataFrame, keys: str | Sequence[str], base: str, ts_col: str = "updated_at",
+                    strategy: str = "last_write_wins", order_by: Sequence[str | Column] = (),
+                    batch_id: str | None = None, partition_by: Sequence[str] = ()) -> str | None:
+    """One shot: dedup then write one batch; an empty input writes nothing and returns None."""
+    from tidewater.sources.sinks import write_batch
+
+    if df.isEmpty():
+        return None
+    return write_batch(dedup(df, keys, ts_col, strategy, order_by), base, batch_id,
+                       partition_by=partition_by)

@@ -36,8 +36,10 @@ def category_list(df: DataFrame, group_col: str) -> DataFrame:
 
 def reconcile_counts(expected: DataFrame | int, actual: DataFrame) -> DataFrame:
     """Compare a declared (producer) row count with the consumer's count: one row."""
-    exp = F.lit(expected).cast("bigint") if isinstance(expected, int) else expected.select(
-        F.count(F.lit(1))).scalar()
+    if isinstance(expected, int):
+        exp = F.lit(expected).cast("bigint")
+    else:  # one-row frame (a manifest) whose first column is the declared count
+        exp = expected.select(F.max(F.col(expected.columns[0])).cast("bigint")).scalar()
     out = actual.agg(F.count(F.lit(1)).alias("actual_rows")).select(
         exp.alias("expected_rows"), "actual_rows")
     return out.withColumn("match", F.col("expected_rows") == F.col("actual_rows"))
