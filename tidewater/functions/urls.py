@@ -45,7 +45,7 @@ def url_join(base: Column, href: Column) -> Column:
         .when(href.startswith("/"), F.concat(origin, href))
         .when(href.startswith("?"), F.concat(no_query, href))
         .when(href.startswith("#"), F.concat(no_frag, href))
-        .when(href == "", no_frag)
+        .when(href == "", base)
         .otherwise(F.concat(origin, resolved))
     )
 

@@ -81,7 +81,7 @@ def catalog_state(spark: SparkSession, namespace: str) -> DataFrame:
     """Tables and columns of a namespace as a DataFrame (catalog metadata, driver-sized)."""
     rows = []
     for t in spark.catalog.listTables(namespace):
-        for c in spark.catalog.listColumns(t.name, namespace):
+        for c in spark.catalog.listColumns(f"{namespace}.{t.name}"):
             rows.append((namespace, t.name, c.name, c.dataType, bool(c.isPartition)))
     return spark.createDataFrame(rows, CATALOG_SCHEMA)
 
