@@ -43,6 +43,8 @@ def crawl_frontier(edges: DataFrame, seeds: DataFrame, depth_limit: int = 3,
         e = e.filter(U.in_domains(F.col("dst"), domains))
     if deny:
         e = e.filter(~F.col("dst").rlike(deny))
+    # the distinct edge set is reused by every round: materialise it once
+    e = cut_lineage(e)
     visited = cut_lineage(seeds.select("url").distinct().withColumn("depth", F.lit(0)))
     frontier = visited
     for d in range(1, depth_limit + 1):
@@ -52,7 +54,8 @@ def crawl_frontier(edges: DataFrame, seeds: DataFrame, depth_limit: int = 3,
         frontier = cut_lineage(reached)
         if frontier.isEmpty():
             break
-        visited = cut_lineage(visited.unionByName(frontier))
+        # a union of checkpointed frames: its lineage stays one level deep per round
+        visited = visited.unionByName(frontier)
     out = visited
     if max_pages is not None:
         out = out.orderBy("depth", "url").limit(max_pages)
