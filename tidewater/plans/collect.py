@@ -76,3 +76,12 @@ SELECT (SELECT count(*) FROM env WHERE page <= (SELECT p FROM stop)) AS total_re
        (SELECT count(*) FROM landed WHERE page IN (SELECT page FROM reach) AND id IS NULL) AS dropped_no_id""")
 def q_collector_stats(spark, sf_dir):
     return CO.collector_stats(envelopes(spark, sf_dir))
+
+
+@query("collect_dropped", f"""WITH {ENV_SQL},
+reach AS (SELECT page FROM env WHERE status = 'ok' AND page <= (
+            SELECT min(page) FROM env WHERE status <> 'ok' OR next_page IS NULL))
+SELECT count(*) AS dropped_no_id FROM landed WHERE page IN (SELECT page FROM reach) AND (id IS NULL OR id = '')""")
+def q_collect_dropped(spark, sf_dir):
+    """Items silently dropped for lack of an id (counted instead of lost)."""
+    return CO.dropped_items(envelopes(spark, sf_dir))

@@ -100,3 +100,11 @@ UNION ALL
 SELECT * FROM log WHERE commit_id >= {KEEP_SINCE}""")
 def q_expire_versions(spark, sf_dir):
     return V.expire_versions(event_log(spark, sf_dir), KEY, KEEP_SINCE)
+
+
+@query("audit_log")
+def q_audit_log(spark, sf_dir):
+    """Audit rows (old/new values as JSON) for the change between two versions."""
+    log = event_log(spark, sf_dir)
+    diff = V.snapshot_diff(V.as_of_version(log, KEY, OLD), V.as_of_version(log, KEY, NEW), KEY)
+    return V.audit_rows(diff, KEY, "events", "tidewater", F.lit(AS_OF_TS).cast("timestamp"))

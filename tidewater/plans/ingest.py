@@ -124,3 +124,37 @@ FROM events WHERE event_type IS NOT NULL GROUP BY event_type
 """)
 def q_group_summary(spark, sf_dir):
     return S.group_summary(table(spark, sf_dir, "events"), "event_type", "value")
+
+
+def events_as_documents(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    return S.event_documents(
+        ev, "event_id", "Event %s by user %d with value %.2f", ["event_type", "user_id", "value"],
+        {"user_id": F.col("user_id"), "event_type": F.col("event_type"),
+         "value": F.format_string("%.2f", F.col("value")), "timestamp": F.date_format("ts", "yyyy-MM-dd HH:mm:ss")})
+
+
+_EVENT_DOCS_SQL = """
+SELECT CAST(event_id AS VARCHAR) AS id,
+       printf('Event %s by user %d with value %.2f', event_type, user_id, value) AS text,
+       MAP {'user_id': CAST(user_id AS VARCHAR), 'event_type': event_type,
+            'value': printf('%.2f', value), 'timestamp': strftime(ts, '%Y-%m-%d %H:%M:%S')} AS metadata
+FROM events"""
+
+
+@query("event_documents", _EVENT_DOCS_SQL)
+def q_event_documents(spark, sf_dir):
+    """Text + metadata documents built from event rows (the vector-store input form)."""
+    return events_as_documents(spark, sf_dir)
+
+
+@query("keyword_filter", f"SELECT * FROM ({_EVENT_DOCS_SQL}) WHERE contains(text, 'purchase')")
+def q_keyword_filter(spark, sf_dir):
+    return S.keyword_filter(events_as_documents(spark, sf_dir), "purchase")
+
+
+@query("category_list", """
+SELECT list(event_type ORDER BY event_type) AS categories
+FROM (SELECT DISTINCT event_type FROM events WHERE event_type IS NOT NULL)""")
+def q_category_list(spark, sf_dir):
+    return S.category_list(table(spark, sf_dir, "events"), "event_type")

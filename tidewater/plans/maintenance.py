@@ -191,3 +191,15 @@ def q_nested_projection(spark, sf_dir):
         F.col("attrs").getItem("segment").alias("segment"),
         F.col("attrs")["balance"].alias("balance_text"),
     )
+
+
+@query("catalog_state")
+def q_catalog_state(spark, sf_dir):
+    """Catalog listing after migrating orders into a namespace (columns, partition flags)."""
+    from tidewater.sources.catalog import catalog_state, create_namespace
+
+    ns = f"tw_{uuid.uuid4().hex[:8]}"
+    create_namespace(spark, ns)
+    E.migrate_table(spark, table(spark, sf_dir, "orders"), f"{ns}.orders", shared_dir(spark, "catalog"),
+                    ["o_orderstatus"])
+    return catalog_state(spark, ns)

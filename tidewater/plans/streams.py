@@ -42,3 +42,22 @@ def q_stream_upsert(spark, sf_dir):
     ev.repartition(6, F.to_date("ts")).write.parquet(landing)
     return J.stream_upsert(spark, landing, ev.schema, shared_dir(spark, "upsert_target"),
                            shared_dir(spark, "ckpt"), ["user_id"], "ts", ["event_id"], files_per_trigger=2)
+
+
+@query("stream_collect_bounded", f"""WITH {ENV_SQL}
+SELECT DISTINCT id, user_id, event_type, value, ts FROM landed WHERE id IS NOT NULL AND id <> ''""")
+def q_stream_collect_bounded(spark, sf_dir):
+    """Same stream with dedup state bounded by an event-time watermark.
+
+    Pages land in fetch order (one append per range of pages), as a collector lands them;
+    a watermark then only has to hold ids for one day of event time.
+    """
+    env = CO.build_envelopes(table(spark, sf_dir, "events"))
+    landing = shared_dir(spark, "envelopes")
+    last = env.select(F.max("page")).first()[0]
+    step = max(1, -(-last // 8))
+    for lo in range(1, last + 1, step):  # 8 ordered landings, bounded by the parameter
+        (env.filter((F.col("page") >= lo) & (F.col("page") < lo + step)).coalesce(1)
+         .write.mode("append").options(**TEXT_OPTIONS).json(landing))
+    return J.stream_collect(spark, landing, shared_dir(spark, "stream_items"), shared_dir(spark, "ckpt"),
+                            watermark="1 day")
