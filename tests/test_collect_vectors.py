@@ -162,3 +162,11 @@ def test_parse_and_validate(spark):
     out = R.validate_queries(req).collect()
     assert [r.reason for r in out] == ["empty query", "query too long", "top_k out of range", "top_k out of range", None]
     assert out[-1].k == 5
+
+
+def test_order_id_fallback(spark):
+    rows = [(1, "ok", [("o-1", 5.0), ("o-2", 6.0), ("o-1", 7.0)], None, None, None)]
+    env = spark.createDataFrame(rows, "page int, status string, data array<struct<order_id:string,amount:double>>, "
+                                      "next_page string, next_cursor string, request_cursor string")
+    out = CO.collect_pages(env).orderBy("pos").collect()
+    assert [(r.id, r.amount) for r in out] == [("o-1", 5.0), ("o-2", 6.0)]

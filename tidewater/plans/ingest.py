@@ -126,19 +126,25 @@ def q_group_summary(spark, sf_dir):
     return S.group_summary(table(spark, sf_dir, "events"), "event_type", "value")
 
 
+META_KEYS = ["user_id", "event_type", "value", "timestamp"]
+
+
 def events_as_documents(spark, sf_dir):
+    """Documents with a metadata map; the registered output reads the map back by key
+    (flat columns compare reliably across engines)."""
     ev = table(spark, sf_dir, "events")
-    return S.event_documents(
+    docs = S.event_documents(
         ev, "event_id", "Event %s by user %d with value %.2f", ["event_type", "user_id", "value"],
         {"user_id": F.col("user_id"), "event_type": F.col("event_type"),
          "value": F.format_string("%.2f", F.col("value")), "timestamp": F.date_format("ts", "yyyy-MM-dd HH:mm:ss")})
+    return docs.select("id", "text", *[F.col("metadata")[k].alias(f"meta_{k}") for k in META_KEYS])
 
 
 _EVENT_DOCS_SQL = """
 SELECT CAST(event_id AS VARCHAR) AS id,
        printf('Event %s by user %d with value %.2f', event_type, user_id, value) AS text,
-       MAP {'user_id': CAST(user_id AS VARCHAR), 'event_type': event_type,
-            'value': printf('%.2f', value), 'timestamp': strftime(ts, '%Y-%m-%d %H:%M:%S')} AS metadata
+       CAST(user_id AS VARCHAR) AS meta_user_id, event_type AS meta_event_type,
+       printf('%.2f', value) AS meta_value, strftime(ts, '%Y-%m-%d %H:%M:%S') AS meta_timestamp
 FROM events"""
 
 

@@ -156,14 +156,21 @@ def reachable_cursor_pages(env: DataFrame, stop_on_empty: bool = False) -> DataF
     return ranked.filter(F.col("status") == "ok").select("page", "status", "data", "chain_pos")
 
 
-def default_item_id(item: Column) -> Column:
-    """Id rule: ``id``; items without one are dropped (NULL treated as missing)."""
-    return item["id"].cast("string")
+def default_item_id(item: Column, fields: Sequence[str] = ("id",)) -> Column:
+    """Id rule: the ``id`` field; only when items have no ``id`` field at all, ``order_id``.
+    Items whose id is NULL or empty are dropped (and counted)."""
+    if "id" in fields:
+        return item["id"].cast("string")
+    if "order_id" in fields:
+        return item["order_id"].cast("string")
+    return F.lit(None).cast("string")
 
 
-def explode_items(pages: DataFrame, item_id: Callable[[Column], Column] = default_item_id) -> DataFrame:
+def explode_items(pages: DataFrame, item_id: Callable[[Column], Column] | None = None) -> DataFrame:
     items = pages.select("page", "chain_pos", F.posexplode("data").alias("pos", "item"))
-    return items.select("page", "chain_pos", "pos", item_id(F.col("item")).alias("id"), "item")
+    fields = [f.name for f in items.schema["item"].dataType.fields]
+    rule = item_id if item_id is not None else (lambda c: default_item_id(c, fields))
+    return items.select("page", "chain_pos", "pos", rule(F.col("item")).alias("id"), "item")
 
 
 def first_seen(items: DataFrame) -> DataFrame:
@@ -180,18 +187,18 @@ def _item_fields(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema["item"].dataType.fields]
 
 
-def collect_pages(env: DataFrame, item_id: Callable[[Column], Column] = default_item_id) -> DataFrame:
+def collect_pages(env: DataFrame, item_id: Callable[[Column], Column] | None = None) -> DataFrame:
     """collect_all over page-number envelopes: every first-seen item on reachable pages."""
     return first_seen(explode_items(reachable_pages(env), item_id)).drop("chain_pos")
 
 
-def collect_cursor(env: DataFrame, item_id: Callable[[Column], Column] = default_item_id) -> DataFrame:
+def collect_cursor(env: DataFrame, item_id: Callable[[Column], Column] | None = None) -> DataFrame:
     """collect_all over cursor envelopes (chain found by pointer jumping)."""
     return first_seen(explode_items(reachable_cursor_pages(env), item_id)).drop("chain_pos")
 
 
 def collect_batch(env: DataFrame, batch_size: int,
-                  item_id: Callable[[Column], Column] = default_item_id) -> DataFrame:
+                  item_id: Callable[[Column], Column] | None = None) -> DataFrame:
     """First ``batch_size`` distinct items in page order; stops at failed/empty page or no token.
 
     The cap is the operator's feature; it is a distributed top-n, so only ``batch_size``
@@ -201,13 +208,13 @@ def collect_batch(env: DataFrame, batch_size: int,
     return items.orderBy("chain_pos", "pos").limit(batch_size).drop("chain_pos")
 
 
-def dropped_items(env: DataFrame, item_id: Callable[[Column], Column] = default_item_id) -> DataFrame:
+def dropped_items(env: DataFrame, item_id: Callable[[Column], Column] | None = None) -> DataFrame:
     """Count of items silently dropped for lack of an id on reachable pages."""
     items = explode_items(reachable_pages(env), item_id)
     return items.agg(F.count_if(F.col("id").isNull() | (F.col("id") == "")).alias("dropped_no_id"))
 
 
-def collector_stats(env: DataFrame, item_id: Callable[[Column], Column] = default_item_id) -> DataFrame:
+def collector_stats(env: DataFrame, item_id: Callable[[Column], Column] | None = None) -> DataFrame:
     """Requests, successes, failures, collected items and dropped items for ``collect_all``."""
     ok = F.col("status") == "ok"
     end = ~ok | F.col("next_page").isNull()
