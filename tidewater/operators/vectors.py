@@ -109,18 +109,22 @@ def vector_topk_batch(queries: DataFrame, chunks: DataFrame, query_id: str = "qu
                            T.StructField("score", T.DoubleType())])
     cand = (q.groupBy("_cb", "_qb").cogroup(c.groupBy("_cb", "_qb"))
             .applyInPandas(_score_fn(query_id, chunk_id, k_default, min_score), schema))
-    return topk_merge(cand, queries.select(query_id, k_eff.alias("_k")), query_id, chunk_id,
-                      tie_cols or [chunk_id])
+    # a constant k needs no per-query lookup (no extra join)
+    ks = queries.select(query_id, k_eff.alias("_k")) if isinstance(top_k, str) else k_eff
+    return topk_merge(cand, ks, query_id, chunk_id, tie_cols or [chunk_id])
 
 
-def topk_merge(cand: DataFrame, ks: DataFrame, query_id: str, chunk_id: str,
+def topk_merge(cand: DataFrame, ks: DataFrame | Column, query_id: str, chunk_id: str,
                tie_cols: Sequence[str]) -> DataFrame:
     """Global top-k per query from per-block candidates (bounded: k per block)."""
     tie_cols = [c for c in tie_cols if c != chunk_id] + [chunk_id]
-    cand = cand.join(ks, query_id)
+    if isinstance(ks, DataFrame):
+        cand, k = cand.join(ks, query_id), F.col("_k")
+    else:
+        k = ks
     w = Window.partitionBy(query_id).orderBy(F.col("score").desc(), *[F.col(c).asc() for c in tie_cols])
     ranked = cand.withColumn("rank", F.row_number().over(w))
-    return ranked.filter(F.col("rank") <= F.col("_k")).select(
+    return ranked.filter(F.col("rank") <= k).select(
         query_id, chunk_id, F.col("rank").cast("int").alias("rank"), F.round("score", 6).alias("score"))
 
 
@@ -187,7 +191,7 @@ def vector_topk_ivf(queries: DataFrame, assigned: DataFrame, cents: DataFrame,
                            T.StructField("score", T.DoubleType())])
     cand = (q.groupBy("list_id", "_sub").cogroup(c.groupBy("list_id", "_sub"))
             .applyInPandas(_score_fn(query_id, chunk_id, k, min_score), schema))
-    return topk_merge(cand, queries.select(query_id, F.lit(k).alias("_k")), query_id, chunk_id, [chunk_id])
+    return topk_merge(cand, F.lit(k), query_id, chunk_id, [chunk_id])
 
 
 def chunk_documents(docs: DataFrame, text_col: str = "text", size: int = 1000, overlap: int = 100) -> DataFrame:

@@ -92,6 +92,11 @@ def write_csv(df: DataFrame, path: str) -> str:
     return path
 
 
+def insert_by_position(df: DataFrame, table_name: str, overwrite: bool = False) -> None:
+    """``INSERT INTO table`` by position (column names are ignored, order matters)."""
+    df.write.insertInto(table_name, overwrite=overwrite)
+
+
 def append_rows(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
     """Append by name: columns are reordered to the existing table's order when it exists."""
     w = df.write.mode("append")
