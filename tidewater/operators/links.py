@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions import urls as U
 from tidewater.operators.pages import page_links
-from tidewater.session import cut_lineage
+from tidewater.session import cut_lineage, materialize
 
 
 def link_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -43,8 +43,8 @@ def crawl_frontier(edges: DataFrame, seeds: DataFrame, depth_limit: int = 3,
         e = e.filter(U.in_domains(F.col("dst"), domains))
     if deny:
         e = e.filter(~F.col("dst").rlike(deny))
-    # the distinct edge set is reused by every round: materialise it once
-    e = cut_lineage(e)
+    # the distinct edge set is reused by every round: write it once as a shared table
+    e = materialize(e, "crawl_edges")
     visited = cut_lineage(seeds.select("url").distinct().withColumn("depth", F.lit(0)))
     frontier = visited
     for d in range(1, depth_limit + 1):
