@@ -170,3 +170,13 @@ def test_order_id_fallback(spark):
                                       "next_page string, next_cursor string, request_cursor string")
     out = CO.collect_pages(env).orderBy("pos").collect()
     assert [(r.id, r.amount) for r in out] == [("o-1", 5.0), ("o-2", 6.0)]
+
+
+def test_pluggable_token_and_items(spark):
+    rows = [(1, "ok", '{"items":[{"id":"a"}],"meta":{"next":"2"}}'), (2, "ok", '{"items":[{"id":"b"}],"meta":{}}'),
+            (3, "ok", '{"items":[{"id":"c"}]}')]
+    env = spark.createDataFrame(rows, "page int, status string, body string")
+    items = F.from_json(F.get_json_object("body", "$.items"), "array<struct<id:string>>")
+    out = CO.collect_pages(env, next_token=F.get_json_object("body", "$.meta.next"), items=items)
+    assert sorted(r.id for r in out.collect()) == ["a", "b"]
+    assert [r.id for r in CO.collect_stream_batch(envelopes(spark)).orderBy("page", "pos").collect()] == ["a", "b"]

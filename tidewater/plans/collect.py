@@ -85,3 +85,12 @@ SELECT count(*) AS dropped_no_id FROM landed WHERE page IN (SELECT page FROM rea
 def q_collect_dropped(spark, sf_dir):
     """Items silently dropped for lack of an id (counted instead of lost)."""
     return CO.dropped_items(envelopes(spark, sf_dir))
+
+
+@query("collect_stream_batch", f"""WITH {ENV_SQL},
+reach AS (SELECT page FROM env WHERE status = 'ok' AND NOT is_empty AND page <= (
+            SELECT min(page) FROM env WHERE status <> 'ok' OR next_page IS NULL OR is_empty))
+{_FIRST_SEEN}""")
+def q_collect_stream_batch(spark, sf_dir):
+    """Batch twin of the item stream: first-seen items until a failed/empty page or no token."""
+    return CO.collect_stream_batch(envelopes(spark, sf_dir))

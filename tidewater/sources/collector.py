@@ -94,13 +94,20 @@ def _empty(data: Column) -> Column:
     return F.coalesce(F.size(data) == 0, F.lit(True))
 
 
-def reachable_pages(env: DataFrame, stop_on_empty: bool = False) -> DataFrame:
+def reachable_pages(env: DataFrame, stop_on_empty: bool = False, next_token: Column | None = None,
+                    items: Column | None = None) -> DataFrame:
     """Page-number pagination: pages reached from page 1 by following ``next_page``.
 
     The chain is page, page+1, …; it ends at the first page that failed, lacks a token,
     is missing from the landing, or (``stop_on_empty``) returned no items. One aggregate
     finds that page; result columns: page, status, data, chain_pos (= page).
+
+    ``next_token`` and ``items`` are column expressions over the envelope (the pluggable
+    "extract next token" / "extract items" functions); defaults: ``next_page`` and ``data``.
     """
+    nxt = next_token if next_token is not None else F.col("next_page")
+    env = env.withColumns({"next_page": nxt.cast("string"),
+                           "data": items if items is not None else F.col("data")})
     ok = F.col("status") == "ok"
     end = ~ok | F.col("next_page").isNull() | (F.col("next_page") != (F.col("page") + 1).cast("string"))
     if stop_on_empty:
@@ -187,9 +194,11 @@ def _item_fields(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema["item"].dataType.fields]
 
 
-def collect_pages(env: DataFrame, item_id: Callable[[Column], Column] | None = None) -> DataFrame:
+def collect_pages(env: DataFrame, item_id: Callable[[Column], Column] | None = None,
+                  next_token: Column | None = None, items: Column | None = None) -> DataFrame:
     """collect_all over page-number envelopes: every first-seen item on reachable pages."""
-    return first_seen(explode_items(reachable_pages(env), item_id)).drop("chain_pos")
+    pages = reachable_pages(env, next_token=next_token, items=items)
+    return first_seen(explode_items(pages, item_id)).drop("chain_pos")
 
 
 def collect_cursor(env: DataFrame, item_id: Callable[[Column], Column] | None = None) -> DataFrame:
@@ -197,15 +206,23 @@ def collect_cursor(env: DataFrame, item_id: Callable[[Column], Column] | None =
     return first_seen(explode_items(reachable_cursor_pages(env), item_id)).drop("chain_pos")
 
 
-def collect_batch(env: DataFrame, batch_size: int,
-                  item_id: Callable[[Column], Column] | None = None) -> DataFrame:
+def collect_batch(env: DataFrame, batch_size: int | None,
+                  item_id: Callable[[Column], Column] | None = None, next_token: Column | None = None,
+                  items: Column | None = None) -> DataFrame:
     """First ``batch_size`` distinct items in page order; stops at failed/empty page or no token.
 
     The cap is the operator's feature; it is a distributed top-n, so only ``batch_size``
     rows meet in one task.
     """
-    items = first_seen(explode_items(reachable_pages(env, stop_on_empty=True), item_id))
-    return items.orderBy("chain_pos", "pos").limit(batch_size).drop("chain_pos")
+    got = first_seen(explode_items(reachable_pages(env, True, next_token, items), item_id))
+    if batch_size is None:  # the stream's batch twin: same stops, no cap
+        return got.drop("chain_pos")
+    return got.orderBy("chain_pos", "pos").limit(batch_size).drop("chain_pos")
+
+
+def collect_stream_batch(env: DataFrame, item_id: Callable[[Column], Column] | None = None) -> DataFrame:
+    """Batch twin of the item stream: stops like ``collect_batch``, without a cap."""
+    return collect_batch(env, None, item_id)
 
 
 def dropped_items(env: DataFrame, item_id: Callable[[Column], Column] | None = None) -> DataFrame:
