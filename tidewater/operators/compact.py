@@ -83,15 +83,21 @@ def compact_table(spark: SparkSession, path: str, out_path: str, partition_cols:
     reader = spark.read.schema(schema) if schema is not None else spark.read
     df = reader.parquet(path)
     data_cols = [c for c in df.columns if c not in partition_cols]
-    sizes = file_stats(df, partition_cols).groupBy(*partition_cols).agg(
+    stats = file_stats(df, partition_cols)
+    sizes = stats.groupBy(*partition_cols).agg(
         F.greatest(F.lit(1), F.ceil(F.sum("file_size") / F.lit(target_bytes))).cast("int").alias("_slots"))
+    # rows per output file from the table's average row size (one small aggregate): the
+    # writer splits files at that count even when AQE packs several slots into one task
+    total = stats.agg(F.sum("file_size").alias("b"), F.sum("record_count").alias("n")).first()
+    rows_per_file = max(1, int(target_bytes * (total["n"] or 0) / total["b"])) if total["b"] else 0
     # one row per partition value: broadcast after a size check, so a hot partition is
     # never gathered into one join task
     slotted = df.join(broadcast_if_small(sizes), list(partition_cols), "left").withColumn(
         "_slot", F.pmod(F.xxhash64(*[F.col(c) for c in data_cols]), F.col("_slots")))
     (slotted.repartition(*[F.col(c) for c in partition_cols], F.col("_slot"))
      .drop("_slot", "_slots")
-     .write.mode("errorifexists").partitionBy(*partition_cols).parquet(out_path))
+     .write.mode("errorifexists").option("maxRecordsPerFile", rows_per_file)
+     .partitionBy(*partition_cols).parquet(out_path))
     before = df.groupBy(*partition_cols).count()
     after = (spark.read.schema(df.schema) if schema is None else spark.read.schema(schema)) \
         .parquet(out_path).groupBy(*partition_cols).count()
