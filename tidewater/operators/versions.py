@@ -16,6 +16,7 @@ down map-side.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -50,9 +51,14 @@ def as_of_version(log: DataFrame, keys: str | Sequence[str], version: int) -> Da
     return state_at(log, keys, F.col("commit_id") <= F.lit(version))
 
 
+def _ts(value, dtype):
+    # Python datetimes go through ISO text: no dependence on the driver's local time zone
+    return F.lit(value.isoformat(sep=" ") if isinstance(value, dt.datetime) else value).cast(dtype)
+
+
 def as_of_timestamp(log: DataFrame, keys: str | Sequence[str], ts) -> DataFrame:
     """``SELECT … TIMESTAMP AS OF ts``: newest commit at or before ``ts`` (inclusive)."""
-    t = F.lit(ts).cast(log.schema["commit_ts"].dataType)
+    t = _ts(ts, log.schema["commit_ts"].dataType)
     return state_at(log, keys, F.col("commit_ts") <= t)
 
 
@@ -132,7 +138,7 @@ def rollback_to(log: DataFrame, keys: str | Sequence[str], version: int, commit_
     rows = row_columns(log, keys)
     diff = snapshot_diff(current(log, keys), as_of_version(log, keys, version), keys)
     next_id = log.select(F.max("commit_id") + 1).scalar()
-    ts = (F.lit(commit_ts).cast(log.schema["commit_ts"].dataType) if commit_ts is not None
+    ts = (_ts(commit_ts, log.schema["commit_ts"].dataType) if commit_ts is not None
           else log.select(F.max("commit_ts")).scalar())
     # deletes carry the old values (the row as it was), upserts the target values
     comp = diff.select(

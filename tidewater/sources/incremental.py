@@ -22,6 +22,13 @@ MARK_SCHEMA = T.StructType([
 ])
 
 
+def ts_literal(mark: dt.datetime | str, dtype: T.DataType):
+    """A mark as a literal of the column's own type. Python datetimes go through their ISO
+    text, so a driver in another time zone cannot shift a ``timestamp_ntz`` comparison."""
+    text = mark.isoformat(sep=" ") if isinstance(mark, dt.datetime) else str(mark)
+    return F.lit(text).cast(dtype)
+
+
 def read_mark(spark: SparkSession, marks_path: str, name: str) -> dt.datetime:
     """Last mark for ``name``; a missing store, missing row or unparsable value → 1970-01-01."""
     try:
@@ -57,9 +64,7 @@ def incremental_extract(df: DataFrame, ts_col: str, mark: dt.datetime | str, lim
     Both are distributed top-n (each task keeps its own n first), so only ``limit`` rows
     ever meet in one place.
     """
-    m = F.lit(mark).cast("timestamp_ntz") if isinstance(mark, str) else F.lit(mark)
-    if df.schema[ts_col].dataType == T.TimestampType():
-        m = m.cast("timestamp")
+    m = ts_literal(mark, df.schema[ts_col].dataType)
     cand = df.filter(F.col(ts_col) > m)
     ordered = [F.col(ts_col).asc(), *[F.col(c).asc_nulls_last() for c in tie_cols]]
     if exact:
@@ -70,7 +75,7 @@ def incremental_extract(df: DataFrame, ts_col: str, mark: dt.datetime | str, lim
 
 def advance_mark(increment: DataFrame, ts_col: str, mark: dt.datetime | str) -> DataFrame:
     """One row: rows in the increment and the new mark (max timestamp, old mark when empty)."""
-    m = F.lit(mark).cast("timestamp_ntz") if isinstance(mark, str) else F.lit(mark)
+    m = ts_literal(mark, increment.schema[ts_col].dataType)
     return increment.agg(
         F.count(F.lit(1)).alias("rows_extracted"),
         F.coalesce(F.max(ts_col), m).alias("new_mark"),
