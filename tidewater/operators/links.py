@@ -1,9 +1,9 @@
 """Link graph: outgoing links per page and breadth-first crawl reach.
 
 The crawl is an iterative frontier expansion: frontier ⋈ edges, minus everything already
-visited (left anti join), one round per depth. Each round's frontier and the visited set
-are cut from the lineage with a reliable checkpoint in the shared checkpoint folder, so
-the plan stays small and a lost executor recomputes at most one round.
+visited (left anti join), one round per depth. The edge table is written once, bucketed by
+source; each round's frontier is written as a Parquet table in the shared checkpoint
+folder, so the plan stays small and a lost executor recomputes at most one round.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions import urls as U
 from tidewater.operators.pages import page_links
-from tidewater.session import cut_lineage, materialize
+from tidewater.session import bucketed_table, materialize
 
 
 def link_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -43,18 +43,22 @@ def crawl_frontier(edges: DataFrame, seeds: DataFrame, depth_limit: int = 3,
         e = e.filter(U.in_domains(F.col("dst"), domains))
     if deny:
         e = e.filter(~F.col("dst").rlike(deny))
-    # the distinct edge set is reused by every round: write it once as a shared table
-    e = materialize(e, "crawl_edges")
-    visited = cut_lineage(seeds.select("url").distinct().withColumn("depth", F.lit(0)))
+    # the edge set is joined on ``src`` every round: write it once, bucketed by ``src``, so a
+    # round shuffles only the (much smaller) frontier
+    spark = edges.sparkSession
+    buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    e = bucketed_table(e, ["src"], buckets, "crawl_edges")
+    # frontiers are written as shared Parquet tables: lineage is cut every round and the
+    # planner knows their size (a small frontier is broadcast by the size threshold)
+    visited = materialize(seeds.select("url").distinct().withColumn("depth", F.lit(0)), "crawl_frontier")
     frontier = visited
     for d in range(1, depth_limit + 1):
         reached = (frontier.join(e, frontier.url == e.src).select(F.col("dst").alias("url")).distinct()
                    .join(visited.select("url"), "url", "left_anti")
                    .withColumn("depth", F.lit(d)))
-        frontier = cut_lineage(reached)
+        frontier = materialize(reached, "crawl_frontier")
         if frontier.isEmpty():
             break
-        # a union of checkpointed frames: its lineage stays one level deep per round
         visited = visited.unionByName(frontier)
     out = visited
     if max_pages is not None:

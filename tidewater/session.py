@@ -79,3 +79,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = shared_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def bucketed_table(df: DataFrame, cols: list[str], buckets: int, name: str) -> DataFrame:
+    """Write ``df`` as a table bucketed (and sorted) by ``cols`` in the shared folder.
+
+    Joins on ``cols`` against it then shuffle only the other side: the table is read back
+    already hash-partitioned, which is what an iterative job joining the same big table
+    every round needs.
+    """
+    spark = df.sparkSession
+    table_name = f"tw_{name}_{uuid.uuid4().hex[:12]}"
+    (df.write.bucketBy(buckets, *cols).sortBy(*cols).option("path", shared_dir(spark, name))
+     .saveAsTable(table_name))
+    return spark.table(table_name)
