@@ -114,9 +114,12 @@ def audit_rows(diff: DataFrame, keys: str | Sequence[str], table_name: str, chan
     keys = _keys(keys)
     old = [c for c in diff.columns if c.startswith("old_")]
     new = [c for c in diff.columns if c.startswith("new_")]
+    # full timestamp precision in the JSON values (the default JSON format stops at millis)
+    opts = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+            "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
     as_json = lambda cs, pre: F.when(
         F.coalesce(*[F.col(c).isNotNull() for c in cs], F.lit(False)),
-        F.to_json(F.struct(*[F.col(c).alias(c[len(pre):]) for c in cs])))
+        F.to_json(F.struct(*[F.col(c).alias(c[len(pre):]) for c in cs]), opts))
     return diff.select(
         F.lit(table_name).alias("table_name"),
         F.upper("operation").alias("operation"),
