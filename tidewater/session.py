@@ -93,3 +93,10 @@ def bucketed_table(df: DataFrame, cols: list[str], buckets: int, name: str) -> D
     (df.write.bucketBy(buckets, *cols).sortBy(*cols).option("path", shared_dir(spark, name))
      .saveAsTable(table_name))
     return spark.table(table_name)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through the cluster's file system (any Hadoop-supported scheme)."""
+    jvm = spark.sparkContext._jvm  # noqa: SLF001
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)  # noqa: SLF001

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewater.session import path_exists
+
 EPOCH = dt.datetime(1970, 1, 1)
 MARK_SCHEMA = T.StructType([
     T.StructField("name", T.StringType()),
@@ -31,10 +33,9 @@ def ts_literal(mark: dt.datetime | str, dtype: T.DataType):
 
 def read_mark(spark: SparkSession, marks_path: str, name: str) -> dt.datetime:
     """Last mark for ``name``; a missing store, missing row or unparsable value → 1970-01-01."""
-    try:
-        marks = spark.read.schema(MARK_SCHEMA).parquet(marks_path)
-    except Exception:  # noqa: BLE001 - a missing store means "start from the epoch"
+    if not path_exists(spark, marks_path):  # no store yet: start from the epoch
         return EPOCH
+    marks = spark.read.schema(MARK_SCHEMA).parquet(marks_path)
     row = (
         marks.filter(F.col("name") == name)
         .select(F.try_to_timestamp(F.col("mark")).cast("timestamp_ntz").alias("m"), "written_at")

@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewater.session import path_exists
+
 BATCH_ID_FORMAT = "%Y%m%d_%H%M%S_%f"
 # text formats keep microseconds so a write/read round trip is lossless
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -71,9 +73,7 @@ def write_landing(df: DataFrame, base: str, table_name: str, ingest_date: str |
 
 def validate_landing(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """The landing location must exist (else error); an empty increment is fine. One row."""
-    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
-    fs = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
-    if not fs.exists(jvm_path):
+    if not path_exists(spark, path):
         raise FileNotFoundError(f"landing path missing: {path}")
     return manifest(spark, path, schema=schema).select(
         "path", "rows", F.lit(True).alias("exists"))

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewater.operators.dedup import upsert_lww
-from tidewater.session import cut_lineage
+from tidewater.session import cut_lineage, path_exists
 from tidewater.sources.collector import ENVELOPE_SCHEMA
 from tidewater.sources.sinks import TEXT_OPTIONS
 
@@ -79,9 +79,9 @@ def upsert_batch(batch: DataFrame, target_path: str, keys: Sequence[str], ts_col
     if not touched:
         return
     full = T.StructType(schema.fields + [T.StructField("_bucket", T.IntegerType())])
-    try:
+    if path_exists(spark, target_path):
         existing = spark.read.schema(full).parquet(target_path).filter(F.col("_bucket").isin(touched))
-    except Exception:  # noqa: BLE001 - first batch: no target yet
+    else:  # first batch: no target yet
         existing = spark.createDataFrame([], full)
     merged = upsert_lww(b, existing, list(keys), ts_col, list(order_by))
     # materialise before writing: the target folder cannot be read and overwritten in one plan
