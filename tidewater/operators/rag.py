@@ -26,9 +26,14 @@ QUESTION_TEMPLATE = "Question: {question}"
 MAX_QUERY_CHARS = 4096
 TOP_K_RANGE = (1, 50)
 
+# Context entry format (joined by a newline) and the role prefixes of the
+# flattened prompt (messages joined by a blank line).
+CONTEXT_ENTRY = "[%d] (source: %s)\n%s\n"
+SYSTEM_PREFIX, HUMAN_PREFIX = "SYSTEM:\n", "HUMAN:\n"
+
 
 def context_entry(rank: Column, source: Column, content: Column) -> Column:
-    return F.format_string("[%d] (source: %s)\n%s\n", rank, source, content)
+    return F.format_string(CONTEXT_ENTRY, rank, source, content)
 
 
 def rag_context(results: DataFrame, chunks: DataFrame, query_id: str = "query_id",
@@ -49,7 +54,7 @@ def rag_prompts(questions: DataFrame, contexts: DataFrame, query_id: str = "quer
     j = questions.join(contexts, query_id, "left")
     system = F.replace(F.lit(SYSTEM_TEMPLATE), F.lit("{context}"), F.coalesce(F.col("context"), F.lit("")))
     human = F.replace(F.lit(QUESTION_TEMPLATE), F.lit("{question}"), F.col(question_col))
-    prompt = F.concat(F.lit("SYSTEM:\n"), system, F.lit("\n\nHUMAN:\n"), human)
+    prompt = F.concat(F.lit(SYSTEM_PREFIX), system, F.lit("\n\n" + HUMAN_PREFIX), human)
     return j.select(query_id, question_col, prompt.alias("prompt"))
 
 
