@@ -15,13 +15,14 @@ at a failed page, an empty page or a missing token.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.session import cut_lineage
+from tidewater.session import materialize
 
 ITEM_SCHEMA = T.StructType([
     T.StructField("id", T.StringType()),
@@ -123,13 +124,14 @@ def reachable_pages(env: DataFrame, stop_on_empty: bool = False, next_token: Col
     return out.select("page", "status", "data", F.col("page").cast("bigint").alias("chain_pos"))
 
 
-def rank_cursor_chain(env: DataFrame, max_rounds: int = 64) -> DataFrame:
+def rank_cursor_chain(env: DataFrame) -> DataFrame:
     """Opaque cursors: position of every page on the chain that starts at the first request.
 
     Pointer jumping (list ranking): each page points at its predecessor (the page whose
     ``next_cursor`` equals its ``request_cursor``); every round replaces the pointer by the
-    pointer's pointer and adds distances, so ``ceil(log2 pages)`` rounds suffice. The state
-    is one row per page and lineage is cut each round with a reliable checkpoint.
+    pointer's pointer and adds distances, so after ``ceil(log2 pages)`` rounds every page
+    points at its chain's first page. The state is one row per page, written each round as
+    a Parquet table in the shared checkpoint folder (lineage cut, size known to the planner).
     """
     nodes = env.select(
         F.coalesce(F.col("request_cursor"), F.lit("")).alias("tok"),
@@ -138,18 +140,13 @@ def rank_cursor_chain(env: DataFrame, max_rounds: int = 64) -> DataFrame:
         F.col("s.tok").alias("tok"),
         F.coalesce(F.col("p.tok"), F.col("s.tok")).alias("anc"),
         F.when(F.col("p.tok").isNotNull(), 1).otherwise(0).cast("bigint").alias("d"))
-    state = cut_lineage(pred)
-    for _ in range(max_rounds):
-        nxt = state.alias("s").join(state.alias("a"), F.col("s.anc") == F.col("a.tok"), "left").select(
+    state = materialize(pred, "cursor_chain")
+    n = state.count()
+    for _ in range(max(1, math.ceil(math.log2(max(n, 2))))):
+        state = materialize(state.alias("s").join(state.alias("a"), F.col("s.anc") == F.col("a.tok"), "left").select(
             F.col("s.tok").alias("tok"),
             F.coalesce(F.col("a.anc"), F.col("s.anc")).alias("anc"),
-            (F.col("s.d") + F.coalesce(F.col("a.d"), F.lit(0))).alias("d"),
-            (F.col("a.anc") != F.col("s.anc")).alias("_moved"))
-        nxt = cut_lineage(nxt)
-        settled = nxt.filter(F.coalesce(F.col("_moved"), F.lit(False))).isEmpty()
-        state = nxt.drop("_moved")
-        if settled:
-            break
+            (F.col("s.d") + F.coalesce(F.col("a.d"), F.lit(0))).alias("d")), "cursor_chain")
     ranked = state.filter(F.col("anc") == "").select("tok", F.col("d").alias("chain_pos"))
     return env.join(ranked, F.coalesce(F.col("request_cursor"), F.lit("")) == F.col("tok")).drop("tok")
 
