@@ -3,7 +3,6 @@
 import datetime as dt
 from decimal import Decimal
 
-from pyspark.sql import functions as F
 
 from tidewater.operators import pages as P
 from tidewater.operators import vectors as VE

@@ -6,7 +6,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidewater.functions import text as TX
-from tidewater.functions import urls as U
 from tidewater.operators import links as L
 from tidewater.operators import pages as P
 from tidewater.plans.registry import query

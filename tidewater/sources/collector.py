@@ -143,10 +143,11 @@ def rank_cursor_chain(env: DataFrame) -> DataFrame:
     state = materialize(pred, "cursor_chain")
     n = state.count()
     for _ in range(max(1, math.ceil(math.log2(max(n, 2))))):
-        state = materialize(state.alias("s").join(state.alias("a"), F.col("s.anc") == F.col("a.tok"), "left").select(
+        jumped = state.alias("s").join(state.alias("a"), F.col("s.anc") == F.col("a.tok"), "left").select(
             F.col("s.tok").alias("tok"),
             F.coalesce(F.col("a.anc"), F.col("s.anc")).alias("anc"),
-            (F.col("s.d") + F.coalesce(F.col("a.d"), F.lit(0))).alias("d")), "cursor_chain")
+            (F.col("s.d") + F.coalesce(F.col("a.d"), F.lit(0))).alias("d"))
+        state = materialize(jumped, "cursor_chain")
     ranked = state.filter(F.col("anc") == "").select("tok", F.col("d").alias("chain_pos"))
     return env.join(ranked, F.coalesce(F.col("request_cursor"), F.lit("")) == F.col("tok")).drop("tok")
 
