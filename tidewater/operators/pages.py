@@ -125,13 +125,17 @@ def clean_items(items: DataFrame, run_ts: dt.datetime | str) -> DataFrame:
     titles are always stripped and cleaned; a missing crawl timestamp gets ``run_ts``."""
     content = F.col("content")
     is_str = content.isNotNull() & (content != "")
-    new_content = F.when(is_str, TX.clean_text(
-        F.when(TX.looks_like_html(content), TX.html_text(content)).otherwise(content))).otherwise(content)
+    is_html = is_str & TX.looks_like_html(content)
+    # visible text only for rows that look like HTML, in staged projections
+    staged = TX.with_html_text(items.withColumn("_html", F.when(is_html, content)), "_html", "_text")
+    new_content = F.when(is_str, TX.clean_text(F.when(is_html, F.col("_text")).otherwise(content))) \
+        .otherwise(content)
     title = F.col("title")
     new_title = F.when(title.isNotNull() & (title != ""), TX.clean_text(TX.html_text(title))).otherwise(title)
     ts = F.lit(run_ts if isinstance(run_ts, str) else run_ts.isoformat())
     stamp = (F.coalesce(_nz(F.col("crawl_timestamp")), ts) if "crawl_timestamp" in items.columns else ts)
-    return items.withColumns({"content": new_content, "title": new_title, "crawl_timestamp": stamp})
+    return staged.withColumns({"content": new_content, "title": new_title, "crawl_timestamp": stamp}) \
+        .drop("_html", "_text")
 
 
 def host_stats(requests: DataFrame, url_col: str = "url", status_col: str | None = None) -> DataFrame:

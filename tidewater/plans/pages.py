@@ -89,7 +89,7 @@ def sql_links(html: str, url: str) -> str:
 
 @query("html_text", f"SELECT page_id, {sql_html_text('html')} AS text FROM pages")
 def q_html_text(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", TX.html_text(F.col("html")).alias("text"))
+    return TX.with_html_text(table(spark, sf_dir, "pages"), "html", "text").select("page_id", "text")
 
 
 @query("clean_text", f"SELECT doc_id, {sql_clean_text('text')} AS text FROM documents")
@@ -106,9 +106,9 @@ def q_scan_pages(spark, sf_dir):
 SELECT page_id, {sql_body('html')} AS body_html,
        {sql_clean_text(sql_html_text(sql_body('html')))} AS body_text FROM pages""")
 def q_page_body(spark, sf_dir):
-    body = P.page_body(F.col("html"))
-    return table(spark, sf_dir, "pages").select(
-        "page_id", body.alias("body_html"), TX.clean_text(TX.html_text(body)).alias("body_text"))
+    pages = table(spark, sf_dir, "pages").select("page_id", P.page_body(F.col("html")).alias("body_html"))
+    return TX.with_html_text(pages, "body_html", "body_text").select(
+        "page_id", "body_html", TX.clean_text(F.col("body_text")).alias("body_text"))
 
 
 @query("page_metadata", f"""
