@@ -102,9 +102,29 @@ def q_expire_versions(spark, sf_dir):
     return V.expire_versions(event_log(spark, sf_dir), KEY, KEEP_SINCE)
 
 
-@query("audit_log")
+def _json_sql(alias: str) -> str:
+    """The audit JSON text as Spark's to_json writes it (field order, microsecond time)."""
+    return (f"""CASE WHEN {alias}.user_id IS NOT NULL THEN '{{"event_type":"' || {alias}.event_type """
+            f"""|| '","value":' || CAST({alias}.value AS VARCHAR) """
+            f"""|| ',"ts":"' || strftime({alias}.ts, '%Y-%m-%dT%H:%M:%S.%f') """
+            f"""|| '","props":"' || replace({alias}.props, '"', '\\"') || '"}}' END""")
+
+
+@query("audit_log", f"""WITH {LOG_SQL},
+  a AS ({state_sql(f'commit_id <= {OLD}')}),
+  b AS ({state_sql(f'commit_id <= {NEW}')})
+SELECT 'events' AS table_name,
+       CASE WHEN a.user_id IS NULL THEN 'INSERT' WHEN b.user_id IS NULL THEN 'DELETE' ELSE 'UPDATE' END
+         AS operation,
+       CAST(coalesce(a.user_id, b.user_id) AS VARCHAR) AS record_key,
+       {_json_sql('a')} AS old_value, {_json_sql('b')} AS new_value,
+       'tidewater' AS changed_by, TIMESTAMP '{AS_OF_TS}' AS changed_at
+FROM a FULL OUTER JOIN b ON a.user_id = b.user_id
+WHERE a.user_id IS NULL OR b.user_id IS NULL
+   OR a.event_type IS DISTINCT FROM b.event_type OR a.value IS DISTINCT FROM b.value
+   OR a.ts IS DISTINCT FROM b.ts OR a.props IS DISTINCT FROM b.props""")
 def q_audit_log(spark, sf_dir):
     """Audit rows (old/new values as JSON) for the change between two versions."""
     log = event_log(spark, sf_dir)
     diff = V.snapshot_diff(V.as_of_version(log, KEY, OLD), V.as_of_version(log, KEY, NEW), KEY)
-    return V.audit_rows(diff, KEY, "events", "tidewater", F.lit(AS_OF_TS).cast("timestamp"))
+    return V.audit_rows(diff, KEY, "events", "tidewater", F.lit(AS_OF_TS).cast("timestamp_ntz"))
