@@ -180,3 +180,26 @@ def test_pluggable_token_and_items(spark):
     out = CO.collect_pages(env, next_token=F.get_json_object("body", "$.meta.next"), items=items)
     assert sorted(r.id for r in out.collect()) == ["a", "b"]
     assert [r.id for r in CO.collect_stream_batch(envelopes(spark)).orderBy("page", "pos").collect()] == ["a", "b"]
+
+
+def test_topk_blocks_meet_across_many_partitions(spark):
+    """Regression: co-group keys must hash alike on both sides, or blocks miss each other
+    once AQE no longer packs everything into one reducer."""
+    rng = np.random.default_rng(11)
+    cvec = {i: rng.normal(size=6) for i in range(400)}
+    qvec = {i: rng.normal(size=6) for i in range(90)}
+    cs = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in cvec.items()], "id long, embedding array<double>")
+    qs = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in qvec.items()], "query_id long, embedding array<double>")
+    old = (spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled"), spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "37")
+    try:
+        got = VE.vector_topk_batch(qs, cs, "query_id", "id", top_k=3, min_score=-1.0,
+                                   chunk_block_rows=50, query_block_rows=10)
+        res = {}
+        for r in got.orderBy("query_id", "rank").collect():
+            res.setdefault(r.query_id, []).append(r.id)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old[0])
+        spark.conf.set("spark.sql.shuffle.partitions", old[1])
+    assert res == brute(qvec, cvec, 3, -1.0)

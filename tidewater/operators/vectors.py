@@ -99,11 +99,12 @@ def vector_topk_batch(queries: DataFrame, chunks: DataFrame, query_id: str = "qu
     k_eff = F.when(kcol > 0, kcol).otherwise(F.lit(k_default)).cast("int")
     qb = _blocks(queries.count(), query_block_rows)
     cb = _blocks(chunks.count(), chunk_block_rows)
+    # block keys must have the same type on both sides (int): the co-group hashes them
     q = queries.select(F.col(query_id), F.col(q_emb).alias("_emb"), k_eff.alias("_k"),
-                       F.pmod(F.xxhash64(F.col(query_id)), F.lit(qb)).alias("_qb"))
-    q = q.withColumn("_cb", F.explode(F.sequence(F.lit(0), F.lit(cb - 1))))
+                       F.pmod(F.xxhash64(F.col(query_id)), F.lit(qb)).cast("int").alias("_qb"))
+    q = q.withColumn("_cb", F.explode(F.sequence(F.lit(0), F.lit(cb - 1))))  # int elements
     c = chunks.select(F.col(chunk_id), F.col(c_emb).alias("_emb"),
-                      F.pmod(F.xxhash64(F.col(chunk_id)), F.lit(cb)).alias("_cb"))
+                      F.pmod(F.xxhash64(F.col(chunk_id)), F.lit(cb)).cast("int").alias("_cb"))
     c = c.withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(qb - 1))))
     schema = T.StructType([queries.schema[query_id], chunks.schema[chunk_id],
                            T.StructField("score", T.DoubleType())])
@@ -182,7 +183,7 @@ def vector_topk_ivf(queries: DataFrame, assigned: DataFrame, cents: DataFrame,
         F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / F.lit(list_block_rows))).cast("int").alias("_nsub"))
     c = assigned.join(sizes, "list_id").select(
         F.col(chunk_id), F.col(c_emb).alias("_emb"), "list_id",
-        F.pmod(F.xxhash64(F.col(chunk_id)), F.col("_nsub")).alias("_sub"))
+        F.pmod(F.xxhash64(F.col(chunk_id)), F.col("_nsub")).cast("int").alias("_sub"))
     q = (queries.select(F.col(query_id), F.col(q_emb).alias("_emb"), F.lit(k).alias("_k"))
          .join(probe.select(query_id, "list_id"), query_id)
          .join(sizes, "list_id")
