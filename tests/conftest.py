@@ -13,6 +13,10 @@ def spark():
     from tidewater.session import build_session
 
     s = build_session(master="local[4]", shuffle_partitions=8, app_name="tidewater-tests")
+    if os.environ.get("TIDEWATER_STRESS") == "1":
+        # many partitions and no AQE coalescing: partitioning mistakes cannot hide
+        s.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        s.conf.set("spark.sql.shuffle.partitions", "37")
     yield s
     s.stop()
 
