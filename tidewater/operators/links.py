@@ -44,7 +44,9 @@ def crawl_frontier(edges: DataFrame, seeds: DataFrame, depth_limit: int = 3,
     if deny:
         e = e.filter(~F.col("dst").rlike(deny))
     # the edge set is joined on ``src`` every round: write it once, bucketed by ``src``, so a
-    # round shuffles only the (much smaller) frontier
+    # round shuffles only the (much smaller) frontier. De-duplication shuffles on
+    # (src, dst) with a map-side partial aggregate, so a source node with a third of all
+    # edges is still spread over many tasks (a repartition on ``src`` alone would not be).
     spark = edges.sparkSession
     buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     e = bucketed_table(e, ["src"], buckets, "crawl_edges")
