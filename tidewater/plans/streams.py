@@ -61,3 +61,21 @@ def q_stream_collect_bounded(spark, sf_dir):
          .write.mode("append").options(**TEXT_OPTIONS).json(landing))
     return J.stream_collect(spark, landing, shared_dir(spark, "stream_items"), shared_dir(spark, "ckpt"),
                             watermark="1 day")
+
+
+@query("stream_collect_chain", f"""WITH {ENV_SQL},
+reach AS (SELECT page FROM env WHERE status = 'ok' AND NOT is_empty AND page <= (
+            SELECT min(page) FROM env WHERE status <> 'ok' OR next_page IS NULL OR is_empty))
+SELECT id, page, pos, user_id, event_type, value, ts FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY page, pos) AS rn FROM landed
+  WHERE id IS NOT NULL AND id <> '' AND page IN (SELECT page FROM reach)) WHERE rn = 1""")
+def q_stream_collect_chain(spark, sf_dir):
+    """Ordered streaming collector: stream twin of ``collect_stream_batch`` (same stops)."""
+    env = CO.build_envelopes(table(spark, sf_dir, "events"))
+    landing = shared_dir(spark, "envelopes")
+    last = env.select(F.max("page")).first()[0]
+    step = max(1, -(-last // 8))
+    for lo in range(1, last + 1, step):  # pages land in fetch order, 8 landings
+        (env.filter((F.col("page") >= lo) & (F.col("page") < lo + step)).coalesce(1)
+         .write.mode("append").options(**TEXT_OPTIONS).json(landing))
+    return J.stream_collect_chain(spark, landing, shared_dir(spark, "chain_items"), shared_dir(spark, "ckpt"))

@@ -99,3 +99,68 @@ def stream_upsert(spark: SparkSession, source_dir: str, schema: T.StructType, ta
         lambda df, _epoch: upsert_batch(df, target_path, keys, ts_col, order_by, buckets, schema)))
     full = T.StructType(schema.fields + [T.StructField("_bucket", T.IntegerType())])
     return spark.read.schema(full).parquet(target_path).drop("_bucket")
+
+
+CHAIN_STATE = T.StructType([T.StructField("next_page", T.IntegerType()),
+                            T.StructField("stopped", T.BooleanType())])
+
+
+def _chain_batch(out_path: str, state_path: str, item_schema: T.StructType):
+    """One micro-batch of the ordered collector (pages land in fetch order)."""
+    from tidewater.sources.collector import _empty, explode_items, first_seen
+
+    def run(df: DataFrame, _epoch: int) -> None:
+        spark = df.sparkSession
+        start, stopped = 1, False
+        if path_exists(spark, state_path):
+            row = spark.read.schema(CHAIN_STATE).parquet(state_path).first()
+            start, stopped = row["next_page"], row["stopped"]
+        if stopped:
+            return
+        env = df.filter(F.col("page") >= start)
+        end = ((F.col("status") != "ok") | _empty(F.col("data")) | F.col("next_page").isNull()
+               | (F.col("next_page") != (F.col("page") + 1).cast("string")))
+        # one small aggregate: first page that ends the chain, and the pages present
+        marks = env.agg(F.min(F.when(end, F.col("page"))).alias("stop"),
+                        F.min("page").alias("lo"), F.max("page").alias("hi"),
+                        F.count(F.lit(1)).alias("n")).first()
+        if marks["n"] == 0 or marks["lo"] != start:
+            return  # nothing new, or the next page has not landed yet
+        contiguous = marks["hi"] - marks["lo"] + 1 == marks["n"]
+        stop = marks["stop"]
+        last = stop if stop is not None else (marks["hi"] if contiguous else start - 1)
+        # a failed or empty stop page contributes nothing; a last page without token does
+        keep = (F.col("page") <= last) & (F.col("status") == "ok") & ~_empty(F.col("data"))
+        pages = env.filter(keep).select("page", "status", "data", F.col("page").cast("bigint").alias("chain_pos"))
+        items = first_seen(explode_items(pages)).drop("chain_pos")
+        if path_exists(spark, out_path):
+            seen = spark.read.schema(items.schema).parquet(out_path).select("id")
+            items = items.join(seen, "id", "left_anti")
+        items.write.mode("append").parquet(out_path)
+        nxt = spark.createDataFrame([(int(last) + 1, stop is not None)], CHAIN_STATE)
+        nxt.coalesce(1).write.mode("overwrite").parquet(state_path)
+
+    return run
+
+
+def stream_collect_chain(spark: SparkSession, envelope_dir: str, out_path: str, checkpoint: str,
+                         files_per_trigger: int = 1) -> DataFrame:
+    """Streaming twin of ``collect_batch`` without a cap: follows the page chain across
+    micro-batches and stops for good at a failed page, an empty page or a missing token.
+
+    The chain position (next expected page, stopped flag) is a one-row table next to the
+    sink; items already collected are removed with an anti join against the sink, so
+    first-seen order holds across micro-batches. Pages must land in fetch order.
+    """
+    state_path = out_path.rstrip("/") + "_chain_state"
+    env = (spark.readStream.schema(ENVELOPE_SCHEMA).options(**TEXT_OPTIONS)
+           .option("maxFilesPerTrigger", files_per_trigger).json(envelope_dir))
+    item_schema = ENVELOPE_SCHEMA["data"].dataType.elementType
+    _run(env.writeStream.option("checkpointLocation", checkpoint)
+         .foreachBatch(_chain_batch(out_path, state_path, item_schema)))
+    schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("page", T.IntegerType()),
+                           T.StructField("pos", T.IntegerType())]
+                          + [f for f in item_schema.fields if f.name != "id"])
+    if not path_exists(spark, out_path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(out_path)
