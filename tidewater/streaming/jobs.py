@@ -105,7 +105,7 @@ CHAIN_STATE = T.StructType([T.StructField("next_page", T.IntegerType()),
                             T.StructField("stopped", T.BooleanType())])
 
 
-def _chain_batch(out_path: str, state_path: str, item_schema: T.StructType):
+def _chain_batch(out_path: str, state_path: str):
     """One micro-batch of the ordered collector (pages land in fetch order)."""
     from tidewater.sources.collector import _empty, explode_items, first_seen
 
@@ -157,7 +157,7 @@ def stream_collect_chain(spark: SparkSession, envelope_dir: str, out_path: str,
            .option("maxFilesPerTrigger", files_per_trigger).json(envelope_dir))
     item_schema = ENVELOPE_SCHEMA["data"].dataType.elementType
     _run(env.writeStream.option("checkpointLocation", checkpoint)
-         .foreachBatch(_chain_batch(out_path, state_path, item_schema)))
+         .foreachBatch(_chain_batch(out_path, state_path)))
     schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("page", T.IntegerType()),
                            T.StructField("pos", T.IntegerType())]
                           + [f for f in item_schema.fields if f.name != "id"])
