@@ -42,3 +42,15 @@ def test_stream_collect_equals_batch_items(spark, tmp_dir):
     items = (env.filter("status = 'ok'").select(F.explode("data").alias("i")).select("i.*")
              .filter("id IS NOT NULL AND id <> ''").distinct())
     assert sorted(got.collect()) == sorted(items.collect())
+
+
+def test_chain_stream_stops_at_empty_page(spark, tmp_dir):
+    from tests.test_collect_vectors import envelopes
+
+    env = envelopes(spark)   # page 1 ok, page 2 empty (with token), 3 ok, 4 failed, 5 ok
+    landing = tmp_dir + "/env"
+    for p in range(1, 6):    # one landing per page, in fetch order
+        env.filter(F.col("page") == p).coalesce(1).write.mode("append").options(**TEXT_OPTIONS).json(landing)
+    got = J.stream_collect_chain(spark, landing, tmp_dir + "/items", tmp_dir + "/ckpt")
+    assert [r.id for r in got.orderBy("page", "pos").collect()] == ["a", "b"]
+    assert sorted(got.collect()) == sorted(CO.collect_stream_batch(env).collect())
