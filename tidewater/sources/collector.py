@@ -110,6 +110,19 @@ def reachable_pages(env: DataFrame, stop_on_empty: bool = False, next_token: Col
     env = env.withColumns({"next_page": nxt.cast("string"),
                            "data": items if items is not None else F.col("data")})
     ok = F.col("status") == "ok"
+    out = env.filter(_visited(env, stop_on_empty) & ok)
+    if stop_on_empty:
+        out = out.filter(~_empty(F.col("data")))
+    return out.select("page", "status", "data", F.col("page").cast("bigint").alias("chain_pos"))
+
+
+def _visited(env: DataFrame, stop_on_empty: bool = False) -> Column:
+    """Predicate: the client requested this page (chain from page 1 up to the stop page).
+
+    The stop page is the first page that failed, has no token, has a token other than the
+    next number, is followed by a page missing from the landing, or (``stop_on_empty``)
+    returned no items. One aggregate over the page table (scalar subqueries)."""
+    ok = F.col("status") == "ok"
     end = ~ok | F.col("next_page").isNull() | (F.col("next_page") != (F.col("page") + 1).cast("string"))
     if stop_on_empty:
         end = end | _empty(F.col("data"))
@@ -118,10 +131,7 @@ def reachable_pages(env: DataFrame, stop_on_empty: bool = False, next_token: Col
                                   "left_anti").select(F.col("a.page").alias("page"))
     stop = env.filter(end).select("page").unionByName(gap).select(F.min("page")).scalar()
     starts_at_one = env.select(F.min("page")).scalar() == F.lit(1)
-    out = env.filter(starts_at_one & (F.col("page") <= F.coalesce(stop, F.lit(2 ** 31 - 1))) & ok)
-    if stop_on_empty:
-        out = out.filter(~_empty(F.col("data")))
-    return out.select("page", "status", "data", F.col("page").cast("bigint").alias("chain_pos"))
+    return starts_at_one & (F.col("page") <= F.coalesce(stop, F.lit(2 ** 31 - 1)))
 
 
 def rank_cursor_chain(env: DataFrame) -> DataFrame:
@@ -231,10 +241,7 @@ def dropped_items(env: DataFrame, item_id: Callable[[Column], Column] | None = N
 
 def collector_stats(env: DataFrame, item_id: Callable[[Column], Column] | None = None) -> DataFrame:
     """Requests, successes, failures, collected items and dropped items for ``collect_all``."""
-    ok = F.col("status") == "ok"
-    end = ~ok | F.col("next_page").isNull()
-    stop = env.filter(end).select(F.min("page")).scalar()
-    visited = env.filter(F.col("page") <= F.coalesce(stop, F.lit(2 ** 31 - 1)))
+    visited = env.filter(_visited(env))
     req = visited.agg(F.count(F.lit(1)).alias("total_requests"),
                       F.count_if(F.col("status") == "ok").alias("successful_requests"),
                       F.count_if(F.col("status") != "ok").alias("failed_requests"))
