@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from tidewater.llm.fingerprints import op9_fingerprints
 from tidewater.llm.mixing import OP1_SQL, op1_mix
+from tidewater.llm.pii import op2_pii
+from tidewater.llm.secrets import OP4_SQL, op4_secrets
 
 QUERIES = {
     "op1_mix": op1_mix,
+    "op2_pii": op2_pii,
+    "op4_secrets": op4_secrets,
+    "op9_fingerprints": op9_fingerprints,
 }
 
 ORACLES = {
     "op1_mix": OP1_SQL,
+    "op4_secrets": OP4_SQL,
 }
