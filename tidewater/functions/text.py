@@ -1,72 +1,51 @@
 """Column functions for page text: HTML to visible text, entity decoding, text cleaning.
 
-All of them are built-in Spark expressions (regexp_replace / split / higher-order
-functions), so they run inside whole-stage code generation without Python workers.
+Cleaning, trimming and sniffing are built-in expressions. Markup and character references go
+through vectorised functions over ``functions.markup``: neither a regular expression nor a
+short table of names can read every page.
 """
 
 from __future__ import annotations
 
+import html
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Part separator used while removing markup (a private-use character).
-SEP = "\ue000"
+from tidewater.functions.markup import visible_text
 
 # Python's str.isspace() set, spelled for Java regex (\s alone is ASCII-only in Java).
 WS_CLASS = r"[\t\n\x0B\f\r\x1c-\x1f\x85\p{Z}]"
 
-# Named character references decoded by ``decode_entities`` (name, text).
-# "&amp;" is always decoded last so "&amp;lt;" becomes "&lt;", not "<".
-NAMED_ENTITIES = [
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"),
-    ("&nbsp;", "\u00a0"), ("&copy;", "©"), ("&reg;", "®"), ("&trade;", "™"),
-    ("&middot;", "·"), ("&bull;", "•"), ("&hellip;", "…"), ("&mdash;", "—"),
-    ("&ndash;", "–"), ("&lsquo;", "‘"), ("&rsquo;", "’"), ("&ldquo;", "“"),
-    ("&rdquo;", "”"), ("&laquo;", "«"), ("&raquo;", "»"), ("&euro;", "€"),
-    ("&pound;", "£"), ("&yen;", "¥"), ("&cent;", "¢"), ("&sect;", "§"),
-    ("&deg;", "°"), ("&plusmn;", "±"), ("&times;", "×"), ("&divide;", "÷"),
-    ("&para;", "¶"),
-]
-
-# Markers that make the item pipeline treat content as HTML (first 500 chars).
+# Markers that make the item pipeline treat content as HTML (in its first characters).
 HTML_MARKERS = ["<html", "<!doctype", "<div", "<p>", "<span"]
 
-_NUMERIC = r"&#(?:[0-9]+|[xX][0-9A-Fa-f]+);"
+# How much of a content is sniffed for markup.
+SNIFF_CHARS = 500
 
 
-def _decode_numeric(s: Column) -> Column:
-    codes = F.regexp_extract_all(s, F.lit(r"&#([0-9]+|[xX][0-9A-Fa-f]+);"), 1)
-    pieces = F.split(s, _NUMERIC)
-    chars = F.transform(codes, lambda c: F.decode(F.unhex(F.lpad(F.hex(
-        F.when(F.lower(c).startswith("x"), F.conv(F.substring(c, 2, 16), 16, 10)).otherwise(c)
-        .cast("bigint")), 8, "0")), "UTF-32"))
-    tail = F.array_join(F.zip_with(chars, F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(1))),
-                                   lambda a, b: F.concat(F.coalesce(a, F.lit("")), F.coalesce(b, F.lit("")))),
-                        "")
-    return F.when(s.contains("&#"), F.concat(F.element_at(pieces, 1), tail)).otherwise(s)
+# Every character Python's str.isspace() accepts (the same set as WS_CLASS), for trim().
+WS_CHARS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 
-def _entity_map() -> Column:
-    return F.create_map(*[x for name, text in NAMED_ENTITIES for x in (F.lit(name), F.lit(text))])
+@F.pandas_udf(T.StringType())
+def _decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    for texts in batches:
+        yield texts.map(html.unescape, na_action="ignore")
 
 
-# Every character Python's str.isspace() accepts (the same set as WS_CLASS), for trim().
-WS_CHARS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
+@F.pandas_udf(T.StringType())
+def _visible(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    for pages in batches:
+        yield pages.map(visible_text, na_action="ignore")
 
 
 def decode_entities(s: Column) -> Column:
-    """Decode numeric references and the named ones in ``NAMED_ENTITIES`` (then ``&amp;``).
-
-    One scan collects the distinct named references present; only those are replaced
-    (a map lookup each), so the cost does not grow with the size of the entity table.
-    """
-    out = _decode_numeric(s)
-    table = _entity_map()
-    names = F.array_distinct(F.regexp_extract_all(out, F.lit(r"(&[A-Za-z][A-Za-z0-9]*;)"), 1))
-    known = F.filter(names, lambda n: (n != "&amp;") & F.element_at(table, n).isNotNull())
-    out = F.when(out.contains("&"), F.aggregate(
-        known, out, lambda acc, n: F.replace(acc, n, F.element_at(table, n)))).otherwise(out)
-    return F.replace(out, F.lit("&amp;"), F.lit("&"))
+    """Decode character references as HTML5 does: all names, invalid numbers to U+FFFD."""
+    return _decoded(s)
 
 
 def strip_ws(s: Column) -> Column:
@@ -74,44 +53,15 @@ def strip_ws(s: Column) -> Column:
     return F.trim(s, F.lit(WS_CHARS))
 
 
-def markup_to_parts(html: Column) -> Column:
-    """Replace script/style/noscript blocks, comments, declarations and tags by ``SEP``."""
-    s = F.regexp_replace(html, r"(?is)<(script|style|noscript)\b[^>]*>.*?</\1\s*>", SEP)
-    s = F.regexp_replace(s, r"(?is)<(script|style)\b[^>]*>.*$", SEP)  # unterminated raw text
-    s = F.regexp_replace(s, r"(?s)<!--.*?(-->|$)", SEP)
-    s = F.regexp_replace(s, r"(?s)<[!?][^>]*>", SEP)
-    # tag with attributes; quoted values may contain '>' (unrolled loop: no nested backtracking)
-    return F.regexp_replace(s, r"</?[A-Za-z][^\s/>]*[^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*>", SEP)
-
-
-def finish_text(decoded: Column) -> Column:
-    """Markup-free, decoded text → runs stripped, empty runs dropped, joined by one space."""
-    s = F.regexp_replace(decoded, rf"{WS_CLASS}*(?:{SEP}{WS_CLASS}*)+", SEP)
-    s = F.trim(s, F.lit(WS_CHARS + SEP))
-    return F.replace(s, F.lit(SEP), F.lit(" "))
-
-
-def html_text(html: Column) -> Column:
-    """Visible text of HTML: every text run between markup, entity-decoded and stripped,
-    empty runs dropped, joined by one space; script/style/noscript content is skipped.
-
-    Same result as splitting on the markup and stripping every run, but done with regex
-    passes over the whole string (no per-run arrays). For whole columns prefer
-    ``with_html_text``, which keeps the stages in separate projections.
-    """
-    return finish_text(decode_entities(markup_to_parts(html)))
+def html_text(page: Column) -> Column:
+    """Visible text of HTML: every text run between markup, decoded and stripped, empty runs
+    dropped, joined by one space; script/style/noscript content is skipped."""
+    return _visible(page)
 
 
 def with_html_text(df: DataFrame, src: str, dst: str) -> DataFrame:
-    """``dst = html_text(src)`` computed in staged projections.
-
-    The decoder reads its input several times; as a separate projection the markup pass
-    is computed once per row (Catalyst does not inline a costly expression into several
-    uses), about twice as fast as the nested column expression.
-    """
-    m, d = f"_{dst}_markup", f"_{dst}_decoded"
-    staged = df.withColumn(m, markup_to_parts(F.col(src))).withColumn(d, decode_entities(F.col(m)))
-    return staged.withColumn(dst, finish_text(F.col(d))).drop(m, d)
+    """``dst = html_text(src)``."""
+    return df.withColumn(dst, html_text(F.col(src)))
 
 
 def clean_text(text: Column) -> Column:
@@ -125,9 +75,9 @@ def clean_text(text: Column) -> Column:
     return F.trim(s)
 
 
-def looks_like_html(content: Column) -> Column:
-    """Any of ``HTML_MARKERS`` within the first 500 characters (lower-cased)."""
-    head = F.lower(F.substring(content, 1, 500))
+def looks_like_html(content: Column, sniff_chars: int = SNIFF_CHARS) -> Column:
+    """Any of ``HTML_MARKERS`` within the first ``sniff_chars`` characters (lower-cased)."""
+    head = F.lower(F.substring(content, 1, sniff_chars))
     cond = F.lit(False)
     for m in HTML_MARKERS:
         cond = cond | head.contains(m)

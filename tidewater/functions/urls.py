@@ -24,29 +24,49 @@ def url_scheme(url: Column) -> Column:
     return F.lower(F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.\-]*):", 1))
 
 
+# Generic URI split: scheme, authority with slashes, path, query with mark, fragment with mark.
+_PARTS = r"^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(//[^/?#]*)?([^?#]*)(\?[^#]*)?(#.*)?$"
+
+
+def _part(url: Column, group: int) -> Column:
+    return F.regexp_extract(url, r"(?s)" + _PARTS, group)
+
+
+def remove_dot_segments(segments: Column) -> Column:
+    """Path segments without ``.`` and ``..``; the root is never left, at any depth."""
+    kept = F.aggregate(
+        segments, F.array().cast("array<string>"),
+        lambda done, s: F.when(s == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))))
+        .when(s == ".", done).otherwise(F.concat(done, F.array(s))))
+    ends_in_dots = F.element_at(segments, -1).isin(".", "..")
+    return F.when(ends_in_dots, F.concat(kept, F.array(F.lit("")))).otherwise(kept)
+
+
 def url_join(base: Column, href: Column) -> Column:
-    """``urljoin(base, href)`` for the common forms: absolute, ``//net``, ``/path``, ``?q``,
-    ``#f`` and relative paths (``./`` and ``../`` segments resolved)."""
-    scheme = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.\-]*):", 1)
-    origin = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)", 1)
-    no_frag = F.regexp_replace(base, r"#.*$", "")
-    no_query = F.regexp_replace(no_frag, r"\?.*$", "")
-    path = F.regexp_extract(no_query, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*(/.*)?$", 1)
-    base_dir = F.regexp_replace(path, r"[^/]*$", "")
-    rel = F.concat(F.when(base_dir == "", F.lit("/")).otherwise(base_dir), href)
-    # resolve dot segments: drop "/./", then collapse "seg/../" pairs (bounded passes)
-    resolved = F.regexp_replace(rel, r"/\./", "/")
-    for _ in range(4):
-        resolved = F.regexp_replace(resolved, r"/[^/]+/\.\./", "/")
-    resolved = F.regexp_replace(F.regexp_replace(resolved, r"^/\.\./", "/"), r"/\.$", "/")
+    """``urljoin(base, href)`` for web URLs: absolute, ``//net``, ``/path``, ``?q``, ``#f`` and
+    relative references. Dot segments are resolved in the path alone, without a depth limit;
+    query and fragment are left as they are."""
+    b_scheme, b_net = _part(base, 1), _part(base, 2)
+    b_path, b_query = _part(base, 3), _part(base, 4)
+    path, query, fragment = _part(href, 3), _part(href, 4), _part(href, 5)
+    tail = F.concat(F.when(query == "?", "").otherwise(query), F.when(fragment == "#", "").otherwise(fragment))
+    origin = F.concat(b_scheme, F.lit(":"), b_net)
+    folders = F.slice(F.split(b_path, "/"), 1, F.greatest(F.size(F.split(b_path, "/")) - 1, F.lit(0)))
+    joined = F.concat(folders, F.split(path, "/"))
+    n = F.size(joined)
+    # empty segments inside a merged path vanish; the first and the last keep their meaning
+    merged = F.filter(joined, lambda s, i: (s != "") | (i == 0) | (i == n - 1))
+    rooted = F.split(path, "/")
+    segments = remove_dot_segments(F.when(path.startswith("/"), rooted).otherwise(merged))
+    text = F.array_join(segments, "/")
+    resolved = F.when(text == "", F.lit("/")).when(text.startswith("/"), text).otherwise(F.concat(F.lit("/"), text))
     return (
-        F.when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), href)
-        .when(href.startswith("//"), F.concat(scheme, F.lit(":"), href))
-        .when(href.startswith("/"), F.concat(origin, href))
-        .when(href.startswith("?"), F.concat(no_query, href))
-        .when(href.startswith("#"), F.concat(no_frag, href))
-        .when(href == "", base)
-        .otherwise(F.concat(origin, resolved))
+        F.when(href == "", base)
+        .when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), href)
+        .when(href.startswith("//"), F.concat(b_scheme, F.lit(":"), href))
+        .when((path == "") & (query == ""), F.concat(origin, b_path, b_query, tail))
+        .when(path == "", F.concat(origin, b_path, tail))
+        .otherwise(F.concat(origin, resolved, tail))
     )
 
 

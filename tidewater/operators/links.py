@@ -1,9 +1,9 @@
 """Link graph: outgoing links per page and breadth-first crawl reach.
 
 The crawl is an iterative frontier expansion: frontier ⋈ edges, minus everything already
-visited (left anti join), one round per depth. The edge table is written once, bucketed by
-source; each round's frontier is written as a Parquet table in the shared checkpoint
-folder, so the plan stays small and a lost executor recomputes at most one round.
+visited (left anti join), one round per depth. The edge table is written once, and each
+round's frontier is written as a Parquet table in the shared checkpoint folder, so the plan
+stays small and a lost executor recomputes at most one round.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions import urls as U
 from tidewater.operators.pages import page_links
-from tidewater.session import bucketed_table, materialize
+from tidewater.session import materialize
 
 
 def link_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -30,39 +30,36 @@ def links_out(pages: DataFrame, key_col: str = "page_id") -> DataFrame:
 
 
 def crawl_frontier(edges: DataFrame, seeds: DataFrame, depth_limit: int = 3,
-                   max_pages: int | None = 1000, domains: Sequence[str] = (),
+                   max_pages: int | None = None, domains: Sequence[str] = (),
                    deny: str | None = None) -> DataFrame:
     """Breadth-first reach from ``seeds`` (column ``url``) over ``edges (src, dst)``.
 
     Every node is visited once at its smallest depth (``<= depth_limit``). Nodes outside
-    ``domains`` or matching ``deny`` are not visited. ``max_pages`` keeps the first pages in
-    (depth, url) order - the crawler's page cap, deterministic here.
+    ``domains`` or matching ``deny`` are not visited. With ``max_pages`` the walk stops once
+    that many pages are known, and the first in (depth, url) order are returned.
     """
     e = edges.select("src", "dst").distinct()
     if domains:
         e = e.filter(U.in_domains(F.col("dst"), domains))
     if deny:
         e = e.filter(~F.col("dst").rlike(deny))
-    # the edge set is joined on ``src`` every round: write it once, bucketed by ``src``, so a
-    # round shuffles only the (much smaller) frontier. De-duplication shuffles on
-    # (src, dst) with a map-side partial aggregate, so a source node with a third of all
-    # edges is still spread over many tasks (a repartition on ``src`` alone would not be).
-    spark = edges.sparkSession
-    buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    e = bucketed_table(e, ["src"], buckets, "crawl_edges")
+    # the edge set is written once; in a round both sides of the join are plain shuffles, so a
+    # source with a third of all edges is split by the adaptive skew join
+    e = materialize(e, "crawl_edges")
     # frontiers are written as shared Parquet tables: lineage is cut every round and the
     # planner knows their size (a small frontier is broadcast by the size threshold)
     visited = materialize(seeds.select("url").distinct().withColumn("depth", F.lit(0)), "crawl_frontier")
-    frontier = visited
+    frontier, known = visited, visited.count() if max_pages is not None else 0
     for d in range(1, depth_limit + 1):
+        if max_pages is not None and known >= max_pages:
+            break
         reached = (frontier.join(e, frontier.url == e.src).select(F.col("dst").alias("url")).distinct()
                    .join(visited.select("url"), "url", "left_anti")
                    .withColumn("depth", F.lit(d)))
         frontier = materialize(reached, "crawl_frontier")
-        if frontier.isEmpty():
+        found = frontier.count()
+        if not found:
             break
+        known += found
         visited = visited.unionByName(frontier)
-    out = visited
-    if max_pages is not None:
-        out = out.orderBy("depth", "url").limit(max_pages)
-    return out
+    return visited if max_pages is None else visited.orderBy("depth", "url").limit(max_pages)

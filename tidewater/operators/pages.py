@@ -1,141 +1,117 @@
 """Crawled pages: title, main content, wiki metadata, tags, crawl items and cleaning.
 
-Everything is a column expression over ``(url, html)`` rows, so a page table of any size is
-processed by a narrow, codegen'd projection: no shuffle, no Python worker.
+A page is read once, by one vectorised function over ``functions.markup`` that returns all the
+parts a job asks for; nothing is shuffled.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import re
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tidewater.functions import markup as M
 from tidewater.functions import text as TX
 from tidewater.functions import urls as U
 
-# Main-content selectors tried in document order (main, article, #content,
-# .wiki-content, .page-content); the id/class selectors are matched on div elements.
-MAIN_AREA = (
-    r"(?is)(<main\b[^>]*>.*?</main\s*>|<article\b[^>]*>.*?</article\s*>"
-    r"|<div\b[^>]*\bid\s*=\s*[\"']content[\"'][^>]*>.*?</div\s*>"
-    r"|<div\b[^>]*\bclass\s*=\s*[\"'](?:[^\"']*\s)?(?:wiki-content|page-content)(?:\s[^\"']*)?[\"'][^>]*>.*?</div\s*>)"
-)
-BODY = r"(?is)<body\b[^>]*>.*</body\s*>"
-
 
 def _nz(c: Column) -> Column:
     return F.when(c != "", c)
 
 
-def first_text(html: Column, tag: str) -> Column:
-    """First text run directly inside the first ``tag`` element ('' when none)."""
-    return F.regexp_extract(html, rf"(?is)<{tag}\b[^>]*>([^<]*)", 1)
+_HEAD = ("title string, wiki_page_id string, revision string, author string, category string, tags array<string>, "
+         "links array<string>")
+
+
+def _head_reader(deny: str):
+    @F.pandas_udf(_HEAD)
+    def read(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        pattern = re.compile(deny)
+        for pages, urls in batches:
+            rows = []
+            for page, url in zip(pages, urls, strict=True):
+                h = M.Head(page)
+                rows.append((h.title, *(h.field(f) for f in h.FIELDS), h.tags, h.links(url, pattern, U.FOLLOW_SCHEMES)))
+            yield pd.DataFrame(rows, columns=[f.split()[0] for f in _HEAD.split(", ")])
 
+    return read
 
-def page_title(html: Column) -> Column:
-    """``<title>`` text, else the first ``<h1>`` text; entity-decoded and stripped; NULL when
-    neither has text."""
-    t, h = first_text(html, "title"), first_text(html, "h1")
-    return (F.when(t != "", TX.strip_ws(TX.decode_entities(t)))
-            .when(h != "", TX.strip_ws(TX.decode_entities(h))))
 
+def page_head(page: Column, url: Column | None = None, deny: str = U.DENY_PATTERN) -> Column:
+    """struct(title, wiki_page_id, revision, author, category, tags, links) of a page."""
+    return _head_reader(deny)(page, url if url is not None else F.lit(None).cast("string"))
 
-def page_body(html: Column) -> Column:
-    """Outer HTML of the main content area if identifiable, else of ``<body>``."""
-    return F.coalesce(_nz(F.regexp_extract(html, MAIN_AREA, 1)), _nz(F.regexp_extract(html, BODY, 0)))
 
+def page_title(page: Column) -> Column:
+    """``<title>`` text, else the first ``<h1>`` text; decoded and stripped; NULL when neither has text."""
+    return page_head(page)["title"]
 
-def meta_content(html: Column, name: str) -> Column:
-    """``<meta name=NAME content=…>`` (either attribute order)."""
-    a = F.regexp_extract(
-        html, rf"(?is)<meta\b[^>]*\bname\s*=\s*[\"']{name}[\"'][^>]*\bcontent\s*=\s*[\"']([^\"']*)[\"']", 1)
-    b = F.regexp_extract(
-        html, rf"(?is)<meta\b[^>]*\bcontent\s*=\s*[\"']([^\"']*)[\"'][^>]*\bname\s*=\s*[\"']{name}[\"']", 1)
-    return _nz(TX.decode_entities(F.coalesce(_nz(a), b)))
 
+@F.pandas_udf(T.StringType())
+def _main_area(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    for pages in batches:
+        yield pages.map(M.main_area, na_action="ignore")
 
-def element_text(html: Column, attr: str, value: str) -> Column:
-    """Text of the first element whose ``id`` equals / ``class`` contains ``value``."""
-    if attr == "id":
-        sel = rf"\bid\s*=\s*[\"']{value}[\"']"
-    else:
-        sel = rf"\bclass\s*=\s*[\"'](?:[^\"']*\s)?{value}(?:\s[^\"']*)?[\"']"
-    return _nz(TX.decode_entities(F.regexp_extract(html, rf"(?is)<[a-z][a-z0-9]*\b[^>]*{sel}[^>]*>([^<]*)", 1)))
 
+def page_body(page: Column) -> Column:
+    """Source of the main content area if identifiable, else of the body; NULL for an empty page."""
+    return _main_area(page)
 
-def page_tags(html: Column) -> Column:
-    """Keywords meta content plus link texts inside ``.tags``: split on commas, trimmed,
-    empty pieces dropped, flattened."""
-    kw = F.regexp_extract_all(
-        html, F.lit(r"(?is)<meta\b[^>]*\bname\s*=\s*[\"']keywords[\"'][^>]*\bcontent\s*=\s*[\"']([^\"']*)[\"']"), 1)
-    block = F.regexp_extract(
-        html, r"(?is)<(?:div|ul|ol|span|p|section|nav)\b[^>]*\bclass\s*=\s*[\"'](?:[^\"']*\s)?tags(?:\s[^\"']*)?[\"'][^>]*>(.*?)</(?:div|ul|ol|span|p|section|nav)\s*>", 1)
-    links = F.regexp_extract_all(block, F.lit(r"(?is)<a\b[^>]*>([^<]*)</a\s*>"), 1)
-    raw = F.concat(kw, links)
-    return F.flatten(F.transform(raw, lambda r: F.filter(
-        F.transform(F.split(TX.decode_entities(r), ","), lambda t: TX.strip_ws(t)), lambda t: t != "")))
+
+def page_tags(page: Column) -> Column:
+    """Keywords meta content plus link texts inside ``.tags``: split on commas, trimmed."""
+    return page_head(page)["tags"]
 
 
 def page_metadata(pages: DataFrame, html_col: str = "html") -> DataFrame:
-    """Title plus wiki metadata: page id, revision, author, category (meta tag first)."""
-    h = F.col(html_col)
-    return pages.select(
-        *[c for c in pages.columns if c != html_col],
-        page_title(h).alias("title"),
-        F.coalesce(meta_content(h, "page-id"), element_text(h, "id", "page-id")).alias("wiki_page_id"),
-        F.coalesce(meta_content(h, "revision"), element_text(h, "class", "revision")).alias("revision"),
-        F.coalesce(meta_content(h, "author"), element_text(h, "class", "author")).alias("author"),
-        F.coalesce(meta_content(h, "category"), element_text(h, "class", "category")).alias("category"),
-        page_tags(h).alias("tags"),
-    )
+    """Title plus wiki metadata: page id, revision, author, category (meta element first), tags."""
+    rest = [c for c in pages.columns if c != html_col]
+    read = pages.select(*rest, page_head(F.col(html_col)).alias("_head"))
+    return read.select(*rest, *[F.col("_head")[c].alias(c) for c in
+                                ("title", "wiki_page_id", "revision", "author", "category", "tags")])
 
 
-def page_links(html: Column, base_url: Column, deny: str = U.DENY_PATTERN) -> Column:
+def page_links(page: Column, base_url: Column, deny: str = U.DENY_PATTERN) -> Column:
     """Absolute, unique (first occurrence order) link targets of ``<a>``/``<area>`` hrefs,
     without denied extensions or non-web schemes."""
-    hrefs = F.regexp_extract_all(
-        html, F.lit(r"(?is)<(?:a|area)\b[^>]*?\bhref\s*=\s*[\"']([^\"']*)[\"']"), 1)
-    absolute = F.transform(hrefs, lambda x: U.url_join(base_url, TX.strip_ws(TX.decode_entities(x))))
-    keep = F.filter(absolute, lambda u: U.url_scheme(u).isin(*U.FOLLOW_SCHEMES) & ~u.rlike(deny))
-    return F.array_distinct(keep)
+    return page_head(page, base_url, deny)["links"]
 
 
 def crawl_items(pages: DataFrame, depth: Column | int = 0, source: str = "wiki",
                 last_modified: Column | None = None) -> DataFrame:
     """Crawl log rows: what the spider yields per fetched page."""
-    h, url = F.col("html"), F.col("url")
-    links = page_links(h, url)
-    return pages.select(
-        "page_id", url.alias("url"), page_title(h).alias("title"), page_body(h).alias("content"),
+    read = pages.withColumns({"_head": page_head(F.col("html"), F.col("url")), "_content": page_body(F.col("html"))})
+    head = lambda c: F.col("_head")[c].alias(c)
+    return read.select(
+        "page_id", "url", head("title"), F.col("_content").alias("content"),
         F.lit(source).alias("source"), F.lit("text/html").alias("content_type"),
         (F.lit(depth) if isinstance(depth, int) else depth).cast("int").alias("depth"),
-        F.coalesce(meta_content(h, "page-id"), element_text(h, "id", "page-id")).alias("wiki_page_id"),
-        F.coalesce(meta_content(h, "revision"), element_text(h, "class", "revision")).alias("revision"),
-        F.coalesce(meta_content(h, "author"), element_text(h, "class", "author")).alias("author"),
-        F.coalesce(meta_content(h, "category"), element_text(h, "class", "category")).alias("category"),
-        page_tags(h).alias("tags"),
+        head("wiki_page_id"), head("revision"), head("author"), head("category"), head("tags"),
         (last_modified if last_modified is not None else F.lit(None).cast("string")).alias("last_modified"),
-        F.size(links).alias("links_out"),
+        F.size(F.col("_head")["links"]).alias("links_out"),
     )
 
 
 def clean_items(items: DataFrame, run_ts: dt.datetime | str) -> DataFrame:
     """Item pipeline: HTML content is stripped (sniffed in its first 500 chars) then cleaned;
     titles are always stripped and cleaned; a missing crawl timestamp gets ``run_ts``."""
-    content = F.col("content")
-    is_str = content.isNotNull() & (content != "")
+    content, title = F.col("content"), F.col("title")
+    is_str, has_title = content.isNotNull() & (content != ""), title.isNotNull() & (title != "")
     is_html = is_str & TX.looks_like_html(content)
-    # visible text only for rows that look like HTML, in staged projections
-    staged = TX.with_html_text(items.withColumn("_html", F.when(is_html, content)), "_html", "_text")
-    new_content = F.when(is_str, TX.clean_text(F.when(is_html, F.col("_text")).otherwise(content))) \
-        .otherwise(content)
-    title = F.col("title")
-    new_title = F.when(title.isNotNull() & (title != ""), TX.clean_text(TX.html_text(title))).otherwise(title)
+    # only what looks like HTML goes through the scanner
+    staged = items.withColumns({"_text": TX.html_text(F.when(is_html, content)),
+                                "_title": TX.html_text(F.when(has_title, title))})
+    new_content = F.when(is_str, TX.clean_text(F.when(is_html, F.col("_text")).otherwise(content))).otherwise(content)
+    new_title = F.when(has_title, TX.clean_text(F.col("_title"))).otherwise(title)
     ts = F.lit(run_ts if isinstance(run_ts, str) else run_ts.isoformat())
     stamp = (F.coalesce(_nz(F.col("crawl_timestamp")), ts) if "crawl_timestamp" in items.columns else ts)
     return staged.withColumns({"content": new_content, "title": new_title, "crawl_timestamp": stamp}) \
-        .drop("_html", "_text")
+        .drop("_text", "_title")
 
 
 def host_stats(requests: DataFrame, url_col: str = "url", status_col: str | None = None) -> DataFrame:
