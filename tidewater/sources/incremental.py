@@ -10,11 +10,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.session import path_exists
+from tidewater.session import materialize, path_exists
 
 EPOCH = dt.datetime(1970, 1, 1)
 MARK_SCHEMA = T.StructType([
@@ -55,23 +55,48 @@ def write_mark(spark: SparkSession, marks_path: str, name: str, mark: dt.datetim
         .coalesce(1).write.mode("append").parquet(marks_path)
 
 
-def incremental_extract(df: DataFrame, ts_col: str, mark: dt.datetime | str, limit: int = 100_000,
+def cap_boundary(times: DataFrame, limit: int) -> tuple[object, int] | None:
+    """The earliest time at which ``limit`` rows are reached, and the rows before it; None if
+    there are not that many. ``times`` has one column.
+
+    Rows are counted per distinct time (partial aggregates) and the counts sorted by range. Only
+    one number a range comes to the driver, and the running sum is taken in the single range
+    that holds the boundary.
+    """
+    (name,) = times.columns
+    counts = times.groupBy(name).agg(F.count(F.lit(1)).alias("n")).orderBy(name)
+    ranged = materialize(counts.withColumn("part", F.spark_partition_id()), "increment_counts")
+    before = 0
+    for r in ranged.groupBy("part").agg(F.sum("n").alias("n")).orderBy("part").collect():
+        if before + r["n"] >= limit:
+            running = F.sum("n").over(Window.orderBy(name))
+            hit = (ranged.filter(F.col("part") == r["part"]).select(name, "n", running.alias("upto"))
+                   .filter(F.col("upto") + before >= limit).orderBy(name).first())
+            return hit[name], before + hit["upto"] - hit["n"]
+        before += r["n"]
+    return None
+
+
+def incremental_extract(df: DataFrame, ts_col: str, mark: dt.datetime | str, limit: int | None = None,
                         exact: bool = False, tie_cols: Sequence[str] = ()) -> DataFrame:
-    """Rows with ``ts_col > mark`` in ascending time, capped at ``limit``.
+    """Rows with ``ts_col > mark``; with ``limit``, the earliest ones up to that many.
 
-    Default keeps every row that ties with the last timestamp under the cap (``rank() <= n``),
-    so advancing the mark to the max never skips rows. ``exact=True`` reproduces a plain
-    ``ORDER BY ts LIMIT n`` (ties broken by ``tie_cols``). NULL timestamps never qualify.
-    Both are distributed top-n (each task keeps its own n first), so only ``limit`` rows
-    ever meet in one place.
+    By default every row that ties with the last timestamp under the cap is kept
+    (``rank() <= n``), so advancing the mark to the max never skips rows. ``exact=True`` gives
+    the rows of a plain ``ORDER BY ts, tie_cols LIMIT n``. NULL timestamps never qualify. Rows
+    come in no particular order.
     """
     m = ts_literal(mark, df.schema[ts_col].dataType)
     cand = df.filter(F.col(ts_col) > m)
-    ordered = [F.col(ts_col).asc(), *[F.col(c).asc_nulls_last() for c in tie_cols]]
-    if exact:
-        return cand.orderBy(*ordered).limit(limit)
-    boundary = cand.select(ts_col).orderBy(F.col(ts_col).asc()).limit(limit).select(F.max(ts_col))
-    return cand.filter(F.col(ts_col) <= boundary.scalar())
+    found = cap_boundary(cand.select(ts_col), limit) if limit is not None else None
+    if found is None:
+        return cand
+    last, before = F.lit(found[0]).cast(df.schema[ts_col].dataType), found[1]
+    if not exact:
+        return cand.filter(F.col(ts_col) <= last)
+    # only the ties of one timestamp are ordered
+    ties = cand.filter(F.col(ts_col) == last).orderBy(*[F.col(c).asc_nulls_last() for c in tie_cols]).limit(limit - before)
+    return cand.filter(F.col(ts_col) < last).unionByName(ties)
 
 
 def advance_mark(increment: DataFrame, ts_col: str, mark: dt.datetime | str) -> DataFrame:
