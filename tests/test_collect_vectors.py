@@ -21,33 +21,35 @@ def envelopes(spark):
         (2, "ok", [], "3", None, None),                          # empty page with a token
         (3, "ok", [it("b"), it("c"), it("")], "4", None, None),  # b repeats
         (4, "failed", None, None, None, None),
-        (5, "ok", [it("z")], None, None, None),                  # unreachable after the failure
+        (5, "ok", [it("z")], None, None, None),                  # landed, so it counts
     ]
     return spark.createDataFrame(rows, f"page int, status string, data array<{ITEM}>, next_page string, "
                                        "next_cursor string, request_cursor string")
 
 
-def test_collect_all_follows_empty_page(spark):
+def test_collect_takes_every_landed_page(spark):
     out = CO.collect_pages(envelopes(spark)).orderBy("page", "pos").collect()
-    assert [(r.id, r.page) for r in out] == [("a", 1), ("b", 1), ("c", 3)]
+    assert [(r.id, r.page) for r in out] == [("a", 1), ("b", 1), ("c", 3), ("z", 5)]
+    assert CO.dropped_items(envelopes(spark)).first().dropped_no_id == 2
 
 
-def test_collect_batch_stops_at_empty_page(spark):
-    assert [r.id for r in CO.collect_batch(envelopes(spark), 10).collect()] == ["a", "b"]
-    assert [r.id for r in CO.collect_batch(envelopes(spark), 1).collect()] == ["a"]
+def test_order_and_repetition_of_landings_do_not_matter(spark):
+    env = envelopes(spark)
+    again = env.filter("page IN (5, 3)").unionByName(env.filter("page = 1")).unionByName(env).unionByName(env.filter("page = 3"))
+    assert sorted(CO.collect_pages(again).collect()) == sorted(CO.collect_pages(env).collect())
+    assert CO.dropped_items(again).first().dropped_no_id == 2
+    assert sorted(CO.landing_stats(again).collect()) == sorted(CO.landing_stats(env).collect())
 
 
-def test_stats(spark):
-    s = CO.collector_stats(envelopes(spark)).first()
-    assert (s.total_requests, s.successful_requests, s.failed_requests, s.total_items, s.dropped_no_id) == (4, 3, 1, 3, 2)
+def test_landing_stats(spark):
+    got = {r.status: (r.pages, r.empty_pages, r["items"]) for r in CO.landing_stats(envelopes(spark)).collect()}
+    assert got == {"ok": (4, 1, 7), "failed": (1, 1, 0)}
 
 
-def test_cursor_chain_equals_page_chain(spark):
-    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
-    env = CO.build_envelopes(ev)
-    a = sorted(CO.collect_pages(env).collect())
-    b = sorted(CO.collect_cursor(env).collect())
-    assert a == b and len(a) > 0
+def test_rows_grow_with_the_events(spark):
+    small, large = (CO.collect_pages(CO.build_envelopes(spark.read.parquet(f"/root/testdata/{sf}/events.parquet"))).count()
+                    for sf in ("sf0.001", "sf0.01"))
+    assert large > 5 * small
 
 
 def test_incremental_ties_and_exact(spark):
@@ -59,10 +61,28 @@ def test_incremental_ties_and_exact(spark):
     assert exact == [2, 3]
     three = sorted(r.id for r in I.incremental_extract(df, "ts", T(2024, 1, 1), limit=1).collect())
     assert three == [2, 3]  # both rows at the boundary timestamp
+    none = sorted(r.id for r in I.incremental_extract(df, "ts", T(2024, 1, 1)).collect())
+    assert none == [2, 3, 4]  # no cap unless one is given
+    one = [r.id for r in I.incremental_extract(df, "ts", T(2024, 1, 1), limit=1, exact=True, tie_cols=["id"]).collect()]
+    assert one == [2]
     m = I.advance_mark(df.limit(0), "ts", T(2024, 1, 1)).first()
     assert m.rows_extracted == 0 and m.new_mark == T(2024, 1, 1)
 
 
+def test_boundary_across_ranges(spark):
+    """The cap is found whichever range of times it falls into."""
+    df = spark.range(3000).select(F.col("id"), (F.lit(T(2024, 1, 1)) + F.make_dt_interval(F.lit(0), F.lit(0), (F.col("id") / 3).cast("int"))).alias("ts"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for cap in (1, 2, 3, 4, 1000, 2997, 2999, 5000):
+            kept = I.incremental_extract(df, "ts", T(2023, 1, 1), limit=cap).count()
+            assert kept == min(3000, -(-cap // 3) * 3)
+            exact = sorted(r.id for r in I.incremental_extract(df, "ts", T(2023, 1, 1), limit=cap, exact=True, tie_cols=["id"]).collect())
+            assert exact == list(range(min(cap, 3000)))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_marks_roundtrip(spark, tmp_dir):
     assert I.read_mark(spark, tmp_dir + "/none", "orders") == I.EPOCH
     I.write_mark(spark, tmp_dir + "/marks", "orders", "garbage")
@@ -98,7 +118,7 @@ def test_topk_matches_brute_force(spark):
     cf = {r.id: np.array(r.embedding, dtype=np.float64) for r in cs.collect()}
     qf = {r.query_id: np.array(r.embedding, dtype=np.float64) for r in qs.collect()}
     got = VE.vector_topk_batch(qs, cs, "query_id", "id", top_k=4, min_score=0.3,
-                               chunk_block_rows=64, query_block_rows=16)
+                               chunk_block_rows=64, query_block_rows=16, broadcast_bytes=0)
     res = {}
     for r in got.orderBy("query_id", "rank").collect():
         res.setdefault(r.query_id, []).append(r.id)
@@ -172,14 +192,28 @@ def test_order_id_fallback(spark):
     assert [(r.id, r.amount) for r in out] == [("o-1", 5.0), ("o-2", 6.0)]
 
 
-def test_pluggable_token_and_items(spark):
+def test_pluggable_items(spark):
     rows = [(1, "ok", '{"items":[{"id":"a"}],"meta":{"next":"2"}}'), (2, "ok", '{"items":[{"id":"b"}],"meta":{}}'),
             (3, "ok", '{"items":[{"id":"c"}]}')]
     env = spark.createDataFrame(rows, "page int, status string, body string")
     items = F.from_json(F.get_json_object("body", "$.items"), "array<struct<id:string>>")
-    out = CO.collect_pages(env, next_token=F.get_json_object("body", "$.meta.next"), items=items)
-    assert sorted(r.id for r in out.collect()) == ["a", "b"]
-    assert [r.id for r in CO.collect_stream_batch(envelopes(spark)).orderBy("page", "pos").collect()] == ["a", "b"]
+    assert sorted(r.id for r in CO.collect_pages(env, items=items).collect()) == ["a", "b", "c"]
+
+
+def test_broadcast_and_block_search_agree(spark):
+    rng = np.random.default_rng(5)
+    cs = spark.createDataFrame([(i, [float(x) for x in rng.normal(size=6)]) for i in range(200)], "id long, embedding array<double>")
+    qs = spark.createDataFrame([(i, [float(x) for x in rng.normal(size=6)]) for i in range(30)], "query_id long, embedding array<double>")
+    near = lambda bound: sorted(VE.vector_topk_batch(qs, cs, "query_id", "id", top_k=3, min_score=-1.0, chunk_block_rows=50,
+                                                     query_block_rows=10, broadcast_bytes=bound).collect())
+    assert near(0) == near(1 << 20) and len(near(0)) == 90
+
+
+def test_rejected_chunks_are_told(spark):
+    df = spark.createDataFrame([(1, [1.0, 2.0]), (2, None), (3, [1.0])], "id int, embedding array<double>")
+    good, bad = VE.check_dims(df, 2)
+    assert [r.id for r in good.collect()] == [1]
+    assert sorted((r.id, r.reason) for r in bad.collect()) == [(2, "no vector"), (3, "wrong width")]
 
 
 def test_topk_blocks_meet_across_many_partitions(spark):
@@ -195,7 +229,7 @@ def test_topk_blocks_meet_across_many_partitions(spark):
     spark.conf.set("spark.sql.shuffle.partitions", "37")
     try:
         got = VE.vector_topk_batch(qs, cs, "query_id", "id", top_k=3, min_score=-1.0,
-                                   chunk_block_rows=50, query_block_rows=10)
+                                   chunk_block_rows=50, query_block_rows=10, broadcast_bytes=0)
         res = {}
         for r in got.orderBy("query_id", "rank").collect():
             res.setdefault(r.query_id, []).append(r.id)

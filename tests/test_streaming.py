@@ -15,12 +15,12 @@ def test_stream_upsert_equals_batch_and_is_idempotent(spark, tmp_dir):
     landing = tmp_dir + "/landing"
     ev.repartition(4, F.to_date("ts")).write.parquet(landing)
     out = J.stream_upsert(spark, landing, ev.schema, tmp_dir + "/target", tmp_dir + "/ckpt",
-                          ["user_id"], "ts", ["event_id"], buckets=4)
+                          ["user_id"], "ts", ["event_id"])
     batch = D.dedup_lww(ev, "user_id", "ts", ["event_id"])
     assert sorted(out.collect()) == sorted(batch.collect())
     # same checkpoint, no new files: nothing changes
     again = J.stream_upsert(spark, landing, ev.schema, tmp_dir + "/target", tmp_dir + "/ckpt",
-                            ["user_id"], "ts", ["event_id"], buckets=4)
+                            ["user_id"], "ts", ["event_id"])
     assert sorted(again.collect()) == sorted(batch.collect())
 
 
@@ -44,13 +44,39 @@ def test_stream_collect_equals_batch_items(spark, tmp_dir):
     assert sorted(got.collect()) == sorted(items.collect())
 
 
-def test_chain_stream_stops_at_empty_page(spark, tmp_dir):
+def test_replayed_epoch_and_folded_log(spark, tmp_dir):
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    log, how = tmp_dir + "/log", (["user_id"], "ts", ["event_id"])
+    for epoch, part in enumerate((ev.filter("event_id % 3 = 0"), ev.filter("event_id % 3 = 1"), ev.filter("event_id % 3 = 2"))):
+        J.append_epoch(part, epoch, log, *how)
+        J.append_epoch(part, epoch, log, *how)  # the same epoch again
+    want = sorted(D.dedup_lww(ev, "user_id", "ts", ["event_id"]).collect())
+    assert sorted(J.read_upserted(spark, log, ev.schema, *how).collect()) == want
+    folded = J.fold_log(spark, log, tmp_dir + "/folded", ev.schema, *how)
+    assert spark.read.parquet(folded).count() == len(want)
+    assert sorted(J.read_upserted(spark, folded, ev.schema, *how).collect()) == want
+
+
+def test_out_of_order_and_repeated_landings(spark, tmp_dir):
     from tests.test_collect_vectors import envelopes
 
-    env = envelopes(spark)   # page 1 ok, page 2 empty (with token), 3 ok, 4 failed, 5 ok
+    env = envelopes(spark)
+    landing = tmp_dir + "/env"
+    for pages in ([3, 5], [1, 2], [3], [4, 1]):
+        env.filter(F.col("page").isin(pages)).coalesce(1).write.mode("append").options(**TEXT_OPTIONS).json(landing)
+    got = J.stream_collect(spark, landing, tmp_dir + "/items", tmp_dir + "/ckpt")
+    assert sorted(r.id for r in got.collect()) == ["a", "b", "c", "z"]
+    assert J.late_items(spark, landing, got).count() == 0
+
+
+def test_late_rows_are_found(spark, tmp_dir):
+    from tests.test_collect_vectors import ITEM
+
+    import datetime as dt
     landing = tmp_dir + "/env"
-    for p in range(1, 6):    # one landing per page, in fetch order
-        env.filter(F.col("page") == p).coalesce(1).write.mode("append").options(**TEXT_OPTIONS).json(landing)
-    got = J.stream_collect_chain(spark, landing, tmp_dir + "/items", tmp_dir + "/ckpt")
-    assert [r.id for r in got.orderBy("page", "pos").collect()] == ["a", "b"]
-    assert sorted(got.collect()) == sorted(CO.collect_stream_batch(env).collect())
+    for page, (i, day) in enumerate([("new", 20), ("newer", 21), ("old", 1)]):
+        row = (page, "ok", [(i, 1, "x", 1.0, dt.datetime(2024, 1, day))], None, None, None)
+        (spark.createDataFrame([row], f"page int, status string, data array<{ITEM}>, next_page string, next_cursor string, request_cursor string")
+         .coalesce(1).write.mode("append").options(**TEXT_OPTIONS).json(landing))
+    got = J.stream_collect(spark, landing, tmp_dir + "/items", tmp_dir + "/ckpt", watermark="1 day")
+    assert sorted([r.id for r in got.collect()] + [r.id for r in J.late_items(spark, landing, got).collect()]) == ["new", "newer", "old"]

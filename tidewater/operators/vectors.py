@@ -1,11 +1,11 @@
 """Vector retrieval: exact cosine top-k, IVF lists via k-means, document chunks.
 
-Exact search never materialises query × chunk pairs as rows and never cross joins. Both
-sides are cut into blocks; a (chunk block, query block) key co-groups one block of each,
-and an Arrow-batched pandas function scores the block with one matrix product, keeping
-only each query's local top-k above the floor. A final ``row_number() <= k`` per query
-merges at most ``k × chunk blocks`` candidates. Shuffle volume is
-``chunks × query_blocks + queries × chunk_blocks`` vectors; memory per task is one block pair.
+Exact search never materialises query × chunk pairs as rows and never cross joins. A query set
+below a byte bound is broadcast: the chunks are scanned where they lie, each task keeps every
+query's local top-k, and nothing but those candidates moves. A larger set is cut into blocks,
+and (chunk block, query block) keys co-group one block of each. Either way blocks are scored by
+matrix products in an Arrow-batched function, and ``row_number() <= k`` merges the candidates.
+For large query sets over large tables use the IVF lists, which score only what they probe.
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewater.session import materialize
+
 # Retrieval defaults (top-k, score floor, IVF lists, embedding width).
 DEFAULT_TOP_K = 5
 DEFAULT_MIN_SCORE = 0.65
@@ -27,6 +29,8 @@ DEFAULT_DIM = 768
 
 CHUNK_BLOCK_ROWS = 8192
 QUERY_BLOCK_ROWS = 1024
+# Upper bound of the vectors (8 bytes a component) of a query set that is broadcast.
+QUERY_BROADCAST_BYTES = 32 * 1024 * 1024
 
 
 def cosine(a: Column, b: Column) -> Column:
@@ -83,7 +87,8 @@ def vector_topk_batch(queries: DataFrame, chunks: DataFrame, query_id: str = "qu
                       top_k: int | str | None = None, min_score: float | None = None,
                       tie_cols: Sequence[str] | None = None,
                       chunk_block_rows: int = CHUNK_BLOCK_ROWS,
-                      query_block_rows: int = QUERY_BLOCK_ROWS) -> DataFrame:
+                      query_block_rows: int = QUERY_BLOCK_ROWS,
+                      broadcast_bytes: int = QUERY_BROADCAST_BYTES) -> DataFrame:
     """Exact cosine top-k for many queries: (query_id, chunk_id, rank, score).
 
     ``top_k`` is an int or the name of a per-query column; 0/NULL means the default (5).
@@ -97,22 +102,41 @@ def vector_topk_batch(queries: DataFrame, chunks: DataFrame, query_id: str = "qu
     else:
         kcol = F.lit(top_k if top_k and top_k > 0 else k_default)
     k_eff = F.when(kcol > 0, kcol).otherwise(F.lit(k_default)).cast("int")
-    qb = _blocks(queries.count(), query_block_rows)
-    cb = _blocks(chunks.count(), chunk_block_rows)
+    tie = tie_cols or [chunk_id]
+    # a constant k needs no per-query lookup (no extra join)
+    ks = queries.select(query_id, k_eff.alias("_k")) if isinstance(top_k, str) else k_eff
+    schema = T.StructType([queries.schema[query_id], chunks.schema[chunk_id],
+                           T.StructField("score", T.DoubleType())])
+    score = _score_fn(query_id, chunk_id, k_default, min_score)
+    q = queries.select(F.col(query_id), F.col(q_emb).alias("_emb"), k_eff.alias("_k"))
+    c = chunks.select(F.col(chunk_id), F.col(c_emb).alias("_emb"))
+    size = q.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size("_emb")), F.lit(0)).alias("parts")).first()
+    if 8 * size["parts"] <= broadcast_bytes:
+        cand = _scan_chunks(q, c, score, schema)
+        return topk_merge(cand, ks, query_id, chunk_id, tie)
+    qb = _blocks(size["n"], query_block_rows)
+    cb = _blocks(c.count(), chunk_block_rows)
     # block keys must have the same type on both sides (int): the co-group hashes them
-    q = queries.select(F.col(query_id), F.col(q_emb).alias("_emb"), k_eff.alias("_k"),
-                       F.pmod(F.xxhash64(F.col(query_id)), F.lit(qb)).cast("int").alias("_qb"))
+    q = q.withColumn("_qb", F.pmod(F.xxhash64(F.col(query_id)), F.lit(qb)).cast("int"))
     q = q.withColumn("_cb", F.explode(F.sequence(F.lit(0), F.lit(cb - 1))))  # int elements
-    c = chunks.select(F.col(chunk_id), F.col(c_emb).alias("_emb"),
-                      F.pmod(F.xxhash64(F.col(chunk_id)), F.lit(cb)).cast("int").alias("_cb"))
+    c = c.withColumn("_cb", F.pmod(F.xxhash64(F.col(chunk_id)), F.lit(cb)).cast("int"))
     c = c.withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(qb - 1))))
-    schema = T.StructType([queries.schema[query_id], chunks.schema[chunk_id],
-                           T.StructField("score", T.DoubleType())])
     cand = (q.groupBy("_cb", "_qb").cogroup(c.groupBy("_cb", "_qb"))
-            .applyInPandas(_score_fn(query_id, chunk_id, k_default, min_score), schema))
-    # a constant k needs no per-query lookup (no extra join)
-    ks = queries.select(query_id, k_eff.alias("_k")) if isinstance(top_k, str) else k_eff
-    return topk_merge(cand, ks, query_id, chunk_id, tie_cols or [chunk_id])
+            .applyInPandas(score, schema))
+    return topk_merge(cand, ks, query_id, chunk_id, tie)
+
+
+def _scan_chunks(q: DataFrame, c: DataFrame, score, schema: T.StructType) -> DataFrame:
+    """Candidates of a broadcast query set (checked size): one narrow pass over the chunks."""
+    shared = q.sparkSession.sparkContext.broadcast(q.toPandas())
+
+    def scan(batches):
+        for batch in batches:
+            found = score(None, shared.value, batch)
+            if len(found):
+                yield found
+
+    return c.mapInPandas(scan, schema)
 
 
 def topk_merge(cand: DataFrame, ks: DataFrame | Column, query_id: str, chunk_id: str,
@@ -147,17 +171,27 @@ def centroids(df: DataFrame, group_col: str, emb_col: str = "embedding") -> Data
         F.transform(F.array_sort(F.collect_list(F.struct("pos", "v"))), lambda s: s["v"]).alias(emb_col))
 
 
+# Rows that the IVF centroids are fitted on at most; every row is assigned to a list.
+IVF_FIT_ROWS = 20_000
+
+
 def ivf_index(chunks: DataFrame, chunk_id: str = "id", c_emb: str = "embedding",
-              lists: int = DEFAULT_LISTS, seed: int = 42, max_iter: int = 20):
+              lists: int = DEFAULT_LISTS, seed: int = 42, max_iter: int = 20, fit_rows: int = IVF_FIT_ROWS):
     """IVF lists: k-means (cosine) over the chunk vectors. Returns (chunks with ``list_id``,
-    centroid frame ``(list_id, embedding)``)."""
+    centroid frame ``(list_id, embedding)``).
+
+    The centroids are fitted on at most ``fit_rows`` vectors, chosen by a hash of the id and
+    written once, so the passes of k-means do not repeat the plan above them.
+    """
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
     vec = chunks.withColumn("_features", array_to_vector(F.col(c_emb).cast("array<double>")))
     km = KMeans(k=lists, seed=seed, maxIter=max_iter, featuresCol="_features",
                 predictionCol="list_id", distanceMeasure="cosine")
-    model = km.fit(vec)
+    sample = chunks.orderBy(F.xxhash64(F.col(chunk_id)), chunk_id).limit(fit_rows).select(c_emb)
+    fit = materialize(sample, "ivf_sample").select(array_to_vector(F.col(c_emb).cast("array<double>")).alias("_features"))
+    model = km.fit(fit)
     assigned = model.transform(vec).drop("_features")
     spark = chunks.sparkSession
     # lists × dim numbers: bounded by the index parameters, not by the data
@@ -181,6 +215,8 @@ def vector_topk_ivf(queries: DataFrame, assigned: DataFrame, cents: DataFrame,
                               top_k=probes, min_score=-1.0)
     sizes = assigned.groupBy("list_id").agg(
         F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / F.lit(list_block_rows))).cast("int").alias("_nsub"))
+    # one row a list: bounded by the index's ``lists``
+    sizes = F.broadcast(sizes)
     c = assigned.join(sizes, "list_id").select(
         F.col(chunk_id), F.col(c_emb).alias("_emb"), "list_id",
         F.pmod(F.xxhash64(F.col(chunk_id)), F.col("_nsub")).cast("int").alias("_sub"))
@@ -218,6 +254,8 @@ def chunk_id(document_id: Column, chunk_index: Column) -> Column:
 
 
 def check_dims(chunks: DataFrame, dim: int, emb_col: str = "embedding"):
-    """Split rows into (valid, rejected) by embedding width (``vector(dim)`` rejects others)."""
-    ok = F.coalesce(F.size(emb_col) == dim, F.lit(False))
-    return chunks.filter(ok), chunks.filter(~ok)
+    """Split rows into (valid, rejected) by embedding width (``vector(dim)`` rejects others).
+    Rejected rows carry a ``reason``: no vector, or a wrong width."""
+    ok = F.coalesce(F.size(emb_col) == dim, F.lit(False)) & F.col(emb_col).isNotNull()
+    reason = F.when(F.col(emb_col).isNull(), "no vector").otherwise("wrong width")
+    return chunks.filter(ok), chunks.filter(~ok).withColumn("reason", reason)

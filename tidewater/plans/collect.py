@@ -1,5 +1,5 @@
-"""Collector queries over envelopes built from ``events`` (100 items per page, 5 repeated,
-page 5 empty, page 7 failed, items with value < 1 lack an id)."""
+"""Collector queries over envelopes built from ``events`` (100 items per page, 5 repeated; of
+every 50 pages one is empty and one failed; items with value < 1 lack an id)."""
 
 from __future__ import annotations
 
@@ -7,8 +7,6 @@ from tidewater.plans.registry import query
 from tidewater.sources import collector as CO
 from tidewater.tables import table
 
-BATCH_SIZE = 250
-
 ENV_SQL = """
 ev AS (SELECT event_id, CAST(floor(event_id / 100) AS INTEGER) + 1 AS page0,
               CASE WHEN value < 1.0 THEN NULL ELSE CAST(event_id AS VARCHAR) END AS id,
@@ -17,80 +15,30 @@ copies AS (SELECT page0 AS page, * EXCLUDE (page0) FROM ev
            UNION ALL SELECT page0 + 1 AS page, * EXCLUDE (page0) FROM ev WHERE event_id % 100 >= 95),
 items AS (SELECT *, CAST(row_number() OVER (PARTITION BY page ORDER BY event_id) - 1 AS INTEGER) AS pos
           FROM copies),
-pages AS (SELECT DISTINCT page FROM copies),
-lastp AS (SELECT max(page) AS last_page FROM pages),
-env AS (SELECT page, CASE WHEN page = 7 THEN 'failed' ELSE 'ok' END AS status,
-               CASE WHEN page < last_page AND page <> 7 THEN CAST(page + 1 AS VARCHAR) END AS next_page,
-               CASE WHEN page < last_page AND page <> 7 THEN md5('c' || CAST(page + 1 AS VARCHAR)) END
-                 AS next_cursor,
-               CASE WHEN page > 1 THEN md5('c' || CAST(page AS VARCHAR)) END AS request_cursor,
-               page = 5 AS is_empty
-        FROM pages, lastp),
-landed AS (SELECT * FROM items WHERE page NOT IN (5, 7))"""
-
-_FIRST_SEEN = """SELECT id, page, pos, user_id, event_type, value, ts FROM (
-  SELECT *, row_number() OVER (PARTITION BY id ORDER BY page, pos) AS rn FROM landed
-  WHERE id IS NOT NULL AND id <> '' AND page IN (SELECT page FROM reach)) WHERE rn = 1"""
-
-COLLECT_ALL_SQL = f"""WITH {ENV_SQL},
-reach AS (SELECT page FROM env WHERE status = 'ok' AND page <= (
-            SELECT min(page) FROM env WHERE status <> 'ok' OR next_page IS NULL))
-{_FIRST_SEEN}"""
+landed AS (SELECT * FROM items WHERE page % 50 NOT IN (5, 7))"""
 
 
 def envelopes(spark, sf_dir):
     return CO.build_envelopes(table(spark, sf_dir, "events"))
 
 
-@query("collect_pages", COLLECT_ALL_SQL)
+@query("collect_pages", f"""WITH {ENV_SQL}
+SELECT id, page, pos, user_id, event_type, value, ts FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY page, pos) AS rn FROM landed
+  WHERE id IS NOT NULL AND id <> '') WHERE rn = 1""")
 def q_collect_pages(spark, sf_dir):
     return CO.collect_pages(envelopes(spark, sf_dir))
 
 
-@query("collect_cursor", f"""WITH RECURSIVE {ENV_SQL},
-walk AS (SELECT page, status, next_cursor, 0 AS depth FROM env WHERE request_cursor IS NULL
-         UNION ALL
-         SELECT e.page, e.status, e.next_cursor, w.depth + 1 FROM walk w
-         JOIN env e ON e.request_cursor = w.next_cursor WHERE w.status = 'ok'),
-reach AS (SELECT page FROM walk WHERE status = 'ok')
-{_FIRST_SEEN}""")
-def q_collect_cursor(spark, sf_dir):
-    return CO.collect_cursor(envelopes(spark, sf_dir))
-
-
-@query("collect_batch", f"""WITH {ENV_SQL},
-reach AS (SELECT page FROM env WHERE status = 'ok' AND NOT is_empty AND page <= (
-            SELECT min(page) FROM env WHERE status <> 'ok' OR next_page IS NULL OR is_empty))
-SELECT * FROM ({_FIRST_SEEN}) ORDER BY page, pos LIMIT {BATCH_SIZE}""")
-def q_collect_batch(spark, sf_dir):
-    return CO.collect_batch(envelopes(spark, sf_dir), BATCH_SIZE)
-
-
-@query("collector_stats", f"""WITH {ENV_SQL},
-stop AS (SELECT min(page) AS p FROM env WHERE status <> 'ok' OR next_page IS NULL),
-reach AS (SELECT page FROM env WHERE status = 'ok' AND page <= (SELECT p FROM stop))
-SELECT (SELECT count(*) FROM env WHERE page <= (SELECT p FROM stop)) AS total_requests,
-       (SELECT count(*) FROM env WHERE page <= (SELECT p FROM stop) AND status = 'ok') AS successful_requests,
-       (SELECT count(*) FROM env WHERE page <= (SELECT p FROM stop) AND status <> 'ok') AS failed_requests,
-       (SELECT count(*) FROM ({_FIRST_SEEN})) AS total_items,
-       (SELECT count(*) FROM landed WHERE page IN (SELECT page FROM reach) AND id IS NULL) AS dropped_no_id""")
-def q_collector_stats(spark, sf_dir):
-    return CO.collector_stats(envelopes(spark, sf_dir))
-
-
-@query("collect_dropped", f"""WITH {ENV_SQL},
-reach AS (SELECT page FROM env WHERE status = 'ok' AND page <= (
-            SELECT min(page) FROM env WHERE status <> 'ok' OR next_page IS NULL))
-SELECT count(*) AS dropped_no_id FROM landed WHERE page IN (SELECT page FROM reach) AND (id IS NULL OR id = '')""")
+@query("collect_dropped", f"WITH {ENV_SQL} SELECT count(*) AS dropped_no_id FROM landed WHERE id IS NULL OR id = ''")
 def q_collect_dropped(spark, sf_dir):
-    """Items silently dropped for lack of an id (counted instead of lost)."""
+    """Items dropped for lack of an id (counted instead of lost)."""
     return CO.dropped_items(envelopes(spark, sf_dir))
 
 
-@query("collect_stream_batch", f"""WITH {ENV_SQL},
-reach AS (SELECT page FROM env WHERE status = 'ok' AND NOT is_empty AND page <= (
-            SELECT min(page) FROM env WHERE status <> 'ok' OR next_page IS NULL OR is_empty))
-{_FIRST_SEEN}""")
-def q_collect_stream_batch(spark, sf_dir):
-    """Batch twin of the item stream: first-seen items until a failed/empty page or no token."""
-    return CO.collect_stream_batch(envelopes(spark, sf_dir))
+@query("landing_stats", f"""WITH {ENV_SQL},
+p AS (SELECT page, CASE WHEN page % 50 = 7 THEN 'failed' ELSE 'ok' END AS status,
+             CASE WHEN page % 50 IN (5, 7) THEN 0 ELSE count(*) END AS n FROM copies GROUP BY page)
+SELECT status, count(*) AS pages, count_if(n = 0) AS empty_pages, CAST(sum(n) AS BIGINT) AS items FROM p GROUP BY status""")
+def q_landing_stats(spark, sf_dir):
+    return CO.landing_stats(envelopes(spark, sf_dir))

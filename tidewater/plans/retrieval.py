@@ -1,8 +1,9 @@
 """Vector search, chunk store and RAG assembly queries.
 
-Chunk store: ``documents`` cut into 1000-character chunks (100 overlap), each carrying the
-vector of ``embeddings`` with ``vec_id = doc_id``. Questions: user turns of
-``conversations`` with the vector ``vec_id = conv_id``.
+Chunk store: ``documents`` cut into 1000-character chunks (100 overlap), each with a vector of
+its own from ``embeddings``: number (7 × doc_id + 13 × chunk) modulo 1.1 × the table's rows, so
+about one chunk in eleven has none and is rejected. Questions: user turns of ``conversations``
+with the vector ``vec_id = conv_id``. The store is written once per query and read from there.
 """
 
 from __future__ import annotations
@@ -14,7 +15,8 @@ from tidewater.operators import rag as R
 from tidewater.operators import vectors as VE
 from tidewater.plans.pages import sql_strip
 from tidewater.plans.registry import query
-from tidewater.session import shared_dir
+from tidewater.session import materialize, shared_dir
+from tidewater.sources.sinks import append_rows
 from tidewater.tables import table
 
 CHUNK_SIZE, CHUNK_OVERLAP = 1000, 100
@@ -23,7 +25,7 @@ BATCH_MIN_SCORE = 0.2
 DIM = 64
 
 CHUNKS_SQL = f"""
-chunks AS (
+all_chunks AS (
   SELECT sha256(CAST(d.doc_id AS VARCHAR) || ':' || CAST(d.i AS VARCHAR)) AS id,
          CAST(d.doc_id AS VARCHAR) AS document_id, CAST(d.i AS INTEGER) AS chunk_index,
          substr(d.text, CAST(d.i * {CHUNK_SIZE - CHUNK_OVERLAP} + 1 AS BIGINT), {CHUNK_SIZE}) AS content,
@@ -31,7 +33,9 @@ chunks AS (
   FROM (SELECT doc_id, text, unnest(range(CAST(greatest(1, ceil((length(text) - {CHUNK_OVERLAP})
                / {float(CHUNK_SIZE - CHUNK_OVERLAP)})) AS BIGINT))) AS i
         FROM documents WHERE length(text) > 0) d
-  JOIN embeddings e ON e.vec_id = d.doc_id)"""
+  LEFT JOIN embeddings e ON e.vec_id = (7 * d.doc_id + 13 * d.i)
+            % (SELECT CAST(floor(count(*) * 1.1) AS BIGINT) FROM embeddings)),
+chunks AS (SELECT * FROM all_chunks WHERE len(embedding) = {DIM})"""
 
 QUESTIONS_SQL = """
 q AS (SELECT CAST(c.conv_id AS VARCHAR) || ':' || CAST(c.turn AS VARCHAR) AS query_id, c.text AS question,
@@ -52,17 +56,24 @@ RESULTS_SQL = f"""WITH {CHUNKS_SQL}, {QUESTIONS_SQL},
 results AS ({topk_sql('q', 'chunks', 'query_id', 'id', VE.DEFAULT_TOP_K, VE.DEFAULT_MIN_SCORE)})"""
 
 
-def chunk_store(spark, sf_dir):
+def all_chunks(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    ch = VE.chunk_documents(docs, "text", CHUNK_SIZE, CHUNK_OVERLAP)
-    emb = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
-    return ch.join(emb, "doc_id").select(
+    emb = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    numbers = emb.select(F.floor(F.count(F.lit(1)) * 1.1).cast("bigint")).scalar()
+    ch = VE.chunk_documents(docs, "text", CHUNK_SIZE, CHUNK_OVERLAP).withColumn(
+        "vec_id", F.pmod(F.col("doc_id") * 7 + F.col("chunk_index") * 13, numbers))
+    return ch.join(emb, "vec_id", "left").select(
         VE.chunk_id(F.col("doc_id"), F.col("chunk_index")).alias("id"),
         F.col("doc_id").cast("string").alias("document_id"), "chunk_index", "content",
         F.create_map(F.lit("lang"), F.col("lang"), F.lit("source"), F.col("source")).alias("metadata"),
         "embedding", F.lit(CREATED_AT).cast("timestamp").alias("created_at"))
 
 
+def chunk_store(spark, sf_dir):
+    """The valid chunks, written once and read back."""
+    return materialize(VE.check_dims(all_chunks(spark, sf_dir), DIM)[0], "chunk_store")
+
+
 def questions(spark, sf_dir):
     conv = table(spark, sf_dir, "conversations").filter(F.col("role") == "user")
     emb = table(spark, sf_dir, "embeddings")
@@ -72,9 +83,9 @@ def questions(spark, sf_dir):
 
 
 def retrieve(spark, sf_dir):
-    """(query_id, chunk_id, rank, score): default k and floor."""
-    return VE.vector_topk_batch(questions(spark, sf_dir), chunk_store(spark, sf_dir).withColumnRenamed(
-        "id", "chunk_id"), "query_id", "chunk_id")
+    """((query_id, chunk_id, rank, score), chunks): default k and floor over the store."""
+    chunks = chunk_store(spark, sf_dir).withColumnRenamed("id", "chunk_id")
+    return VE.vector_topk_batch(questions(spark, sf_dir), chunks, "query_id", "chunk_id"), chunks
 
 
 @query("chunk_documents", f"""
@@ -88,24 +99,32 @@ def q_chunk_documents(spark, sf_dir):
 
 
 def appended_store(spark, sf_dir):
-    store = chunk_store(spark, sf_dir)
-    valid, _rejected = VE.check_dims(store, DIM)
+    """Two appends to the store, by parity of the chunk number."""
+    valid = VE.check_dims(all_chunks(spark, sf_dir), DIM)[0]
     path = shared_dir(spark, "chunk_store")
-    valid.write.mode("append").parquet(path)
-    return spark.read.schema(store.schema).parquet(path)
+    for parity in (0, 1):
+        append_rows(valid.filter(F.col("chunk_index") % 2 == parity), path)
+    return spark.read.schema(valid.schema).parquet(path)
 
 
 @query("append_chunks", f"""WITH {CHUNKS_SQL}
-SELECT id, document_id, chunk_index, content, CAST(len(embedding) AS INTEGER) AS dims FROM chunks
-WHERE len(embedding) = {DIM}""")
+SELECT id, document_id, chunk_index, content, CAST(len(embedding) AS INTEGER) AS dims FROM chunks""")
 def q_append_chunks(spark, sf_dir):
     return appended_store(spark, sf_dir).select("id", "document_id", "chunk_index", "content",
                                                 F.size("embedding").alias("dims"))
 
 
-@query("count_chunks", f"WITH {CHUNKS_SQL} SELECT count(*) AS chunks FROM chunks WHERE len(embedding) = {DIM}")
+@query("rejected_chunks", f"""WITH {CHUNKS_SQL}
+SELECT document_id, chunk_index, CASE WHEN embedding IS NULL THEN 'no vector' ELSE 'wrong width' END AS reason
+FROM all_chunks WHERE embedding IS NULL OR len(embedding) <> {DIM}""")
+def q_rejected_chunks(spark, sf_dir):
+    """Chunks that the store does not take, with the reason."""
+    return VE.check_dims(all_chunks(spark, sf_dir), DIM)[1].select("document_id", "chunk_index", "reason")
+
+
+@query("count_chunks", f"WITH {CHUNKS_SQL} SELECT count(*) AS chunks FROM chunks")
 def q_count_chunks(spark, sf_dir):
-    return appended_store(spark, sf_dir).agg(F.count(F.lit(1)).alias("chunks"))
+    return chunk_store(spark, sf_dir).agg(F.count(F.lit(1)).alias("chunks"))
 
 
 @query("delete_documents", f"""WITH {CHUNKS_SQL}
@@ -156,15 +175,18 @@ def q_vector_topk(spark, sf_dir):
     return VE.vector_topk_batch(qs, cs, "query_id", "chunk_id", min_score=BATCH_MIN_SCORE)
 
 
-@query("vector_topk_ivf")
+IVF_LISTS = 16
+
+
+@query("vector_topk_ivf", topk_sql("embeddings", "embeddings", "vec_id", "vec_id", VE.DEFAULT_TOP_K, BATCH_MIN_SCORE))
 def q_vector_topk_ivf(spark, sf_dir):
-    """IVF (k-means lists, 10 probes) over all embeddings, every embedding as a query."""
+    """IVF over all embeddings with every list probed, which is exact search by another road."""
     emb = table(spark, sf_dir, "embeddings")
     cs = emb.select(F.col("vec_id").alias("chunk_id"), "embedding")
-    lists = max(1, min(VE.DEFAULT_LISTS, cs.count() // 20))
-    assigned, cents = VE.ivf_index(cs, "chunk_id", lists=lists)
+    assigned, cents = VE.ivf_index(cs, "chunk_id", lists=IVF_LISTS)
     qs = emb.select(F.col("vec_id").alias("query_id"), "embedding")
-    return VE.vector_topk_ivf(qs, assigned, cents, "query_id", "chunk_id", min_score=BATCH_MIN_SCORE)
+    return VE.vector_topk_ivf(qs, materialize(assigned, "ivf"), cents, "query_id", "chunk_id", min_score=BATCH_MIN_SCORE,
+                              probes=IVF_LISTS)
 
 
 @query("rag_context", f"""{RESULTS_SQL}
@@ -172,8 +194,7 @@ SELECT r.query_id, string_agg('[' || CAST(r.rank AS VARCHAR) || '] (source: ' ||
                               || c.content || chr(10), chr(10) ORDER BY r.rank) AS context
 FROM results r JOIN chunks c ON c.id = r.chunk_id GROUP BY r.query_id""")
 def q_rag_context(spark, sf_dir):
-    return R.rag_context(retrieve(spark, sf_dir), chunk_store(spark, sf_dir).withColumnRenamed(
-        "id", "chunk_id"), "query_id", "chunk_id")
+    return R.rag_context(*retrieve(spark, sf_dir), "query_id", "chunk_id")
 
 
 def _prompt_sql() -> str:
@@ -192,8 +213,7 @@ FROM q LEFT JOIN ctx ON ctx.query_id = q.query_id"""
 @query("rag_prompts", _prompt_sql())
 def q_rag_prompts(spark, sf_dir):
     qs = questions(spark, sf_dir)
-    ctx = R.rag_context(retrieve(spark, sf_dir), chunk_store(spark, sf_dir).withColumnRenamed(
-        "id", "chunk_id"), "query_id", "chunk_id")
+    ctx = R.rag_context(*retrieve(spark, sf_dir), "query_id", "chunk_id")
     return R.rag_prompts(qs.select("query_id", "question"), ctx)
 
 
@@ -201,7 +221,7 @@ def q_rag_prompts(spark, sf_dir):
 SELECT q.query_id, round(coalesce(avg(r.score) FILTER (WHERE r.rank <= 3), 0.0), 6) AS confidence
 FROM q LEFT JOIN results r ON r.query_id = q.query_id GROUP BY q.query_id""")
 def q_rag_confidence(spark, sf_dir):
-    return R.rag_confidence(questions(spark, sf_dir), retrieve(spark, sf_dir))
+    return R.rag_confidence(questions(spark, sf_dir), retrieve(spark, sf_dir)[0])
 
 
 @query("token_estimate", """

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidewater.plans.collect import ENV_SQL
 from tidewater.plans.dml import INCREMENT_MARK
 from tidewater.plans.registry import query
-from tidewater.session import shared_dir
+from tidewater.session import materialize, shared_dir
 from tidewater.sources import collector as CO
 from tidewater.sources.sinks import TEXT_OPTIONS
 from tidewater.streaming import jobs as J
@@ -44,38 +44,22 @@ def q_stream_upsert(spark, sf_dir):
                            shared_dir(spark, "ckpt"), ["user_id"], "ts", ["event_id"], files_per_trigger=2)
 
 
+def _landed_in_order(spark, sf_dir, landings: int = 8) -> str:
+    """Envelopes landed in fetch order, in ``landings`` appends of two files."""
+    env = materialize(CO.build_envelopes(table(spark, sf_dir, "events")), "envelopes")
+    path = shared_dir(spark, "landing")
+    last = env.select(F.max("page")).first()[0]
+    step = max(1, -(-last // landings))
+    for lo in range(1, last + 1, step):
+        (env.filter((F.col("page") >= lo) & (F.col("page") < lo + step)).repartition(2, "page")
+         .write.mode("append").options(**TEXT_OPTIONS).json(path))
+    return path
+
+
 @query("stream_collect_bounded", f"""WITH {ENV_SQL}
 SELECT DISTINCT id, user_id, event_type, value, ts FROM landed WHERE id IS NOT NULL AND id <> ''""")
 def q_stream_collect_bounded(spark, sf_dir):
-    """Same stream with dedup state bounded by an event-time watermark.
-
-    Pages land in fetch order (one append per range of pages), as a collector lands them;
-    a watermark then only has to hold ids for one day of event time.
-    """
-    env = CO.build_envelopes(table(spark, sf_dir, "events"))
-    landing = shared_dir(spark, "envelopes")
-    last = env.select(F.max("page")).first()[0]
-    step = max(1, -(-last // 8))
-    for lo in range(1, last + 1, step):  # 8 ordered landings, bounded by the parameter
-        (env.filter((F.col("page") >= lo) & (F.col("page") < lo + step)).coalesce(1)
-         .write.mode("append").options(**TEXT_OPTIONS).json(landing))
+    """Same stream with dedup state bounded by an event-time watermark."""
+    landing = _landed_in_order(spark, sf_dir)
     return J.stream_collect(spark, landing, shared_dir(spark, "stream_items"), shared_dir(spark, "ckpt"),
-                            watermark="1 day")
-
-
-@query("stream_collect_chain", f"""WITH {ENV_SQL},
-reach AS (SELECT page FROM env WHERE status = 'ok' AND NOT is_empty AND page <= (
-            SELECT min(page) FROM env WHERE status <> 'ok' OR next_page IS NULL OR is_empty))
-SELECT id, page, pos, user_id, event_type, value, ts FROM (
-  SELECT *, row_number() OVER (PARTITION BY id ORDER BY page, pos) AS rn FROM landed
-  WHERE id IS NOT NULL AND id <> '' AND page IN (SELECT page FROM reach)) WHERE rn = 1""")
-def q_stream_collect_chain(spark, sf_dir):
-    """Ordered streaming collector: stream twin of ``collect_stream_batch`` (same stops)."""
-    env = CO.build_envelopes(table(spark, sf_dir, "events"))
-    landing = shared_dir(spark, "envelopes")
-    last = env.select(F.max("page")).first()[0]
-    step = max(1, -(-last // 8))
-    for lo in range(1, last + 1, step):  # pages land in fetch order, 8 landings
-        (env.filter((F.col("page") >= lo) & (F.col("page") < lo + step)).coalesce(1)
-         .write.mode("append").options(**TEXT_OPTIONS).json(landing))
-    return J.stream_collect_chain(spark, landing, shared_dir(spark, "chain_items"), shared_dir(spark, "ckpt"))
+                            watermark="1 day", files_per_trigger=2)

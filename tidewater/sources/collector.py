@@ -1,29 +1,19 @@
 """Paginated API collection as Spark jobs over *landed* response envelopes.
 
 Fetching is outside Spark (network client); every response lands as one envelope row
-``(page, status, data array<struct>, next_page, next_cursor, request_cursor)``. Collection
-is then a plan over that table:
-
-1. find the pages the client would reach by following tokens from the first request
-   (page numbers: one aggregate; opaque cursors: pointer jumping over the page table);
-2. explode items, drop items without an id (counted), keep the first-seen copy per id.
-
-Stop rules follow the client: ``collect_all`` keeps following tokens through an empty
-page and stops at a failed page or a missing token; ``collect_batch`` and the stream stop
-at a failed page, an empty page or a missing token.
+``(page, status, data array<struct>, next_page, next_cursor, request_cursor)``. Every landed page
+was fetched, so collection is a plan over all of them, in whatever order and however often they
+landed: explode the items, drop (and count) those without an id, keep the first-seen copy per id.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.session import materialize
-
 ITEM_SCHEMA = T.StructType([
     T.StructField("id", T.StringType()),
     T.StructField("user_id", T.LongType()),
@@ -48,16 +38,18 @@ def cursor_token(page: Column) -> Column:
 
 
 def build_envelopes(events: DataFrame, page_size: int = 100, overlap: int = 5,
-                    failed_pages: Sequence[int] = (7,), empty_pages: Sequence[int] = (5,),
+                    failed: Column | None = None, empty: Column | None = None,
                     missing_id: Column | None = None) -> DataFrame:
     """Envelopes as an API would return them for ``events`` ordered by ``event_id``.
 
     Page p holds ids ``[(p-1)*size - overlap, p*size)`` (the last ``overlap`` items of a page
-    repeat on the next); ``failed_pages`` have no data and no token, ``empty_pages`` have an
-    empty list but a token; items matching ``missing_id`` carry a NULL id. Each page is built
-    by one bounded group (``page_size + overlap`` rows).
+    repeat on the next); pages where ``failed`` holds have no data, pages where ``empty`` holds
+    an empty list; items matching ``missing_id`` carry a NULL id. Each page is built by one
+    bounded group (``page_size + overlap`` rows).
     """
     missing_id = missing_id if missing_id is not None else F.col("value") < 1.0
+    failed = failed if failed is not None else F.col("page") % 50 == 7
+    empty = empty if empty is not None else F.col("page") % 50 == 5
     page0 = (F.floor(F.col("event_id") / page_size) + 1).cast("int")
     item = F.struct(
         F.when(missing_id, F.lit(None)).otherwise(F.col("event_id").cast("string")).alias("id"),
@@ -72,13 +64,11 @@ def build_envelopes(events: DataFrame, page_size: int = 100, overlap: int = 5,
         F.transform(F.array_sort(F.collect_list(F.struct("event_id", "item"))),
                     lambda s: s["item"]).alias("data"))
     last = pages.select(F.max("page")).scalar()
-    failed = F.col("page").isin(list(failed_pages))
     has_next = (F.col("page") < last) & ~failed
     return pages.select(
         F.col("page").cast("int").alias("page"),
         F.when(failed, "failed").otherwise("ok").alias("status"),
-        F.when(failed, F.lit(None)).when(F.col("page").isin(list(empty_pages)),
-                                         F.array().cast(T.ArrayType(ITEM_SCHEMA)))
+        F.when(failed, F.lit(None)).when(empty, F.array().cast(T.ArrayType(ITEM_SCHEMA)))
         .otherwise(F.col("data")).alias("data"),
         F.when(has_next, (F.col("page") + 1).cast("string")).alias("next_page"),
         F.when(has_next, cursor_token(F.col("page") + 1)).alias("next_cursor"),
@@ -91,86 +81,6 @@ def read_envelopes(spark, path: str, fmt: str = "json") -> DataFrame:
     return spark.read.schema(ENVELOPE_SCHEMA).format(fmt).load(path)
 
 
-def _empty(data: Column) -> Column:
-    return F.coalesce(F.size(data) == 0, F.lit(True))
-
-
-def reachable_pages(env: DataFrame, stop_on_empty: bool = False, next_token: Column | None = None,
-                    items: Column | None = None) -> DataFrame:
-    """Page-number pagination: pages reached from page 1 by following ``next_page``.
-
-    The chain is page, page+1, …; it ends at the first page that failed, lacks a token,
-    is missing from the landing, or (``stop_on_empty``) returned no items. One aggregate
-    finds that page; result columns: page, status, data, chain_pos (= page).
-
-    ``next_token`` and ``items`` are column expressions over the envelope (the pluggable
-    "extract next token" / "extract items" functions); defaults: ``next_page`` and ``data``.
-    """
-    nxt = next_token if next_token is not None else F.col("next_page")
-    env = env.withColumns({"next_page": nxt.cast("string"),
-                           "data": items if items is not None else F.col("data")})
-    ok = F.col("status") == "ok"
-    out = env.filter(_visited(env, stop_on_empty) & ok)
-    if stop_on_empty:
-        out = out.filter(~_empty(F.col("data")))
-    return out.select("page", "status", "data", F.col("page").cast("bigint").alias("chain_pos"))
-
-
-def _visited(env: DataFrame, stop_on_empty: bool = False) -> Column:
-    """Predicate: the client requested this page (chain from page 1 up to the stop page).
-
-    The stop page is the first page that failed, has no token, has a token other than the
-    next number, is followed by a page missing from the landing, or (``stop_on_empty``)
-    returned no items. One aggregate over the page table (scalar subqueries)."""
-    ok = F.col("status") == "ok"
-    end = ~ok | F.col("next_page").isNull() | (F.col("next_page") != (F.col("page") + 1).cast("string"))
-    if stop_on_empty:
-        end = end | _empty(F.col("data"))
-    present = env.select("page")
-    gap = present.alias("a").join(present.alias("b"), F.col("b.page") == F.col("a.page") + 1,
-                                  "left_anti").select(F.col("a.page").alias("page"))
-    stop = env.filter(end).select("page").unionByName(gap).select(F.min("page")).scalar()
-    starts_at_one = env.select(F.min("page")).scalar() == F.lit(1)
-    return starts_at_one & (F.col("page") <= F.coalesce(stop, F.lit(2 ** 31 - 1)))
-
-
-def rank_cursor_chain(env: DataFrame) -> DataFrame:
-    """Opaque cursors: position of every page on the chain that starts at the first request.
-
-    Pointer jumping (list ranking): each page points at its predecessor (the page whose
-    ``next_cursor`` equals its ``request_cursor``); every round replaces the pointer by the
-    pointer's pointer and adds distances, so after ``ceil(log2 pages)`` rounds every page
-    points at its chain's first page. The state is one row per page, written each round as
-    a Parquet table in the shared checkpoint folder (lineage cut, size known to the planner).
-    """
-    nodes = env.select(
-        F.coalesce(F.col("request_cursor"), F.lit("")).alias("tok"),
-        F.when(F.col("status") == "ok", F.col("next_cursor")).alias("nxt"))
-    pred = nodes.alias("s").join(nodes.alias("p"), F.col("p.nxt") == F.col("s.tok"), "left").select(
-        F.col("s.tok").alias("tok"),
-        F.coalesce(F.col("p.tok"), F.col("s.tok")).alias("anc"),
-        F.when(F.col("p.tok").isNotNull(), 1).otherwise(0).cast("bigint").alias("d"))
-    state = materialize(pred, "cursor_chain")
-    n = state.count()
-    for _ in range(max(1, math.ceil(math.log2(max(n, 2))))):
-        jumped = state.alias("s").join(state.alias("a"), F.col("s.anc") == F.col("a.tok"), "left").select(
-            F.col("s.tok").alias("tok"),
-            F.coalesce(F.col("a.anc"), F.col("s.anc")).alias("anc"),
-            (F.col("s.d") + F.coalesce(F.col("a.d"), F.lit(0))).alias("d"))
-        state = materialize(jumped, "cursor_chain")
-    ranked = state.filter(F.col("anc") == "").select("tok", F.col("d").alias("chain_pos"))
-    return env.join(ranked, F.coalesce(F.col("request_cursor"), F.lit("")) == F.col("tok")).drop("tok")
-
-
-def reachable_cursor_pages(env: DataFrame, stop_on_empty: bool = False) -> DataFrame:
-    ranked = rank_cursor_chain(env)
-    if stop_on_empty:
-        stop = ranked.filter(_empty(F.col("data")) | (F.col("status") != "ok")) \
-            .select(F.min("chain_pos")).scalar()
-        ranked = ranked.filter(F.col("chain_pos") < F.coalesce(stop, F.lit(2 ** 62)))
-    return ranked.filter(F.col("status") == "ok").select("page", "status", "data", "chain_pos")
-
-
 def default_item_id(item: Column, fields: Sequence[str] = ("id",)) -> Column:
     """Id rule: the ``id`` field; only when items have no ``id`` field at all, ``order_id``.
     Items whose id is NULL or empty are dropped (and counted)."""
@@ -181,70 +91,45 @@ def default_item_id(item: Column, fields: Sequence[str] = ("id",)) -> Column:
     return F.lit(None).cast("string")
 
 
-def explode_items(pages: DataFrame, item_id: Callable[[Column], Column] | None = None) -> DataFrame:
-    items = pages.select("page", "chain_pos", F.posexplode("data").alias("pos", "item"))
-    fields = [f.name for f in items.schema["item"].dataType.fields]
+def landed_items(env: DataFrame, item_id: Callable[[Column], Column] | None = None,
+                 items: Column | None = None) -> DataFrame:
+    """(page, pos, id, item) of every landed page. ``items`` is the expression that finds the
+    items in an envelope (default: ``data``), ``item_id`` the rule that names one."""
+    listed = env.select("page", F.posexplode(items if items is not None else F.col("data")).alias("pos", "item"))
+    fields = [f.name for f in listed.schema["item"].dataType.fields]
     rule = item_id if item_id is not None else (lambda c: default_item_id(c, fields))
-    return items.select("page", "chain_pos", "pos", rule(F.col("item")).alias("id"), "item")
+    return listed.select("page", "pos", rule(F.col("item")).alias("id"), "item")
 
 
-def first_seen(items: DataFrame) -> DataFrame:
-    """Keep the first copy of every id in (chain position, position on page) order;
-    items without an id are dropped."""
-    w = Window.partitionBy("id").orderBy("chain_pos", "pos")
-    keep = (items.filter(F.col("id").isNotNull() & (F.col("id") != ""))
-            .withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn"))
-    fields = [f for f in _item_fields(keep) if f != "id"]
-    return keep.select("id", "page", "pos", "chain_pos", *[F.col(f"item.{f}").alias(f) for f in fields])
+def _named(id_col: Column) -> Column:
+    return id_col.isNotNull() & (id_col != "")
 
 
-def _item_fields(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema["item"].dataType.fields]
+def first_seen(items: DataFrame) -> DataFrame:
+    """The first copy of every id in (page, position) order; items without an id are dropped."""
+    w = Window.partitionBy("id").orderBy("page", "pos")
+    keep = (items.filter(_named(F.col("id")))
+            .withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn"))
+    fields = [f.name for f in keep.schema["item"].dataType.fields if f.name != "id"]
+    return keep.select("id", "page", "pos", *[F.col("item")[f].alias(f) for f in fields])
 
 
 def collect_pages(env: DataFrame, item_id: Callable[[Column], Column] | None = None,
-                  next_token: Column | None = None, items: Column | None = None) -> DataFrame:
-    """collect_all over page-number envelopes: every first-seen item on reachable pages."""
-    pages = reachable_pages(env, next_token=next_token, items=items)
-    return first_seen(explode_items(pages, item_id)).drop("chain_pos")
-
-
-def collect_cursor(env: DataFrame, item_id: Callable[[Column], Column] | None = None) -> DataFrame:
-    """collect_all over cursor envelopes (chain found by pointer jumping)."""
-    return first_seen(explode_items(reachable_cursor_pages(env), item_id)).drop("chain_pos")
-
-
-def collect_batch(env: DataFrame, batch_size: int | None,
-                  item_id: Callable[[Column], Column] | None = None, next_token: Column | None = None,
                   items: Column | None = None) -> DataFrame:
-    """First ``batch_size`` distinct items in page order; stops at failed/empty page or no token.
-
-    The cap is the operator's feature; it is a distributed top-n, so only ``batch_size``
-    rows meet in one task.
-    """
-    got = first_seen(explode_items(reachable_pages(env, True, next_token, items), item_id))
-    if batch_size is None:  # the stream's batch twin: same stops, no cap
-        return got.drop("chain_pos")
-    return got.orderBy("chain_pos", "pos").limit(batch_size).drop("chain_pos")
+    """Every first-seen item of all landed pages."""
+    return first_seen(landed_items(env, item_id, items))
 
 
-def collect_stream_batch(env: DataFrame, item_id: Callable[[Column], Column] | None = None) -> DataFrame:
-    """Batch twin of the item stream: stops like ``collect_batch``, without a cap."""
-    return collect_batch(env, None, item_id)
-
-
-def dropped_items(env: DataFrame, item_id: Callable[[Column], Column] | None = None) -> DataFrame:
-    """Count of items silently dropped for lack of an id on reachable pages."""
-    items = explode_items(reachable_pages(env), item_id)
-    return items.agg(F.count_if(F.col("id").isNull() | (F.col("id") == "")).alias("dropped_no_id"))
+def dropped_items(env: DataFrame, item_id: Callable[[Column], Column] | None = None,
+                  items: Column | None = None) -> DataFrame:
+    """Distinct landed places (page, position) whose item was dropped for lack of an id."""
+    nameless = landed_items(env, item_id, items).filter(~F.coalesce(_named(F.col("id")), F.lit(False)))
+    return nameless.select("page", "pos").distinct().agg(F.count(F.lit(1)).alias("dropped_no_id"))
 
 
-def collector_stats(env: DataFrame, item_id: Callable[[Column], Column] | None = None) -> DataFrame:
-    """Requests, successes, failures, collected items and dropped items for ``collect_all``."""
-    visited = env.filter(_visited(env))
-    req = visited.agg(F.count(F.lit(1)).alias("total_requests"),
-                      F.count_if(F.col("status") == "ok").alias("successful_requests"),
-                      F.count_if(F.col("status") != "ok").alias("failed_requests"))
-    n_items = collect_pages(env, item_id).select(F.count(F.lit(1))).scalar()
-    n_drop = dropped_items(env, item_id).select(F.first("dropped_no_id")).scalar()
-    return req.select("*", n_items.alias("total_items"), n_drop.alias("dropped_no_id"))
+def landing_stats(env: DataFrame) -> DataFrame:
+    """Per status: landed pages (each counted once), empty ones and items on them."""
+    size = F.greatest(F.coalesce(F.size("data"), F.lit(0)), F.lit(0))
+    pages = env.groupBy("status", "page").agg(F.max(size).alias("n"))
+    return pages.groupBy("status").agg(F.count(F.lit(1)).alias("pages"), F.count_if(F.col("n") == 0).alias("empty_pages"),
+                                       F.sum("n").alias("items"))

@@ -3,9 +3,9 @@
 * ``stream_collect``: landed response envelopes → items → streaming dedup on the item id.
 * ``stream_increment``: a file source is its own high-water mark: the checkpoint records
   which files were read, so each run (``availableNow``) picks up only new files.
-* ``stream_upsert``: ``foreachBatch`` upsert (last write wins) into a bucketed Parquet
-  table. Only buckets touched by the micro-batch are rewritten (dynamic partition
-  overwrite), and replaying an epoch gives the same table, so the sink is idempotent.
+* ``stream_upsert``: ``foreachBatch`` upsert (last write wins). A micro-batch is appended as
+  one folder of a log, and reading the log resolves it, so no batch rewrites the table and
+  replaying an epoch gives the same log.
 
 Checkpoints and tables live in the caller's shared folder.
 """
@@ -18,8 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.operators.dedup import upsert_lww
-from tidewater.session import cut_lineage, path_exists
+from tidewater.operators.dedup import dedup_lww
 from tidewater.sources.collector import ENVELOPE_SCHEMA
 from tidewater.sources.sinks import TEXT_OPTIONS
 
@@ -38,7 +37,7 @@ def stream_collect(spark: SparkSession, envelope_dir: str, out_path: str, checkp
 
     Without ``watermark`` the dedup state grows with the number of ids (unbounded, as the
     upstream collector's in-memory set); with it, ``dropDuplicatesWithinWatermark`` bounds
-    state by event time.
+    state by event time and drops rows that are later than that: ``late_items`` finds them.
     """
     env = (spark.readStream.schema(ENVELOPE_SCHEMA).options(**TEXT_OPTIONS)
            .option("maxFilesPerTrigger", files_per_trigger).json(envelope_dir))
@@ -66,101 +65,49 @@ def stream_increment(spark: SparkSession, source_dir: str, schema: T.StructType,
     return spark.read.schema(src.schema).parquet(out_path)
 
 
-def _bucket(keys: Sequence[str], buckets: int):
-    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
+def late_items(spark: SparkSession, envelope_dir: str, collected: DataFrame) -> DataFrame:
+    """Landed items with an id that are missing from a collected table: what a watermark dropped."""
+    env = spark.read.schema(ENVELOPE_SCHEMA).options(**TEXT_OPTIONS).json(envelope_dir)
+    items = env.filter(F.col("status") == "ok").select(F.explode("data").alias("item")).select("item.*")
+    return items.filter(F.col("id").isNotNull() & (F.col("id") != "")).join(collected.select("id"), "id", "left_anti")
 
 
-def upsert_batch(batch: DataFrame, target_path: str, keys: Sequence[str], ts_col: str,
-                 order_by: Sequence[str], buckets: int, schema: T.StructType) -> None:
-    """Merge one batch into the bucketed target, rewriting only the touched buckets."""
-    spark = batch.sparkSession
-    b = batch.withColumn("_bucket", _bucket(keys, buckets))
-    touched = [r[0] for r in b.select("_bucket").distinct().collect()]  # at most ``buckets`` ints
-    if not touched:
-        return
-    full = T.StructType(schema.fields + [T.StructField("_bucket", T.IntegerType())])
-    if path_exists(spark, target_path):
-        existing = spark.read.schema(full).parquet(target_path).filter(F.col("_bucket").isin(touched))
-    else:  # first batch: no target yet
-        existing = spark.createDataFrame([], full)
-    merged = upsert_lww(b, existing, list(keys), ts_col, list(order_by))
-    # materialise before writing: the target folder cannot be read and overwritten in one plan
-    merged = cut_lineage(merged)
-    (merged.repartition("_bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("_bucket").parquet(target_path))
+EPOCH_COLUMN = "_epoch"
+
+
+def append_epoch(batch: DataFrame, epoch: int, log_path: str, keys: Sequence[str], ts_col: str,
+                 order_by: Sequence[str]) -> None:
+    """Write one micro-batch, one row per key, as its own folder of the log.
+
+    The folder is named by the epoch and replaced as a whole, so a replayed epoch leaves the log
+    as it was, and a crash leaves either no folder or one that the replay overwrites.
+    """
+    rows = dedup_lww(batch, list(keys), ts_col, list(order_by)).withColumn(EPOCH_COLUMN, F.lit(epoch).cast("bigint"))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(EPOCH_COLUMN).parquet(log_path)
+
+
+def read_upserted(spark: SparkSession, log_path: str, schema: T.StructType, keys: Sequence[str], ts_col: str,
+                  order_by: Sequence[str] = ()) -> DataFrame:
+    """The log's state: per key the newest row; an earlier epoch wins a tie."""
+    full = T.StructType([*schema.fields, T.StructField(EPOCH_COLUMN, T.LongType())])
+    log = spark.read.schema(full).parquet(log_path)
+    return dedup_lww(log, list(keys), ts_col, [EPOCH_COLUMN, *order_by]).drop(EPOCH_COLUMN)
 
 
 def stream_upsert(spark: SparkSession, source_dir: str, schema: T.StructType, target_path: str,
                   checkpoint: str, keys: Sequence[str], ts_col: str, order_by: Sequence[str] = (),
-                  buckets: int = 16, files_per_trigger: int = 1) -> DataFrame:
-    """Streaming upsert into ``target_path``; returns the table (without the bucket column)."""
+                  files_per_trigger: int = 1) -> DataFrame:
+    """Streaming upsert (last write wins): micro-batches are appended to a log, the state is read
+    from it. A batch costs its own size, whatever the table's; ``fold_log`` bounds the log."""
     src = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(source_dir)
     _run(src.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        lambda df, _epoch: upsert_batch(df, target_path, keys, ts_col, order_by, buckets, schema)))
-    full = T.StructType(schema.fields + [T.StructField("_bucket", T.IntegerType())])
-    return spark.read.schema(full).parquet(target_path).drop("_bucket")
-
-
-CHAIN_STATE = T.StructType([T.StructField("next_page", T.IntegerType()),
-                            T.StructField("stopped", T.BooleanType())])
-
-
-def _chain_batch(out_path: str, state_path: str):
-    """One micro-batch of the ordered collector (pages land in fetch order)."""
-    from tidewater.sources.collector import _empty, explode_items, first_seen
-
-    def run(df: DataFrame, _epoch: int) -> None:
-        spark = df.sparkSession
-        start, stopped = 1, False
-        if path_exists(spark, state_path):
-            row = spark.read.schema(CHAIN_STATE).parquet(state_path).first()
-            start, stopped = row["next_page"], row["stopped"]
-        if stopped:
-            return
-        env = df.filter(F.col("page") >= start)
-        end = ((F.col("status") != "ok") | _empty(F.col("data")) | F.col("next_page").isNull()
-               | (F.col("next_page") != (F.col("page") + 1).cast("string")))
-        # one small aggregate: first page that ends the chain, and the pages present
-        marks = env.agg(F.min(F.when(end, F.col("page"))).alias("stop"),
-                        F.min("page").alias("lo"), F.max("page").alias("hi"),
-                        F.count(F.lit(1)).alias("n")).first()
-        if marks["n"] == 0 or marks["lo"] != start:
-            return  # nothing new, or the next page has not landed yet
-        contiguous = marks["hi"] - marks["lo"] + 1 == marks["n"]
-        stop = marks["stop"]
-        last = stop if stop is not None else (marks["hi"] if contiguous else start - 1)
-        # a failed or empty stop page contributes nothing; a last page without token does
-        keep = (F.col("page") <= last) & (F.col("status") == "ok") & ~_empty(F.col("data"))
-        pages = env.filter(keep).select("page", "status", "data", F.col("page").cast("bigint").alias("chain_pos"))
-        items = first_seen(explode_items(pages)).drop("chain_pos")
-        if path_exists(spark, out_path):
-            seen = spark.read.schema(items.schema).parquet(out_path).select("id")
-            items = items.join(seen, "id", "left_anti")
-        items.write.mode("append").parquet(out_path)
-        nxt = spark.createDataFrame([(int(last) + 1, stop is not None)], CHAIN_STATE)
-        nxt.coalesce(1).write.mode("overwrite").parquet(state_path)
-
-    return run
-
-
-def stream_collect_chain(spark: SparkSession, envelope_dir: str, out_path: str, checkpoint: str,
-                         files_per_trigger: int = 1) -> DataFrame:
-    """Streaming twin of ``collect_batch`` without a cap: follows the page chain across
-    micro-batches and stops for good at a failed page, an empty page or a missing token.
-
-    The chain position (next expected page, stopped flag) is a one-row table next to the
-    sink; items already collected are removed with an anti join against the sink, so
-    first-seen order holds across micro-batches. Pages must land in fetch order.
-    """
-    state_path = out_path.rstrip("/") + "_chain_state"
-    env = (spark.readStream.schema(ENVELOPE_SCHEMA).options(**TEXT_OPTIONS)
-           .option("maxFilesPerTrigger", files_per_trigger).json(envelope_dir))
-    item_schema = ENVELOPE_SCHEMA["data"].dataType.elementType
-    _run(env.writeStream.option("checkpointLocation", checkpoint)
-         .foreachBatch(_chain_batch(out_path, state_path)))
-    schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("page", T.IntegerType()),
-                           T.StructField("pos", T.IntegerType())]
-                          + [f for f in item_schema.fields if f.name != "id"])
-    if not path_exists(spark, out_path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(out_path)
+        lambda df, epoch: append_epoch(df, epoch, target_path, keys, ts_col, order_by)))
+    return read_upserted(spark, target_path, schema, keys, ts_col, order_by)
+
+
+def fold_log(spark: SparkSession, log_path: str, folded_path: str, schema: T.StructType, keys: Sequence[str],
+             ts_col: str, order_by: Sequence[str] = ()) -> str:
+    """Write the log's state as a log of one epoch (-1) at a new place, for the caller to publish."""
+    state = read_upserted(spark, log_path, schema, keys, ts_col, order_by)
+    state.withColumn(EPOCH_COLUMN, F.lit(-1).cast("bigint")).write.partitionBy(EPOCH_COLUMN).parquet(folded_path)
+    return folded_path
