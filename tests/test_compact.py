@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from tidewater.operators import compact as C
-from tidewater.sources.catalog import generate_rows, init_catalog, catalog_state
+from tidewater.sources.catalog import TableSpec, catalog_state, generate_rows, init_catalog
 
 
 def test_generate_rows_and_compaction(spark, tmp_dir):
@@ -15,7 +15,7 @@ def test_generate_rows_and_compaction(spark, tmp_dir):
     assert stats.count() == 80
     plan = C.compaction_plan(stats, ["category"], target_bytes=1 << 20, min_input_files=5)
     assert plan.count() == 4
-    out = C.compact_table(spark, src, tmp_dir + "/compact", ["category"], target_bytes=1 << 20)
+    out = C.compact_table(spark, src, tmp_dir + "/compact", ["category"], target_bytes=1 << 20, min_input_files=5)
     after = spark.read.parquet(out)
     assert sorted(after.collect()) == sorted(spark.read.parquet(src).collect())
     assert C.file_stats(after, ["category"]).count() == 4
@@ -23,10 +23,25 @@ def test_generate_rows_and_compaction(spark, tmp_dir):
     assert all(r.match for r in integ)
 
 
+def test_only_small_files_are_packed(spark, tmp_dir):
+    """A partition with too few small files and one large file stay as they are; maps are no obstacle."""
+    rows = spark.range(20_000).select("id", F.create_map(F.lit("k"), F.rand(1).cast("string")).alias("m"))
+    src = tmp_dir + "/src"
+    rows.repartition(1).withColumn("p", F.lit("large")).write.partitionBy("p").parquet(src)
+    rows.limit(300).repartition(3).withColumn("p", F.lit("few")).write.mode("append").partitionBy("p").parquet(src)
+    rows.limit(600).repartition(12).withColumn("p", F.lit("many")).write.mode("append").partitionBy("p").parquet(src)
+    large = C.file_stats(spark.read.parquet(src), ["p"]).filter("p = 'large'").first().file_size
+    out = C.compact_table(spark, src, tmp_dir + "/out", ["p"], target_bytes=large, min_input_files=5)
+    files = {r.p: r["count"] for r in C.file_stats(spark.read.parquet(out), ["p"]).groupBy("p").count().collect()}
+    assert files == {"large": 1, "few": 3, "many": 1}
+    as_rows = lambda path: sorted((r.p, r.id, r.m["k"]) for r in spark.read.parquet(path).collect())
+    assert as_rows(out) == as_rows(src)
+
+
 def test_catalog_init(spark, tmp_dir):
-    made = init_catalog(spark, "tw_ns", tmp_dir)
-    assert len(made) == 4
-    again = init_catalog(spark, "tw_ns", tmp_dir)
-    assert again == made
+    specs = {"visits": TableSpec("site STRING, hits INT, day DATE", "day"), "notes": TableSpec("body STRING, kind STRING", "kind", 1 << 20)}
+    made = init_catalog(spark, "tw_ns", tmp_dir, specs)
+    assert made == ["tw_ns.visits", "tw_ns.notes"]
+    assert init_catalog(spark, "tw_ns", tmp_dir, specs) == made
     cols = catalog_state(spark, "tw_ns")
-    assert cols.filter("table_name = 'orders' AND is_partition").count() == 1
+    assert cols.filter("table_name = 'visits' AND is_partition").count() == 1

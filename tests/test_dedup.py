@@ -9,13 +9,14 @@ T = dt.datetime
 
 
 def raw_events(spark):
+    at = lambda h, m=0: T(2023, 6, 4, h, m)
     rows = [
-        ("evt-001", "user-1", "click", 10.0, T(2024, 1, 15, 10, 0), 0),
-        ("evt-002", "user-2", "purchase", 49.99, T(2024, 1, 15, 11, 0), 1),
-        ("evt-001", "user-1", "click", 10.0, T(2024, 1, 15, 10, 0), 2),
-        ("evt-003", "user-3", "click", 5.0, T(2024, 1, 15, 10, 30), 3),
-        ("evt-002", "user-2", "purchase", 54.99, T(2024, 1, 15, 12, 0), 4),
-        ("evt-004", "user-1", "purchase", 99.0, T(2024, 1, 15, 13, 0), 5),
+        ("a", "ann", "open", 3.0, at(8), 0),
+        ("b", "ben", "buy", 20.5, at(9), 1),
+        ("a", "ann", "open", 3.0, at(8), 2),   # the first row again
+        ("c", "cem", "open", 1.25, at(8, 15), 3),
+        ("b", "ben", "buy", 31.0, at(17), 4),  # a later state of b
+        ("d", "ann", "buy", 7.0, at(18), 5),
     ]
     return spark.createDataFrame(
         rows, "event_id string, user_id string, event_type string, value double, updated_at timestamp, pos int")
@@ -23,16 +24,16 @@ def raw_events(spark):
 
 def test_lww_keeps_latest(spark):
     out = {r.event_id: r.value for r in D.dedup_lww(raw_events(spark), "event_id", "updated_at", ["pos"]).collect()}
-    assert len(out) == 4 and out["evt-002"] == 54.99
+    assert len(out) == 4 and out["b"] == 31.0
 
 
 def test_fww_keeps_first(spark):
     out = {r.event_id: r.value for r in D.dedup_fww(raw_events(spark), "event_id", ["pos"]).collect()}
-    assert len(out) == 4 and out["evt-002"] == 49.99
+    assert len(out) == 4 and out["b"] == 20.5
 
 
 def test_exact_tie_keeps_first_input_row(spark):
-    rows = D.dedup_lww(raw_events(spark), "event_id", "updated_at", ["pos"]).filter("event_id = 'evt-001'").collect()
+    rows = D.dedup_lww(raw_events(spark), "event_id", "updated_at", ["pos"]).filter("event_id = 'a'").collect()
     assert [r.pos for r in rows] == [0]
 
 
@@ -74,22 +75,20 @@ def test_dedup_idempotent(spark):
 
 def orders_small(spark):
     return spark.createDataFrame(
-        [("ORD-001", "alice", 100.0, "COMPLETED", T(2024, 1, 15, 10, 0)),
-         ("ORD-002", "bob", 75.5, "PENDING", T(2024, 1, 15, 11, 0)),
-         ("ORD-003", "carol", 200.0, "COMPLETED", T(2024, 1, 15, 12, 0))],
-        "order_id string, customer string, amount double, status string, updated_at timestamp")
+        [(11, "uma", 12.0, "new", T(2023, 6, 1, 8)), (12, "vic", 40.25, "new", T(2023, 6, 1, 9)),
+         (13, "wes", 9.5, "paid", T(2023, 6, 2, 7))],
+        "order_id int, customer string, amount double, status string, updated_at timestamp")
 
 
 def test_upsert(spark):
     o = orders_small(spark)
-    existing = o.filter(F.col("order_id") != "ORD-003")
+    existing = o.filter(F.col("order_id") != 13)
     new = spark.createDataFrame(
-        [("ORD-002", "bob", 80.0, "COMPLETED", T(2024, 1, 16, 9, 0)),
-         ("ORD-003", "carol", 200.0, "COMPLETED", T(2024, 1, 15, 12, 0))], o.schema)
+        [(12, "vic", 41.0, "paid", T(2023, 6, 3, 9)), (13, "wes", 9.5, "paid", T(2023, 6, 2, 7))], o.schema)
     up = D.upsert_lww(new, existing, "order_id", "updated_at")
     rows = {r.order_id: r for r in up.collect()}
     assert len(rows) == 3
-    assert rows["ORD-002"].amount == 80.0 and rows["ORD-002"].status == "COMPLETED"
+    assert rows[12].amount == 41.0 and rows[12].status == "paid"
     again = D.upsert_lww(new, up, "order_id", "updated_at")
     assert sorted(again.collect()) == sorted(up.collect())
 
@@ -98,13 +97,13 @@ def test_upsert_tie_keeps_existing(spark):
     o = orders_small(spark)
     new = o.withColumn("amount", F.lit(1.0))
     up = {r.order_id: r.amount for r in D.upsert_lww(new, o, "order_id", "updated_at").collect()}
-    assert up == {"ORD-001": 100.0, "ORD-002": 75.5, "ORD-003": 200.0}
+    assert up == {11: 12.0, 12: 40.25, 13: 9.5}
 
 
 def test_batches_dedup_separately(spark):
     df = raw_events(spark).withColumn("b", F.when(F.col("pos") < 3, 0).otherwise(1))
     out = D.dedup_batches(df, "b", "event_id", "updated_at", ["pos"])
-    assert out.count() == 5  # evt-002 once per batch, evt-001 collapsed in batch 0
+    assert out.count() == 5  # b once per batch, a collapsed in batch 0
 
 
 def test_dedup_and_write_empty_writes_nothing(spark, tmp_dir):

@@ -53,3 +53,22 @@ def test_migration_validation(spark, tmp_dir):
     assert row.valid and row.source_rows == row.target_rows == 5
     bad = E.validate_migration(src, tgt.limit(4))
     assert not bad.first().valid
+
+
+def test_map_columns_are_compared_by_content(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([(1, {"a": "x", "b": "y"}, [{"q": 1}]), (2, None, None)], "k int, m map<string,string>, l array<map<string,int>>")
+    turned = spark.createDataFrame([(2, None, None), (1, {"b": "y", "a": "x"}, [{"q": 1}])], df.schema)
+    assert E.validate_migration(df, turned).first().valid
+    assert not E.validate_migration(df, turned.withColumn("l", F.array(F.create_map(F.lit("q"), F.lit(2))))).first().valid
+
+
+def test_a_failed_migration_keeps_the_old_table(spark, tmp_dir):
+    old = spark.createDataFrame([(1, "a")], "k int, v string")
+    E.migrate_table(spark, old, "tw_kept", tmp_dir + "/old")
+    broken = old.selectExpr("k", "raise_error('broken input') AS v")
+    with pytest.raises(Exception, match="broken input"):
+        E.migrate_table(spark, broken, "tw_kept", tmp_dir + "/new")
+    assert spark.table("tw_kept").count() == 1
+    assert E.migrate_table(spark, old.unionByName(old), "tw_kept", tmp_dir + "/third").count() == 2

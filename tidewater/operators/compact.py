@@ -14,6 +14,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewater.functions.sizing import broadcast_if_small
+from tidewater.session import materialize
+
+# Target file size and the least number of files worth rewriting.
+TARGET_BYTES = 64 * 1024 * 1024
+MIN_INPUT_FILES = 5
 
 
 def file_stats(df: DataFrame, partition_cols: Sequence[str] = ()) -> DataFrame:
@@ -46,64 +51,75 @@ def largest_files(stats: DataFrame, n: int = 10) -> DataFrame:
     return stats.orderBy(F.col("file_size").desc(), F.col("file_path")).limit(n)
 
 
-def compaction_plan(stats: DataFrame, partition_cols: Sequence[str], size_col: str = "file_size",
-                    file_col: str = "file_path", target_bytes: int = 64 * 1024 * 1024,
-                    min_input_files: int = 5, rewrite_all: bool = False) -> DataFrame:
-    """Bin-pack files per partition in name order: bin = floor(bytes before the file / target).
+def binned_files(stats: DataFrame, partition_cols: Sequence[str], size_col: str = "file_size",
+                 file_col: str = "file_path", target_bytes: int = TARGET_BYTES,
+                 min_input_files: int = MIN_INPUT_FILES, rewrite_all: bool = False) -> DataFrame:
+    """The files worth rewriting, each with its ``bin``: bytes before it in name order / target.
 
-    Files at or above the target are left alone (unless ``rewrite_all``); bins with fewer
-    than ``min_input_files`` files are not worth a rewrite (unless ``rewrite_all``). Works
-    on one row per file, so the running-sum window is metadata-sized.
+    Files at or above the target are left alone, and so are bins with fewer than
+    ``min_input_files`` files (unless ``rewrite_all``). One row per file, so the windows are
+    metadata-sized.
     """
     cand = stats if rewrite_all else stats.filter(F.col(size_col) < target_bytes)
-    w = (Window.partitionBy(*partition_cols).orderBy(file_col)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    binned = cand.withColumn("_before", F.sum(size_col).over(w) - F.col(size_col)).withColumn(
-        "bin", F.floor(F.col("_before") / F.lit(target_bytes)).cast("bigint"))
-    plan = binned.groupBy(*partition_cols, "bin").agg(
+    order = Window.partitionBy(*partition_cols).orderBy(file_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    binned = cand.withColumn("_before", F.sum(size_col).over(order) - F.col(size_col)).withColumn(
+        "bin", F.floor(F.col("_before") / F.lit(target_bytes)).cast("bigint")).drop("_before")
+    if rewrite_all:
+        return binned
+    files = F.count(F.lit(1)).over(Window.partitionBy(*partition_cols, "bin"))
+    return binned.withColumn("_files", files).filter(F.col("_files") >= min_input_files).drop("_files")
+
+
+def compaction_plan(stats: DataFrame, partition_cols: Sequence[str], size_col: str = "file_size",
+                    file_col: str = "file_path", target_bytes: int = TARGET_BYTES,
+                    min_input_files: int = MIN_INPUT_FILES, rewrite_all: bool = False) -> DataFrame:
+    """One row per bin that a compaction would rewrite."""
+    binned = binned_files(stats, partition_cols, size_col, file_col, target_bytes, min_input_files, rewrite_all)
+    return binned.groupBy(*partition_cols, "bin").agg(
         F.count(F.lit(1)).alias("input_files"),
         F.sum(size_col).alias("input_bytes"),
         F.min(file_col).alias("first_file"),
         F.max(file_col).alias("last_file"),
     )
-    if not rewrite_all:
-        plan = plan.filter(F.col("input_files") >= min_input_files)
-    return plan
 
 
 def compact_table(spark: SparkSession, path: str, out_path: str, partition_cols: Sequence[str],
-                  target_bytes: int = 64 * 1024 * 1024, schema=None) -> str:
-    """Rewrite a partitioned Parquet folder into files of about ``target_bytes``.
-
-    Each partition gets ``ceil(bytes / target)`` output slots; a row goes to slot
-    ``hash(row) mod slots``. The shuffle key is (partition, slot), so a partition that holds
-    a third of the data is spread over many tasks instead of one. Verified per partition
-    before returning ``out_path``.
+                  target_bytes: int = TARGET_BYTES, schema=None, min_input_files: int = MIN_INPUT_FILES,
+                  rewrite_all: bool = False) -> str:
+    """Write a partitioned Parquet folder anew at ``out_path``, its small files packed.
+
+    Files are packed by their real sizes into bins of about ``target_bytes``; only rows of
+    packed files are shuffled, by bin, and stay in the order of their files. All other files are
+    copied by a narrow pass. A bin is one task and one file, so a partition that holds a third of
+    the data is many tasks, whatever its rows are. Verified per partition before returning.
     """
     reader = spark.read.schema(schema) if schema is not None else spark.read
     df = reader.parquet(path)
-    data_cols = [c for c in df.columns if c not in partition_cols]
-    stats = file_stats(df, partition_cols)
-    sizes = stats.groupBy(*partition_cols).agg(
-        F.greatest(F.lit(1), F.ceil(F.sum("file_size") / F.lit(target_bytes))).cast("int").alias("_slots"))
-    # rows per output file from the table's average row size (one small aggregate): the
-    # writer splits files at that count even when AQE packs several slots into one task
-    total = stats.agg(F.sum("file_size").alias("b"), F.sum("record_count").alias("n")).first()
-    rows_per_file = max(1, int(target_bytes * (total["n"] or 0) / total["b"])) if total["b"] else 0
-    # one row per partition value: broadcast after a size check, so a hot partition is
-    # never gathered into one join task
-    slotted = df.join(broadcast_if_small(sizes), list(partition_cols), "left").withColumn(
-        "_slot", F.pmod(F.xxhash64(*[F.col(c) for c in data_cols]), F.col("_slots")))
-    (slotted.repartition(*[F.col(c) for c in partition_cols], F.col("_slot"))
-     .drop("_slot", "_slots")
-     .write.mode("errorifexists").option("maxRecordsPerFile", rows_per_file)
-     .partitionBy(*partition_cols).parquet(out_path))
-    before = df.groupBy(*partition_cols).count()
-    after = (spark.read.schema(df.schema) if schema is None else spark.read.schema(schema)) \
-        .parquet(out_path).groupBy(*partition_cols).count()
-    bad = before.join(after, list(partition_cols), "full_outer").filter(
-        ~before["count"].eqNullSafe(after["count"]))
-    if not bad.isEmpty():
+    stats = materialize(file_stats(df, partition_cols), "file_stats")
+    packed = materialize(binned_files(stats, partition_cols, target_bytes=target_bytes, min_input_files=min_input_files,
+                                      rewrite_all=rewrite_all).select(
+        F.col("file_path").alias("_file"), F.concat_ws("/", *[F.col(c).cast("string") for c in partition_cols], F.col("bin")).alias("_bin")),
+        "file_bins")
+    # one row per small file: broadcast below the byte bound, else joined by file
+    rows = df.withColumns({"_file": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")})
+    marked = rows.join(broadcast_if_small(packed), "_file", "left")
+    small = marked.filter(F.col("_bin").isNotNull())
+    bins = max(1, packed.select("_bin").distinct().count())
+    write = lambda rows: (rows.drop("_file", "_row", "_bin", "_slot").write.mode("append")
+                          .partitionBy(*partition_cols).parquet(out_path))
+    # bins numbered without gaps: a bin is one shuffle partition
+    numbers = packed.select("_bin").distinct().orderBy("_bin").coalesce(1).select(
+        "_bin", F.monotonically_increasing_id().cast("int").alias("_slot"))
+    slotted = small.join(broadcast_if_small(materialize(numbers, "bins")), "_bin")
+    write(slotted.repartitionByRange(bins, "_slot").sortWithinPartitions("_slot", "_file", "_row"))
+    write(marked.filter(F.col("_bin").isNull()))
+    before = stats.groupBy(*partition_cols).agg(F.sum("record_count").alias("n"))
+    after = file_stats((spark.read.schema(df.schema) if schema is None else spark.read.schema(schema)).parquet(out_path),
+                       partition_cols).groupBy(*partition_cols).agg(F.sum("record_count").alias("m"))
+    names = [f"_p{i}" for i in range(len(partition_cols))]
+    after = after.toDF(*names, "m")
+    on = [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(partition_cols, names, strict=True)]
+    if not before.join(after, on, "full_outer").filter(~F.col("n").eqNullSafe(F.col("m"))).isEmpty():
         raise RuntimeError(f"compaction verification failed for {path}")
     return out_path
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -124,21 +124,51 @@ def null_backfill_count(df: DataFrame, column: str, filter_col: str, values: Seq
 def migrate_table(spark: SparkSession, df: DataFrame, name: str, location: str,
                   partition_by: Sequence[str] = (), replace: bool = True,
                   properties: dict[str, str] | None = None) -> DataFrame:
-    """CTAS: create a catalog table at ``location`` from ``df`` (typed, optionally partitioned)."""
+    """CTAS: create a catalog table at ``location`` from ``df`` (typed, optionally partitioned).
+
+    With ``replace`` the new table is complete under a staging name before the old one goes, so
+    a write that fails leaves the old table as it was.
+    """
+    staged = f"{name}__staged" if replace else name
     if replace:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"DROP TABLE IF EXISTS {staged}")
     w = df.write.format("parquet").option("path", location).mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.saveAsTable(name)
+    w.saveAsTable(staged)
     for k, v in (properties or {}).items():
-        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{k}' = '{v}')")
+        spark.sql(f"ALTER TABLE {staged} SET TBLPROPERTIES ('{k}' = '{v}')")
+    if replace:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
     return spark.table(name)
 
 
+def hashable(c: Column, dtype: T.DataType) -> Column:
+    """A value that hash functions accept: maps, at any depth, become sorted arrays of entries."""
+    if isinstance(dtype, T.MapType):
+        entries = F.map_entries(c)
+        entry = lambda e: F.struct(hashable(e["key"], dtype.keyType).alias("key"),
+                                   hashable(e["value"], dtype.valueType).alias("value"))
+        return F.array_sort(F.transform(entries, entry))
+    if isinstance(dtype, T.ArrayType) and _has_map(dtype):
+        return F.transform(c, lambda x: hashable(x, dtype.elementType))
+    if isinstance(dtype, T.StructType) and _has_map(dtype):
+        return F.when(c.isNotNull(), F.struct(*[hashable(c[f.name], f.dataType).alias(f.name) for f in dtype.fields]))
+    return c
+
+
+def _has_map(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.ArrayType):
+        return _has_map(dtype.elementType)
+    if isinstance(dtype, T.StructType):
+        return any(_has_map(f.dataType) for f in dtype.fields)
+    return isinstance(dtype, T.MapType)
+
+
 def _checksum(df: DataFrame, cols: Sequence[str]):
     # decimal(38,0) sum: a bigint sum of 64-bit hashes overflows under ANSI mode
-    return F.sum(F.xxhash64(*[F.col(c) for c in cols]).cast("decimal(38,0)"))
+    return F.sum(F.xxhash64(*[hashable(F.col(c), df.schema[c].dataType) for c in cols]).cast("decimal(38,0)"))
 
 
 def validate_migration(source: DataFrame, target: DataFrame) -> DataFrame:

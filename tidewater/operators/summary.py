@@ -27,11 +27,8 @@ def group_summary(df: DataFrame, group_col: str, value_col: str, decimals: int |
 
 
 def category_list(df: DataFrame, group_col: str) -> DataFrame:
-    """Sorted distinct category list as one row (distinct first, so only one row per group moves)."""
-    return (
-        df.select(group_col).where(F.col(group_col).isNotNull()).distinct()
-        .agg(F.sort_array(F.collect_list(group_col)).alias("categories"))
-    )
+    """The distinct categories, one a row, sorted (a range sort of the distinct values)."""
+    return df.select(F.col(group_col).alias("category")).where(F.col(group_col).isNotNull()).distinct().orderBy("category")
 
 
 def reconcile_counts(expected: DataFrame | int, actual: DataFrame) -> DataFrame:
@@ -69,3 +66,8 @@ def event_documents(df: DataFrame, id_col: str, text_template: str, text_cols: S
 def keyword_filter(docs: DataFrame, keyword: str, text_col: str = "text") -> DataFrame:
     """Documents whose text contains ``keyword`` (case-sensitive substring)."""
     return docs.filter(F.col(text_col).contains(keyword))
+
+
+def metadata_filter(docs: DataFrame, key: str, value: str, metadata_col: str = "metadata") -> DataFrame:
+    """Documents whose metadata field ``key`` equals ``value``; a missing field does not."""
+    return docs.filter(F.try_element_at(F.col(metadata_col), F.lit(key)) == value)

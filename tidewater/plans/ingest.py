@@ -42,6 +42,17 @@ def q_dedup_fww(spark, sf_dir):
     return D.dedup_fww(table(spark, sf_dir, "lineitem"), LINEITEM_KEYS, ["l_shipdate", *LINEITEM_TIES])
 
 
+@query("dedup_fww_input_order", """
+SELECT * EXCLUDE (rn, pos) FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_partkey, l_suppkey ORDER BY pos) AS rn
+  FROM (SELECT *, row_number() OVER () AS pos FROM lineitem)) WHERE rn = 1
+""")
+def q_dedup_fww_input_order(spark, sf_dir):
+    """First write wins in the order of the input itself: file, then row within the file."""
+    return D.dedup_fww(table(spark, sf_dir, "lineitem"), ["l_partkey", "l_suppkey"],
+                       [F.col("_metadata.file_path"), F.col("_metadata.row_index")])
+
+
 @query("dedup_summary", f"""
 SELECT l_returnflag, l_linestatus,
        count(*) AS n_lines,
@@ -81,6 +92,17 @@ def q_null_key_audit(spark, sf_dir):
     return D.null_key_audit(table(spark, sf_dir, "lineitem"), LINEITEM_KEYS)
 
 
+@query("null_key_audit_dirty", """
+SELECT count_if(l_linenumber = 7) AS null_l_orderkey, count_if(l_orderkey % 5 = 0) AS null_l_linenumber FROM lineitem
+""")
+def q_null_key_audit_dirty(spark, sf_dir):
+    """The same audit where keys are missing."""
+    li = table(spark, sf_dir, "lineitem").select(
+        F.when(F.col("l_linenumber") != 7, F.col("l_orderkey")).alias("l_orderkey"),
+        F.when(F.col("l_orderkey") % 5 != 0, F.col("l_linenumber")).alias("l_linenumber"))
+    return D.null_key_audit(li, LINEITEM_KEYS)
+
+
 @query("dedup_batches", """
 SELECT * EXCLUDE (rn) FROM (
   SELECT *, CAST(ts AS DATE) AS batch_id,
@@ -129,14 +151,16 @@ def q_group_summary(spark, sf_dir):
 META_KEYS = ["user_id", "event_type", "value", "timestamp"]
 
 
-def events_as_documents(spark, sf_dir):
-    """Documents with a metadata map; the registered output reads the map back by key
-    (flat columns compare reliably across engines)."""
+def event_docs(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
-    docs = S.event_documents(
+    return S.event_documents(
         ev, "event_id", "Event %s by user %d with value %.2f", ["event_type", "user_id", "value"],
         {"user_id": F.col("user_id"), "event_type": F.col("event_type"),
          "value": F.format_string("%.2f", F.col("value")), "timestamp": F.date_format("ts", "yyyy-MM-dd HH:mm:ss")})
+
+
+def flat(docs):
+    """The metadata map read back by key (flat columns compare reliably across engines)."""
     return docs.select("id", "text", *[F.col("metadata")[k].alias(f"meta_{k}") for k in META_KEYS])
 
 
@@ -151,16 +175,19 @@ FROM events"""
 @query("event_documents", _EVENT_DOCS_SQL)
 def q_event_documents(spark, sf_dir):
     """Text + metadata documents built from event rows (the vector-store input form)."""
-    return events_as_documents(spark, sf_dir)
+    return flat(event_docs(spark, sf_dir))
 
 
 @query("keyword_filter", f"SELECT * FROM ({_EVENT_DOCS_SQL}) WHERE contains(text, 'purchase')")
 def q_keyword_filter(spark, sf_dir):
-    return S.keyword_filter(events_as_documents(spark, sf_dir), "purchase")
+    return flat(S.keyword_filter(event_docs(spark, sf_dir), "purchase"))
+
+
+@query("metadata_filter", f"SELECT * FROM ({_EVENT_DOCS_SQL}) WHERE meta_event_type = 'purchase'")
+def q_metadata_filter(spark, sf_dir):
+    return flat(S.metadata_filter(event_docs(spark, sf_dir), "event_type", "purchase"))
 
 
-@query("category_list", """
-SELECT list(event_type ORDER BY event_type) AS categories
-FROM (SELECT DISTINCT event_type FROM events WHERE event_type IS NOT NULL)""")
+@query("category_list", "SELECT DISTINCT event_type AS category FROM events WHERE event_type IS NOT NULL")
 def q_category_list(spark, sf_dir):
     return S.category_list(table(spark, sf_dir, "events"), "event_type")

@@ -81,39 +81,25 @@ def q_migrate_table(spark, sf_dir):
 
 
 @query("validate_migration", """
-SELECT count(*) AS source_rows, count(*) AS target_rows, TRUE AS schema_match,
-       TRUE AS checksum_match, TRUE AS valid FROM orders
+WITH s AS (SELECT count(*) AS n FROM orders), b AS (SELECT count(*) AS n FROM orders WHERE o_orderkey % 10 <> 0)
+SELECT 'same' AS kind, n AS source_rows, n AS target_rows, TRUE AS schema_match, TRUE AS checksum_match, TRUE AS valid FROM s
+UNION ALL SELECT 'rows lost', s.n, b.n, TRUE, s.n = b.n, s.n = b.n FROM s, b
+UNION ALL SELECT 'value changed', n, n, TRUE, n = 0, n = 0 FROM s
+UNION ALL SELECT 'column missing', n, n, FALSE, FALSE, FALSE FROM s
 """)
 def q_validate_migration(spark, sf_dir):
+    """A migrated table, and the same with rows lost, a value changed and a column missing. The
+    source carries a map column."""
     src, tgt = _migrated(spark, sf_dir)
-    return E.validate_migration(src, tgt)
-
-
-# Pseudo-files for planning: one "file" per (return flag, ship month), 100 bytes per row.
-PLAN_TARGET = 256 * 1024
-PLAN_MIN_FILES = 5
-
-
-def lineitem_pseudo_files(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem")
-    return li.groupBy(
-        "l_returnflag", F.date_format("l_shipdate", "yyyy-MM").alias("file_path")
-    ).agg((F.count(F.lit(1)) * 100).alias("file_size"))
-
-
-@query("compaction_plan", f"""
-WITH f AS (SELECT l_returnflag, strftime(l_shipdate, '%Y-%m') AS file_path, count(*) * 100 AS file_size
-           FROM lineitem GROUP BY ALL),
-b AS (SELECT *, CAST(floor((sum(file_size) OVER (PARTITION BY l_returnflag ORDER BY file_path
-                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - file_size) / {PLAN_TARGET}) AS BIGINT) AS bin
-      FROM f WHERE file_size < {PLAN_TARGET})
-SELECT l_returnflag, bin, count(*) AS input_files, CAST(sum(file_size) AS BIGINT) AS input_bytes,
-       min(file_path) AS first_file, max(file_path) AS last_file
-FROM b GROUP BY l_returnflag, bin HAVING count(*) >= {PLAN_MIN_FILES}
-""")
-def q_compaction_plan(spark, sf_dir):
-    return C.compaction_plan(lineitem_pseudo_files(spark, sf_dir), ["l_returnflag"],
-                             target_bytes=PLAN_TARGET, min_input_files=PLAN_MIN_FILES)
+    tag = lambda df: df.withColumn("tags", F.create_map(F.lit("priority"), F.col("o_orderpriority")))
+    cases = {"same": tag(tgt), "rows lost": tag(tgt.filter(F.col("o_orderkey") % 10 != 0)),
+             "value changed": tag(tgt).withColumn("tags", F.map_concat("tags", F.create_map(F.lit("late"), F.lit("x")))),
+             "column missing": tag(tgt).drop("o_totalprice")}
+    out = None
+    for kind, target in cases.items():
+        row = E.validate_migration(tag(src), target).select(F.lit(kind).alias("kind"), "*")
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 def small_file_events(spark, sf_dir):
@@ -136,14 +122,26 @@ def q_compact_table(spark, sf_dir):
     return compacted_events(spark, sf_dir)[1]
 
 
+@query("compaction_plan", "SELECT event_type, count(*) AS rows_planned FROM events GROUP BY event_type")
+def q_compaction_plan(spark, sf_dir):
+    """The plan over the real small files, planned by their record counts: it covers every row."""
+    plan = C.compaction_plan(_small_stats(spark, sf_dir), ["event_type"], size_col="record_count", target_bytes=2000,
+                             rewrite_all=True)
+    return plan.groupBy("event_type").agg(F.sum("input_bytes").alias("rows_planned"))
+
+
 @query("compaction_integrity", """
 SELECT event_type, count(*) AS rows_before, round(avg(value), 2) AS avg_before,
-       count(*) AS rows_after, round(avg(value), 2) AS avg_after, TRUE AS match
+       count(*) - count_if(event_type = 'click' AND event_id % 3 = 0) AS rows_after,
+       round(avg(value) FILTER (event_type <> 'click' OR event_id % 3 <> 0), 2) AS avg_after,
+       event_type <> 'click' OR count_if(event_id % 3 = 0) = 0 AS match
 FROM events GROUP BY event_type
 """)
 def q_compaction_integrity(spark, sf_dir):
+    """The compacted table compared with its source, after a third of one partition was lost."""
     ev, after = compacted_events(spark, sf_dir)
-    return C.compaction_integrity(ev, after, "event_type", "value")
+    lost = (F.col("event_type") == "click") & (F.col("event_id") % 3 == 0)
+    return C.compaction_integrity(ev, after.filter(~lost), "event_type", "value")
 
 
 def _small_stats(spark, sf_dir):
@@ -151,14 +149,18 @@ def _small_stats(spark, sf_dir):
     return C.file_stats(spark.read.schema(ev.schema).parquet(path), ["event_type"])
 
 
-@query("file_stats")
+@query("file_stats", "SELECT event_type, count(*) AS record_count FROM events GROUP BY event_type")
 def q_file_stats(spark, sf_dir):
-    return _small_stats(spark, sf_dir)
+    """Records per partition, summed over the files' own counts."""
+    return _small_stats(spark, sf_dir).groupBy("event_type").agg(F.sum("record_count").alias("record_count"))
 
 
-@query("file_distribution")
+@query("file_distribution", """
+SELECT event_type, count(*) AS record_count, TRUE AS sizes_agree FROM events GROUP BY event_type""")
 def q_file_distribution(spark, sf_dir):
-    return C.file_distribution(_small_stats(spark, sf_dir), ["event_type"])
+    d = C.file_distribution(_small_stats(spark, sf_dir), ["event_type"])
+    agree = F.abs(F.col("avg_file_bytes") * F.col("file_count") - F.col("total_bytes")) <= F.col("file_count")
+    return d.select("event_type", "record_count", agree.alias("sizes_agree"))
 
 
 @query("largest_files")
@@ -166,9 +168,13 @@ def q_largest_files(spark, sf_dir):
     return C.largest_files(_small_stats(spark, sf_dir), 10)
 
 
-@query("file_totals")
+@query("file_totals", "SELECT (SELECT count(*) FROM events) > 0 AS has_bytes, count(*) AS empty_files FROM events WHERE FALSE")
 def q_file_totals(spark, sf_dir):
-    return C.file_totals(_small_stats(spark, sf_dir))
+    """Totals of the table's files, and of no files at all (0, not NULL)."""
+    stats = _small_stats(spark, sf_dir)
+    none = C.file_totals(stats.filter(F.lit(False))).select(F.col("total_bytes").alias("empty_files"))
+    return C.file_totals(stats).select((F.col("total_bytes") > 0).alias("has_bytes"),
+                                       none.scalar().cast("bigint").alias("empty_files"))
 
 
 @query("nested_projection", """
@@ -191,15 +197,3 @@ def q_nested_projection(spark, sf_dir):
         F.col("attrs").getItem("segment").alias("segment"),
         F.col("attrs")["balance"].alias("balance_text"),
     )
-
-
-@query("catalog_state")
-def q_catalog_state(spark, sf_dir):
-    """Catalog listing after migrating orders into a namespace (columns, partition flags)."""
-    from tidewater.sources.catalog import catalog_state, create_namespace
-
-    ns = f"tw_{uuid.uuid4().hex[:8]}"
-    create_namespace(spark, ns)
-    E.migrate_table(spark, table(spark, sf_dir, "orders"), f"{ns}.orders", shared_dir(spark, "catalog"),
-                    ["o_orderstatus"])
-    return catalog_state(spark, ns)

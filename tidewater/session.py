@@ -41,9 +41,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    The setting is read from the session. Only when it is unset (local tests) a folder is
-    made under the system temp dir and registered; on a cluster the setting is expected to
-    name shared storage.
+    The setting is read from the session. On a local master a folder is made under the system
+    temp dir where it is unset; on a cluster that folder would differ from machine to machine,
+    so an unset setting is an error there.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
@@ -51,6 +51,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     if not conf_dir:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="tidewater-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)
@@ -64,12 +66,6 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared checkpoint folder and read it back.
 
@@ -81,18 +77,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def bucketed_table(df: DataFrame, cols: list[str], buckets: int, name: str) -> DataFrame:
-    """Write ``df`` as a table bucketed (and sorted) by ``cols`` in the shared folder.
-
-    Joins on ``cols`` against it then shuffle only the other side: the table is read back
-    already hash-partitioned, which is what an iterative job joining the same big table
-    every round needs.
-    """
-    spark = df.sparkSession
-    table_name = f"tw_{name}_{uuid.uuid4().hex[:12]}"
-    (df.write.bucketBy(buckets, *cols).sortBy(*cols).option("path", shared_dir(spark, name))
-     .saveAsTable(table_name))
-    return spark.table(table_name)
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate folder through the cluster's file system."""
+    jvm = spark.sparkContext._jvm  # noqa: SLF001
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)  # noqa: SLF001
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -1,4 +1,4 @@
-"""Catalog set-up and listing: namespaces, base tables, properties.
+"""Catalog set-up and listing: namespaces, tables from the caller's specifications, properties.
 
 Tables are Parquet tables in the session catalog. ``init_catalog`` is create-if-absent by
 default; ``replace=True`` really drops and recreates.
@@ -6,39 +6,20 @@ default; ``replace=True`` really drops and recreates.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Base table definitions (columns, partition column, file target in bytes).
-BASE_TABLES = {
-    "orders": (
-        "order_id STRING, customer_id STRING, product_id STRING, quantity INT, "
-        "unit_price DECIMAL(18,2), total_amount DECIMAL(18,2), currency STRING, status STRING, "
-        "shipping_address STRUCT<street: STRING, city: STRING, state: STRING, zip: STRING, "
-        "country: STRING>, created_at TIMESTAMP, updated_at TIMESTAMP, created_date DATE",
-        "created_date", 134217728,
-    ),
-    "user_events": (
-        "event_id STRING, user_id STRING, session_id STRING, event_type STRING, event_name STRING, "
-        "page_url STRING, referrer_url STRING, user_agent STRING, ip_address STRING, "
-        "metadata MAP<STRING, STRING>, event_ts TIMESTAMP, ingestion_ts TIMESTAMP, event_date DATE",
-        "event_date", 67108864,
-    ),
-    "product_catalog": (
-        "product_id STRING, sku STRING, product_name STRING, description STRING, category STRING, "
-        "subcategory STRING, brand STRING, list_price DECIMAL(18,2), cost_price DECIMAL(18,2), "
-        "currency STRING, is_active BOOLEAN, attributes MAP<STRING, STRING>, created_at TIMESTAMP, "
-        "updated_at TIMESTAMP",
-        "category", 134217728,
-    ),
-    "audit_log": (
-        "audit_id STRING, table_name STRING, operation STRING, record_key STRING, "
-        "old_value STRING, new_value STRING, changed_by STRING, changed_at TIMESTAMP, "
-        "changed_date DATE",
-        "changed_date", 67108864,
-    ),
-}
+@dataclass(frozen=True)
+class TableSpec:
+    """What a table is created with: columns (DDL), partition column and file target in bytes."""
+
+    columns: str
+    partition_by: str
+    target_bytes: int = 128 * 1024 * 1024
 
 
 def create_namespace(spark: SparkSession, namespace: str) -> bool:
@@ -50,19 +31,19 @@ def create_namespace(spark: SparkSession, namespace: str) -> bool:
         return False
 
 
-def init_catalog(spark: SparkSession, namespace: str, location: str, replace: bool = False,
-                 tables: dict | None = None) -> list[str]:
-    """Create the namespace and every base table; existing tables are kept unless ``replace``."""
+def init_catalog(spark: SparkSession, namespace: str, location: str, tables: Mapping[str, TableSpec],
+                 replace: bool = False) -> list[str]:
+    """Create the namespace and the given tables; existing tables are kept unless ``replace``."""
     create_namespace(spark, namespace)
     made = []
-    for name, (cols, part, target) in (tables or BASE_TABLES).items():
+    for name, spec in tables.items():
         full = f"{namespace}.{name}"
         if replace:
             spark.sql(f"DROP TABLE IF EXISTS {full}")
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {full} ({cols}) USING parquet PARTITIONED BY ({part}) "
+            f"CREATE TABLE IF NOT EXISTS {full} ({spec.columns}) USING parquet PARTITIONED BY ({spec.partition_by}) "
             f"LOCATION '{location}/{name}' "
-            f"TBLPROPERTIES ('write.target-file-size-bytes' = '{target}', 'format-version' = '2')"
+            f"TBLPROPERTIES ('write.target-file-size-bytes' = '{spec.target_bytes}')"
         )
         made.append(full)
     return made

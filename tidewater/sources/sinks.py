@@ -80,11 +80,10 @@ def validate_landing(spark: SparkSession, path: str, schema: T.StructType | None
 
 
 def write_jsonl(df: DataFrame, path: str) -> str | None:
-    """JSON Lines, UTF-8, non-ASCII kept; nothing is written for an empty input."""
-    if df.isEmpty():
-        return None
+    """JSON Lines, UTF-8, non-ASCII kept; for an empty input the folder holds no rows and None is
+    returned. The input runs once: emptiness is read from what was written."""
     df.write.mode("overwrite").options(**TEXT_OPTIONS).option("encoding", "UTF-8").json(path)
-    return path
+    return None if df.sparkSession.read.text(path).isEmpty() else path
 
 
 def write_csv(df: DataFrame, path: str) -> str:
@@ -98,7 +97,13 @@ def insert_by_position(df: DataFrame, table_name: str, overwrite: bool = False)
 
 
 def append_rows(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
-    """Append by name: columns are reordered to the existing table's order when it exists."""
+    """Append by name: columns are put in the existing table's order, and must be the same set."""
+    spark = df.sparkSession
+    if path_exists(spark, path):
+        there = spark.read.parquet(path).columns
+        if sorted(there) != sorted(df.columns):
+            raise ValueError(f"columns differ from the table's: {sorted(set(there) ^ set(df.columns))}")
+        df = df.select(*there)
     w = df.write.mode("append")
     if partition_by:
         w = w.partitionBy(*partition_by)
