@@ -57,11 +57,14 @@ promoted banner cookie cookies consent gdpr notice notification popup modal over
 signup sidebar side menu nav navbar navigation breadcrumb breadcrumbs pagination pager footer header masthead topbar
 comment comments disqus respond replies related recommended share sharing social widget toolbar login search
 skiplink hidden""".split())
-#: Names that keep an element although one of the words above stands in it.
+#: An element named as a heading stays inside an article, or if it is named as an article's.
+HEADINGS = frozenset("header masthead".split())
 ARTICLE_NAMES = frozenset("article post entry story".split())
 #: Inside an article these are content, however often they recur.
 CONTENT = frozenset("""p h1 h2 h3 h4 h5 h6 li blockquote pre dd dt td th tr tbody thead table figcaption figure ul ol dl
 b i em strong a span code q cite sub sup small mark abbr time""".split())
+#: Ending one of these does not end a block that was opened inside it.
+FORMATTING = frozenset("a b big cite code em font i mark nobr q s small span strike strong sub sup tt u".split())
 #: Opening one of the keys ends an open element named in the value, up to a scope boundary.
 CLOSES_P = BLOCK - {"body", "html", "option", "optgroup", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "legend", "dd", "dt"}
 IMPLIED = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
@@ -99,8 +102,10 @@ def _declared(tag: str, attributes: dict[str, str], inside: bool) -> bool:
         return True
     names = f"{attributes.get('class', '')} {attributes.get('id', '')}"
     words = {w.lower() for w in _WORD.findall(names)}
-    return bool(words & DROPPED_NAMES) and not (words & ARTICLE_NAMES and "comment" not in words and "comments" not in words
-                                                and "related" not in words and "ad" not in words and "ads" not in words)
+    declared = words & DROPPED_NAMES
+    if declared <= HEADINGS and (inside or words & ARTICLE_NAMES):
+        return False  # an article's own heading
+    return bool(declared)
 
 
 class Page:
@@ -195,11 +200,20 @@ class Page:
                 self._break()
             return
         stop = BOUNDARY if tag not in BOUNDARY and tag not in ("html", "body") else frozenset()
+        block = False  # whether a block stands open inside the element
         for k in range(len(self.stack) - 1, -1, -1):
             if self.stack[k][0] == tag:
+                if block and tag in FORMATTING:  # the block goes on without it
+                    _, _, parts, gone, _, _ = self.stack.pop(k)
+                    self.open[tag] -= 1
+                    self.dropped -= gone
+                    if k:
+                        self.stack[k - 1][2] += parts
+                    return
                 while len(self.stack) > k:
                     self._close()
                 return
+            block |= self.stack[k][0] in BLOCK
             if self.stack[k][0] in stop:
                 return
 
