@@ -48,8 +48,10 @@ def url_join(base: Column, href: Column) -> Column:
     query and fragment are left as they are."""
     b_scheme, b_net = _part(base, 1), _part(base, 2)
     b_path, b_query = _part(base, 3), _part(base, 4)
-    path, query, fragment = _part(href, 3), _part(href, 4), _part(href, 5)
-    tail = F.concat(F.when(query == "?", "").otherwise(query), F.when(fragment == "#", "").otherwise(fragment))
+    path = _part(href, 3)
+    # a mark with nothing behind it counts as absent
+    query, fragment = (F.when(F.length(_part(href, g)) > 1, _part(href, g)).otherwise("") for g in (4, 5))
+    tail = F.concat(query, fragment)
     origin = F.concat(b_scheme, F.lit(":"), b_net)
     folders = F.slice(F.split(b_path, "/"), 1, F.greatest(F.size(F.split(b_path, "/")) - 1, F.lit(0)))
     joined = F.concat(folders, F.split(path, "/"))
