@@ -56,20 +56,22 @@ def test_spans_point_into_the_whole_output(spark):
         assert p["trained"] == (role == "assistant") and not p["rewrites"] and not p["unstable"]
 
 
-def last_only(messages):
-    """Drops the thoughts of all but the last turn, so history changes."""
-    return "".join(f"<{r}>{t if k == len(messages) - 1 else t.split('|')[-1]}</{r}>" for k, (r, t) in enumerate(messages))
+def foreign_templates():
+    """Nested, so that they travel to the workers by value."""
+    def last_only(messages):  # drops the thoughts of all but the last turn, so history changes
+        return "".join(f"<{r}>{t if k == len(messages) - 1 else t.split('|')[-1]}</{r}>" for k, (r, t) in enumerate(messages))
 
+    def bos(messages):
+        return "<s>" + "".join(f"({r}) {t}\n" for r, t in messages)
 
-def bos(messages):
-    return "<s>" + "".join(f"({r}) {t}\n" for r, t in messages)
+    def trims(messages):
+        return "".join(f"({r}) {t.strip()}\n" for r, t in messages)
 
-
-def trims(messages):
-    return "".join(f"({r}) {t.strip()}\n" for r, t in messages)
+    return last_only, bos, trims
 
 
 def test_templates_that_rewrite_history_are_detected(spark):
+    last_only, bos, _ = foreign_templates()
     rows = [(1, 0, "user", "q"), (1, 1, "assistant", "thought|answer"), (1, 2, "user", "next"), (2, 0, "user", "plain")]
     got = C.format_conversations(spark.createDataFrame(rows, SCHEMA), last_only).collect()
     assert [r["rewrites"] for r in sorted(got, key=lambda r: (r["conv_id"], r["place"]))] == [False, False, True, False]
@@ -78,6 +80,7 @@ def test_templates_that_rewrite_history_are_detected(spark):
 
 
 def test_located_content_of_a_foreign_template():
+    _, bos, trims = foreign_templates()
     locator = C.TurnLocator(bos)
     for role, text in [("user", "a\n"), ("assistant", "\n\n"), ("user", ""), ("user", "(user) ")]:
         piece, first, end, rewrites, unstable = locator.feed((role, text))

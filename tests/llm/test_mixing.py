@@ -1,28 +1,11 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tests.llm.plain import water
 from tidewater.llm.mixing import mix, mix_plan, op1_mix
 from tidewater.llm.scratch import Scratch
 
 
-def water(sizes, weights=(1, 2, 3), cap=3):
-    """Targets by repeated resharing, as the rule says it."""
-    order = sorted(sizes, key=lambda s: (s is None, s))
-    w = {s: weights[k % len(weights)] for k, s in enumerate(order)}
-    total, capped = sum(sizes.values()), set()
-    while True:
-        free = [s for s in order if s not in capped]
-        if not free:
-            break
-        left = total - sum(cap * sizes[s] for s in capped)
-        level = left / sum(w[s] for s in free)
-        over = {s for s in free if level * w[s] > cap * sizes[s]}
-        if not over:
-            break
-        capped |= over
-    return {s: cap * sizes[s] if s in capped else level * w[s] for s in order}
-
-
 def words(t):
     import re
     return len(re.findall(r"[^\x20\x09-\x0d]+", t or ""))

@@ -1,46 +1,14 @@
 import random
-from collections import Counter, defaultdict
-from itertools import combinations
+from collections import defaultdict
 
 import numpy as np
 from pyspark.sql import functions as F
 
+from tests.llm.plain import brute_classes
 from tidewater.llm import neardup as N
 from tidewater.llm.scratch import Scratch
 
 
-def shingle_set(t):
-    import re
-    w = re.findall(r"[^\x20\x09-\x0d]+", t)
-    return frozenset(tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
-
-
-def brute_classes(texts, threshold=0.8):
-    """Component of each text under exact Jaccard links; null texts are alone."""
-    sets = [None if t is None else shingle_set(t) for t in texts]
-    parent = list(range(len(texts)))
-
-    def find(x):
-        while parent[x] != x:
-            x = parent[x]
-        return x
-
-    index = defaultdict(list)
-    for k, s in enumerate(sets):
-        for x in s or ():
-            index[x].append(k)
-    shared = Counter(p for members in index.values() for p in combinations(members, 2))
-    pairs = [p for p, c in shared.items() if c / (len(sets[p[0]]) + len(sets[p[1]]) - c) >= threshold]
-    first = {}
-    for k, t in enumerate(texts):
-        if t is not None and not sets[k] and first.setdefault(t, k) != k:
-            pairs.append((first[t], k))
-    for a, b in pairs:
-        a, b = find(a), find(b)
-        parent[max(a, b)] = min(a, b)
-    return [find(k) for k in range(len(texts))]
-
-
 def partition(ids, labels):
     by = defaultdict(set)
     for i, c in zip(ids, labels, strict=True):
@@ -100,15 +68,22 @@ def test_star_shaped_class_without_links_between_its_rays(make_docs):
     texts = texts[::-1]
     labels = brute_classes(texts)
     assert len(set(labels)) == 1
-    got = N.duplicate_classes(make_docs([(i, t, None, None) for i, t in enumerate(texts)]), hub_rounds=1).collect()
+    got = N.duplicate_classes(make_docs([(i, t, None, None) for i, t in enumerate(texts)])).collect()
     assert {x["class_id"] for x in got} == {0}
 
 
-def test_the_rest_is_compared_exactly(make_docs):
-    texts = planted()
-    rows = make_docs([(i, t, "en", "s") for i, t in enumerate(texts)])
-    one = {r["doc_id"]: r["class_id"] for r in N.duplicate_classes(rows, hub_rounds=1).collect()}
-    assert partition(one, one.values()) == partition(range(len(texts)), brute_classes(texts))
+def test_many_near_copies_that_are_no_links(make_docs):
+    """Copies with more and more edits: some linked to the base, the rest to nothing or to one another."""
+    r = random.Random(9)
+    base = prose(r, 150)
+    texts = [" ".join(base)] + [" ".join(edited(r, base, 1 + k % 12)) for k in range(240)]
+    cut = base[:90]  # linked to one another, not to the base: they lack the same words
+    texts += [" ".join(cut)] + [" ".join(edited(r, cut, 1 + k % 2)) for k in range(20)]
+    far = edited(r, base, 9)  # and these share what they add
+    texts += [" ".join(edited(r, far, k % 3)) for k in range(12)]
+    got = {x["doc_id"]: x["class_id"] for x in N.duplicate_classes(make_docs([(i, t, None, None) for i, t in enumerate(texts)])).collect()}
+    assert partition(got, got.values()) == partition(range(len(texts)), brute_classes(texts))
+    assert len(set(got.values())) > 50
 
 
 def test_keep_one_keeps_rows_whole(make_docs):

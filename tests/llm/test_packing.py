@@ -1,10 +1,11 @@
-import zlib
+
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from tests.llm.plain import check_packed
 from tidewater.llm import packing as P
 from tidewater.llm.scratch import Scratch
 
@@ -39,28 +40,6 @@ def test_caches_start_anew(monkeypatch):
         assert np.frombuffer(small.ids(t), "<u4").tolist() == whole.encode(t, add_special_tokens=False).ids
 
 
-def check_packed(rows, texts, tokenizer, capacity):
-    """Every piece is there once, in place, and no sequence overflows or has gaps."""
-    by, seqs = {}, {}
-    for r in rows:
-        by.setdefault((r["doc_id"], r["piece"]), []).append(r)
-        seqs.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
-    want = {}
-    for doc, t in texts:
-        ids = tokenizer.ids(t or "") + np.array([0], "<u4").tobytes()
-        for k, at in enumerate(range(0, len(ids), 4 * capacity)):
-            part = ids[at:at + 4 * capacity]
-            want.setdefault((doc, k), []).append((at // 4, len(part) // 4, zlib.crc32(part)))
-    assert {k: sorted((r["start"], r["length"], r["ids_crc32"]) for r in v) for k, v in by.items()} == {k: sorted(v) for k, v in want.items()}
-    for parts in seqs.values():
-        at = 0
-        for offset, length in sorted(parts):
-            assert offset == at
-            at += length
-        assert at <= capacity
-    return len(seqs), -(-sum(n for v in want.values() for _, n, _ in v) // capacity)
-
-
 def test_query_on_small_tables(spark, make_docs, as_documents, tokenizer):
     rows = [(1, "word " * 5000, "en", "s"), (2, None, "en", "s"), (3, "", "en", "s"), (3, "", "en", "s"), (None, "x y", "en", "s"),
             (4, "a" * 30_000, "en", "s")] + [(10 + i, "tok " * (i * 37 % 1500), "en", "s") for i in range(120)]
