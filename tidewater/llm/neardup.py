@@ -8,12 +8,12 @@ Jaccard similarity. Bands of registers make buckets; documents that meet in a bu
 candidates, and a candidate pair is a link if the exact Jaccard similarity of the two shingle
 sets is at least ``THRESHOLD``. A class is a connected component of links.
 
-Buckets are worked off without forming all their pairs. In a round every bucket picks a hub (the
-document that shares most buckets first, then by hash), and each member outside the hub's class
-is compared with it. Buckets that lie in one class are done. After ``HUB_ROUNDS`` rounds the
-pairs that are left between different classes of a bucket are compared, except those which the
-triangle inequality of the Jaccard distance (both distances to the first hub are known) rules
-out. So no candidate pair between different classes is skipped.
+Buckets are worked off without forming all their pairs. Every bucket picks a hub (the document
+that shares most buckets), and each member is compared with it; a bucket in one class is then
+done. In the others the members that are outside the largest class are held against the members
+of other classes, by what they share of their differences from the hub: that decides a link
+exactly, and most pairs fall to a comparison of sizes. Only links leave that join, so no link
+between different classes of a bucket is lost and no pair is emitted for nothing.
 
 Scale: copies (equal shingle sets) are one representative from the first aggregate on. Shuffled
 are (representative, band, hash), pairs, and the texts of representatives that share a bucket,
@@ -44,7 +44,6 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS = 25
 ROWS = 5  # registers in a band
-HUB_ROUNDS = 3
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.uint64(0x100000001B3)
@@ -52,7 +51,7 @@ _BASE_INVERSE = pow(0x100000001B3, -1, 1 << 64)
 
 
 # --------------------------------------------------------------------------------- shingles
-@functools.lru_cache(maxsize=1)
+@functools.lru_cache(maxsize=8)
 def _powers(length: int) -> tuple[np.ndarray, np.ndarray]:
     up, down = np.full(length, _BASE), np.full(length, np.uint64(_BASE_INVERSE))
     up[0] = down[0] = 1
@@ -223,8 +222,7 @@ def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
-                      bands: int = BANDS, rows: int = ROWS, width: int = SHINGLE,
-                      hub_rounds: int = HUB_ROUNDS) -> DataFrame:
+                      bands: int = BANDS, rows: int = ROWS, width: int = SHINGLE) -> DataFrame:
     """One row per row of ``docs``: row, doc_id, text_md5, class_id, class_row.
 
     ``row`` is unique; ``class_row`` is the smallest row of the class.
@@ -244,28 +242,19 @@ def duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     members = scratch.save(met.drop("n").join(score, "rep"), "scored")
     scratch.drop("buckets", "members")
 
-    # one hub a bucket; compare the members of other classes with it
+    # one hub a bucket, compared with the bucket's other members
     hubs = scratch.save(members.groupBy("band", "hash").agg(F.max(F.struct("score", (-F.col("rep")).alias("r"))).alias("top"))
                         .select("band", "hash", (-F.col("top.r")).alias("hub")), "hubs")
-    first = members.join(hubs, ["band", "hash"]).where("rep != hub").select("hub", "rep").distinct()
-    compared = scratch.save(_similar(first, sets), "compared-0")
-    links = [compared.where(F.col("j") >= threshold)]
-    open_rows, roots = _open(members.select("band", "hash", "rep"), links, scratch, 0)
-    for turn in range(1, hub_rounds):
-        if open_rows.isEmpty():
-            break
-        turn_hubs = open_rows.groupBy("band", "hash").agg(
-            F.max(F.struct(F.xxhash64("rep", F.lit(turn)).alias("h"), "rep", "root")).alias("top")).select(
-            "band", "hash", F.col("top.rep").alias("hub"), F.col("top.root").alias("hub_root"))
-        pairs = (open_rows.join(scratch.save(turn_hubs, f"hubs-{turn}"), ["band", "hash"])
-                 .where("root != hub_root").select("hub", "rep").distinct())
-        got = scratch.save(_similar(pairs, sets), f"compared-{turn}")
-        links.append(got.where(F.col("j") >= threshold))
-        open_rows, roots = _open(open_rows.select("band", "hash", "rep"), links, scratch, turn)
+    met_hub = scratch.save(members.select("band", "hash", "rep").join(hubs, ["band", "hash"]), "met_hub")
+    pairs = met_hub.where("rep != hub").select("hub", "rep").distinct()
+    links = scratch.save(_similar(pairs, sets).where(F.col("j") >= threshold).select(
+        F.col("hub").alias("a"), F.col("rep").alias("b")), "links")
+    roots = components(links, scratch, "roots")
+    open_rows = _open(met_hub, roots, scratch)
     if not open_rows.isEmpty():
-        links.append(scratch.save(_rest(open_rows, hubs, compared, sets, threshold, scratch), "compared-rest")
-                     .where(F.col("j") >= threshold))
-        _, roots = _open(open_rows.select("band", "hash", "rep"), links, scratch, hub_rounds)
+        more = scratch.save(_rest(open_rows, sets, threshold, scratch), "more_links")
+        if not more.isEmpty():
+            roots = components(links.union(more), scratch, "all_roots")
 
     # representatives to classes, rows to representatives
     rep_class = scratch.save(owners.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left")
@@ -277,38 +266,51 @@ def duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     return rows_out.join(names, "class_row").select("row", "doc_id", "text_md5", "class_id", "class_row")
 
 
-def _open(members: DataFrame, links: list[DataFrame], scratch: Scratch, turn: int) -> tuple[DataFrame, DataFrame]:
-    """Members (band, hash, rep, root) of the buckets that hold several classes, and the classes."""
-    edges = functools.reduce(DataFrame.union, [x.select(F.col("hub").alias("a"), F.col("rep").alias("b")) for x in links])
-    roots = components(edges, scratch, f"roots-{turn}")
-    rooted = members.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "band", "hash", "rep", F.coalesce("root", "rep").alias("root"))
+def _open(met_hub: DataFrame, roots: DataFrame, scratch: Scratch) -> DataFrame:
+    """Members (band, hash, rep, hub, root) of the buckets that hold several classes."""
+    rooted = met_hub.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
     mixed = scratch.save(rooted.groupBy("band", "hash").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-                         .where("low != high").select("band", "hash"), f"mixed-{turn}")
-    return scratch.save(rooted.join(mixed, ["band", "hash"]), f"open-{turn}"), roots
+                         .where("low != high").select("band", "hash"), "mixed")
+    return scratch.save(rooted.join(mixed, ["band", "hash"]).select("band", "hash", "rep", "hub", "root"), "open")
 
 
-def _rest(open_rows: DataFrame, hubs: DataFrame, compared: DataFrame, sets: DataFrame, threshold: float,
-          scratch: Scratch) -> DataFrame:
-    """The pairs of different classes that are left in the buckets, with their similarity.
+def _differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``pairs`` (hub, rep) with the hub's size, how many elements the member lacks and adds, and which."""
+    one = sets.select("rep", F.col("elements").alias("e1"))
+    two = sets.select(F.col("rep").alias("hub"), F.col("n").alias("hub_n"), F.col("elements").alias("e2"))
+    lacks, adds = F.array_except("e2", "e1"), F.array_except("e1", "e2")
+    return (pairs.join(one, "rep").join(two, "hub")
+            .select("hub", "rep", "hub_n", lacks.alias("lacks"), adds.alias("adds"))
+            .select("hub", "rep", "hub_n", F.size("lacks").alias("lacks"), F.size("adds").alias("adds"),
+                    F.concat("lacks", "adds").alias("diff")))
+
+
+def _rest(open_rows: DataFrame, sets: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
+    """The links (a, b) between different classes of a bucket, found exactly.
 
-    A pair is left out only if its members' distances to the bucket's first hub differ by more
-    than a link's distance. One member of each pair is outside the bucket's largest class.
+    Members a and b are told by how they differ from the bucket's hub h. With x the number of
+    differences they share, |a and b| = |h| - lacks_a - lacks_b + x and
+    |a or b| = |h| + adds_a + adds_b - x, so they are linked if and only if x reaches a bound that
+    the sizes give. The bound is checked inside the join: first against the sizes alone, which
+    rules out most pairs, then by intersecting the differences. Only links leave the join. One
+    member of each pair is outside the bucket's largest class.
     """
-    j = compared.withColumnRenamed("hub", "c_hub").withColumnRenamed("rep", "c_rep")
-    known = open_rows.join(hubs, ["band", "hash"])
-    known = known.join(j, (F.col("hub") == F.col("c_hub")) & (F.col("rep") == F.col("c_rep")), "left").select(
-        "band", "hash", "rep", "root", F.when(F.col("rep") == F.col("hub"), 1.0).otherwise(F.col("j")).alias("j"))
-    known = scratch.save(known, "known")
+    diffs = _differences(open_rows.select("hub", "rep").distinct(), sets)
+    known = scratch.save(open_rows.join(diffs, ["hub", "rep"]), "known")
     sizes = known.groupBy("band", "hash", "root").agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.groupBy("band", "hash").agg(F.max(F.struct("n", "root")).alias("top")).select(
-        "band", "hash", F.col("top.root").alias("top"))
-    outside = known.join(scratch.save(largest, "largest"), ["band", "hash"]).where("root != top").select(
-        "band", "hash", F.col("rep").alias("rep2"), F.col("root").alias("root2"), F.col("j").alias("j2"), "top")
-    near = F.coalesce(F.abs(F.col("j") - F.col("j2")) <= 1.0 - threshold + 1e-9, F.lit(True))
-    pairs = known.join(outside, ["band", "hash"]).where(
-        (F.col("root") != F.col("root2")) & near & ((F.col("root") == F.col("top")) | (F.col("rep") < F.col("rep2"))))
-    return _similar(pairs.select(F.least("rep", "rep2").alias("hub"), F.greatest("rep", "rep2").alias("rep")).distinct(), sets)
+    largest = scratch.save(sizes.groupBy("band", "hash").agg(F.max(F.struct("n", "root")).alias("top")).select(
+        "band", "hash", F.col("top.root").alias("top")), "largest")
+    outside = known.join(largest, ["band", "hash"]).where("root != top").select(
+        "band", "hash", F.col("rep").alias("rep2"), F.col("root").alias("root2"), F.col("lacks").alias("lacks2"),
+        F.col("adds").alias("adds2"), F.col("diff").alias("diff2"), "top")
+    needed = ((F.lit(threshold) * (F.col("hub_n") + F.col("adds") + F.col("adds2")) - F.col("hub_n") + F.col("lacks")
+               + F.col("lacks2")) / (1.0 + threshold)) - 1e-9
+    fits = needed <= F.least("lacks", "lacks2") + F.least("adds", "adds2")
+    shared = F.size(F.array_intersect("diff", "diff2"))
+    once = (F.col("root") == F.col("top")) | (F.col("rep") < F.col("rep2"))
+    met = known.join(outside, (known["band"] == outside["band"]) & (known["hash"] == outside["hash"])
+                     & (F.col("root") != F.col("root2")) & once & fits & F.when(fits, shared >= needed).otherwise(False))
+    return met.select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).distinct()
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
