@@ -128,7 +128,8 @@ def with_next(docs: DataFrame, prepare, payload: list[str], id_col: str = "doc_i
     last = len(bounds) + (not ids.where(F.col("key").isNull()).isEmpty())
     # ranges count from 1, highest ids first; null ids have the range after all others
     of_row = F.when(key.isNull(), len(bounds) + 1).otherwise(len(bounds) - range_of(key, [low for low, _ in bounds]))
-    dealt = prepare(docs).withColumn("range", of_row)
+    # the bare rows travel; what prepare adds is computed behind the shuffle, which the window reuses
+    dealt = prepare(docs.withColumn("range", of_row).repartition("range"))
     w = Window.partitionBy("range").orderBy(key.desc_nulls_last(), F.col(text_col).desc_nulls_last())
     inside = dealt.withColumn("next", F.lead(F.struct(F.lit(1).alias("there"), *payload)).over(w))
     # the first row of each range, read by its id, follows the last row of the range before
