@@ -185,15 +185,14 @@ def fitting_sample(labelled: DataFrame, per_label: int = PER_LABEL, dim: int = D
 
     ``labelled`` has doc_id, text and lang. A row's hash depends on its id and text.
     """
-    from pyspark.sql import Window
-
     keyed = labelled.withColumn("h", F.xxhash64("doc_id", "text"))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    chosen = keyed.select("lang", "h").distinct().withColumn("place", place).where(F.col("place") <= per_label)
-    limits = chosen.groupBy("lang").agg(F.max("h").alias("limit")).collect()  # one row a label
-    if not limits:
+    numbers = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()  # one row a label
+    if not numbers:
         return []
-    limit = F.create_map(*[x for r in limits for x in (F.lit(r["lang"]), F.lit(r["limit"]))])
+    # hashes are even over 64 bits: this share of them holds about a tenth more rows than wanted
+    share = {r["lang"]: min(1.0, (1.1 * per_label + 50) / r["n"]) for r in numbers}
+    top = {lang: int(-(1 << 63) + part * ((1 << 64) - 1)) for lang, part in share.items()}
+    limit = F.create_map(*[x for lang, h in top.items() for x in (F.lit(lang), F.lit(min(h, (1 << 63) - 1)))])
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -212,7 +211,13 @@ def fitting_sample(labelled: DataFrame, per_label: int = PER_LABEL, dim: int = D
         counts, "h bigint, lang string, at binary, n binary")
     rows = {r["h"]: (r["h"], r["lang"], (np.frombuffer(r["at"], np.int32), np.frombuffer(r["n"], np.int32)))
             for r in got.toLocalIterator()}
-    return [rows[h] for h in sorted(rows)]
+    taken: dict[str, int] = {}
+    sample = []
+    for h in sorted(rows):
+        taken[rows[h][1]] = taken.get(rows[h][1], 0) + 1
+        if taken[rows[h][1]] <= per_label:
+            sample.append(rows[h])
+    return sample
 
 
 def train(docs: DataFrame, per_label: int = PER_LABEL, dim: int = DIM) -> LanguageModel:
