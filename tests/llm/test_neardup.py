@@ -86,6 +86,33 @@ def test_many_near_copies_that_are_no_links(make_docs):
     assert len(set(got.values())) > 50
 
 
+def test_links_of_texts_that_repeat_differently(make_docs):
+    """Set similarity 0.8 or more, but one text has some of its lines a hundred times."""
+    r = random.Random(21)
+    texts = []
+    for k in range(30):
+        base = prose(r, 84)  # 80 shingles
+        extra = [f"z{k}"] * (5 if k % 2 else 100) + prose(r, 6)
+        texts += [" ".join(base), " ".join(base + extra * 100)]
+        texts.append(" ".join(base[:82] + extra * 100))
+    labels = brute_classes(texts)
+    assert len(set(labels)) == 30
+    got = {x["doc_id"]: x["class_id"] for x in N.duplicate_classes(make_docs([(i, t, None, None) for i, t in enumerate(texts)])).collect()}
+    assert partition(got, got.values()) == partition(range(len(texts)), labels)
+
+
+def test_bands_of_set_similarity_beside_the_weighted_ones():
+    """The pair of 80 shared shingles and 20 more that one text holds 100 times (weighted: 0.42)."""
+    met, trials = 0, 200
+    for k in range(trials):
+        e = N._mix(np.arange(1, 101, dtype=np.uint64) + np.uint64(1000 * k))
+        a = N.document_bands(e, np.r_[np.ones(80, np.int64), np.full(20, 100)])
+        b = N.document_bands(e[:80], np.ones(80, np.int64))
+        assert len(b) == N.BANDS and len(a) == 2 * N.BANDS
+        met += any(x is not None and x == b[j % N.BANDS] for j, x in enumerate(a))
+    assert met == trials
+
+
 def test_keep_one_keeps_rows_whole(make_docs):
     t = " ".join(f"w{k}" for k in range(50))
     rows = [(5, t, "en", "s"), (3, t, "de", "b"), (3, t, "de", "b"), (9, t + " more", "en", None), (None, t, "en", "s"),

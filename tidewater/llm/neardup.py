@@ -6,7 +6,9 @@ weight; a register keeps the first arrival, and no arrival later than the last f
 generated. Two documents share a register's shingle with the probability of their probability
 Jaccard similarity. Bands of registers make buckets; documents that meet in a bucket are
 candidates, and a candidate pair is a link if the exact Jaccard similarity of the two shingle
-sets is at least ``THRESHOLD``. A class is a connected component of links.
+sets is at least ``THRESHOLD``. A class is a connected component of links. Links count no
+occurrences, so a document that repeats shingles has bands of flat weights besides, in the same
+buckets; one that repeats none has the same signature either way.
 
 Buckets are worked off without forming all their pairs. Every bucket picks a hub (the document
 that shares most buckets), and each member is compared with it; a bucket in one class is then
@@ -131,6 +133,20 @@ def band_keys(signature: np.ndarray, bands: int = BANDS) -> np.ndarray:
     return key.view(np.int64)
 
 
+def document_bands(elements: np.ndarray, count: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> list[int | None]:
+    """Band keys by weighted shingles and, where any is repeated, those by flat weights that differ.
+
+    The band of an item is its place modulo ``bands``; a flat key equal to the weighted one is null.
+    """
+    if not len(elements):
+        return []
+    weighted = band_keys(probminhash(elements, 1.0 + np.log(count), bands * rows), bands).tolist()
+    if count.max() == 1:
+        return weighted
+    flat = band_keys(probminhash(elements, np.ones(len(elements)), bands * rows), bands).tolist()
+    return weighted + [None if f == w else f for f, w in zip(flat, weighted, strict=True)]
+
+
 def set_key(elements: np.ndarray, text: str) -> str:
     """Equal for equal shingle sets; for texts without words, for equal texts."""
     raw = elements.tobytes() if len(elements) else b"text:" + text.encode("utf-8", "surrogatepass")
@@ -153,8 +169,7 @@ def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, width: int
                     continue
                 elements, count = shingles(text, width)
                 keys.append(set_key(elements, text))
-                found.append(band_keys(probminhash(elements, 1.0 + np.log(count), bands * rows), bands)
-                             if len(elements) else [])
+                found.append(document_bands(elements, count, bands, rows))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(keys, pa.string()), pa.array(found, pa.list_(pa.int64()))],
                 ["doc_id", "text_md5", "key", "bands"])
@@ -232,7 +247,8 @@ def duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     signed = with_row_numbers(signatures(named, bands, rows, width), scratch, "signatures")
     owners = scratch.save(signed.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("row").alias("rep")), "owners")
     reps = signed.join(owners.select(F.col("rep").alias("row")), "row", "left_semi")
-    placed = reps.select(F.col("row").alias("rep"), F.posexplode("bands").alias("band", "hash"))
+    placed = (reps.select(F.col("row").alias("rep"), F.posexplode("bands").alias("place", "hash")).where("hash IS NOT NULL")
+              .select("rep", (F.col("place") % bands).alias("band"), "hash"))
     shared = scratch.save(placed.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
     met = scratch.save(placed.join(shared, ["band", "hash"]), "members")
     score = met.groupBy("rep").agg(F.sum("n").alias("score"))
