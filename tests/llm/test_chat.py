@@ -88,6 +88,22 @@ def test_located_content_of_a_foreign_template():
     assert C.TurnLocator(trims).feed(("user", " a "))[0] == "(user) a\n"
 
 
+def test_history_rewritten_from_far_back(spark):
+    def moved(messages):  # the system text stands in the last user turn; a first system turn is required
+        assert messages[0][0] == "system"
+        last = max((k for k, (r, _) in enumerate(messages) if r == "user"), default=None)
+        return "<s>" + "".join(f"<{r}>{messages[0][1] + '/' if k == last else ''}{t}</{r}>"
+                               for k, (r, t) in enumerate(messages) if k)
+
+    rows = [(1, 0, "system", "be brief"), *((1, k, "user" if k % 2 else "assistant", f"t{k}") for k in range(1, 12))]
+    got = sorted(C.format_conversations(spark.createDataFrame(rows, SCHEMA), moved).collect(), key=lambda r: r["place"])
+    assert [r["rewrites"] for r in got] == [role == "user" and k > 1 for _, k, role, _ in rows]
+    for k, p in enumerate(got):
+        whole = moved([(r, t) for _, _, r, t in rows[:k + 1]])
+        assert whole[p["start"]:] == p["piece"]
+        assert k % 2 == 0 or p["piece"].endswith(f"<user>be brief/t{k}</user>")
+
+
 def test_read_back_refuses_damage():
     with pytest.raises(ValueError):
         C.read_back(C.render([("user", "x")])[:-2])

@@ -6,14 +6,16 @@ outputs compared; what the longer one adds is the last turn's span. Rendering th
 with a probe text shows where the content lies inside the span. A template that changes what it
 printed before is detected (``rewrites``).
 
-Prefixes are rendered over the last ``LOOKBACK`` turns, so a conversation of n turns costs time
-in proportion to n; what an earlier turn adds to both outputs cancels. The window is checked on
-every turn by a second one that is longer by a turn (``unstable`` if they disagree).
+Any template is given true prefixes, from the first turn on: only they show what it does with
+turns far back. That costs two renderings a turn, so time grows with the square of a conversation's
+length, and the task holds the conversation. The operator's own ``render`` joins what it prints for
+each turn alone, so its prefixes are rendered over the last ``LOOKBACK`` turns; what an earlier
+turn adds to both outputs cancels. A caller who knows the same of a template may give ``lookback``;
+such a window is checked on every turn by one that is longer by a turn (``unstable`` if they disagree).
 
 Scale: one shuffle of the rows by conversation, sorted by turn; the rows stream through the
-task, which holds ``LOOKBACK`` + 1 turns and a running digest, never a whole conversation. A
-digest of a conversation is sequential by its definition, so a conversation is one task's work;
-its memory does not grow with the conversation's length.
+task, which holds, with a window, ``LOOKBACK`` + 1 turns and a running digest. A digest of a
+conversation is sequential by its definition, so a conversation is one task's work.
 
 Defined results: null text and null role are empty; rows of equal turn are ordered by role and
 text (nulls first), repeated rows are repeated turns; null conv_id is one conversation; an empty
@@ -92,15 +94,21 @@ def _common(a: str, b: str) -> int:
 
 
 class TurnLocator:
-    """Fed one message after another, tells what each adds to the template's output."""
+    """Fed one message after another, tells what each adds to the template's output.
 
-    def __init__(self, template: Template, lookback: int = LOOKBACK):
+    ``lookback`` None stands for all earlier turns. ``start`` is where the last piece begins in the
+    output of its prefix.
+    """
+
+    def __init__(self, template: Template, lookback: int | None = None):
         self.template, self.lookback = template, lookback
-        self.past: deque[Message] = deque(maxlen=lookback + 1)
+        self.past: deque[Message] = deque(maxlen=None if lookback is None else lookback + 1)
         self.frames: dict[tuple[str, ...], tuple[str, str] | None] = {}
+        self.restart()
 
     def restart(self) -> None:
         self.past.clear()
+        self.shown, self.start, self.end = "", 0, 0
 
     def _added(self, context: list[Message], message: Message) -> tuple[str, bool]:
         before, after = self.template(context), self.template([*context, message])
@@ -124,41 +132,58 @@ class TurnLocator:
         If the content can't be told from the frame it is the whole piece, and unstable is set.
         """
         longer = list(self.past)
-        context = longer[-self.lookback:] if self.lookback else []
-        piece, rewrites = self._added(context, message)
-        unstable = len(longer) > len(context) and self._added(longer, message)[0] != piece
-        frame = self._frame(context, message[0])
+        if self.lookback is None:
+            piece, rewrites, frame = self._after_all(longer, message)
+            unstable = False
+        else:
+            context = longer[-self.lookback:] if self.lookback else []
+            piece, rewrites = self._added(context, message)
+            unstable = len(longer) > len(context) and self._added(longer, message)[0] != piece
+            frame = self._frame(context, message[0])
+            self.start, self.end = self.end, self.end + len(piece)
         self.past.append(message)
         if frame and piece.startswith(frame[0]) and piece.endswith(frame[1]) and len(piece) >= len(frame[0]) + len(frame[1]):
             return piece, len(frame[0]), len(piece) - len(frame[1]), rewrites, unstable
         return piece, 0, len(piece), rewrites, True
 
+    def _after_all(self, past: list[Message], message: Message) -> tuple[str, bool, tuple[str, str] | None]:
+        """What a message adds to the output of all turns before it, whether it rewrites that, and its frame."""
+        before, after = self.shown, self.template([*past, message])
+        kept = _common(before, after)
+        probed = self.template([*past, (message[0], PROBE)])
+        head, probe, tail = probed[_common(before, probed):].partition(PROBE)
+        self.shown, self.start = after, kept
+        return after[kept:], kept < len(before), (head, tail) if probe else None
+
 
-def format_conversations(turns: DataFrame, template: Template = render, lookback: int = LOOKBACK,
+def format_conversations(turns: DataFrame, template: Template = render, lookback: int | None = None,
                          trained_role: str = TRAINED_ROLE, conv_col: str = "conv_id", turn_col: str = "turn",
                          role_col: str = "role", text_col: str = "text") -> DataFrame:
     """One row per turn, in order within each partition, a conversation in one partition:
-    conv_id, turn, place, piece (the turn's output), start (of the piece in the conversation's
-    output), content_start, content_end (within the piece), trained (the content is under the
-    loss mask), rewrites, unstable. Offsets are code points.
+    conv_id, turn, place, piece (the turn's output), start (of the piece in the output of the
+    turns so far), content_start, content_end (within the piece), trained (the content is under the
+    loss mask), rewrites, unstable. Offsets are code points. Without ``lookback`` the prefixes are
+    whole, but for ``render``, whose window of ``LOOKBACK`` turns shows the same.
     """
+    own = template is render
     rows = turns.select(F.col(conv_col).alias("conv_id"), F.col(turn_col).alias("turn"),
                         F.coalesce(F.col(role_col), F.lit("")).alias("role"),
                         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kinds = dict(rows.dtypes)
 
     def located(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        locator, conv, place, at = TurnLocator(template, lookback), object(), 0, 0
+        window = LOOKBACK if own and lookback is None else lookback
+        locator, conv, place = TurnLocator(template, window), object(), 0
         for batch in batches:
             pieces = []
             ids, numbers, roles, texts = (c.to_pylist() for c in batch.columns)
             for key, role, text in zip(ids, roles, texts, strict=True):
                 if key != conv:
-                    conv, place, at = key, 0, 0
+                    conv, place = key, 0
                     locator.restart()
                 piece, first, end, rewrites, unstable = locator.feed((role, text))
-                pieces.append((place, piece, at, first, end, role == trained_role, rewrites, unstable))
-                place, at = place + 1, at + len(piece)
+                pieces.append((place, piece, locator.start, first, end, role == trained_role, rewrites, unstable))
+                place += 1
             cols = list(zip(*pieces, strict=True)) or [[]] * 8
             types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.bool_()]
             yield pa.RecordBatch.from_arrays(
