@@ -31,6 +31,19 @@ def test_declared_parts():
     assert text('<div class="article-share">x</div><article><div class="header">in</div></article>') == "in"
 
 
+def test_named_wrappers_of_the_article_stay():
+    story = "<h1>Head</h1><p>One two three four five six seven</p>"
+    told = "Head\nOne two three four five six seven"
+    for page in (f'<div class="content-sidebar-wrap"><article>{story}</article></div>',
+                 f'<div class="page no-sidebar"><main>{story}</main></div><div class="sidebar">x</div>',
+                 f'<article class="post has-comments category-promotion">{story}<div id="comments"><p>first</p></div></article>',
+                 f'<form id="aspnetForm"><div class="menu">x</div><div>{story}</div></form>',
+                 f'<main><div class="content-sidebar-wrap"><article>{story}<form><p>mail</p></form></article></div></main>',
+                 f'<article><div class="entry no-sidebar">{story}</div></article><div class="ad">{"buy " * 30}</div>',
+                 f'<article>{story}</article><div class="related"><div class="ad"><article>x</article></div></div>'):
+        assert text(f"<body>{page}</body>") == told, page
+
+
 def test_regions():
     assert text("<p>out</p><main><p>in</p></main>") == "in"
     assert text("<main><p>lead</p><article><p>in</p></article></main>") == "in"

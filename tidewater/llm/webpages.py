@@ -8,7 +8,9 @@ is served under many addresses is not taken for a template. Inside an ``article`
 element, paragraphs, headings, lists items, quotes and the like are the author's and stay.
 
 A site's menu can differ from page to page, so elements whose tag, role, class or id declares
-them as menu, header, footer, sidebar, notice, advert, form or comments go as well. If a page
+them as menu, header, footer, sidebar, notice, advert, form or comments go as well; but one that
+does so as a form or by class or id stays if it wraps the page's ``main`` or longest ``article``,
+or more than half of its (or a bare page's) text that does not recur. If a page
 has ``article`` elements with text, the text is theirs; else that of ``main``; else the body's.
 
 Scale: two scans of the pages. Between them travel (host, title, subtree) hashes, reduced by
@@ -25,6 +27,7 @@ an empty table gives an empty result.
 from __future__ import annotations
 
 import html
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -81,6 +84,7 @@ _HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _ENDS = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in RAW}
 
 BREAK = None  # a block boundary among the pieces of text
+DECLARED, MAIN, ARTICLE = range(3)  # kinds of ranges; declared: by a form or a name
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -90,22 +94,30 @@ def _attributes(raw: str) -> dict[str, str]:
     return out
 
 
-def _declared(tag: str, attributes: dict[str, str], inside: bool) -> bool:
-    """Whether the element says that it is not part of the article."""
-    if tag in DROPPED or (tag == "header" and not inside):
-        return True
+def _declared(tag: str, attributes: dict[str, str], inside: bool) -> int:
+    """Whether the element says that it is not part of the article: 0 no, 1 by a form or a name, 2 yes."""
+    if tag in DROPPED and tag != "form" or (tag == "header" and not inside):
+        return 2
     if not attributes or tag in ("html", "body", "main"):
-        return False
+        return tag == "form"
     if "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true" or _HIDING.search(attributes.get("style", "")):
-        return True
+        return 2
     if attributes.get("role", "").lower() in DROPPED_ROLES:
-        return True
+        return 2
+    if tag == "form":
+        return 1
     names = f"{attributes.get('class', '')} {attributes.get('id', '')}"
     words = {w.lower() for w in _WORD.findall(names)}
     declared = words & DROPPED_NAMES
     if declared <= HEADINGS and (inside or words & ARTICLE_NAMES):
-        return False  # an article's own heading
-    return bool(declared)
+        return 0  # an article's own heading
+    return int(bool(declared))
+
+
+def _size(text: str) -> int:
+    """Words of a text; a long run without spaces counts as several."""
+    words = text.split()
+    return len(words) + sum(map(len, words)) // 8
 
 
 class Page:
@@ -121,8 +133,9 @@ class Page:
         self.out: list[tuple[int, str | None]] = []  # (region, text or BREAK); regions: 0 body, 1 main, 2 article
         # open elements: [tag, first piece, hash parts, dropped, region, name]
         self.stack: list[list] = []
+        self.ranges: list[tuple[int, int, int]] = []  # (first piece, end, kind) of closed elements
         self.open: dict[str, int] = {}
-        self.dropped = 0  # open elements that are declared as no part of the article
+        self.dropped = 0  # open elements that are surely no part of the article
         self._run(source)
         while self.stack:
             self._close()
@@ -155,16 +168,16 @@ class Page:
                 self._break()
             return
         gone = _declared(tag, attributes, region > 0)
-        if not gone:
+        if gone < 2:
             region = max(region, 2 if tag == "article" else 1 if tag == "main" or attributes.get("role") == "main" else 0)
-        self.dropped += gone
+        self.dropped += gone == 2
         self.open[tag] = self.open.get(tag, 0) + 1
         self.stack.append([tag, len(self.out), [], gone, region, f"{tag}.{attributes.get('class', '')}#{attributes.get('id', '')}"])
 
     def _close(self) -> None:
         tag, first, parts, gone, region, name = self.stack.pop()
         self.open[tag] -= 1
-        self.dropped -= gone
+        self.dropped -= gone == 2
         key = 0
         if any(parts):
             key = xxhash.xxh64_intdigest("\x1f".join([name, *parts]).encode("utf-8", "surrogatepass")) - (1 << 63)
@@ -173,6 +186,10 @@ class Page:
                 self.subtrees.add(key)
                 if key in self.template:
                     del self.out[first:]
+                    while self.ranges and self.ranges[-1][0] >= first:
+                        self.ranges.pop()
+        if gone < 2:
+            self._mark(tag, first, gone)
         if tag == "h1" and not self.heading:
             self.heading = " ".join(parts)
         if self.stack:
@@ -180,6 +197,13 @@ class Page:
         if tag in BLOCK:
             self._break()
 
+    def _mark(self, tag: str, first: int, gone: int) -> None:
+        if len(self.out) > first:
+            if tag in ("main", "article"):
+                self.ranges.append((first, len(self.out), MAIN if tag == "main" else ARTICLE))
+            if gone:
+                self.ranges.append((first, len(self.out), DECLARED))
+
     def _end_implied(self, tags: tuple[str, ...], boundary: frozenset[str]) -> None:
         if not any(self.open.get(t) for t in tags):
             return
@@ -204,9 +228,10 @@ class Page:
         for k in range(len(self.stack) - 1, -1, -1):
             if self.stack[k][0] == tag:
                 if block and tag in FORMATTING:  # the block goes on without it
-                    _, _, parts, gone, _, _ = self.stack.pop(k)
+                    _, first, parts, gone, _, _ = self.stack.pop(k)
                     self.open[tag] -= 1
-                    self.dropped -= gone
+                    self.dropped -= gone == 2
+                    self._mark(tag, first, gone)
                     if k:
                         self.stack[k - 1][2] += parts
                     return
@@ -259,11 +284,42 @@ class Page:
                 self._start(tag, m[3])
 
     # -- results
+    def _gone(self) -> list[tuple[int, int]]:
+        """Ranges of pieces that a form or a name declares as no part of the article, in order.
+
+        Such an element stays as a wrapper if it is or holds the page's main or longest article, or
+        if it holds more than half of the text of that article (without one, of main or the page).
+        """
+        declared = sorted((r for r in self.ranges if r[2] == DECLARED), key=lambda r: (r[0], -r[1]))
+        if not declared:
+            return []
+        sums = [0, *itertools.accumulate(0 if t is BREAK else _size(t) for _, t in self.out)]
+        size = lambda r: sums[r[1]] - sums[r[0]]
+        holds = lambda a, b: a[0] <= b[0] and b[1] <= a[1]
+        longest = max((size(r) for r in self.ranges if r[2] == ARTICLE), default=0)
+        articles = [r for r in self.ranges if r[2] == ARTICLE and size(r) == longest > 0]
+        mains = [r for r in self.ranges if r[2] == MAIN and size(r)]
+        around = articles or mains or [(0, len(self.out), MAIN)]
+        gone: list[tuple[int, int]] = []
+        for r in declared:
+            most = any(holds(b, r) and 2 * size(r) > size(b) for b in around)
+            if not most and not any(holds(r, b) for b in articles + mains) and (not gone or r[0] >= gone[-1][1]):
+                gone.append(r[:2])
+        return gone
+
+    def _kept(self) -> list[tuple[int, str | None]]:
+        kept, at = [], 0
+        for first, end in self._gone():
+            kept += self.out[at:first]
+            at = end
+        return kept + self.out[at:] if at else self.out
+
     def text(self) -> str:
         """Blocks joined by line feeds, of the article, else of main, else of the body."""
-        best = max((region for region, t in self.out if t is not BREAK and not t.isspace()), default=0)
+        out = self._kept()
+        best = max((region for region, t in out if t is not BREAK and t.strip()), default=0)
         blocks, run = [], []
-        for region, t in [*self.out, (best, BREAK)]:
+        for region, t in [*out, (best, BREAK)]:
             if t is BREAK:
                 if run and (line := " ".join("".join(run).split())):
                     blocks.append(line)
