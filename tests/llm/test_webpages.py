@@ -51,6 +51,17 @@ def test_regions():
     assert text("<article><p>one</p></article><div>x</div><article><p>two</p></article>") == "one\ntwo"
 
 
+def test_a_small_article_does_not_displace_the_story():
+    story, told = "<p>One two three four</p><p>five six</p>", "One two three four\nfive six"
+    card = '<article class="card"><p>teaser</p></article>'
+    assert text(f"<main><h1>Head</h1>{story}{card}</main>") == f"Head\n{told}\nteaser"
+    assert text(f"<main><h1>Head</h1><article>{story}</article></main>") == f"Head\n{told}"
+    assert text(f"<p>x</p><main>{story}{card}</main>") == f"{told}\nteaser"
+    assert text(f"<div>{story}</div>{card}") == f"{told}\nteaser"
+    assert text(f"<div>{story}</div><main>x</main>") == f"{told}\nx"
+    assert text(f"<p>x</p><article>{story}</article>") == told
+
+
 def test_bad_markup_never_fails():
     cases = {"": "", "plain": "plain", "a < b > c": "a < b > c", "<p>x": "x", "<p>a</div></p>b": "a\nb", "x<": "x<", "x<a": "x",
              "<p title='a>b'>t": "t", "<p title=it's>t</p>": "t", "<script>never ends <p>x": "", "<!-- never ends <p>x": "",

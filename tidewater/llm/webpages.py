@@ -10,8 +10,9 @@ element, paragraphs, headings, lists items, quotes and the like are the author's
 A site's menu can differ from page to page, so elements whose tag, role, class or id declares
 them as menu, header, footer, sidebar, notice, advert, form or comments go as well; but one that
 does so as a form or by class or id stays if it wraps the page's ``main`` or longest ``article``,
-or more than half of its (or a bare page's) text that does not recur. If a page
-has ``article`` elements with text, the text is theirs; else that of ``main``; else the body's.
+or more than half of its (or a bare page's) text that does not recur. The text is that of the ``article``
+elements, if what does not recur in ``main`` or the body around them is not longer and has no h1
+in ``main``; else that of ``main``, by the same rule; else the body's.
 
 Scale: two scans of the pages. Between them travel (host, title, subtree) hashes, reduced by
 partial aggregates, so a host with a third of all pages is spread by its subtrees. A host's
@@ -133,6 +134,7 @@ class Page:
         self.out: list[tuple[int, str | None]] = []  # (region, text or BREAK); regions: 0 body, 1 main, 2 article
         # open elements: [tag, first piece, hash parts, dropped, region, name]
         self.stack: list[list] = []
+        self.headings: list[tuple[int, int, str]] = []  # (first piece, region, content) of the h1 elements
         self.ranges: list[tuple[int, int, int]] = []  # (first piece, end, kind) of closed elements
         self.open: dict[str, int] = {}
         self.dropped = 0  # open elements that are surely no part of the article
@@ -186,12 +188,15 @@ class Page:
                 self.subtrees.add(key)
                 if key in self.template:
                     del self.out[first:]
-                    while self.ranges and self.ranges[-1][0] >= first:
-                        self.ranges.pop()
+                    for marks in (self.ranges, self.headings):
+                        while marks and marks[-1][0] >= first:
+                            marks.pop()
         if gone < 2:
             self._mark(tag, first, gone)
-        if tag == "h1" and not self.heading:
-            self.heading = " ".join(parts)
+        if tag == "h1":
+            self.heading = self.heading or " ".join(parts)
+            if any(parts) and len(self.out) > first:
+                self.headings.append((first, region, " ".join(parts)))
         if self.stack:
             self.stack[-1][2].append(f"\x1e{key}" if key else "")
         if tag in BLOCK:
@@ -314,10 +319,26 @@ class Page:
             at = end
         return kept + self.out[at:] if at else self.out
 
+    def _region(self, out: list[tuple[int, str | None]]) -> int:
+        """The article, main or body (2, 1, 0): the innermost with at least as much text as around it.
+
+        An h1 of main outside its articles makes main the region.
+        """
+        gone = self._gone()
+        heading = any(region == 1 and not any(a <= at < b for a, b in gone) for at, region, _ in self.headings)
+        sizes = [0, 0, 0]
+        for region, t in out:
+            if t is not BREAK:
+                sizes[region] += _size(t)
+        article, main, body = sizes[2], sizes[1], sizes[0]
+        if not article + main or article + main < body:
+            return 0
+        return 2 if article and article >= main and not heading else 1
+
     def text(self) -> str:
-        """Blocks joined by line feeds, of the article, else of main, else of the body."""
+        """Blocks joined by line feeds, of the article, main or body."""
         out = self._kept()
-        best = max((region for region, t in out if t is not BREAK and t.strip()), default=0)
+        best = self._region(out)
         blocks, run = [], []
         for region, t in [*out, (best, BREAK)]:
             if t is BREAK:
