@@ -94,6 +94,20 @@ def test_recurring_subtrees_go(spark):
     assert (got[300], got[301], got[302]) == ("no url", "", "odd")
 
 
+def test_the_site_name_as_heading_or_title(spark):
+    shell = "<div class=top>Welcome <b>friend</b></div>"
+    rows = [(k, f"http://name.example/{k}", f"<title>Site</title><header><h1>Site</h1></header>{shell}<p>Story {k}</p>") for k in range(30)]
+    rows += [(100 + k, f"http://logo.example/{k}", f"<h1><a href=/>Site</a></h1>{shell}<p>Story {k}</p>") for k in range(30)]
+    rows += [(200 + k, f"http://bare.example/{k}", f"{shell}<p>Story {k}</p>") for k in range(30)]
+    rows += [(300 + k, f"http://few.example/{k}", f"{shell}<p>Story {k}</p>") for k in range(5)]
+    rows += [(400 + k, f"http://same.example/{k}", f"<title>Site</title>{shell}<p>Story</p>") for k in range(30)]
+    got = articles(spark, rows)
+    for k in range(30):
+        assert got[k] == got[100 + k] == got[200 + k] == f"Story {k}"
+        assert got[400 + k] == "Welcome friend\nStory"
+    assert got[301] == "Welcome friend\nStory 1"
+
+
 def test_an_article_keeps_what_recurs_in_it(spark):
     rows = [(k, f"http://h.example/{k}", f"<div>shell</div><article><h1>T{k}</h1><p>Shared line</p><div class=box>Shared box</div><p>{k}</p></article>")
             for k in range(30)]

@@ -4,7 +4,10 @@ Every element's subtree is hashed from its tag, class, id, text and its children
 counts, per host, on how many differently titled pages a subtree occurs; a subtree that recurs on
 at least ``MIN_TITLES`` titles and on ``MIN_SHARE`` of the host's titles belongs to the site's
 template, and a second pass deletes it. Titles are counted, not pages, so that an article which
-is served under many addresses is not taken for a template. Inside an ``article`` or ``main``
+is served under many addresses is not taken for a template. A page's title is its ``title`` with
+its first h1 outside dropped parts. Pages without either, and those whose title most texts of the
+host bear (the site's name), count by their texts; an article of such a host that is served with
+many different texts counts as many. Inside an ``article`` or ``main``
 element, paragraphs, headings, lists items, quotes and the like are the author's and stay.
 
 A site's menu can differ from page to page, so elements whose tag, role, class or id declares
@@ -130,7 +133,7 @@ class Page:
 
     def __init__(self, source: str, template: frozenset[int] = frozenset()):
         self.template, self.subtrees = template, set()
-        self.title = self.heading = ""
+        self.title = ""
         self.out: list[tuple[int, str | None]] = []  # (region, text or BREAK); regions: 0 body, 1 main, 2 article
         # open elements: [tag, first piece, hash parts, dropped, region, name]
         self.stack: list[list] = []
@@ -194,7 +197,6 @@ class Page:
         if gone < 2:
             self._mark(tag, first, gone)
         if tag == "h1":
-            self.heading = self.heading or " ".join(parts)
             if any(parts) and len(self.out) > first:
                 self.headings.append((first, region, " ".join(parts)))
         if self.stack:
@@ -335,6 +337,12 @@ class Page:
             return 0
         return 2 if article and article >= main and not heading else 1
 
+    def name(self) -> str:
+        """Title and first h1 outside dropped parts; empty if there is neither."""
+        gone = self._gone()
+        heading = next((h for at, _, h in self.headings if not any(a <= at < b for a, b in gone)), "")
+        return f"{self.title}{heading}" if self.title or heading else ""
+
     def text(self) -> str:
         """Blocks joined by line feeds, of the article, main or body."""
         out = self._kept()
@@ -362,19 +370,32 @@ def site_templates(pages: DataFrame, scratch: Scratch, min_titles: int = MIN_TIT
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, titles, keys = [], [], []
+            hosts, titles, bodies, keys = [], [], [], []
             for host, source in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 page = Page(source.as_py() or "")
-                title = xxhash.xxh64_intdigest((page.heading or page.title).encode("utf-8", "surrogatepass")) - (1 << 63)
+                body = page.text()
+                title, body = (xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass")) - (1 << 63) for t in (page.name() or body, body))
                 found = sorted(page.subtrees)
                 hosts += [host] * (len(found) + 1)
                 titles += [title] * (len(found) + 1)
+                bodies += [body] * (len(found) + 1)
                 keys += [None, *found]  # the null stands for the page itself
             yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(titles, pa.int64()),
-                                              pa.array(keys, pa.int64())], ["host", "title", "key"])
-
-    seen = pages.where("host != ''").select("host", "html").mapInArrow(collect, "host string, title bigint, key bigint")
-    counted = scratch.save(seen.distinct().groupBy("host", "key").agg(F.count(F.lit(1)).alias("n")).where(
+                                              pa.array(bodies, pa.int64()), pa.array(keys, pa.int64())],
+                                             ["host", "title", "body", "key"])
+
+    seen = pages.where("host != ''").select("host", "html").mapInArrow(
+        collect, "host string, title bigint, body bigint, key bigint")
+    titled = scratch.save(seen.distinct().groupBy("host", "title", "key").agg(F.count(F.lit(1)).alias("texts")), "titled")
+    # a title that most texts of a host bear is the site's: its pages count by their texts
+    named = titled.where(F.col("key").isNull())
+    all_texts = named.groupBy(F.col("host").alias("site")).agg(F.sum("texts").alias("all"))
+    site_titles = named.where(F.col("texts") >= min_titles).join(all_texts, F.col("host") == F.col("site")).where(
+        2 * F.col("texts") > F.col("all")).select("host", "title")
+    more = titled.where("texts > 1").join(site_titles, ["host", "title"], "left_semi").select(
+        "host", "key", (F.col("texts") - 1).alias("n"))
+    counted = scratch.save(titled.select("host", "key", F.lit(1).cast("long").alias("n")).unionByName(more)
+                           .groupBy("host", "key").agg(F.sum("n").alias("n")).where(
         (F.col("n") >= min_titles) | F.col("key").isNull()), "subtrees")
     totals = counted.where(F.col("key").isNull()).select(F.col("host").alias("site"), F.col("n").alias("titles"))
     recurring = counted.where(F.col("key").isNotNull()).join(totals, F.col("host") == F.col("site")).where(
