@@ -12,7 +12,8 @@ inside a range, and the first row of each range (as many rows as there are range
 gaps. Work per text is linear in its length.
 
 Defined results: null text is empty and has an empty fingerprint; a text of fewer than ``K``
-units uses its S-unit windows, or its units if there are fewer than ``S``; two empty fingerprints
+units uses its S-unit windows, or its units if there are fewer than ``S``; a text of ``K`` or
+``K`` + 1 units may hold no closed syncmer and has an empty fingerprint then; two empty fingerprints
 have likeness 1 and an empty and a filled one 0; equal ids are ordered by text and null ids come
 last; a table of one row is its own next document; an empty table gives an empty result.
 """
