@@ -11,6 +11,7 @@ from tidewater.llm.neighbours import op10_neighbours
 from tidewater.llm.packing import op6_packing
 from tidewater.llm.pii import op2_pii
 from tidewater.llm.secrets import OP4_SQL, op4_secrets
+from tidewater.llm.sharding import op11_sharding
 from tidewater.llm.webpages import op8_webpages
 
 QUERIES = {
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_webpages": op8_webpages,
     "op9_fingerprints": op9_fingerprints,
     "op10_neighbours": op10_neighbours,
+    "op11_sharding": op11_sharding,
 }
 
 ORACLES = {
