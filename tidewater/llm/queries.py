@@ -12,6 +12,7 @@ from tidewater.llm.packing import op6_packing
 from tidewater.llm.pii import op2_pii
 from tidewater.llm.secrets import OP4_SQL, op4_secrets
 from tidewater.llm.sharding import op11_sharding
+from tidewater.llm.spelling import OP13_SQL, op13_spelling
 from tidewater.llm.webpages import op8_webpages
 
 QUERIES = {
@@ -26,10 +27,12 @@ QUERIES = {
     "op9_fingerprints": op9_fingerprints,
     "op10_neighbours": op10_neighbours,
     "op11_sharding": op11_sharding,
+    "op13_spelling": op13_spelling,
 }
 
 ORACLES = {
     "op1_mix": OP1_SQL,
     "op4_secrets": OP4_SQL,
     "op5_chat": OP5_SQL,
+    "op13_spelling": OP13_SQL,
 }
