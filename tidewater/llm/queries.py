@@ -5,6 +5,7 @@ from __future__ import annotations
 from tidewater.llm.chat import OP5_SQL, op5_chat
 from tidewater.llm.fingerprints import op9_fingerprints
 from tidewater.llm.langid import op3_langid
+from tidewater.llm.manifest import OP12_SQL, op12_manifest
 from tidewater.llm.mixing import OP1_SQL, op1_mix
 from tidewater.llm.neardup import op7_neardup
 from tidewater.llm.neighbours import op10_neighbours
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_fingerprints": op9_fingerprints,
     "op10_neighbours": op10_neighbours,
     "op11_sharding": op11_sharding,
+    "op12_manifest": op12_manifest,
     "op13_spelling": op13_spelling,
 }
 
@@ -34,5 +36,6 @@ ORACLES = {
     "op1_mix": OP1_SQL,
     "op4_secrets": OP4_SQL,
     "op5_chat": OP5_SQL,
+    "op12_manifest": OP12_SQL,
     "op13_spelling": OP13_SQL,
 }
