@@ -4,6 +4,7 @@ import duckdb
 from pyspark.sql import functions as F
 
 from tidewater.operators import compact as C
+from tidewater.sources import published as P
 from tidewater.operators import dedup as D
 
 SF = "/root/testdata/sf0.01"
@@ -32,10 +33,10 @@ def test_dedup_with_hot_key_matches_duckdb(spark):
 def test_hot_partition_is_split_across_files(spark, tmp_dir):
     ev = spark.read.parquet(f"{SF}/events.parquet").withColumn(
         "part", F.when(F.col("event_type").isin("click", "view"), "hot").otherwise(F.col("event_type")))
-    src = tmp_dir + "/src"
-    ev.repartition(20).write.partitionBy("part").parquet(src)
-    out = C.compact_table(spark, src, tmp_dir + "/out", ["part"], target_bytes=64 * 1024)
-    files = C.file_stats(spark.read.parquet(out), ["part"]).groupBy("part").count()
+    path = tmp_dir + "/table"
+    P.publish(ev.repartition(20), path, ["part"])
+    made = C.compact_table(spark, path, target_bytes=64 * 1024)
+    files = P.live_files(spark, path, made).groupBy("partition.part").count()
     per = {r.part: r["count"] for r in files.collect()}
     assert per["hot"] > 1 and per["hot"] >= max(v for k, v in per.items() if k != "hot")
-    assert spark.read.parquet(out).count() == ev.count()
+    assert P.read_published(spark, path).count() == ev.count()

@@ -10,10 +10,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewater.functions.hashing import content_checksum
+
 
 @dataclass(frozen=True)
 class AddColumn:
@@ -144,33 +146,6 @@ def migrate_table(spark: SparkSession, df: DataFrame, name: str, location: str,
     return spark.table(name)
 
 
-def hashable(c: Column, dtype: T.DataType) -> Column:
-    """A value that hash functions accept: maps, at any depth, become sorted arrays of entries."""
-    if isinstance(dtype, T.MapType):
-        entries = F.map_entries(c)
-        entry = lambda e: F.struct(hashable(e["key"], dtype.keyType).alias("key"),
-                                   hashable(e["value"], dtype.valueType).alias("value"))
-        return F.array_sort(F.transform(entries, entry))
-    if isinstance(dtype, T.ArrayType) and _has_map(dtype):
-        return F.transform(c, lambda x: hashable(x, dtype.elementType))
-    if isinstance(dtype, T.StructType) and _has_map(dtype):
-        return F.when(c.isNotNull(), F.struct(*[hashable(c[f.name], f.dataType).alias(f.name) for f in dtype.fields]))
-    return c
-
-
-def _has_map(dtype: T.DataType) -> bool:
-    if isinstance(dtype, T.ArrayType):
-        return _has_map(dtype.elementType)
-    if isinstance(dtype, T.StructType):
-        return any(_has_map(f.dataType) for f in dtype.fields)
-    return isinstance(dtype, T.MapType)
-
-
-def _checksum(df: DataFrame, cols: Sequence[str]):
-    # decimal(38,0) sum: a bigint sum of 64-bit hashes overflows under ANSI mode
-    return F.sum(F.xxhash64(*[hashable(F.col(c), df.schema[c].dataType) for c in cols]).cast("decimal(38,0)"))
-
-
 def validate_migration(source: DataFrame, target: DataFrame) -> DataFrame:
     """One row comparing schema (by name and type), row counts and a content checksum.
 
@@ -181,8 +156,8 @@ def validate_migration(source: DataFrame, target: DataFrame) -> DataFrame:
     t_types = {f.name: f.dataType for f in target.schema.fields}
     schema_match = s_types == t_types
     cols = sorted(s_types)
-    s = source.agg(F.count(F.lit(1)).alias("source_rows"), _checksum(source, cols).alias("s_sum"))
-    t = target.agg(F.count(F.lit(1)).alias("target_rows"), _checksum(target, cols).alias("t_sum")) \
+    s = source.agg(F.count(F.lit(1)).alias("source_rows"), content_checksum(source, cols).alias("s_sum"))
+    t = target.agg(F.count(F.lit(1)).alias("target_rows"), content_checksum(target, cols).alias("t_sum")) \
         if schema_match else target.agg(F.count(F.lit(1)).alias("target_rows"),
                                         F.lit(None).cast("decimal(38,0)").alias("t_sum"))
     # both sides are single rows: attach target numbers as scalar subqueries

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidewater.operators import compact as C
 from tidewater.operators import evolve as E
 from tidewater.plans.registry import query
 from tidewater.session import shared_dir
+from tidewater.sources import published as P
 from tidewater.tables import table
 
 EVOLVE_SPLIT = "2024-01-15"
@@ -111,23 +113,58 @@ def small_file_events(spark, sf_dir):
 
 
 def compacted_events(spark, sf_dir):
-    ev, path = small_file_events(spark, sf_dir)
-    out = C.compact_table(spark, path, shared_dir(spark, "compacted"), ["event_type"],
-                          target_bytes=1024 * 1024, schema=ev.schema)
-    return ev, spark.read.schema(ev.schema).parquet(out)
+    """Events published in many small files, half of them by a second append, then compacted."""
+    ev, path = table(spark, sf_dir, "events"), shared_dir(spark, "published")
+    for parity in (0, 1):
+        P.publish(ev.filter(F.col("event_id") % 2 == parity).repartition(16), path, ["event_type"])
+    C.compact_table(spark, path, target_bytes=1024 * 1024)
+    return ev, path
 
 
 @query("compact_table", "SELECT * FROM events")
 def q_compact_table(spark, sf_dir):
-    return compacted_events(spark, sf_dir)[1]
-
-
-@query("compaction_plan", "SELECT event_type, count(*) AS rows_planned FROM events GROUP BY event_type")
+    return P.read_published(spark, compacted_events(spark, sf_dir)[1])
+
+
+@query("published_history", """
+SELECT version, operation, n AS rows, version = 3 AS fewer_files FROM (
+  SELECT 1 AS version, 'append' AS operation, count(*) FILTER (event_id % 2 = 0) AS n FROM events
+  UNION ALL SELECT 2, 'append', count(*) FROM events
+  UNION ALL SELECT 3, 'compact', count(*) FROM events)""")
+def q_published_history(spark, sf_dir):
+    """The published versions of the compacted table; only the compaction has fewer files than the one before."""
+    w = Window.orderBy("version")  # one row a version
+    seen = P.history(spark, compacted_events(spark, sf_dir)[1])
+    fewer = F.coalesce(F.col("files") < F.lag("files").over(w), F.lit(False))
+    return seen.select("version", "operation", "rows", fewer.alias("fewer_files"))
+
+
+PLAN_TARGET, PLAN_MIN_FILES = 400, 2
+
+
+@query("compaction_plan", f"""
+WITH RECURSIVE
+files AS (SELECT event_type, CAST(user_id AS VARCHAR) AS file, CAST(sum(strlen(props)) AS BIGINT) AS size
+          FROM events GROUP BY event_type, user_id),
+ordered AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY size DESC, file) AS k FROM files WHERE size < {PLAN_TARGET}),
+packing AS (
+  SELECT DISTINCT event_type, CAST(0 AS BIGINT) AS k, CAST([] AS BIGINT[]) AS fill, CAST(-1 AS BIGINT) AS bin, CAST(0 AS BIGINT) AS size FROM files
+  UNION ALL
+  SELECT event_type, k, CASE WHEN place IS NULL THEN list_append(fill, size)
+                             ELSE list_transform(fill, lambda f, i: CASE WHEN i = place THEN f + size ELSE f END) END,
+         coalesce(place, len(fill) + 1) - 1, size
+  FROM (SELECT p.event_type, o.k, o.size, p.fill,
+               list_position(p.fill, list_max(list_filter(p.fill, lambda f: f + o.size <= {PLAN_TARGET}))) AS place
+        FROM packing p JOIN ordered o ON o.event_type = p.event_type AND o.k = p.k + 1))
+SELECT event_type, bin, count(*) AS input_files, CAST(sum(size) AS BIGINT) AS input_bytes
+FROM packing WHERE k > 0 GROUP BY event_type, bin HAVING count(*) >= {PLAN_MIN_FILES}
+""")
 def q_compaction_plan(spark, sf_dir):
-    """The plan over the real small files, planned by their record counts: it covers every row."""
-    plan = C.compaction_plan(_small_stats(spark, sf_dir), ["event_type"], size_col="record_count", target_bytes=2000,
-                             rewrite_all=True)
-    return plan.groupBy("event_type").agg(F.sum("input_bytes").alias("rows_planned"))
+    """Best fit by falling size. The files are stood in for by the bytes of each user's events of a type."""
+    stats = table(spark, sf_dir, "events").groupBy("event_type", F.col("user_id").cast("string").alias("file_path")).agg(
+        F.sum(F.octet_length("props")).alias("file_size"))
+    plan = C.compaction_plan(stats, ["event_type"], target_bytes=PLAN_TARGET, min_input_files=PLAN_MIN_FILES)
+    return plan.select("event_type", "bin", "input_files", "input_bytes")
 
 
 @query("compaction_integrity", """
@@ -139,7 +176,8 @@ FROM events GROUP BY event_type
 """)
 def q_compaction_integrity(spark, sf_dir):
     """The compacted table compared with its source, after a third of one partition was lost."""
-    ev, after = compacted_events(spark, sf_dir)
+    ev, path = compacted_events(spark, sf_dir)
+    after = P.read_published(spark, path)
     lost = (F.col("event_type") == "click") & (F.col("event_id") % 3 == 0)
     return C.compaction_integrity(ev, after.filter(~lost), "event_type", "value")
 
