@@ -8,11 +8,11 @@ coordinates that it cannot derive from its own leaves, level by level for all of
 the shared interiors once, up to the root, and expands the proof of each leaf from them.
 
 Scale: the leaf hashes are written once, sorted by ranges and numbered within their group from
-counts per range, so a group that holds a third of all rows is spread over all tasks. Trees are
-grown by spans of ``ARITY ** LEVELS`` nodes, a task a span, which divides the rows by 4,096 a pass.
-A partition of leaves is a block of ``BLOCK`` places of one tree. Only levels that some block asks
-for are read at the fetch; with blocks of whole subtrees that is a handful of nodes a block. Nothing
-whole is collected: the driver sees the tallest tree's size, the levels asked for and the root.
+counts per range, so a group that holds a third of all rows is spread over all tasks. Trees grow a
+level a job, each an eighth of the one before. A partition of leaves is a block of ``BLOCK`` places
+of one tree. Only levels that some block asks for are read at the fetch; with blocks of whole
+subtrees that is a handful of nodes a block. Nothing whole is collected: the driver sees the tallest
+tree's size, the levels asked for and the root.
 
 Defined results: leaves are ordered by id (null first), then by leaf hash, so repeated rows have
 neighbouring places and equal leaves; a null group is a group of its own, before all others; null
@@ -37,8 +37,7 @@ from tidewater.llm.scratch import Scratch, with_row_numbers
 from tidewater.tables import table
 
 ARITY = 8
-LEVELS = 4
-BLOCK = ARITY**LEVELS
+BLOCK = ARITY**4
 TOP = "^"
 COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
 _HEX = 64  # characters of a hash
@@ -78,52 +77,27 @@ def _placed(rows: DataFrame, order: Sequence[Column], scratch: Scratch, name: st
 
 # ---- growing trees ---------------------------------------------------------------------------
 
-NODES = "tree string, place long, hash string, level int"
-
-
-def _grow_span(span: pd.DataFrame) -> pd.DataFrame:
-    """All nodes of the next ``LEVELS`` levels above a span of neighbouring nodes of one level."""
-    span = span.sort_values("place")
-    tree, level, n = span["tree"].iloc[0], int(span["level"].iloc[0]), int(span["n"].iloc[0])
-    first, hashes, out = int(span["place"].iloc[0]), span["hash"].tolist(), []
-    for _ in range(LEVELS):
-        if n == 1:
-            break
-        hashes = [sha256("".join(hashes[k:k + ARITY]).encode()).hexdigest() for k in range(0, len(hashes), ARITY)]
-        first, level, n = first // ARITY, level + 1, _above(n)
-        out += [(tree, first + k, h, level) for k, h in enumerate(hashes)]
-    return pd.DataFrame(out, columns=["tree", "place", "hash", "level"])
-
-
-def _grow(leaves: DataFrame, trees: DataFrame, scratch: Scratch, name: str) -> DataFrame:
-    """Nodes above the leaves (tree, place, leaf) of trees (tree, n), in folders by level."""
-    spark, path = leaves.sparkSession, f"{scratch.base}/{name}"
-    spark.createDataFrame([], NODES).write.partitionBy("level").parquet(path)
-    read = lambda: spark.read.schema(NODES).parquet(path)
-    tallest, level = trees.agg(F.max("n")).first()[0] or 0, 0
-    frontier = leaves.select("tree", "place", F.col("leaf").alias("hash"), F.lit(0).alias("level"))
+def _grow(leaves: DataFrame, trees: DataFrame, scratch: Scratch, name: str) -> list[DataFrame]:
+    """(tree, place, hash) of the nodes on each level, from the leaves (tree, place, leaf) of trees (tree, n) up."""
+    levels = [leaves.select("tree", "place", F.col("leaf").alias("hash"))]
+    tallest, here = trees.agg(F.max("n")).first()[0] or 0, F.col("n")
     while tallest > 1:
-        # nodes of a tree on this level: a tree of one has its root
-        here = F.col("n")
-        for _ in range(level):
-            here = F.ceil(here / ARITY).cast("long")
-        spans = frontier.join(broadcast_if_small(trees.select("tree", here.alias("n")).where(F.col("n") > 1)), "tree")
-        span = F.floor(F.col("place") / ARITY**LEVELS)
-        grown = spans.groupBy("tree", span.alias("span")).applyInPandas(_grow_span, NODES)
-        grown.write.mode("append").partitionBy("level").parquet(path)
-        level += LEVELS
-        frontier = read().where(F.col("level") == level)
-        for _ in range(LEVELS):
-            tallest = _above(tallest)
-    return read()
-
-
-def _roots(leaves: DataFrame, nodes: DataFrame, trees: DataFrame) -> DataFrame:
+        # a tree of one node on this level has its root
+        growing = trees.select("tree", here.alias("n")).where(F.col("n") > 1).select("tree")
+        runs = levels[-1].join(broadcast_if_small(growing), "tree").groupBy("tree", F.floor(F.col("place") / ARITY).alias("place")).agg(
+            F.array_sort(F.collect_list(F.struct("place", "hash"))).alias("run"))
+        parent = F.sha2(F.array_join(F.col("run.hash"), ""), 256)
+        levels.append(scratch.save(runs.select("tree", "place", parent.alias("hash")), f"{name}-{len(levels)}"))
+        tallest, here = _above(tallest), F.ceil(here / ARITY).cast("long")
+    return levels
+
+
+def _roots(levels: list[DataFrame], trees: DataFrame) -> DataFrame:
     """(tree, n, root): a lone leaf itself, else the node of the level where one is left."""
     height = sum([(F.col("n") > ARITY**k).cast("int") for k in range(1, 21)], (F.col("n") > 1).cast("int"))
-    tops = nodes.where(F.col("place") == 0).select("tree", "level", F.col("hash").alias("root"))
-    lone = leaves.where(F.col("place") == 0).select("tree", F.lit(0).alias("level"), F.col("leaf").alias("root"))
-    return trees.withColumn("level", height).join(tops.unionByName(lone), ["tree", "level"]).select("tree", "n", "root")
+    tops = [nodes.where(F.col("place") == 0).select("tree", F.lit(k).alias("level"), F.col("hash").alias("root"))
+            for k, nodes in enumerate(levels)]
+    return trees.withColumn("level", height).join(reduce(DataFrame.unionByName, tops), ["tree", "level"]).select("tree", "n", "root")
 
 
 # ---- octopus ---------------------------------------------------------------------------------
@@ -223,12 +197,12 @@ def merkle_manifest(leaves: DataFrame, block: int = BLOCK) -> DataFrame:
     placed, trees = _placed(bare, [F.col("id").asc_nulls_first(), F.col("leaf")], scratch, "leaves")
     placed = scratch.save(placed, "placed")
     nodes = _grow(placed, trees, scratch, "nodes")
-    subroots = scratch.save(_roots(placed, nodes, trees), "subroots")
+    subroots = scratch.save(_roots(nodes, trees), "subroots")
     tops = subroots.select(F.lit(TOP).alias("tree"), F.col("tree").alias("of"), F.col("root").alias("leaf"))
     top_placed, top_size = _placed(tops, [F.col("of")], scratch, "tops")
     top_placed = scratch.save(top_placed, "top-placed")
     top_nodes = _grow(top_placed, top_size, scratch, "top-nodes")
-    found = _roots(top_placed, top_nodes, top_size).first()
+    found = _roots(top_nodes, top_size).first()
     root, top_n = (found["root"], found["n"]) if found else (None, 0)
 
     of_tree = scratch.save(trees.join(top_placed.select(F.col("of").alias("tree"), F.col("place").alias("top_place")), "tree"),
@@ -239,11 +213,9 @@ def merkle_manifest(leaves: DataFrame, block: int = BLOCK) -> DataFrame:
     asked = scratch.save(blocked.select(*keys, "place", "n", "top_place", "top_n").groupBy(*keys)
                          .applyInPandas(_requests, REQUESTS), "requests")
     # the levels that blocks ask for, one number a level of either tree
-    levels = {(r["top"], r["level"]) for r in asked.select((F.col("of") == TOP).alias("top"), "level").distinct().collect()}
-    stored = [at.where(F.col("level").isin([level for t, level in levels if t == top])).select(
-        F.col("tree").alias("of"), "level", "place", "hash") for top, at in ((False, nodes), (True, top_nodes))]
-    stored += [at.select(F.col("tree").alias("of"), F.lit(0).alias("level"), "place", F.col("leaf").alias("hash"))
-               for top, at in ((False, placed), (True, top_placed)) if (top, 0) in levels]
+    levels = [(r["top"], r["level"]) for r in asked.select((F.col("of") == TOP).alias("top"), "level").distinct().collect()]
+    stored = [(top_nodes if top else nodes)[level].select(F.col("tree").alias("of"), F.lit(level).alias("level"), "place", "hash")
+              for top, level in sorted(levels) or [(False, 0)]]
     # the one fetch; stored nodes are unique, and only those of the levels asked for are read
     fetched = asked.join(broadcast_if_small(reduce(DataFrame.unionByName, stored)), ["of", "level", "place"])
     mine = blocked.select(*keys, "id", "leaf", "shown", "place", "n", "top_place", "top_n").groupBy(*keys)
