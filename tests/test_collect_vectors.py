@@ -118,7 +118,7 @@ def test_topk_matches_brute_force(spark):
     cf = {r.id: np.array(r.embedding, dtype=np.float64) for r in cs.collect()}
     qf = {r.query_id: np.array(r.embedding, dtype=np.float64) for r in qs.collect()}
     got = VE.vector_topk_batch(qs, cs, "query_id", "id", top_k=4, min_score=0.3,
-                               chunk_block_rows=64, query_block_rows=16, broadcast_bytes=0)
+                               lists=7, list_block_rows=20, broadcast_bytes=0)
     res = {}
     for r in got.orderBy("query_id", "rank").collect():
         res.setdefault(r.query_id, []).append(r.id)
@@ -127,30 +127,6 @@ def test_topk_matches_brute_force(spark):
     assert res[40][:2] == [5, 301]
 
 
-def test_ivf_recall(spark):
-    emb = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
-    cs = emb.select(F.col("vec_id").alias("id"), "embedding")
-    qs = emb.select(F.col("vec_id").alias("query_id"), "embedding")
-    assigned, cents = VE.ivf_index(cs, "id", lists=10)
-    exact = VE.vector_topk_batch(qs, cs, "query_id", "id", min_score=0.2)
-    full = VE.vector_topk_ivf(qs, assigned, cents, "query_id", "id", min_score=0.2, probes=10)
-    assert sorted(exact.collect()) == sorted(full.collect())   # all lists probed = exact
-
-
-def test_ivf_recall_on_clustered_vectors(spark):
-    # uniform random vectors have no list structure; recall is measured on clustered data
-    rng = np.random.default_rng(3)
-    centers = rng.normal(size=(10, 16))
-    pts = [(i, [float(x) for x in centers[i % 10] + 0.05 * rng.normal(size=16)]) for i in range(600)]
-    cs = spark.createDataFrame(pts, "id long, embedding array<double>")
-    qs = cs.withColumnRenamed("id", "query_id")
-    assigned, cents = VE.ivf_index(cs, "id", lists=10)
-    exact = VE.vector_topk_batch(qs, cs, "query_id", "id", min_score=0.2)
-    approx = VE.vector_topk_ivf(qs, assigned, cents, "query_id", "id", min_score=0.2, probes=2)
-    hit = approx.join(exact, ["query_id", "id"]).count()
-    assert hit / exact.count() >= 0.9
-
-
 def test_chunks_cover_whole_text(spark):
     docs = spark.createDataFrame([(1, "x" * 2500), (2, "short"), (3, "")], "doc_id int, text string")
     ch = VE.chunk_documents(docs, size=1000, overlap=100).orderBy("doc_id", "chunk_index").collect()
@@ -204,8 +180,8 @@ def test_broadcast_and_block_search_agree(spark):
     rng = np.random.default_rng(5)
     cs = spark.createDataFrame([(i, [float(x) for x in rng.normal(size=6)]) for i in range(200)], "id long, embedding array<double>")
     qs = spark.createDataFrame([(i, [float(x) for x in rng.normal(size=6)]) for i in range(30)], "query_id long, embedding array<double>")
-    near = lambda bound: sorted(VE.vector_topk_batch(qs, cs, "query_id", "id", top_k=3, min_score=-1.0, chunk_block_rows=50,
-                                                     query_block_rows=10, broadcast_bytes=bound).collect())
+    near = lambda bound: sorted(VE.vector_topk_batch(qs, cs, "query_id", "id", top_k=3, min_score=-1.0, lists=5,
+                                                     list_block_rows=10, broadcast_bytes=bound).collect())
     assert near(0) == near(1 << 20) and len(near(0)) == 90
 
 
@@ -229,7 +205,7 @@ def test_topk_blocks_meet_across_many_partitions(spark):
     spark.conf.set("spark.sql.shuffle.partitions", "37")
     try:
         got = VE.vector_topk_batch(qs, cs, "query_id", "id", top_k=3, min_score=-1.0,
-                                   chunk_block_rows=50, query_block_rows=10, broadcast_bytes=0)
+                                   lists=9, list_block_rows=11, broadcast_bytes=0)
         res = {}
         for r in got.orderBy("query_id", "rank").collect():
             res.setdefault(r.query_id, []).append(r.id)

@@ -7,7 +7,7 @@ import __spark_entry__ as E
 SF = "/root/testdata/sf0.001"
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython")
 # vector scoring, and page text, which neither a regular expression nor a short table can read
-PANDAS_OK = {"vector_topk", "vector_topk_batch", "vector_topk_ivf", "rag_context", "rag_prompts", "rag_confidence", "html_text",
+PANDAS_OK = {"vector_topk", "vector_topk_pruned", "ivf_recall", "ivf_scored_share", "vector_index_rows", "append_chunks", "vector_topk_batch", "vector_topk_ivf", "rag_context", "rag_prompts", "rag_confidence", "html_text",
              "page_body", "page_metadata", "page_links", "links_out", "crawl_items", "clean_pages"}
 NAMES = sorted(n for n in E.queries() if n not in E.LLM_QUERIES)  # those have tests of their own
 

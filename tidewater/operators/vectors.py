@@ -1,34 +1,33 @@
-"""Vector retrieval: exact cosine top-k, IVF lists via k-means, document chunks.
+"""Vector retrieval: exact cosine top-k and document chunks.
 
 Exact search never materialises query × chunk pairs as rows and never cross joins. A query set
 below a byte bound is broadcast: the chunks are scanned where they lie, each task keeps every
-query's local top-k, and nothing but those candidates moves. A larger set is cut into blocks,
-and (chunk block, query block) keys co-group one block of each. Either way blocks are scored by
-matrix products in an Arrow-batched function, and ``row_number() <= k`` merges the candidates.
-For large query sets over large tables use the IVF lists, which score only what they probe.
+query's local top-k, and nothing but those candidates moves. For a larger set the chunks are put
+into lists (``operators.ivf``), and each query travels only to the lists that can hold one of its
+best k. Either way blocks are scored by matrix products in an Arrow-batched function, and
+``row_number() <= k`` merges the candidates. To search the same chunks again, keep the index.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.session import materialize
+from tidewater.operators.ivf import (DEFAULT_LISTS, DEFAULT_MIN_SCORE, DEFAULT_TOP_K, LIST_BLOCK_ROWS, best_of,
+                                     build_index, effective_k, search_exact, unit_rows)
+from tidewater.operators.ivf import top_k as merge_top_k
+from tidewater.session import shared_dir
 
-# Retrieval defaults (top-k, score floor, IVF lists, embedding width).
-DEFAULT_TOP_K = 5
-DEFAULT_MIN_SCORE = 0.65
-DEFAULT_LISTS = 100
+__all__ = ["DEFAULT_TOP_K", "DEFAULT_MIN_SCORE", "DEFAULT_LISTS"]
+
+# Fixed value: embedding width.
 DEFAULT_DIM = 768
 
-CHUNK_BLOCK_ROWS = 8192
-QUERY_BLOCK_ROWS = 1024
 # Upper bound of the vectors (8 bytes a component) of a query set that is broadcast.
 QUERY_BROADCAST_BYTES = 32 * 1024 * 1024
 
@@ -42,117 +41,55 @@ def cosine(a: Column, b: Column) -> Column:
     return F.try_divide(dot, na * nb)
 
 
-def _score_fn(qid: str, cid: str, k_default: int, min_score: float):
-    def score(key, q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({qid: q[qid].iloc[:0], cid: c[cid].iloc[:0], "score": np.zeros(0)})
-        if len(q) == 0 or len(c) == 0:
-            return empty
-        cm = np.stack([np.asarray(v, dtype=np.float64) for v in c["_emb"]])
-        qm = np.stack([np.asarray(v, dtype=np.float64) for v in q["_emb"]])
-        cn, qn = np.linalg.norm(cm, axis=1), np.linalg.norm(qm, axis=1)
-        cok, qok = cn > 0, qn > 0
-        cm, cids = cm[cok] / cn[cok, None], c[cid].to_numpy()[cok]
-        qm, qids, ks = qm[qok] / qn[qok, None], q[qid].to_numpy()[qok], q["_k"].to_numpy()[qok]
-        if len(cm) == 0 or len(qm) == 0:
-            return empty
-        s = np.minimum(qm @ cm.T, 1.0)
-        out_q, out_c, out_s = [], [], []
-        for i in range(len(qm)):
-            k = int(ks[i]) if ks[i] is not None and not pd.isna(ks[i]) and int(ks[i]) > 0 else k_default
-            row = s[i]
-            hit = np.nonzero(row >= min_score)[0]
-            if len(hit) == 0:
-                continue
-            if len(hit) > k:
-                # keep every candidate tied with the k-th score: the final merge breaks ties
-                kth = np.partition(row[hit], len(hit) - k)[len(hit) - k]
-                hit = hit[row[hit] >= kth]
-            out_q.append(np.repeat(qids[i], len(hit)))
-            out_c.append(cids[hit])
-            out_s.append(row[hit])
-        if not out_q:
-            return empty
-        return pd.DataFrame({qid: np.concatenate(out_q), cid: np.concatenate(out_c),
-                             "score": np.concatenate(out_s)})
-
-    return score
-
-
-def _blocks(n: int, per_block: int) -> int:
-    return max(1, math.ceil(n / per_block))
-
-
 def vector_topk_batch(queries: DataFrame, chunks: DataFrame, query_id: str = "query_id",
                       chunk_id: str = "id", q_emb: str = "embedding", c_emb: str = "embedding",
                       top_k: int | str | None = None, min_score: float | None = None,
-                      tie_cols: Sequence[str] | None = None,
-                      chunk_block_rows: int = CHUNK_BLOCK_ROWS,
-                      query_block_rows: int = QUERY_BLOCK_ROWS,
+                      tie_cols: Sequence[str] | None = None, lists: int = DEFAULT_LISTS,
+                      list_block_rows: int = LIST_BLOCK_ROWS,
                       broadcast_bytes: int = QUERY_BROADCAST_BYTES) -> DataFrame:
     """Exact cosine top-k for many queries: (query_id, chunk_id, rank, score).
 
     ``top_k`` is an int or the name of a per-query column; 0/NULL means the default (5).
     The floor is inclusive (default 0.65). Ties on score go to the smaller chunk id
-    (``tie_cols`` override). Scores are clamped to 1 and rounded to 6 decimals.
+    (``tie_cols``, columns of the chunks, come first). Scores are clamped to 1 and rounded to 6 decimals.
     """
-    k_default = DEFAULT_TOP_K
-    min_score = DEFAULT_MIN_SCORE if min_score is None else min_score
-    if isinstance(top_k, str):
-        kcol = F.col(top_k)
-    else:
-        kcol = F.lit(top_k if top_k and top_k > 0 else k_default)
-    k_eff = F.when(kcol > 0, kcol).otherwise(F.lit(k_default)).cast("int")
-    tie = tie_cols or [chunk_id]
-    # a constant k needs no per-query lookup (no extra join)
-    ks = queries.select(query_id, k_eff.alias("_k")) if isinstance(top_k, str) else k_eff
-    schema = T.StructType([queries.schema[query_id], chunks.schema[chunk_id],
-                           T.StructField("score", T.DoubleType())])
-    score = _score_fn(query_id, chunk_id, k_default, min_score)
-    q = queries.select(F.col(query_id), F.col(q_emb).alias("_emb"), k_eff.alias("_k"))
-    c = chunks.select(F.col(chunk_id), F.col(c_emb).alias("_emb"))
-    size = q.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size("_emb")), F.lit(0)).alias("parts")).first()
+    floor = DEFAULT_MIN_SCORE if min_score is None else min_score
+    q = queries.select(F.col(query_id), F.col(q_emb).alias("_emb"), effective_k(top_k).alias("_k"))
+    size = q.agg(F.coalesce(F.sum(F.size("_emb")), F.lit(0)).alias("parts")).first()
+    ties = [c for c in tie_cols or () if c != chunk_id]
     if 8 * size["parts"] <= broadcast_bytes:
-        cand = _scan_chunks(q, c, score, schema)
-        return topk_merge(cand, ks, query_id, chunk_id, tie)
-    qb = _blocks(size["n"], query_block_rows)
-    cb = _blocks(c.count(), chunk_block_rows)
-    # block keys must have the same type on both sides (int): the co-group hashes them
-    q = q.withColumn("_qb", F.pmod(F.xxhash64(F.col(query_id)), F.lit(qb)).cast("int"))
-    q = q.withColumn("_cb", F.explode(F.sequence(F.lit(0), F.lit(cb - 1))))  # int elements
-    c = c.withColumn("_cb", F.pmod(F.xxhash64(F.col(chunk_id)), F.lit(cb)).cast("int"))
-    c = c.withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(qb - 1))))
-    cand = (q.groupBy("_cb", "_qb").cogroup(c.groupBy("_cb", "_qb"))
-            .applyInPandas(score, schema))
-    return topk_merge(cand, ks, query_id, chunk_id, tie)
+        cand = _scan_chunks(q, chunks.select(F.col(chunk_id), F.col(c_emb).alias("_emb")), query_id, chunk_id, floor)
+        # a constant k needs no per-query lookup (no extra join)
+        ks = q.select(query_id, "_k") if isinstance(top_k, str) else effective_k(top_k)
+        cand = cand.join(chunks.select(chunk_id, *ties), chunk_id) if ties else cand
+        return merge_top_k(cand, ks, query_id, chunk_id, ties)
+    index = build_index(chunks.select(chunk_id, c_emb, *ties), shared_dir(chunks.sparkSession, "topk_index"), chunk_id, c_emb, lists)
+    return search_exact(queries, index, query_id, q_emb, top_k, floor, list_block_rows, ties)
 
 
-def _scan_chunks(q: DataFrame, c: DataFrame, score, schema: T.StructType) -> DataFrame:
+def _scan_chunks(q: DataFrame, c: DataFrame, query_id: str, chunk_id: str, floor: float) -> DataFrame:
     """Candidates of a broadcast query set (checked size): one narrow pass over the chunks."""
-    shared = q.sparkSession.sparkContext.broadcast(q.toPandas())
+    asked = q.toPandas()
+    at, units = unit_rows(asked["_emb"])
+    shared = q.sparkSession.sparkContext.broadcast((asked[query_id].to_numpy()[at], asked["_k"].to_numpy()[at].tolist(), units))
+    schema = T.StructType([q.schema[query_id], c.schema[chunk_id], T.StructField("score", T.DoubleType())])
 
     def scan(batches):
+        qids, ks, wanted = shared.value
         for batch in batches:
-            found = score(None, shared.value, batch)
-            if len(found):
-                yield found
+            at, vectors = unit_rows(batch["_emb"], wanted.shape[1] if len(wanted) else None)
+            if not len(at) or not len(wanted):
+                continue
+            scores = np.minimum(wanted @ vectors.T, 1.0)
+            found = [best_of(s, k, floor) for s, k in zip(scores, ks, strict=True)]
+            again = np.repeat(np.arange(len(qids)), [len(f) for f in found])
+            if len(again):
+                hits = np.concatenate(found)
+                yield pd.DataFrame({query_id: qids[again], chunk_id: batch[chunk_id].to_numpy()[at[hits]], "score": scores[again, hits]})
 
     return c.mapInPandas(scan, schema)
 
 
-def topk_merge(cand: DataFrame, ks: DataFrame | Column, query_id: str, chunk_id: str,
-               tie_cols: Sequence[str]) -> DataFrame:
-    """Global top-k per query from per-block candidates (bounded: k per block)."""
-    tie_cols = [c for c in tie_cols if c != chunk_id] + [chunk_id]
-    if isinstance(ks, DataFrame):
-        cand, k = cand.join(ks, query_id), F.col("_k")
-    else:
-        k = ks
-    w = Window.partitionBy(query_id).orderBy(F.col("score").desc(), *[F.col(c).asc() for c in tie_cols])
-    ranked = cand.withColumn("rank", F.row_number().over(w))
-    return ranked.filter(F.col("rank") <= k).select(
-        query_id, chunk_id, F.col("rank").cast("int").alias("rank"), F.round("score", 6).alias("score"))
-
-
 def vector_topk(query: Sequence[float], chunks: DataFrame, chunk_id: str = "id",
                 c_emb: str = "embedding", top_k: int | None = None,
                 min_score: float | None = None) -> DataFrame:
@@ -171,66 +108,6 @@ def centroids(df: DataFrame, group_col: str, emb_col: str = "embedding") -> Data
         F.transform(F.array_sort(F.collect_list(F.struct("pos", "v"))), lambda s: s["v"]).alias(emb_col))
 
 
-# Rows that the IVF centroids are fitted on at most; every row is assigned to a list.
-IVF_FIT_ROWS = 20_000
-
-
-def ivf_index(chunks: DataFrame, chunk_id: str = "id", c_emb: str = "embedding",
-              lists: int = DEFAULT_LISTS, seed: int = 42, max_iter: int = 20, fit_rows: int = IVF_FIT_ROWS):
-    """IVF lists: k-means (cosine) over the chunk vectors. Returns (chunks with ``list_id``,
-    centroid frame ``(list_id, embedding)``).
-
-    The centroids are fitted on at most ``fit_rows`` vectors, chosen by a hash of the id and
-    written once, so the passes of k-means do not repeat the plan above them.
-    """
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.functions import array_to_vector
-
-    vec = chunks.withColumn("_features", array_to_vector(F.col(c_emb).cast("array<double>")))
-    km = KMeans(k=lists, seed=seed, maxIter=max_iter, featuresCol="_features",
-                predictionCol="list_id", distanceMeasure="cosine")
-    sample = chunks.orderBy(F.xxhash64(F.col(chunk_id)), chunk_id).limit(fit_rows).select(c_emb)
-    fit = materialize(sample, "ivf_sample").select(array_to_vector(F.col(c_emb).cast("array<double>")).alias("_features"))
-    model = km.fit(fit)
-    assigned = model.transform(vec).drop("_features")
-    spark = chunks.sparkSession
-    # lists × dim numbers: bounded by the index parameters, not by the data
-    cents = spark.createDataFrame(
-        [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())],
-        "list_id int, embedding array<double>")
-    return assigned, cents
-
-
-def vector_topk_ivf(queries: DataFrame, assigned: DataFrame, cents: DataFrame,
-                    query_id: str = "query_id", chunk_id: str = "id", q_emb: str = "embedding",
-                    c_emb: str = "embedding", top_k: int | None = None,
-                    min_score: float | None = None, probes: int = 10,
-                    list_block_rows: int = CHUNK_BLOCK_ROWS) -> DataFrame:
-    """Approximate top-k: probe the ``probes`` nearest lists per query, then exact scoring
-    inside them. Large lists are split into sub-blocks so no list is scored by one task."""
-    k_default = DEFAULT_TOP_K
-    min_score = DEFAULT_MIN_SCORE if min_score is None else min_score
-    k = top_k if top_k and top_k > 0 else k_default
-    probe = vector_topk_batch(queries, cents, query_id, "list_id", q_emb, "embedding",
-                              top_k=probes, min_score=-1.0)
-    sizes = assigned.groupBy("list_id").agg(
-        F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / F.lit(list_block_rows))).cast("int").alias("_nsub"))
-    # one row a list: bounded by the index's ``lists``
-    sizes = F.broadcast(sizes)
-    c = assigned.join(sizes, "list_id").select(
-        F.col(chunk_id), F.col(c_emb).alias("_emb"), "list_id",
-        F.pmod(F.xxhash64(F.col(chunk_id)), F.col("_nsub")).cast("int").alias("_sub"))
-    q = (queries.select(F.col(query_id), F.col(q_emb).alias("_emb"), F.lit(k).alias("_k"))
-         .join(probe.select(query_id, "list_id"), query_id)
-         .join(sizes, "list_id")
-         .withColumn("_sub", F.explode(F.sequence(F.lit(0), F.col("_nsub") - 1))).drop("_nsub"))
-    schema = T.StructType([queries.schema[query_id], assigned.schema[chunk_id],
-                           T.StructField("score", T.DoubleType())])
-    cand = (q.groupBy("list_id", "_sub").cogroup(c.groupBy("list_id", "_sub"))
-            .applyInPandas(_score_fn(query_id, chunk_id, k, min_score), schema))
-    return topk_merge(cand, F.lit(k), query_id, chunk_id, [chunk_id])
-
-
 def chunk_documents(docs: DataFrame, text_col: str = "text", size: int = 1000, overlap: int = 100) -> DataFrame:
     """Fixed-size character windows with overlap: (…, chunk_index, content).
 

@@ -10,13 +10,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidewater.operators import ivf as IV
 from tidewater.operators import merge as M
 from tidewater.operators import rag as R
 from tidewater.operators import vectors as VE
 from tidewater.plans.pages import sql_strip
 from tidewater.plans.registry import query
 from tidewater.session import materialize, shared_dir
-from tidewater.sources.sinks import append_rows
 from tidewater.tables import table
 
 CHUNK_SIZE, CHUNK_OVERLAP = 1000, 100
@@ -99,12 +99,10 @@ def q_chunk_documents(spark, sf_dir):
 
 
 def appended_store(spark, sf_dir):
-    """Two appends to the store, by parity of the chunk number."""
+    """The store kept as a vector index: even chunk numbers when it is built, odd ones appended."""
     valid = VE.check_dims(all_chunks(spark, sf_dir), DIM)[0]
-    path = shared_dir(spark, "chunk_store")
-    for parity in (0, 1):
-        append_rows(valid.filter(F.col("chunk_index") % 2 == parity), path)
-    return spark.read.schema(valid.schema).parquet(path)
+    index = IV.build_index(valid.filter(F.col("chunk_index") % 2 == 0), shared_dir(spark, "chunk_store"), lists=IVF_LISTS)
+    return IV.append_to_index(valid.filter(F.col("chunk_index") % 2 == 1), index).rows(spark)
 
 
 @query("append_chunks", f"""WITH {CHUNKS_SQL}
@@ -178,15 +176,60 @@ def q_vector_topk(spark, sf_dir):
 IVF_LISTS = 16
 
 
-@query("vector_topk_ivf", topk_sql("embeddings", "embeddings", "vec_id", "vec_id", VE.DEFAULT_TOP_K, BATCH_MIN_SCORE))
-def q_vector_topk_ivf(spark, sf_dir):
-    """IVF over all embeddings with every list probed, which is exact search by another road."""
+def embedding_index(spark, sf_dir, lists=IVF_LISTS):
+    """(queries, index): every embedding as a query; the index is built on three quarters of them and
+    the rest appended to it."""
     emb = table(spark, sf_dir, "embeddings")
-    cs = emb.select(F.col("vec_id").alias("chunk_id"), "embedding")
-    assigned, cents = VE.ivf_index(cs, "chunk_id", lists=IVF_LISTS)
-    qs = emb.select(F.col("vec_id").alias("query_id"), "embedding")
-    return VE.vector_topk_ivf(qs, materialize(assigned, "ivf"), cents, "query_id", "chunk_id", min_score=BATCH_MIN_SCORE,
-                              probes=IVF_LISTS)
+    chunks = emb.select(F.col("vec_id").alias("chunk_id"), "label", "embedding")
+    late = F.col("chunk_id") % 4 == 3
+    index = IV.build_index(chunks.filter(~late), shared_dir(spark, "vector_index"), "chunk_id", lists=lists)
+    return emb.select(F.col("vec_id").alias("query_id"), "embedding"), IV.append_to_index(chunks.filter(late), index)
+
+
+_ALL_PAIRS_SQL = topk_sql("embeddings", "embeddings", "vec_id", "vec_id", VE.DEFAULT_TOP_K, BATCH_MIN_SCORE)
+
+
+@query("vector_topk_ivf", _ALL_PAIRS_SQL)
+def q_vector_topk_ivf(spark, sf_dir):
+    """The stored index with every list probed, which is exact search by another road."""
+    queries, index = embedding_index(spark, sf_dir)
+    return IV.search(queries, index, min_score=BATCH_MIN_SCORE, probes=IVF_LISTS)
+
+
+@query("vector_topk_pruned", _ALL_PAIRS_SQL)
+def q_vector_topk_pruned(spark, sf_dir):
+    """Exact search over the stored index: a list is read only for queries that it can hold a result of."""
+    queries, index = embedding_index(spark, sf_dir)
+    return IV.search_exact(queries, index, min_score=BATCH_MIN_SCORE)
+
+
+@query("vector_index_rows", """
+SELECT vec_id AS chunk_id, label, CAST(len(embedding) AS INTEGER) AS dims, TRUE AS listed FROM embeddings""")
+def q_vector_index_rows(spark, sf_dir):
+    """What the stored index holds: every chunk once, with its columns, in a list."""
+    rows = embedding_index(spark, sf_dir)[1].rows(spark)
+    return rows.select("chunk_id", "label", F.size("embedding").alias("dims"), (F.col("list_id") >= 0).alias("listed"))
+
+
+@query("ivf_recall", f"""
+SELECT (SELECT count(*) FROM embeddings) AS queries, count(*) AS exact_pairs, TRUE AS recall_at_least_090
+FROM ({_ALL_PAIRS_SQL})""")
+def q_ivf_recall(spark, sf_dir):
+    """Share of the exact results that a search of 10 of 16 lists finds, for all embeddings."""
+    queries, index = embedding_index(spark, sf_dir)
+    exact = IV.search_exact(queries, index, min_score=BATCH_MIN_SCORE).select("query_id", "chunk_id")
+    found = IV.search(queries, index, min_score=BATCH_MIN_SCORE, probes=10).select("query_id", "chunk_id", F.lit(1).alias("hit"))
+    share = exact.join(found, ["query_id", "chunk_id"], "left").agg(F.count(F.lit(1)).alias("exact_pairs"), F.count("hit").alias("hits"))
+    return share.select(queries.agg(F.count(F.lit(1))).scalar().alias("queries"), "exact_pairs",
+                        (F.col("hits") >= 0.9 * F.col("exact_pairs")).alias("recall_at_least_090"))
+
+
+@query("ivf_scored_share", "SELECT count(*) * count(*) AS all_pairs, TRUE AS within FROM embeddings")
+def q_ivf_scored_share(spark, sf_dir):
+    """Pairs of an exact search by the floor 0.2, of all pairs; the share depends on the lists."""
+    queries, index = embedding_index(spark, sf_dir)
+    share = IV.scored_share(queries, index, min_score=BATCH_MIN_SCORE)
+    return share.select("all_pairs", F.col("scored_pairs").between(0, F.col("all_pairs")).alias("within"))
 
 
 @query("rag_context", f"""{RESULTS_SQL}
