@@ -33,8 +33,20 @@ def test_ids_equal_the_whole_text_encoding(tokenizer, documents):
         assert np.frombuffer(tokenizer.ids(t), "<u4").tolist() == ids, repr(t[:60])
 
 
+def test_texts_of_a_batch_keep_apart(tokenizer, documents, monkeypatch):
+    """Slices of a batch, offsets into a parent array, and texts longer than a slice."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(P, "SLICE_CHARS", 500)
+    whole = Tokenizer.from_file(P.vocabulary_path())
+    texts = [None, "x" * 30, *ODD, *[t for _, t, _, _ in documents[:40]], "", None]
+    want = [whole.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for part, expect in ((pa.array(texts), want), (pa.array(texts).slice(3, 30), want[3:33]), (pa.array([], pa.string()), [])):
+        assert [np.frombuffer(b, "<u4").tolist() for b in tokenizer.encode(part)] == expect
+
+
 def test_caches_start_anew(monkeypatch):
-    monkeypatch.setattr(P, "CACHE_ENTRIES", 3)
+    monkeypatch.setattr(P, "CACHE_BYTES", 600)
     small, whole = P.WordTokenizer(P.vocabulary_path()), Tokenizer.from_file(P.vocabulary_path())
     for t in ["one two three four", "two five 日 本 six", "one one seven"]:
         assert np.frombuffer(small.ids(t), "<u4").tolist() == whole.encode(t, add_special_tokens=False).ids

@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,25 +42,31 @@ ISLANDS = 3
 POPULATION = 4
 GENERATIONS = 5  # in each of the two epochs
 VOCABULARY = "word_bpe_49k.json"
-CACHE_ENTRIES = 600_000  # of a task's word and part caches; one starts anew when full
+CACHE_BYTES = 96 << 20  # about, of each of a worker's word and part caches; one starts anew when full
 LONGEST_CACHED = 48
+SLICE_CHARS = 4 << 20  # texts encoded together; a longer one goes alone
 
 #: The vocabulary's own split, for lowered texts of letters and signs below U+0180, where lower case
 #: and composed forms do not depend on the surroundings: endings, letters, a digit, other signs.
 _LETTERS, _NUMBERS = "a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u017f", "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
 _PART = re.compile(rf"'(?:s|t|re|ve|m|ll|d)|[{_LETTERS}]+|[{_NUMBERS}]|[^\s{_LETTERS}{_NUMBERS}]+")
 _LATIN = re.compile(r"[\t\n\r -~\u00a1-\u017f]*")
+#: The same for Arrow's functions: what keeps a text from being split as a whole (U+0130 has no single
+#: lower case), and the parts that are set off by spaces, which leaves the runs of letters.
+_NOT_PLAIN = r"[^\t\n\r -~\x{a1}-\x{17f}]|\x{130}|<\|"
+_SIGNS = rf"('(?:s|t|re|ve|m|ll|d)|[{_NUMBERS}]|[^\s{_LETTERS}{_NUMBERS}]+)"
 
 
 
 # ------------------------------------------------------------------------------- tokenizing
 class WordTokenizer:
-    """Ids of whole texts, word by word.
+    """Ids of whole texts, from those of their distinct words.
 
     The vocabulary's rules never join characters across a space or a line feed, nor across the
-    parts that its split makes, so a text's ids are those of its parts in order. A part that was
-    seen before is a dictionary look-up; the new parts of a Latin text go to the tokenizer as one
-    string, whose ids are divided after each word-final token. Other texts go word by word.
+    parts that its split makes, so a text's ids are those of its parts in order. Arrow splits the
+    texts of Latin letters and signs into parts and numbers them; only distinct parts are looked up,
+    and the ids of the texts are gathered from theirs. New parts go to the tokenizer as one string,
+    whose ids are divided after each word-final token. Other texts go word by word.
     """
 
     def __init__(self, path: str):
@@ -70,8 +77,21 @@ class WordTokenizer:
         vocabulary = self.tokenizer.get_vocab()
         self.final = np.zeros(max(vocabulary.values()) + 1, bool)
         self.final[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.words: dict[str, bytes] = {"": b""}
-        self.parts: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {"": b""}
+        self.held = {"words": 0, "parts": 0}
+
+    def _keep(self, name: str, new: dict[str, bytes]) -> None:
+        """Add to a cache, which starts anew beyond its bytes (strings, ids and their objects)."""
+        cache = getattr(self, name)
+        new = {w: b for w, b in new.items() if len(w) <= LONGEST_CACHED}
+        size = sum(len(w) + len(b) for w, b in new.items()) + 150 * len(new)
+        if self.held[name] + size > CACHE_BYTES:
+            cache.clear()
+            cache[""] = b""
+            self.held[name] = 0
+        cache.update(new)
+        self.held[name] += size
 
     def _each(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -82,38 +102,81 @@ class WordTokenizer:
             return {}
         ids = np.array(self.tokenizer.encode_batch_fast([" ".join(parts)], add_special_tokens=False)[0].ids, dtype="<u4")
         ends = (self.final[ids].nonzero()[0] + 1) * 4
-        if len(ends) != len(parts):
-            return dict(zip(parts, self._each(parts), strict=True))
+        if len(ends) != len(parts):  # some part has no word-final token, or several: narrowed down by halves
+            half = len(parts) // 2
+            return self._new_parts(parts[:half]) | self._new_parts(parts[half:]) if half > 20 else dict(zip(parts, self._each(parts), strict=True))
         raw, begins = ids.tobytes(), [0, *ends.tolist()]
         return {part: raw[i:j] for part, i, j in zip(parts, begins, begins[1:], strict=False)}
 
-    def _latin(self, text: str) -> bytes:
-        """Ids of a text of ``_LATIN`` characters, part by part."""
-        parts = _PART.findall(text.lower())
+    def _of_parts(self, parts: list[str]) -> list[bytes]:
+        """Ids of distinct parts."""
         found = list(map(self.parts.get, parts))
-        if None not in found:
-            return b"".join(found)
-        new = self._new_parts(list({p for p, b in zip(parts, found, strict=True) if b is None}))
-        if len(self.parts) + len(new) > CACHE_ENTRIES:
-            self.parts.clear()
-        self.parts.update((p, b) for p, b in new.items() if len(p) <= LONGEST_CACHED)
-        return b"".join([new[p] if b is None else b for p, b in zip(parts, found, strict=True)])
+        new = self._new_parts([p for p, b in zip(parts, found, strict=True) if b is None])
+        self._keep("parts", new)
+        return [new[p] if b is None else b for p, b in zip(parts, found, strict=True)] if new else found
+
+    def _latin(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words of ``_LATIN`` characters, part by part."""
+        split = [_PART.findall(w.lower()) for w in words]
+        distinct = list({p for parts in split for p in parts})
+        known = dict(zip(distinct, self._of_parts(distinct), strict=True))
+        return {w: b"".join([known[p] for p in parts]) for w, parts in zip(words, split, strict=True)}
+
+    def _of_words(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words without spaces or line feeds."""
+        found = list(map(self.words.get, words))
+        missing = [w for w, b in zip(words, found, strict=True) if b is None]
+        if missing:
+            latin = [w for w in missing if _LATIN.fullmatch(w) and "<|" not in w]
+            other = list(set(missing).difference(latin))
+            new = self._latin(latin) | dict(zip(other, self._each(other), strict=True))
+            self._keep("words", new)
+            found = [new[w] if b is None else b for w, b in zip(words, found, strict=True)]
+        return found
+
+    def encode(self, texts: pa.Array) -> Iterator[bytes]:
+        """Little-endian unsigned 32-bit ids of each text of a string array, nulls as empty."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        ends = np.cumsum(pc.utf8_length(texts).to_numpy(zero_copy_only=False))
+        first = 0
+        while first < len(texts):
+            before = ends[first - 1] if first else 0
+            last = max(first + 1, int(np.searchsorted(ends, before + SLICE_CHARS, side="right")))
+            yield from self._encode_slice(texts.slice(first, last - first))
+            first = last
+
+    def _encode_slice(self, texts: pa.Array) -> Iterator[bytes]:
+        rare = pc.match_substring_regex(texts, _NOT_PLAIN)
+        common = pc.utf8_lower(texts.filter(pc.invert(rare)))
+        spaced = pc.replace_substring_regex(common, _SIGNS, r" \1 ")
+        plain = self._gather(pc.ascii_split_whitespace(spaced), self._of_parts)
+        if not pc.any(rare).as_py():
+            return plain
+        words = pc.split_pattern(pc.replace_substring(texts.filter(rare), "\n", " "), " ")
+        other = self._gather(words, self._of_words)
+        return (next(other if r else plain) for r in rare.to_pylist())
+
+    @staticmethod
+    def _gather(split: pa.Array, look_up) -> Iterator[bytes]:
+        """The ids of texts split into pieces, from those of the distinct pieces."""
+        numbered = split.flatten().dictionary_encode()
+        ids = look_up(numbered.dictionary.to_pylist())
+        lengths = np.fromiter(map(len, ids), np.int32, len(ids)) // 4
+        pool, begins = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(lengths, dtype=np.int32) - lengths
+        of = numbered.indices.to_numpy(zero_copy_only=False)
+        counts = lengths[of]
+        ends = np.cumsum(counts, dtype=np.int32)  # a slice is far from 2^31 ids, a text longer than that from fitting a row
+        # a piece's ids lie together in the pool: from its begin one by one
+        at = np.repeat(begins[of] - (ends - counts), counts)
+        at += np.arange(len(at), dtype=np.int32)
+        gathered = pool[at].tobytes()
+        pieces = split.offsets.to_numpy() - split.offsets[0].as_py()
+        bounds = (np.r_[np.int64(0), ends][pieces] * 4).tolist()
+        return (gathered[a:b] for a, b in zip(bounds, bounds[1:], strict=False))
 
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
-        if _LATIN.fullmatch(text) and "<|" not in text:
-            return self._latin(text)
-        words = text.replace("\n", " ").split(" ")
-        found = list(map(self.words.get, words))
-        missing = list({w for w, b in zip(words, found, strict=True) if b is None})
-        new = {w: self._latin(w) for w in missing if _LATIN.fullmatch(w) and "<|" not in w}
-        other = [w for w in missing if w not in new]
-        new |= dict(zip(other, self._each(other), strict=True))
-        if len(self.words) + len(new) > CACHE_ENTRIES:
-            self.words.clear()
-            self.words[""] = b""
-        self.words.update((w, b) for w, b in new.items() if len(w) <= LONGEST_CACHED)
-        return b"".join([new[w] if b is None else b for w, b in zip(words, found, strict=True)])
+        return next(self.encode(pa.array([text])))
 
 
 @functools.lru_cache(maxsize=1)
@@ -145,8 +208,8 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         tokenizer = tokenizer_at(vocabulary if "/" in vocabulary else vocabulary_path(vocabulary))
         for batch in batches:
             of, piece, start, length, crc, ids = [], [], [], [], [], []
-            for r, value in enumerate(batch.column(1)):
-                all_ids = tokenizer.ids(value.as_py() or "") + closing
+            for r, own_ids in enumerate(tokenizer.encode(batch.column(1))):
+                all_ids = own_ids + closing
                 for k, at in enumerate(range(0, len(all_ids), 4 * capacity)):
                     part = all_ids[at:at + 4 * capacity]
                     of.append(r)
