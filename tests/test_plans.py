@@ -37,12 +37,52 @@ def test_scan_prunes_and_pushes(spark):
     assert "l_tax" not in summary.split("ReadSchema:")[1].split("\n")[0]
 
 
-def test_a_hot_source_can_be_split(spark):
-    """Both sides of a crawl round's join come from plain exchanges, which the adaptive join splits."""
+def test_a_crawl_round_moves_no_stored_table(spark):
+    """Between the scans of edges and of visited pages and their joins there is no exchange."""
     from tidewater.operators import links as L
 
-    edges = spark.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN 'hub' ELSE concat('n', id) END AS src", "concat('n', id) AS dst")
-    seeds = spark.createDataFrame([("hub",)], "url string")
-    got = L.crawl_frontier(edges, seeds, 2)
-    assert got.filter("depth = 1").count() == 1000
+    edges = spark.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN 'hub' ELSE concat('n', id) END AS src", "concat('n', id + 1) AS dst")
+    seeds = spark.createDataFrame([("hub",), ("n7",)], "url string")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    tables = L._Bucketed(spark, 8)
+    try:
+        dealt, hot = L.salted_edges(edges, 100)
+        assert [tuple(r) for r in hot.collect()] == [("hub", 10)]
+        stored = tables.write(dealt, "edges", ["src", "salt"])
+        at_hub = stored.filter("src = 'hub'").groupBy("salt").count().collect()
+        assert len(at_hub) == 10 and max(r["count"] for r in at_hub) < 200
+        visited = [tables.write(seeds, "depth", ["url"]), tables.write(spark.createDataFrame([("n1",)], "url string"), "depth", ["url"])]
+        plan = plan_text(L.next_frontier(visited[0], stored, hot, visited, 8))
+        scans = plan.split("\n")
+        depth_of = lambda line: len(line) - len(line.lstrip(" :+-"))
+
+        def above(i):
+            """Operators between a scan and the nearest join over it."""
+            out, at = [], depth_of(scans[i])
+            for line in reversed(scans[:i]):
+                if depth_of(line) < at:
+                    at = depth_of(line)
+                    out.append(line.lstrip(" :+-"))
+                    if "Join" in line:
+                        break
+            return out
+
+        bucketed = [i for i, line in enumerate(scans) if "FileScan" in line and "Bucketed: true" in line]
+        # the frontier, the edges and both tables of visited pages
+        assert len(bucketed) == 4 and not any("Exchange" in op for i in bucketed for op in above(i))
+        # what moves: the frontier to its edges, and what it reaches to the visited pages
+        assert plan.count("Exchange hashpartitioning(src") == 1 and plan.count("Exchange hashpartitioning(url") == 1
+    finally:
+        tables.forget()
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    got = {r.url: r.depth for r in L.crawl_frontier(edges, seeds, 2, hot_edges=100).collect()}
+    succ = {}
+    for i in range(3000):
+        succ.setdefault("hub" if i % 3 == 0 else f"n{i}", set()).add(f"n{i + 1}")
+    want, frontier = {"hub": 0, "n7": 0}, {"hub", "n7"}
+    for d in (1, 2):
+        frontier = {x for u in frontier for x in succ.get(u, ())} - set(want)
+        want |= dict.fromkeys(frontier, d)
+    assert got == want
     assert L.crawl_frontier(edges, seeds, 2, max_pages=10).count() == 10

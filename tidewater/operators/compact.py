@@ -158,7 +158,7 @@ def compact_table(spark: SparkSession, path: str, target_bytes: int = TARGET_BYT
     numbers = materialize(bins.orderBy("_bin").coalesce(1).select("_bin", F.monotonically_increasing_id().cast("int").alias("_slot")), "bins")
     of_file = materialize(packed.select(F.col("file").alias("_file"), bin_key.alias("_bin")).join(broadcast_if_small(numbers), "_bin")
                           .select("_file", "_slot"), "file_slots")
-    rows = read_files(spark, path, base, chosen).withColumns({"_file": relative_file(), "_row": F.col("_metadata.row_index")})
+    rows = read_files(spark, path, base, chosen, {"_file": relative_file(), "_row": F.col("_metadata.row_index")})
     slotted = rows.join(broadcast_if_small(of_file), "_file")
     moved = slotted.repartitionByRange(numbers.count(), "_slot").sortWithinPartitions("_slot", "_file", "_row")
     staged = materialize(stage(moved.select(*base.schema.names), path, base.partition_cols, base.number + 1), "staged_files")
@@ -168,7 +168,8 @@ def compact_table(spark: SparkSession, path: str, target_bytes: int = TARGET_BYT
     if not before.join(after, F.col("was").eqNullSafe(F.col("now")), "full_outer").filter(~F.col("n").eqNullSafe(F.col("m"))).isEmpty():
         raise RuntimeError(f"compaction of {path} lost or added rows")
     kept = live.join(broadcast_if_small(packed.select("file")), "file", "left_anti")
-    return commit(spark, path, kept.unionByName(staged), base.schema, base.partition_cols, "compact", base.number + 1)
+    return commit(spark, path, kept.unionByName(staged), base.schema, base.partition_cols, "compact", base.number + 1,
+                  base.properties)
 
 
 def compaction_integrity(before: DataFrame, after: DataFrame, group_col: str, value_col: str) -> DataFrame:

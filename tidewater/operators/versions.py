@@ -33,7 +33,8 @@ def row_columns(log: DataFrame, keys: Sequence[str]) -> list[str]:
     return [c for c in log.columns if c not in META and c not in keys]
 
 
-def _latest(log: DataFrame, keys: list[str]) -> DataFrame:
+def latest(log: DataFrame, keys: list[str]) -> DataFrame:
+    """The latest change of every key, by (commit_id, seq)."""
     w = Window.partitionBy(*keys).orderBy(F.col("commit_id").desc(), F.col("seq").desc())
     return log.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
@@ -42,8 +43,7 @@ def state_at(log: DataFrame, keys: str | Sequence[str], upto: Column | None = No
     """Table state (key + row columns) after all changes selected by ``upto``."""
     keys = _keys(keys)
     sel = log if upto is None else log.filter(upto)
-    latest = _latest(sel, keys)
-    return latest.filter(F.col("op") != "D").select(*keys, *row_columns(log, keys))
+    return latest(sel, keys).filter(F.col("op") != "D").select(*keys, *row_columns(log, keys))
 
 
 def as_of_version(log: DataFrame, keys: str | Sequence[str], version: int) -> DataFrame:
@@ -165,7 +165,7 @@ def expire_versions(log: DataFrame, keys: str | Sequence[str], keep_since: int)
     old = log.filter(F.col("commit_id") < keep_since)
     base_id = old.select(F.max("commit_id")).scalar()
     base_ts = old.select(F.max("commit_ts")).scalar()
-    base = _latest(old, keys).filter(F.col("op") != "D").select(
+    base = latest(old, keys).filter(F.col("op") != "D").select(
         base_id.alias("commit_id"), base_ts.alias("commit_ts"), "seq", F.lit("I").alias("op"),
         *keys, *row_columns(log, keys))
     return base.select(*log.columns).unionByName(log.filter(F.col("commit_id") >= keep_since))

@@ -8,8 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidewater.operators import versionlog as L
 from tidewater.operators import versions as V
 from tidewater.plans.registry import query
+from tidewater.session import shared_dir
 from tidewater.tables import table
 
 KEY = "user_id"
@@ -17,6 +19,7 @@ VERSION = 20240115
 OLD, NEW = 20240110, 20240120
 AS_OF_TS = "2024-01-20 00:00:00"
 KEEP_SINCE = 20240115
+ROLLBACK_TS = "2099-01-01 00:00:00"
 
 LOG_SQL = """log AS (
   SELECT CAST(strftime(ts, '%Y%m%d') AS BIGINT) AS commit_id,
@@ -67,6 +70,54 @@ def q_snapshot_history(spark, sf_dir):
     return V.snapshot_history(event_log(spark, sf_dir))
 
 
+BASE_EVERY = 4
+
+
+def stored_log(spark, sf_dir):
+    """The log stored in two appends, up to ``VERSION`` and after it."""
+    log, path = event_log(spark, sf_dir), shared_dir(spark, "version_log")
+    L.append_changes(log.filter(F.col("commit_id") <= VERSION), path, [KEY], BASE_EVERY)
+    L.append_changes(log.filter(F.col("commit_id") > VERSION), path, [KEY], BASE_EVERY)
+    return path
+
+
+@query("stored_as_of_version", f"WITH {LOG_SQL} {state_sql(f'commit_id <= {NEW}')}")
+def q_stored_as_of_version(spark, sf_dir):
+    """A version read from the base at ``VERSION`` and the commits after it."""
+    return L.state(spark, stored_log(spark, sf_dir), [KEY], NEW)
+
+
+@query("stored_as_of_timestamp", f"WITH {LOG_SQL} {state_sql(f"commit_ts <= TIMESTAMP '{AS_OF_TS}'")}")
+def q_stored_as_of_timestamp(spark, sf_dir):
+    return L.state_at_time(spark, stored_log(spark, sf_dir), [KEY], AS_OF_TS)
+
+
+@query("stored_commits", f"WITH {LOG_SQL} SELECT commit_id, count(*) AS n_changes FROM log GROUP BY commit_id")
+def q_stored_commits(spark, sf_dir):
+    """The commits and their sizes, from the manifest alone."""
+    return L.commits(spark, stored_log(spark, sf_dir)).select("commit_id", "n_changes")
+
+
+@query("stored_rollback", f"WITH {LOG_SQL} {state_sql(f'commit_id <= {OLD}')}")
+def q_stored_rollback(spark, sf_dir):
+    """The state after a compensating commit back to ``OLD``."""
+    path = stored_log(spark, sf_dir)
+    L.rollback(spark, path, [KEY], OLD, ROLLBACK_TS)
+    return L.state(spark, path, [KEY])
+
+
+@query("stored_expired", f"""WITH {LOG_SQL}
+SELECT 'kept' AS part, commit_id, count(*) AS n FROM log WHERE commit_id >= {NEW} GROUP BY commit_id
+UNION ALL SELECT 'state', {NEW}, count(*) FROM ({state_sql(f'commit_id <= {NEW}')})""")
+def q_stored_expired(spark, sf_dir):
+    """What is left of the log after expiring what is older than ``NEW``, and the size of the state at ``NEW``."""
+    path = stored_log(spark, sf_dir)
+    L.expire(spark, path, [KEY], NEW)
+    at = L.state(spark, path, [KEY], NEW).agg(F.count(F.lit(1)).alias("n"))
+    return L.commits(spark, path).select(F.lit("kept").alias("part"), "commit_id", F.col("n_changes").alias("n")).unionByName(
+        at.select(F.lit("state").alias("part"), F.lit(NEW).cast("bigint").alias("commit_id"), "n"))
+
+
 @query("snapshot_diff", f"""WITH {LOG_SQL},
   a AS ({state_sql(f'commit_id <= {OLD}')}),
   b AS ({state_sql(f'commit_id <= {NEW}')})

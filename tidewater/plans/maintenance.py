@@ -11,6 +11,7 @@ from tidewater.operators import compact as C
 from tidewater.operators import evolve as E
 from tidewater.plans.registry import query
 from tidewater.session import shared_dir
+from tidewater.sources import evolving as EV
 from tidewater.sources import published as P
 from tidewater.tables import table
 
@@ -64,6 +65,42 @@ def q_null_backfill_count(spark, sf_dir):
                                  ["click", "purchase"])
 
 
+GENERATIONS = ("2024-01-10", "2024-01-20")
+
+
+def evolving_events(spark, sf_dir):
+    """Events appended under three schemas: in the second ``event_type`` is ``action`` and ``props`` is gone,
+    in the third ``props`` is a new number and ``action`` has become ``event_type`` again."""
+    ev, path = table(spark, sf_dir, "events"), shared_dir(spark, "evolving")
+    first, second = (F.lit(d).cast("timestamp_ntz") for d in GENERATIONS)
+    EV.create(spark, path, ev.schema)
+    EV.append(ev.filter(F.col("ts") < first), path)
+    EV.alter(spark, path, [E.RenameColumn("event_type", "action"), E.DropColumn("props"), E.AddColumn("device", "string", first=True)])
+    EV.append(ev.filter((F.col("ts") >= first) & (F.col("ts") < second)).select(
+        F.lit("web").alias("device"), "event_id", "ts", "user_id", F.col("event_type").alias("action"), "value"), path)
+    EV.alter(spark, path, [E.RenameColumn("action", "event_type"), E.AddColumn("props", "int", after="event_id")])
+    EV.append(ev.filter(F.col("ts") >= second).select(
+        F.lit("app").alias("device"), "event_id", F.length("props").alias("props"), "ts", "user_id", "event_type", "value"), path)
+    return path
+
+
+@query("evolving_table", f"""
+SELECT CASE WHEN ts < TIMESTAMP '{GENERATIONS[0]}' THEN NULL WHEN ts < TIMESTAMP '{GENERATIONS[1]}' THEN 'web' ELSE 'app' END AS device,
+       event_id, CASE WHEN ts >= TIMESTAMP '{GENERATIONS[1]}' THEN CAST(length(props) AS INTEGER) END AS props, ts, user_id, event_type, value
+FROM events""")
+def q_evolving_table(spark, sf_dir):
+    """Files of three schemas as one table: a renamed, a dropped and a re-added column."""
+    return EV.read(spark, evolving_events(spark, sf_dir))
+
+
+@query("evolving_old_version", f"""
+SELECT event_id, ts, user_id, event_type AS action, value, CASE WHEN ts < TIMESTAMP '{GENERATIONS[0]}' THEN NULL ELSE 'web' END AS device
+FROM events WHERE ts < TIMESTAMP '{GENERATIONS[1]}'""")
+def q_evolving_old_version(spark, sf_dir):
+    """The same table as it was before its third schema."""
+    return EV.read(spark, evolving_events(spark, sf_dir), 4)
+
+
 @query("widen_column", "SELECT * REPLACE (CAST(l_linenumber AS BIGINT) AS l_linenumber) FROM lineitem")
 def q_widen_column(spark, sf_dir):
     return E.widen_column(table(spark, sf_dir, "lineitem"), "l_linenumber", "bigint")

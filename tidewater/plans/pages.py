@@ -199,13 +199,27 @@ def part_supplier_edges(spark, sf_dir):
     return li.select(p.alias("src"), s.alias("dst")).unionByName(li.select(s.alias("src"), p.alias("dst")))
 
 
-@query("crawl_frontier", f"""
+def _reach_sql(depth: int) -> str:
+    return f"""
 WITH RECURSIVE e AS (SELECT DISTINCT 'p' || l_partkey AS src, 's' || l_suppkey AS dst FROM lineitem
                      UNION SELECT DISTINCT 's' || l_suppkey, 'p' || l_partkey FROM lineitem),
 bfs(url, depth) AS (SELECT * FROM (VALUES {", ".join(f"('{s}', 0)" for s in SEEDS)}) t(url, depth)
                     UNION SELECT e.dst, b.depth + 1 FROM bfs b JOIN e ON e.src = b.url
-                    WHERE b.depth < {DEPTH_LIMIT})
-SELECT url, CAST(min(depth) AS INTEGER) AS depth FROM bfs GROUP BY url""")
-def q_crawl_frontier(spark, sf_dir):
+                    WHERE b.depth < {depth})
+SELECT url, CAST(min(depth) AS INTEGER) AS depth FROM bfs GROUP BY url"""
+
+
+def _reach(spark, sf_dir, depth, **limits):
     seeds = spark.createDataFrame([(s,) for s in SEEDS], "url string")
-    return L.crawl_frontier(part_supplier_edges(spark, sf_dir), seeds, DEPTH_LIMIT)
+    return L.crawl_frontier(part_supplier_edges(spark, sf_dir), seeds, depth, **limits)
+
+
+@query("crawl_frontier", _reach_sql(DEPTH_LIMIT))
+def q_crawl_frontier(spark, sf_dir):
+    return _reach(spark, sf_dir, DEPTH_LIMIT)
+
+
+@query("crawl_deep", _reach_sql(10))
+def q_crawl_deep(spark, sf_dir):
+    """The same walk to depth 10, a source of more than 20 edges dealt to several buckets."""
+    return _reach(spark, sf_dir, 10, hot_edges=20)

@@ -20,7 +20,8 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +31,8 @@ from tidewater.functions.hashing import content_checksum
 from tidewater.session import drop_path, path_exists
 
 GEN = "gen"
+FIELD_ID = "parquet.field.id"
+SCHEMAS = "schemas"
 _DIGITS = 12
 
 
@@ -50,6 +53,7 @@ class Version:
     checksum: str
     partition_cols: tuple[str, ...]
     schema: T.StructType
+    properties: dict = field(default_factory=dict)
 
 
 def _fs(spark: SparkSession, path: str):
@@ -99,7 +103,7 @@ def version_at(spark: SparkSession, path: str, number: int | None = None) -> Ver
     text = spark.read.text(f"{path}/versions/{number:0{_DIGITS}d}.json", wholetext=True).first()[0]
     v = json.loads(text)
     return Version(number, v["manifest"], v["operation"], v["files"], v["rows"], v["bytes"], v["checksum"],
-                   tuple(v["partition_cols"]), T.StructType.fromJson(v["schema"]))
+                   tuple(v["partition_cols"]), T.StructType.fromJson(v["schema"]), v["properties"])
 
 
 def manifest_schema(version: Version) -> T.StructType:
@@ -130,22 +134,57 @@ def relative_file(file_path: Column | None = None) -> Column:
     return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
 
 
-def read_files(spark: SparkSession, path: str, version: Version, files: Sequence[str]) -> DataFrame:
-    """The rows of some of a version's files, with the hidden ``_metadata`` of a file scan."""
+def _written_under(version: Version, file: str) -> T.StructType:
+    """The schema that a file was written under: the last one in force at its generation."""
+    generation = int(file[len(GEN) + 1:].split("-")[0])
+    known = [T.StructType.fromJson(e["schema"]) for e in version.properties.get(SCHEMAS, []) if e["since"] <= generation]
+    return known[-1] if known else version.schema
+
+
+def _scan(spark: SparkSession, path: str, version: Version, schema: T.StructType, files: Sequence[str], extra: dict[str, Column]) -> DataFrame:
+    """Rows of files written under ``schema``, under the version's: columns are matched by their numbers."""
+    inside = [f for f in schema.fields if f.name not in version.partition_cols]
+    dealt = [version.schema[c] for c in version.partition_cols]
+    read = T.StructType([*inside, T.StructField(GEN, T.StringType()), *dealt])
+    rows = spark.read.schema(read).option("basePath", f"{path}/data").parquet(*[f"{path}/data/{f}" for f in files])
+    named = {f.metadata.get(FIELD_ID, f.name): f for f in schema.fields}
+
+    def column(f: T.StructField) -> Column:
+        old = named.get(f.metadata.get(FIELD_ID, f.name))
+        if old is None:
+            return F.lit(None).cast(f.dataType).alias(f.name, metadata=f.metadata)
+        c = F.col(f"`{old.name}`")
+        return (c if old.dataType == f.dataType else c.cast(f.dataType)).alias(f.name, metadata=f.metadata)
+
+    return rows.select(*[column(f) for f in version.schema.fields], *[c.alias(name) for name, c in extra.items()])
+
+
+def read_files(spark: SparkSession, path: str, version: Version, files: Sequence[str], extra: dict[str, Column] | None = None) -> DataFrame:
+    """The rows of some of a version's files, and ``extra`` columns, which may use the scan's ``_metadata``.
+
+    Files of one schema are one scan, so there are as many scans as schemas that live files were
+    written under; filters and column pruning reach each under its own names.
+    """
     if not files:
         return spark.createDataFrame([], version.schema)
-    inside = [f for f in version.schema.fields if f.name not in version.partition_cols]
-    dealt = [version.schema[c] for c in version.partition_cols]
-    schema = T.StructType([*inside, T.StructField(GEN, T.StringType()), *dealt])
-    return spark.read.schema(schema).option("basePath", f"{path}/data").parquet(*[f"{path}/data/{f}" for f in files])
+    groups: dict[str, tuple[T.StructType, list[str]]] = {}
+    for f in files:
+        schema = _written_under(version, f)
+        groups.setdefault(schema.json(), (schema, []))[1].append(f)
+    return reduce(DataFrame.unionByName, [_scan(spark, path, version, schema, some, extra or {}) for schema, some in groups.values()])
+
 
+def read_published(spark: SparkSession, path: str, number: int | None = None, where: Column | None = None) -> DataFrame:
+    """The table as published (by default the latest version), in its schema's column order.
 
-def read_published(spark: SparkSession, path: str, number: int | None = None) -> DataFrame:
-    """The table as published (by default the latest version), in its schema's column order."""
+    ``where`` chooses files by their manifest row, for instance ``F.col("partition.day") > "2024-01-01"``;
+    others are neither listed nor opened.
+    """
     version = version_at(spark, path, number)
     if version is None:
         raise FileNotFoundError(f"{path} holds no published version")
-    files = [r["file"] for r in live_files(spark, path, version).select("file").collect()]
+    live = live_files(spark, path, version)
+    files = [r["file"] for r in (live if where is None else live.where(where)).select("file").collect()]
     return read_files(spark, path, version, files).select(*version.schema.names)
 
 
@@ -173,8 +212,8 @@ def stage(df: DataFrame, path: str, partition_cols: Sequence[str] = (), number:
 
 
 def commit(spark: SparkSession, path: str, files: DataFrame, schema: T.StructType, partition_cols: Sequence[str],
-           operation: str, number: int) -> Version:
-    """Publish ``files`` (file, bytes, rows, partition) as version ``number``.
+           operation: str, number: int, properties: dict | None = None) -> Version:
+    """Publish ``files`` (file, bytes, rows, partition) as version ``number``, with any JSON ``properties``.
 
     Raises ``CommitConflict``, and changes nothing, where that version exists.
     """
@@ -185,8 +224,10 @@ def commit(spark: SparkSession, path: str, files: DataFrame, schema: T.StructTyp
     got = _totals(spark.read.schema(manifest_schema(version)).parquet(folder))
     totals = {k: got[k] for k in ("files", "rows", "bytes", "checksum")}
     _put_if_absent(spark, f"{path}/versions/{number:0{_DIGITS}d}.json", json.dumps(
-        {"manifest": name, "operation": operation, **totals, "partition_cols": list(partition_cols), "schema": schema.jsonValue()}))
-    return Version(number, name, operation, got["files"], got["rows"], got["bytes"], got["checksum"], tuple(partition_cols), schema)
+        {"manifest": name, "operation": operation, **totals, "partition_cols": list(partition_cols), "schema": schema.jsonValue(),
+         "properties": properties or {}}))
+    return Version(number, name, operation, got["files"], got["rows"], got["bytes"], got["checksum"], tuple(partition_cols), schema,
+                   properties or {})
 
 
 def publish(df: DataFrame, path: str, partition_cols: Sequence[str] = (), mode: str = "append") -> Version:
