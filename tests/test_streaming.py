@@ -1,5 +1,8 @@
 """Streaming twins equal their batch twins; re-runs are idempotent."""
 
+import datetime as dt
+import random
+
 from pyspark.sql import functions as F
 
 from tidewater.operators import dedup as D
@@ -80,3 +83,75 @@ def test_late_rows_are_found(spark, tmp_dir):
          .coalesce(1).write.mode("append").options(**TEXT_OPTIONS).json(landing))
     got = J.stream_collect(spark, landing, tmp_dir + "/items", tmp_dir + "/ckpt", watermark="1 day")
     assert sorted([r.id for r in got.collect()] + [r.id for r in J.late_items(spark, landing, got).collect()]) == ["new", "newer", "old"]
+
+
+def land(spark, path, page, items):
+    """One landed file; items are (id, day, hour)."""
+    from tests.test_collect_vectors import ITEM
+
+    rows = [(page, "ok", [(i, n, "x", 1.0, dt.datetime(2024, 1, day, hour)) for n, (i, day, hour) in enumerate(items)], None, None, None)]
+    (spark.createDataFrame(rows, f"page int, status string, data array<{ITEM}>, next_page string, next_cursor string, request_cursor string")
+     .coalesce(1).write.mode("append").options(**TEXT_OPTIONS).json(path))
+
+
+def replay(runs, delay, keep):
+    """What the stream gives, by a plain walk: runs of batches of (id, time, n)."""
+    out, until, watermark, newest = [], {}, None, None
+    for batches in runs:
+        for batch in [*batches, []]:  # a run ends with a batch that only moves the watermark
+            for i, t, n in sorted(batch, key=lambda r: (r[1], r[2])):
+                if i in until:
+                    continue
+                if watermark is not None and t < watermark:
+                    out.append((i, t, n, "late"))
+                else:
+                    until[i] = t + keep
+                    out.append((i, t, n, "first"))
+            until = {i: u for i, u in until.items() if watermark is None or u > watermark}
+            newest = max([t for _, t, _ in batch] + ([newest] if newest else []), default=None)
+            watermark = newest - delay if newest else None
+    return out, until
+
+
+def test_first_copies_and_late_rows_in_one_pass(spark, tmp_dir):
+    """Against a plain walk over the batches, with a restart in mid-stream; state stays bounded."""
+    rnd = random.Random(6)
+    runs, page = [], 0
+    for _ in range(2):
+        batches = []
+        for _ in range(5):
+            page += 1
+            day = 2 + 2 * page
+            batches.append([(f"i{rnd.randint(0, 25)}", max(1, day - rnd.choice([0, 0, 0, 1, 4, 9])), rnd.randint(0, 23)) for _ in range(9)])
+        runs.append(batches)
+    delay, keep = dt.timedelta(days=2), dt.timedelta(days=3)
+    plain = [[[(i, dt.datetime(2024, 1, d, h), n) for n, (i, d, h) in enumerate(b)] for b in batches] for batches in runs]
+    want, left = replay(plain, delay, keep)
+    page = 0
+    for batches in runs:
+        for b in batches:
+            page += 1
+            land(spark, tmp_dir + "/env", page, b)
+        got, held = J.stream_first_and_late(spark, tmp_dir + "/env", tmp_dir + "/out", tmp_dir + "/ckpt", "2 days", 3 * 86400)
+    assert sorted((r.id, r.ts, r.user_id, r.tag) for r in got.collect()) == sorted(want)
+    assert {t for *_, t in want} == {"first", "late"} and len(left) == held[-1]
+    assert max(held) < len({i for i, *_ in want})  # ids are forgotten
+
+
+def test_rejects_and_accepted_add_up(spark, tmp_dir):
+    lines = ['{"page":1,"status":"ok","data":[]}', '{"page":1,"status":"ok","data":[{"id":"a"}]}', '{"page":2,"status":"ok","da', "[]", "null", "7",
+             '{"status":"ok","data":[]}', '{"page":"x","status":"ok","data":[]}', '{"page":3,"status":"odd"}', '{"page":4}', '{"page":5,"status":"failed"}',
+             '{"page":6,"status":"ok"}', "", "   ", "é ü"]
+    for k in range(3):
+        spark.createDataFrame([(x,) for x in lines[k::3]], "value string").coalesce(1).write.mode("append").text(tmp_dir + "/in")
+    good, bad = CO.read_landing(spark, tmp_dir + "/in")
+    assert sorted(r.page for r in good.collect()) == [1, 1, 5]
+    reasons = {r.line: r.reason for r in bad.collect()}
+    assert len(reasons) == 10 and all(r.file for r in bad.collect())
+    assert {reasons[x] for x in ('{"page":2,"status":"ok","da', "é ü", "7", '{"page":"x","status":"ok","data":[]}')} == {"malformed"}
+    assert reasons['{"status":"ok","data":[]}'] == "no page" and reasons['{"page":6,"status":"ok"}'] == "no items"
+    assert reasons['{"page":3,"status":"odd"}'] == reasons['{"page":4}'] == "unknown status"
+    for _ in range(2):  # the second run finds nothing new
+        a, r, counts = J.stream_landing(spark, tmp_dir + "/in", tmp_dir + "/out", tmp_dir + "/ckpt")
+        assert sorted(x.page for x in a.collect()) == [1, 1, 5] and {x.line: x.reason for x in r.collect()} == reasons
+        assert counts.count() == 3 and tuple(counts.groupBy().sum("landed", "accepted", "rejected").first()) == (13, 3, 10)

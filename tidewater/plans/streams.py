@@ -63,3 +63,58 @@ def q_stream_collect_bounded(spark, sf_dir):
     landing = _landed_in_order(spark, sf_dir)
     return J.stream_collect(spark, landing, shared_dir(spark, "stream_items"), shared_dir(spark, "ckpt"),
                             watermark="1 day", files_per_trigger=2)
+
+
+LATE_BEFORE = "2024-01-15"
+
+
+@query("stream_first_and_late", f"""WITH {ENV_SQL},
+named AS (SELECT id, user_id, event_type, value, ts FROM landed WHERE id IS NOT NULL AND id <> '')
+SELECT DISTINCT *, 'first' AS tag FROM named WHERE ts >= TIMESTAMP '{LATE_BEFORE}'
+UNION ALL SELECT *, 'late' FROM named WHERE ts < TIMESTAMP '{LATE_BEFORE}'""")
+def q_stream_first_and_late(spark, sf_dir):
+    """Newer items land first; the query is restarted when the older ones have landed, which are all late."""
+    env = CO.build_envelopes(table(spark, sf_dir, "events"))
+    landing, how = shared_dir(spark, "landing"), (shared_dir(spark, "tagged"), shared_dir(spark, "ckpt"), "0 seconds", 86400, 100)
+    newer = lambda i: i["ts"] >= F.lit(LATE_BEFORE).cast("timestamp_ntz")
+    for keep in (newer, lambda i: ~newer(i)):
+        part = env.withColumn("data", F.filter("data", keep))
+        part.coalesce(2).write.mode("append").options(**TEXT_OPTIONS).json(landing)
+        items = J.stream_first_and_late(spark, landing, *how)[0]
+    return items
+
+
+REJECTS_SQL = f"""WITH {ENV_SQL},
+p AS (SELECT DISTINCT page, CASE WHEN page % 10 = 3 THEN 'malformed' WHEN page % 10 = 4 THEN 'no page'
+                                 WHEN page % 10 = 6 THEN 'unknown status' END AS reason FROM copies)"""
+
+
+def spoiled_lines(spark, sf_dir):
+    """Envelopes as JSON Lines; of ten pages one is cut short, one has lost its page and one has an odd status."""
+    env = CO.build_envelopes(table(spark, sf_dir, "events"))
+    digit = F.col("page") % 10
+    whole = F.to_json(F.struct(F.when(digit != 4, F.col("page")).alias("page"), F.when(digit == 6, "teapot").otherwise(F.col("status")).alias("status"),
+                               *[c for c in env.columns if c not in ("page", "status")]), TEXT_OPTIONS)
+    line = F.when(digit == 3, F.expr("substring(line, 1, 20)")).otherwise(F.col("line"))
+    path = shared_dir(spark, "spoiled")
+    env.select("page", whole.alias("line")).select(line.alias("value")).repartition(6).write.text(path)
+    return path
+
+
+@query("landing_rejects", f"""{REJECTS_SQL}
+SELECT coalesce(reason, 'accepted') AS outcome, count(*) AS lines FROM p GROUP BY ALL""")
+def q_landing_rejects(spark, sf_dir):
+    """Lines by outcome: accepted envelopes and rejects of a batch read."""
+    good, bad = CO.read_landing(spark, spoiled_lines(spark, sf_dir), options=TEXT_OPTIONS)
+    outcomes = good.select(F.lit("accepted").alias("outcome")).unionByName(bad.select(F.col("reason").alias("outcome")))
+    return outcomes.groupBy("outcome").agg(F.count(F.lit(1)).alias("lines"))
+
+
+@query("stream_landing", f"""{REJECTS_SQL}
+SELECT count(*) AS landed, count(*) FILTER (reason IS NULL) AS accepted, count(reason) AS rejected,
+       count(*) FILTER (reason IS NULL) AS accepted_rows, count(reason) AS rejected_rows FROM p""")
+def q_stream_landing(spark, sf_dir):
+    """The same as a stream: the micro-batches' own counts, and the rows that they wrote."""
+    good, bad, counts = J.stream_landing(spark, spoiled_lines(spark, sf_dir), shared_dir(spark, "landed"), shared_dir(spark, "ckpt"), 2)
+    return counts.agg(*[F.sum(c).alias(c) for c in ("landed", "accepted", "rejected")]).select(
+        "*", good.agg(F.count(F.lit(1))).scalar().alias("accepted_rows"), bad.agg(F.count(F.lit(1))).scalar().alias("rejected_rows"))

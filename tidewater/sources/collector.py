@@ -77,10 +77,53 @@ def build_envelopes(events: DataFrame, page_size: int = 100, overlap: int = 5,
 
 
 def read_envelopes(spark, path: str, fmt: str = "json") -> DataFrame:
-    """Landed envelopes with an explicit schema (no inference over raw responses)."""
+    """Landed envelopes with an explicit schema (no inference over raw responses); of malformed ones
+    only what can be read. ``read_landing`` tells them apart."""
     return spark.read.schema(ENVELOPE_SCHEMA).format(fmt).load(path)
 
 
+STATUSES = ("ok", "failed")
+_BAD = "_malformed"
+
+
+def parse_envelopes(lines: DataFrame, value: str = "value", schema: T.StructType = ENVELOPE_SCHEMA,
+                    options: dict[str, str] | None = None) -> DataFrame:
+    """``lines`` with ``envelope`` (a struct) and ``reason``, null for envelopes that can be collected.
+
+    Rejected are lines that are no JSON object of the schema ('malformed'), that have no page
+    ('no page'), no known status ('unknown status'), or are ok but have no list of items ('no items').
+    A plan over one row at a time: it is the same for tables and streams.
+    """
+    whole = T.StructType([*schema.fields, T.StructField(_BAD, T.StringType())])
+    read = F.from_json(F.col(value), whole, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD, **(options or {})})
+    e = F.col("_read")
+    reason = (F.when(e.isNull() | e[_BAD].isNotNull(), "malformed").when(e["page"].isNull(), "no page")
+              .when(~F.coalesce(e["status"].isin(*STATUSES), F.lit(False)), "unknown status")
+              .when((e["status"] == "ok") & e["data"].isNull(), "no items"))
+    envelope = F.struct(*[e[f.name].alias(f.name) for f in schema.fields])
+    return lines.withColumn("_read", read).select(*lines.columns, envelope.alias("envelope"), reason.alias("reason"))
+
+
+def landed_lines(lines: DataFrame) -> DataFrame:
+    """Text lines with the file that they are from; empty lines are none."""
+    return lines.select("value", F.col("_metadata.file_path").alias("file")).where(F.trim("value") != "")
+
+
+def accepted(parsed: DataFrame) -> DataFrame:
+    return parsed.where(F.col("reason").isNull()).select("envelope.*")
+
+
+def rejected(parsed: DataFrame) -> DataFrame:
+    """(file, reason, line): every rejected line as it landed."""
+    return parsed.where(F.col("reason").isNotNull()).select("file", "reason", F.col("value").alias("line"))
+
+
+def read_landing(spark, path: str, schema: T.StructType = ENVELOPE_SCHEMA, options: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(accepted envelopes, rejects) of landed JSON Lines: together, every line once."""
+    parsed = parse_envelopes(landed_lines(spark.read.text(path)), "value", schema, options)
+    return accepted(parsed), rejected(parsed)
+
+
 def default_item_id(item: Column, fields: Sequence[str] = ("id",)) -> Column:
     """Id rule: the ``id`` field; only when items have no ``id`` field at all, ``order_id``.
     Items whose id is NULL or empty are dropped (and counted)."""

@@ -1,6 +1,8 @@
 """Structured Streaming twins of the batch jobs.
 
 * ``stream_collect``: landed response envelopes → items → streaming dedup on the item id.
+* ``stream_landing``: landed lines → envelopes, with malformed ones as rejects and counts that add up.
+* ``stream_first_and_late``: the dedup with keyed state and timers; late rows are tagged output.
 * ``stream_increment``: a file source is its own high-water mark: the checkpoint records
   which files were read, so each run (``availableNow``) picks up only new files.
 * ``stream_upsert``: ``foreachBatch`` upsert (last write wins). A micro-batch is appended as
@@ -14,12 +16,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor
 
 from tidewater.operators.dedup import dedup_lww
-from tidewater.sources.collector import ENVELOPE_SCHEMA
+from tidewater.sources.collector import ENVELOPE_SCHEMA, accepted, landed_lines, parse_envelopes, rejected
 from tidewater.sources.sinks import TEXT_OPTIONS
 
 
@@ -72,6 +75,123 @@ def late_items(spark: SparkSession, envelope_dir: str, collected: DataFrame) ->
     return items.filter(F.col("id").isNotNull() & (F.col("id") != "")).join(collected.select("id"), "id", "left_anti")
 
 
+# ---- a landing with rejects -------------------------------------------------------------------
+
+def stream_landing(spark: SparkSession, landing: str, out: str, checkpoint: str, files_per_trigger: int = 1) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(accepted envelopes, rejects, counts per micro-batch) of JSON Lines as they land.
+
+    The micro-batch's own writes count their rows, and the counts (landed, accepted, rejected) are
+    written last, so a counted epoch is a whole one. A replayed epoch replaces its own folders; one
+    whose parts do not add up to what landed raises.
+    """
+    lines = landed_lines(spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(landing))
+    parsed = parse_envelopes(lines, options=TEXT_OPTIONS)
+
+    def put(df: DataFrame, name: str, epoch: int) -> int:
+        seen = Observation()
+        counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+        counted.write.mode("overwrite").parquet(f"{out}/{name}/{EPOCH_COLUMN}={epoch}")
+        return seen.get["rows"]
+
+    def land(batch: DataFrame, epoch: int) -> None:
+        batch = batch.persist()
+        try:
+            landed = batch.count()
+            good, bad = put(accepted(batch), "accepted", epoch), put(rejected(batch), "rejected", epoch)
+        finally:
+            batch.unpersist()
+        if good + bad != landed:
+            raise RuntimeError(f"epoch {epoch}: {landed} lines landed, {good} accepted and {bad} rejected")
+        counts = batch.sparkSession.createDataFrame([(landed, good, bad)], "landed bigint, accepted bigint, rejected bigint")
+        counts.coalesce(1).write.mode("overwrite").parquet(f"{out}/counts/{EPOCH_COLUMN}={epoch}")
+
+    _run(parsed.writeStream.option("checkpointLocation", checkpoint).foreachBatch(land))
+    whole = T.StructType([*ENVELOPE_SCHEMA.fields])
+    read = lambda name, schema: spark.read.schema(schema).parquet(f"{out}/{name}")
+    epoch = T.StructField(EPOCH_COLUMN, T.LongType())
+    return (read("accepted", whole), read("rejected", "file string, reason string, line string"),
+            read("counts", T.StructType([*[T.StructField(c, T.LongType()) for c in ("landed", "accepted", "rejected")], epoch])))
+
+
+# ---- first copies and late rows of a bounded stream, from one pass over it ---------------------
+
+FIRST, LATE = "first", "late"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+class FirstOrLate(StatefulProcessor):
+    """Per id: the first row is emitted as ``first`` and remembered until ``keep_ms`` after its time.
+
+    Later rows of a remembered id are repeats and give nothing. A row older than the watermark whose
+    id is not remembered is emitted as ``late``: whether it is a repeat can no longer be told.
+    """
+
+    def __init__(self, keep_ms: int, ts_col: str, order_by: Sequence[str]):
+        self.keep_ms, self.ts_col, self.order_by = keep_ms, ts_col, list(order_by)
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.seen = handle.getValueState("seen", T.StructType([T.StructField("until", T.LongType())]))
+
+    def handleInputRows(self, key, rows, timerValues):  # noqa: N802, N803 (Spark's names)
+        known = self.seen.exists()
+        watermark = timerValues.getCurrentWatermarkInMs()
+        for batch in rows:
+            batch = batch.sort_values([self.ts_col, *self.order_by], kind="stable", na_position="last")
+            times = batch[self.ts_col].astype("datetime64[ms]").astype("int64")
+            for k, ms in enumerate(times.tolist()):
+                if known:
+                    break
+                if ms < watermark:
+                    yield batch.iloc[[k]].assign(tag=LATE)
+                else:
+                    known, until = True, ms + self.keep_ms
+                    self.seen.update((until,))
+                    self.handle.registerTimer(until)
+                    yield batch.iloc[[k]].assign(tag=FIRST)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):  # noqa: N802, N803
+        self.seen.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def stream_first_and_late(spark: SparkSession, envelope_dir: str, out_path: str, checkpoint: str, watermark: str,
+                          keep_seconds: int, files_per_trigger: int = 1) -> tuple[DataFrame, list[int]]:
+    """(items with a ``tag``, rows of state after each micro-batch) of landed envelopes.
+
+    The first copy of every id is tagged ``first``. Rows older than the watermark are not dropped
+    but tagged ``late``, in the same pass and with the same checkpoint. State holds only ids whose time
+    is less than ``keep_seconds`` behind the watermark; a row without a time has no place in a stream
+    bounded by time and is late. The output is partitioned by tag.
+    """
+    env = (spark.readStream.schema(ENVELOPE_SCHEMA).options(**TEXT_OPTIONS)
+           .option("maxFilesPerTrigger", files_per_trigger).json(envelope_dir))
+    items = (env.filter(F.col("status") == "ok").select(F.explode("data").alias("item")).select("item.*")
+             .filter(F.col("id").isNotNull() & (F.col("id") != "")))
+    # the watermark is told by a column of its own that ends here, so no later step drops late rows by it
+    timed = items.withColumn("_ts", F.col("ts").cast("timestamp")).withWatermark("_ts", watermark).drop("_ts")
+    timed = timed.withColumn("ts", F.coalesce("ts", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")))
+    schema = T.StructType([*items.schema.fields, T.StructField("tag", T.StringType())])
+    order = [f.name for f in items.schema.fields if f.name not in ("id", "ts")]
+    tagged = timed.groupBy("id").transformWithStateInPandas(
+        FirstOrLate(1000 * keep_seconds, "ts", order), schema, "Append", "EventTime")
+    old = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    try:
+        q = _run(tagged.writeStream.format("parquet").option("path", out_path).partitionBy("tag")
+                 .option("checkpointLocation", checkpoint).outputMode("append"))
+    finally:
+        if old is None:
+            spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+        else:
+            spark.conf.set("spark.sql.streaming.stateStore.providerClass", old)
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]]
+    return spark.read.schema(schema).parquet(out_path), held
+
+
 EPOCH_COLUMN = "_epoch"
 
 
