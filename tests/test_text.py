@@ -47,6 +47,20 @@ CLEAN = [("a\tb\n\nc", "a b c"), ("x\u00a0\u2003y", "x y"), ("zero\u200bwidth",
          ("line\u2028sep", "line sep"), ("", ""), ("mixed \t\x00\x01 end", "mixed  end"), ("soft\u00adhyphen", "softhyphen")]
 
 
+def test_clean_text_on_every_code_point(spark):
+    """All 1,114,112 code points but the surrogates, which no UTF-8 text holds."""
+    codes = spark.range(0x110000).where("id < 55296 OR id > 57343").select(F.col("id").alias("c"))
+    text = F.decode(F.unhex(F.concat(F.lit("00000061"), F.lpad(F.hex("c"), 8, "0"), F.lit("00000062"))), "UTF-32")
+    got = {r.c: r.t for r in codes.select("c", TX.clean_text(text).alias("t")).collect()}
+    assert len(got) == 0x110000 - 2048
+
+    def plain(t):
+        return "".join(c for c in re.sub(r"\s+", " ", t) if c.isprintable()).strip()
+
+    wrong = [hex(c) for c, t in got.items() if t != plain(f"a{chr(c)}b")]
+    assert not wrong, (len(wrong), wrong[:20])
+
+
 def test_clean_text_cases(spark):
     df = spark.createDataFrame([(c, w) for c, w in CLEAN], "t string, w string")
     for r in df.withColumn("got", TX.clean_text(F.col("t"))).collect():

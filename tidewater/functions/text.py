@@ -8,6 +8,7 @@ short table of names can read every page.
 from __future__ import annotations
 
 import html
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
@@ -31,6 +32,19 @@ SNIFF_CHARS = 500
 WS_CHARS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 
+def _printable_ranges() -> str:
+    """Python's printable characters beyond ASCII as ranges of a Java character class."""
+    codes = [c for c in range(0x80, sys.maxunicode + 1) if chr(c).isprintable()]
+    starts = [c for i, c in enumerate(codes) if i == 0 or codes[i - 1] != c - 1]
+    ends = [c for i, c in enumerate(codes) if i + 1 == len(codes) or codes[i + 1] != c + 1]
+    return "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in zip(starts, ends, strict=True))
+
+
+# What the JVM takes for a control, format, private or unassigned character, except what Python prints:
+# the two know different versions of Unicode. The ranges are looked at only for the few that are \p{C}.
+NOT_PRINTABLE = rf"[\p{{C}}&&[^{_printable_ranges()}]]"
+
+
 @F.pandas_udf(T.StringType())
 def _decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for texts in batches:
@@ -71,7 +85,7 @@ def clean_text(text: Column) -> Column:
     control character sat between them (same order as the upstream pipeline).
     """
     s = F.regexp_replace(text, rf"{WS_CLASS}+", " ")
-    s = F.regexp_replace(s, r"\p{C}", "")
+    s = F.regexp_replace(s, NOT_PRINTABLE, "")
     return F.trim(s)
 
 
