@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewater.llm import fingerprints as P
 
-UNIT = re.compile(rf"[^\x20\x09-\x0d]{{1,{P.UNIT_CHARS}}}")
+RUN = re.compile(r"[^\x20\x09-\x0d]+")
 
 
 def signed(x):
@@ -23,17 +23,13 @@ def chain(values):
 
 
 def brute(text, k=P.K, s=P.S):
-    units = [signed(xxhash.xxh64_intdigest(u.encode(), seed=42)) for u in UNIT.findall(text)]
+    found = [u for run in RUN.findall(text) for u in ([run] if len(run) <= P.UNIT_CHARS else run)]
+    units = [signed(xxhash.xxh64_intdigest(u.encode(), seed=42)) for u in found]
     inner = [chain(units[i:i + s]) for i in range(len(units) - s + 1)]
-    if len(units) < s:
-        found = units
-    elif len(units) < k:
-        found = inner
-    else:
-        span = k - s + 1
-        offsets = [j * s for j in range(k // s)] + ([k - s] if k % s else [])
-        found = [chain([inner[i + j] for j in offsets]) for i in range(len(inner) - span + 1)
-                 if min(inner[i], inner[i + span - 1]) == min(inner[i:i + span])]
+    span = k - s + 1
+    offsets = [j * s for j in range(k // s)] + ([k - s] if k % s else [])
+    found = [chain([inner[i + j] for j in offsets]) for i in range(len(inner) - span + 1)
+             if min(inner[i], inner[i + span - 1]) == min(inner[i:i + span])] or inner or units
     return sorted({h >> 32 for h in found})
 
 
@@ -95,6 +91,22 @@ def test_choice_of_anchors_is_free_of_context(spark):
     assert inside and inside <= set(b) and all(a[h] - b[h] == 3 for h in inside)
 
 
+def test_short_unrelated_texts_are_told_apart(spark, as_documents, make_docs):
+    """Every text with a word has a fingerprint, and unrelated ones are not alike."""
+    for n in (1, 2, 4, 5, 6, 7):
+        rows = [(i, " ".join(f"w{i}x{j}" for j in range(n))) for i in range(150)]
+        for _, _, _, fp, ed, near_edited, near_next in run(spark, as_documents, make_docs, rows):
+            assert fp and ed and near_next < 1 and near_edited <= 1
+
+
+def test_one_character_in_an_unspaced_run(spark):
+    r = random.Random(4)
+    text = "".join(r.choices("日本語中国人大学生年月火水木金土一二三四五", k=1000))
+    frame = spark.createDataFrame([(0, text), (1, text[:10] + "々" + text[10:])], "i int, text string")
+    a, b = (set(P_.hash for P_ in row["anchors"]) for row in P.syncmers(frame).orderBy("i").collect())
+    assert len(a) > 300 and len(a & b) >= 0.97 * len(a)
+
+
 def test_plan_is_native(spark):
     plan = P.op9_fingerprints(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan

@@ -1,6 +1,7 @@
 """Document fingerprints from closed syncmers (operator 9), DataFrame functions only.
 
-A text is cut into units (words; runs longer than ``UNIT_CHARS`` go in pieces). Every window of
+A text is cut into units: words, and of runs longer than ``UNIT_CHARS`` (unspaced scripts, base64) the
+single characters, so that an edit in a run disturbs only the anchors around it. Every window of
 ``K`` units is a k-mer; its inner substrings are the ``S``-unit windows inside it. A k-mer is
 kept when its smallest inner hash stands first or last: a choice that depends on the k-mer alone,
 not on its neighbours, so an edit disturbs only the anchors that overlap it. The fingerprint is
@@ -11,9 +12,9 @@ once, by ranges of doc_id whose bounds come from an id-only job; ``lead`` finds
 inside a range, and the first row of each range (as many rows as there are ranges) closes the
 gaps. Work per text is linear in its length.
 
-Defined results: null text is empty and has an empty fingerprint; a text of fewer than ``K``
-units uses its S-unit windows, or its units if there are fewer than ``S``; a text of ``K`` or
-``K`` + 1 units may hold no closed syncmer and has an empty fingerprint then; two empty fingerprints
+Defined results: null text is empty and has an empty fingerprint; a text without a closed syncmer
+(each of fewer than ``K`` units, and some up to two units longer) uses its S-unit windows, or its units
+if there are fewer than ``S``, so a text with any word has a fingerprint; two empty fingerprints
 have likeness 1 and an empty and a filled one 0; equal ids are ordered by text and null ids come
 last; a table of one row is its own next document; an empty table gives an empty result.
 """
@@ -28,7 +29,7 @@ from tidewater.tables import table
 K = 5
 S = 2
 UNIT_CHARS = 24
-UNIT = rf"[^\x20\x09-\x0D]{{1,{UNIT_CHARS}}}"
+UNIT = rf"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D]{{1,{UNIT_CHARS}}}(?![^\x20\x09-\x0D])|[^\x20\x09-\x0D]"
 
 
 def unit_hashes(text: Column) -> Column:
@@ -77,7 +78,7 @@ def syncmers(docs: DataFrame, text_col: str = "text", k: int = K, s: int = S, pr
     windows = F.transform(inner, lambda h, i: anchor(h, i))
     single = F.transform(units, lambda h, i: anchor(h, i))
     short = F.when(F.size(units) >= s, windows).otherwise(single)
-    return (staged.withColumn(f"{prefix}anchors", F.when(F.size(units) >= k, full).otherwise(short))
+    return (staged.withColumn(f"{prefix}anchors", F.when(F.size(starts) > 0, full).otherwise(short))
             .drop(units, inner, starts))
 
 
