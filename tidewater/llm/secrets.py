@@ -1,8 +1,9 @@
 """Secret scan with corpus-wide ownership frequency (operator 4), DataFrame functions only.
 
 Every text is scanned for candidate strings. The candidates' hashes are then aggregated over
-the whole corpus by distinct repositories and owners: a string that many owners share is a
-copied example, one that stays with an owner or two looks like a live credential.
+the whole corpus by distinct repositories and owners: a string that several owners or very many
+repositories share is a copied example, one that stays with few looks like a live credential.
+Repositories of equal texts count once, so copies of a document do not make its secret an example.
 
 Positions come from splitting the text at the pattern: the pieces between matches and the
 matches alternate, so running lengths give code point offsets without a Python function.
@@ -39,27 +40,30 @@ JWT = r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"
 BASE_KINDS = ("assign", "access", "hex")
 KINDS = (*BASE_KINDS, "vendor", "jwt")
 MIN_ASSIGNED = 6
-#: From this many distinct owners on, a string counts as a copied example.
+#: A string of this many distinct owners, or repositories of different texts, counts as a copied example.
 EXAMPLE_OWNERS = 3
+EXAMPLE_REPOSITORIES = 20
 
 _SPAN = "array<struct<start:bigint,place:int,end:bigint,hash:string>>"
 
 
+def running_sums(values: Column) -> Column:
+    """Inclusive running sums of an array of longs: each round adds the sums that end 1, 2, 4, ... places
+    before, so the work is n log n and no array grows."""
+    rounds = F.when(F.size(values) > 1, F.sequence(F.lit(0), F.floor(F.log2(F.size(values) - 1)).cast("int")))
+    steps = F.transform(F.coalesce(rounds, F.array().cast("array<int>")), lambda k: F.call_function("shiftleft", F.lit(1), k))
+    return F.aggregate(steps, values, lambda sums, step: F.transform(
+        sums, lambda x, i: x + F.when(i >= step, F.get(sums, i - step)).otherwise(F.lit(0).cast("bigint"))))
+
+
 def _spans(text: Column, place: int, pattern: str, hint: Column, group: int = 0, least: int = 0) -> Column:
     """Leftmost non-overlapping matches as structs (start, place of the kind, end, hash)."""
-    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pairs = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), matches.alias("found"))
-    step = F.aggregate(
-        pairs,
-        F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(_SPAN).alias("out")),
-        lambda acc, p: F.struct(
-            (acc["at"] + F.length(p["gap"]) + F.coalesce(F.length(p["found"]), F.lit(0))).cast("bigint").alias("at"),
-            F.when(p["found"].isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(F.struct(
-                (acc["at"] + F.length(p["gap"])).cast("bigint").alias("start"),
-                F.lit(place).alias("place"),
-                (acc["at"] + F.length(p["gap"]) + F.length(p["found"])).cast("bigint").alias("end"),
-                p["found"].alias("hash"))))).cast(_SPAN).alias("out")),
-        lambda acc: acc["out"])
+    gaps, matches = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    # a gap and the match after it: their running length is where the match ends
+    lengths = F.zip_with(gaps, matches, lambda g, m: (F.length(g) + F.coalesce(F.length(m), F.lit(0))).cast("bigint"))
+    step = F.transform(F.arrays_zip(matches.alias("found"), running_sums(F.slice(lengths, 1, F.size(matches))).alias("end")),
+                       lambda p: F.struct((p["end"] - F.length(p["found"])).alias("start"), F.lit(place).alias("place"),
+                                          p["end"].alias("end"), p["found"].alias("hash")))
     value = (lambda s: F.regexp_extract(s["hash"], pattern, group)) if group else (lambda s: s["hash"])
     kept = F.filter(step, lambda s: F.length(value(s)) >= least) if least else step
     hashed = F.transform(kept, lambda s: F.struct(s["start"].alias("start"), s["place"].alias("place"),
@@ -82,14 +86,19 @@ def candidates(text: Column) -> Column:
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """(hash, repositories, owners) from rows (hash, repository, owner), counted distinctly."""
-    uses = found.select("hash", "owner", "repository").distinct()
+    """(hash, repositories, owners) from rows (hash, repository, owner, version), counted distinctly.
+
+    Repositories that hold the same version (text) for an owner are one.
+    """
+    uses = found.groupBy("hash", "owner", "version").agg(F.min("repository").alias("repository")).select(
+        "hash", "owner", "repository").distinct()
     by_owner = uses.groupBy("hash", "owner").agg(F.count(F.lit(1)).alias("n"))
     return by_owner.groupBy("hash").agg(F.sum("n").alias("repositories"), F.count(F.lit(1)).alias("owners"))
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
-                 repository_col: str = "doc_id", example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
+                 repository_col: str = "doc_id", example_owners: int = EXAMPLE_OWNERS,
+                 example_repositories: int = EXAMPLE_REPOSITORIES) -> DataFrame:
     """One row per row of ``docs``: doc_id and ``findings``, its spans with their ownership.
 
     A finding has start, place (in ``KINDS``), end, hash, repositories, owners and live. Findings
@@ -98,13 +107,13 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     scratch = Scratch(docs.sparkSession, "secrets")
     rows = with_row_numbers(docs.select(
         F.col(id_col).alias("doc_id"), F.col(owner_col).cast("string").alias("owner"),
-        F.col(repository_col).cast("string").alias("repository"), candidates(F.col(text_col)).alias("found")),
-        scratch, "candidates")
+        F.col(repository_col).cast("string").alias("repository"), F.md5(F.col(text_col)).alias("version"),
+        candidates(F.col(text_col)).alias("found")), scratch, "candidates")
     each = (rows.where(F.size("found") > 0)
-            .select("row", "doc_id", "owner", "repository", F.explode("found").alias("f"))
-            .select("row", "doc_id", "owner", "repository", "f.*"))
+            .select("row", "doc_id", "owner", "repository", "version", F.explode("found").alias("f"))
+            .select("row", "doc_id", "owner", "repository", "version", "f.*"))
     judged = each.join(ownership(each), "hash")
-    live = F.col("owners") < example_owners
+    live = (F.col("owners") < example_owners) & (F.col("repositories") < example_repositories)
     kept = judged.where((F.col("place") < len(BASE_KINDS)) | live)
     listed = (kept.groupBy("row", "doc_id")
               .agg(F.array_sort(F.collect_list(F.struct("start", "place", "end", "hash", "repositories", "owners",
@@ -135,8 +144,8 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _sql_kind(place: int, pattern: str, value: str, least: int) -> str:
     p = pattern.replace("'", "''")
-    return (f"SELECT rid, doc_id, source, {place} AS place, unnest(range(1, len(ms) + 1)) AS i, ms, gs, '{p}' AS re, "
-            f"{least} AS least, {value} AS grp FROM (SELECT rid, doc_id, source, regexp_extract_all(t, '{p}') AS ms, "
+    return (f"SELECT rid, doc_id, source, t, {place} AS place, unnest(range(1, len(ms) + 1)) AS i, ms, gs, '{p}' AS re, "
+            f"{least} AS least, {value} AS grp FROM (SELECT rid, doc_id, source, t, regexp_extract_all(t, '{p}') AS ms, "
             f"string_split_regex(t, '{p}') AS gs FROM d)")
 
 
@@ -147,16 +156,18 @@ def _op4_sql() -> str:
     listed = f"string_agg({names}[place + 1] || ':' || st || ':' || en, ',' ORDER BY st, place)"
     base = f"place < {len(BASE_KINDS)}"
     assign = ASSIGN.replace("'", "''")
+    live = f"(owners < {EXAMPLE_OWNERS} AND repositories < {EXAMPLE_REPOSITORIES})"
     return f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS t FROM documents),
 k AS ({kinds}),
-m AS (SELECT rid, doc_id, source, place, least, ms[i] AS m,
+m AS (SELECT rid, doc_id, source, t, place, least, ms[i] AS m,
              list_sum(list_transform(gs[1:i], lambda x: length(x)))
                + coalesce(list_sum(list_transform(ms[1:i-1], lambda x: length(x))), 0) AS st,
              CASE WHEN grp = 2 THEN regexp_extract(ms[i], '{assign}', 2) ELSE ms[i] END AS v FROM k),
 f AS (SELECT *, CAST(st AS BIGINT) + length(m) AS en, sha256(v) AS h FROM m WHERE length(v) >= least),
-o AS (SELECT h, count(DISTINCT coalesce(source, '~null~')) AS owners FROM f GROUP BY h),
-j AS (SELECT f.*, owners < {EXAMPLE_OWNERS} AS live FROM f JOIN o USING (h) WHERE {base} OR owners < {EXAMPLE_OWNERS}),
+r AS (SELECT h, coalesce(source, '~null~') AS owner, t, min(coalesce(CAST(doc_id AS VARCHAR), '~null~')) AS repository FROM f GROUP BY ALL),
+o AS (SELECT h, count(DISTINCT owner) AS owners, count(DISTINCT owner || '/' || repository) AS repositories FROM r GROUP BY h),
+j AS (SELECT f.*, {live} AS live FROM f JOIN o USING (h) WHERE {base} OR {live}),
 g AS (SELECT rid, count(*) FILTER (place = 0) AS a, count(*) FILTER (place = 1) AS b, count(*) FILTER (place = 2) AS c,
              coalesce({listed} FILTER ({base}), '') AS base, {listed} AS spans, count(*) FILTER (live) AS n_live
       FROM j GROUP BY rid)
