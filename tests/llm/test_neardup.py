@@ -125,6 +125,23 @@ def test_keep_one_keeps_rows_whole(make_docs):
     assert N.keep_one(make_docs([])).count() == 0 and N.duplicate_classes(make_docs([])).count() == 0
 
 
+def test_a_third_of_the_ids_null_and_clashing_columns(make_docs):
+    """Null or repeated ids are no hot key: texts come back by id and hash, each once."""
+    import hashlib
+
+    texts = [t for t in planted() if t]
+    rows = [(None if i % 3 == 0 else i // 2, t, "en", "s") for i, t in enumerate(texts)]
+    docs = make_docs(rows).withColumn("key", F.lit("x")).withColumn("rep", F.lit(1)).withColumn("bands", F.lit(None).cast("int"))
+    got = N.duplicate_classes(docs).collect()
+    md5 = lambda t: hashlib.md5(t.encode()).hexdigest()
+    assert sorted(r["text_md5"] for r in got) == sorted(map(md5, texts))
+    assert partition([r["text_md5"] for r in got], [r["class_row"] for r in got]) == partition(map(md5, texts), brute_classes(texts))
+    named = docs.select("doc_id", "text")
+    wanted = named.select("doc_id", F.md5("text").alias("text_md5"), F.lit("").alias("key"), F.monotonically_increasing_id().alias("rep"))
+    plan = N._sets(named, wanted, N.SHINGLE)._jdf.queryExecution().optimizedPlan().toString()
+    assert "text_md5#" in plan.split("Join Inner")[1].split("\n")[0]
+
+
 def test_probminhash_estimates_probability_jaccard():
     rng = np.random.default_rng(2)
     elements = N._mix(np.arange(1, 61, dtype=np.uint64))
