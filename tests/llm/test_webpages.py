@@ -31,6 +31,24 @@ def test_declared_parts():
     assert text('<div class="article-share">x</div><article><div class="header">in</div></article>') == "in"
 
 
+def test_an_article_keeps_sections_with_telling_names():
+    """Inside an article one word of a name is not enough; formulas are text."""
+    for name in ('id="related-work"', 'id="side-effects"', 'class="binary-search"', 'class="ad-hoc methods"', 'id="advertisingHistory"'):
+        assert text(f"<article><p>a</p><section {name}><p>kept</p></section></article>") == "a\nkept", name
+        assert text(f"<main><p>a</p><section {name}><p>kept</p></section></main>") == "a\nkept", name
+    for name in ('class="related-posts"', 'id="user-comments"', 'class="share-buttons"', 'class="newsletter-signup"', 'class="ad-slot-3"',
+                 'class="comment-list"', 'class="sidebar right"'):
+        assert text(f"<article><p>a</p><section {name}><p>x</p></section></article>") == "a", name
+    assert text("<article><p>The area is <math><mi>a</mi><mo>=</mo><mn>2</mn></math>.</p></article>") == "The area is a=2."
+
+
+def test_many_articles_and_adverts_take_linear_time():
+    page = "".join(f'<article><p>story {i:05d} of this page</p></article><div class="ad"><p>buy {i}</p></div>' for i in range(20_000))
+    started = time.time()
+    got = text(f"<body>{page}</body>").split("\n")
+    assert len(got) == 20_000 and not any("buy" in t for t in got) and time.time() - started < 20
+
+
 def test_named_wrappers_of_the_article_stay():
     story = "<h1>Head</h1><p>One two three four five six seven</p>"
     told = "Head\nOne two three four five six seven"

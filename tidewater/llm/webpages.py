@@ -24,8 +24,9 @@ list is joined to the pages on the host, where Spark may split a hot host's page
 
 Defined results: null html is empty and has an empty text; a page without a host in its url has
 no site and only its declared parts go; bad markup never fails (unclosed, stray and nested tags
-are closed as browsers do, character references follow HTML5); repeated rows get equal results;
-an empty table gives an empty result.
+are closed as browsers do, character references follow HTML5); very long pages take time in
+proportion (n log n in their articles and declared elements); repeated rows get equal results; other
+columns are not read; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ from __future__ import annotations
 import html
 import itertools
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
@@ -54,7 +56,7 @@ RAW = frozenset("script style textarea title xmp iframe noembed noframes noscrip
 BLOCK = frozenset("""address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset
 figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre
 section summary table tbody td tfoot th thead tr ul""".split()) - {"br"}
-DROPPED = frozenset("""nav footer aside form script style noscript template svg math iframe object applet canvas audio
+DROPPED = frozenset("""nav footer aside form script style noscript template svg iframe object applet canvas audio
 video button select textarea input datalist dialog menu head title noembed noframes map""".split())
 DROPPED_ROLES = frozenset("""navigation banner contentinfo complementary search form dialog alert alertdialog menu
 menubar toolbar tablist""".split())
@@ -64,6 +66,13 @@ promoted banner cookie cookies consent gdpr notice notification popup modal over
 signup sidebar side menu nav navbar navigation breadcrumb breadcrumbs pagination pager footer header masthead topbar
 comment comments disqus respond replies related recommended share sharing social widget toolbar login search
 skiplink hidden""".split())
+#: Words that say nothing of what an element is. Inside an article a name declares only if all its other
+#: words are such: "related-posts" and "user-comments" do, "related-work" and "binary-search" do not.
+FILLERS = frozenset("""a also all area article articles bar block body bottom box btn button buttons center col column container
+content desktop email end entry feed field floating follow from global group holder icon icons in inline inner input item items
+js latest layer left like link links list lists main may mid mobile module more new news our outer page pages panel
+placeholder popular post posts primary reader readers region right row secondary section site slot social sticky story
+stories tag tags text the title toggle top trending unit us user users view wrap wrapper you your""".split())
 #: An element named as a heading stays inside an article, or if it is named as an article's.
 HEADINGS = frozenset("header masthead".split())
 ARTICLE_NAMES = frozenset("article post entry story".split())
@@ -110,9 +119,12 @@ def _declared(tag: str, attributes: dict[str, str], inside: bool) -> int:
         return 2
     if tag == "form":
         return 1
-    names = f"{attributes.get('class', '')} {attributes.get('id', '')}"
-    words = {w.lower() for w in _WORD.findall(names)}
-    declared = words & DROPPED_NAMES
+    names = f"{attributes.get('class', '')} {attributes.get('id', '')}".split()
+    each = [{w.lower() for w in _WORD.findall(name)} for name in names]
+    words = set().union(*each)
+    if inside:
+        each = [ws for ws in each if all(w in DROPPED_NAMES or w in FILLERS or w.isdigit() for w in ws)]
+    declared = set().union(*each) & DROPPED_NAMES
     if declared <= HEADINGS and (inside or words & ARTICLE_NAMES):
         return 0  # an article's own heading
     return int(bool(declared))
@@ -306,11 +318,22 @@ class Page:
         longest = max((size(r) for r in self.ranges if r[2] == ARTICLE), default=0)
         articles = [r for r in self.ranges if r[2] == ARTICLE and size(r) == longest > 0]
         mains = [r for r in self.ranges if r[2] == MAIN and size(r)]
-        around = articles or mains or [(0, len(self.out), MAIN)]
+        around = mains or [(0, len(self.out), MAIN)]  # where there is no article
+        # articles of the greatest length are as long as one another, so only their bounds are asked for
+        inside = sorted(r[:2] for r in articles)
+        starts, reach = [a for a, _ in inside], list(itertools.accumulate((b for _, b in inside), max))
+        held = sorted(r[:2] for r in articles + mains)
+        firsts, nearest = [a for a, _ in held], list(itertools.accumulate((b for _, b in reversed(held)), min))[::-1]
         gone: list[tuple[int, int]] = []
         for r in declared:
-            most = any(holds(b, r) and 2 * size(r) > size(b) for b in around)
-            if not most and not any(holds(r, b) for b in articles + mains) and (not gone or r[0] >= gone[-1][1]):
+            if articles:
+                before = bisect_right(starts, r[0])
+                most = 2 * size(r) > longest and before > 0 and reach[before - 1] >= r[1]
+            else:
+                most = any(holds(b, r) and 2 * size(r) > size(b) for b in around)
+            after = bisect_left(firsts, r[0])
+            wraps = after < len(held) and nearest[after] <= r[1]
+            if not most and not wraps and (not gone or r[0] >= gone[-1][1]):
                 gone.append(r[:2])
         return gone
 
