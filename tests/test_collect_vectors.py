@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tidewater.operators import rag as R
 from tidewater.operators import vectors as VE
+from tidewater.plans.collect import build_envelopes
 from tidewater.sources import collector as CO
 from tidewater.sources import incremental as I
 
@@ -47,7 +48,7 @@ def test_landing_stats(spark):
 
 
 def test_rows_grow_with_the_events(spark):
-    small, large = (CO.collect_pages(CO.build_envelopes(spark.read.parquet(f"/root/testdata/{sf}/events.parquet"))).count()
+    small, large = (CO.collect_pages(build_envelopes(spark.read.parquet(f"/root/testdata/{sf}/events.parquet"))).count()
                     for sf in ("sf0.001", "sf0.01"))
     assert large > 5 * small
 

@@ -6,6 +6,7 @@ import random
 from pyspark.sql import functions as F
 
 from tidewater.operators import dedup as D
+from tidewater.plans.collect import build_envelopes
 from tidewater.sources import collector as CO
 from tidewater.sources.sinks import TEXT_OPTIONS
 from tidewater.streaming import jobs as J
@@ -39,7 +40,7 @@ def test_stream_increment_picks_up_new_files_only(spark, tmp_dir):
 
 
 def test_stream_collect_equals_batch_items(spark, tmp_dir):
-    env = CO.build_envelopes(spark.read.parquet(f"{SF}/events.parquet"))
+    env = build_envelopes(spark.read.parquet(f"{SF}/events.parquet"))
     env.repartition(4, "page").write.options(**TEXT_OPTIONS).json(tmp_dir + "/env")
     got = J.stream_collect(spark, tmp_dir + "/env", tmp_dir + "/items", tmp_dir + "/ckpt")
     items = (env.filter("status = 'ok'").select(F.explode("data").alias("i")).select("i.*")

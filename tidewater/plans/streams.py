@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewater.plans.collect import ENV_SQL
+from tidewater.plans.collect import ENV_SQL, build_envelopes
 from tidewater.plans.dml import INCREMENT_MARK
 from tidewater.plans.registry import query
 from tidewater.session import materialize, shared_dir
@@ -18,7 +18,7 @@ from tidewater.tables import table
 @query("stream_collect", f"""WITH {ENV_SQL}
 SELECT DISTINCT id, user_id, event_type, value, ts FROM landed WHERE id IS NOT NULL AND id <> ''""")
 def q_stream_collect(spark, sf_dir):
-    env = CO.build_envelopes(table(spark, sf_dir, "events"))
+    env = build_envelopes(table(spark, sf_dir, "events"))
     landing = shared_dir(spark, "envelopes")
     env.repartition(16, "page").write.options(**TEXT_OPTIONS).json(landing)
     return J.stream_collect(spark, landing, shared_dir(spark, "stream_items"), shared_dir(spark, "ckpt"))
@@ -46,7 +46,7 @@ def q_stream_upsert(spark, sf_dir):
 
 def _landed_in_order(spark, sf_dir, landings: int = 8) -> str:
     """Envelopes landed in fetch order, in ``landings`` appends of two files."""
-    env = materialize(CO.build_envelopes(table(spark, sf_dir, "events")), "envelopes")
+    env = materialize(build_envelopes(table(spark, sf_dir, "events")), "envelopes")
     path = shared_dir(spark, "landing")
     last = env.select(F.max("page")).first()[0]
     step = max(1, -(-last // landings))
@@ -74,7 +74,7 @@ SELECT DISTINCT *, 'first' AS tag FROM named WHERE ts >= TIMESTAMP '{LATE_BEFORE
 UNION ALL SELECT *, 'late' FROM named WHERE ts < TIMESTAMP '{LATE_BEFORE}'""")
 def q_stream_first_and_late(spark, sf_dir):
     """Newer items land first; the query is restarted when the older ones have landed, which are all late."""
-    env = CO.build_envelopes(table(spark, sf_dir, "events"))
+    env = build_envelopes(table(spark, sf_dir, "events"))
     landing, how = shared_dir(spark, "landing"), (shared_dir(spark, "tagged"), shared_dir(spark, "ckpt"), "0 seconds", 86400, 100)
     newer = lambda i: i["ts"] >= F.lit(LATE_BEFORE).cast("timestamp_ntz")
     for keep in (newer, lambda i: ~newer(i)):
@@ -91,7 +91,7 @@ p AS (SELECT DISTINCT page, CASE WHEN page % 10 = 3 THEN 'malformed' WHEN page %
 
 def spoiled_lines(spark, sf_dir):
     """Envelopes as JSON Lines; of ten pages one is cut short, one has lost its page and one has an odd status."""
-    env = CO.build_envelopes(table(spark, sf_dir, "events"))
+    env = build_envelopes(table(spark, sf_dir, "events"))
     digit = F.col("page") % 10
     whole = F.to_json(F.struct(F.when(digit != 4, F.col("page")).alias("page"), F.when(digit == 6, "teapot").otherwise(F.col("status")).alias("status"),
                                *[c for c in env.columns if c not in ("page", "status")]), TEXT_OPTIONS)

@@ -61,9 +61,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for intermediate tables, inside the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark)
-    base = base[len("file:"):] if base.startswith("file:") else base
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+    return os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -32,50 +32,6 @@ ENVELOPE_SCHEMA = T.StructType([
 ])
 
 
-def cursor_token(page: Column) -> Column:
-    """Opaque cursor used by the envelope builder (any unique string works)."""
-    return F.md5(F.concat(F.lit("c"), page.cast("string")))
-
-
-def build_envelopes(events: DataFrame, page_size: int = 100, overlap: int = 5,
-                    failed: Column | None = None, empty: Column | None = None,
-                    missing_id: Column | None = None) -> DataFrame:
-    """Envelopes as an API would return them for ``events`` ordered by ``event_id``.
-
-    Page p holds ids ``[(p-1)*size - overlap, p*size)`` (the last ``overlap`` items of a page
-    repeat on the next); pages where ``failed`` holds have no data, pages where ``empty`` holds
-    an empty list; items matching ``missing_id`` carry a NULL id. Each page is built by one
-    bounded group (``page_size + overlap`` rows).
-    """
-    missing_id = missing_id if missing_id is not None else F.col("value") < 1.0
-    failed = failed if failed is not None else F.col("page") % 50 == 7
-    empty = empty if empty is not None else F.col("page") % 50 == 5
-    page0 = (F.floor(F.col("event_id") / page_size) + 1).cast("int")
-    item = F.struct(
-        F.when(missing_id, F.lit(None)).otherwise(F.col("event_id").cast("string")).alias("id"),
-        "user_id", "event_type", "value", "ts")
-    base = events.select("event_id", page0.alias("page0"), item.alias("item"))
-    copies = base.select(
-        F.explode(F.when((F.col("event_id") % page_size) >= page_size - overlap,
-                         F.array(F.col("page0"), F.col("page0") + 1))
-                  .otherwise(F.array(F.col("page0")))).alias("page"),
-        "event_id", "item")
-    pages = copies.groupBy("page").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("event_id", "item"))),
-                    lambda s: s["item"]).alias("data"))
-    last = pages.select(F.max("page")).scalar()
-    has_next = (F.col("page") < last) & ~failed
-    return pages.select(
-        F.col("page").cast("int").alias("page"),
-        F.when(failed, "failed").otherwise("ok").alias("status"),
-        F.when(failed, F.lit(None)).when(empty, F.array().cast(T.ArrayType(ITEM_SCHEMA)))
-        .otherwise(F.col("data")).alias("data"),
-        F.when(has_next, (F.col("page") + 1).cast("string")).alias("next_page"),
-        F.when(has_next, cursor_token(F.col("page") + 1)).alias("next_cursor"),
-        F.when(F.col("page") > 1, cursor_token(F.col("page"))).alias("request_cursor"),
-    )
-
-
 def read_envelopes(spark, path: str, fmt: str = "json") -> DataFrame:
     """Landed envelopes with an explicit schema (no inference over raw responses); of malformed ones
     only what can be read. ``read_landing`` tells them apart."""
