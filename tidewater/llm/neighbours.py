@@ -2,15 +2,16 @@
 
 Vectors are dealt into shards. Each shard gets a hierarchical navigable small-world graph, stored
 as flat arrays (vectors, bottom-layer neighbours, upper layers), one table row a shard. Queries go
-in blocks to every shard, search its graph, and the shards' results are merged per query.
+to every shard, search its graph, and the shards' results are merged per query.
 
 Equal vectors are one node that carries its smallest ids, so a vector with thousands of copies
 neither floods a graph nor crowds out the others. The graph is searched in single precision;
 what it finds is scored in double precision on the original vectors.
 
 Scale: a shard has about ``SHARD_NODES`` nodes, so building is a bounded task; the index is
-written as a table and can be kept. A query block and a shard meet by an equi-join on their
-numbers; each pair returns ``k`` rows a query, and a window with a partial limit merges them.
+written as a table and can be kept. To search, a shard is one task's: shuffled once, it stands before
+its queries, which are streamed past it; all shards are searched. A shard returns ``k`` rows a query,
+and a window with a partial limit merges them.
 
 Defined results: rows whose id is null, or whose vector is null, empty, zero or holds null or
 non-finite components, take no part; vectors of different length are not comparable; rows that
@@ -32,7 +33,6 @@ from tidewater.llm.scratch import Scratch
 from tidewater.tables import table
 
 SHARD_NODES = 8192
-QUERY_BLOCK = 2048
 LINKS = 16  # of a node in the upper layers; twice as many in the bottom layer
 BUILD_BEAM = 64
 SEARCH_BEAM = 96
@@ -217,44 +217,44 @@ def build_index(nodes: DataFrame, scratch: Scratch, shard_nodes: int = SHARD_NOD
     return scratch.save(dealt.groupBy("dim", "shard").applyInArrow(build, _INDEX), "index")
 
 
-def search_index(index: DataFrame, queries: DataFrame, scratch: Scratch, k: int = K, beam: int = SEARCH_BEAM,
-                 block: int = QUERY_BLOCK) -> DataFrame:
-    """(query_id, vec_id, score): each shard's best ``k`` other ids for every query (query_id, vector)."""
-    sized = queries.withColumn("dim", F.size("vector"))
-    blocks = scratch.save(sized.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).select(
-        F.col("dim").alias("of_dim"), F.greatest(F.ceil(F.col("n") / block), F.lit(1)).cast("int").alias("blocks")), "blocks")
-    dealt = sized.join(blocks, F.col("dim") == F.col("of_dim")).withColumn(
-        "block", F.pmod(F.xxhash64("query_id"), F.col("blocks")).cast("int"))
-    numbers = index.select(F.col("dim").alias("of_dim"), F.col("shard").alias("to_shard"))
-    each = dealt.select(F.col("dim").alias("q_dim"), F.col("block").alias("q_block"), "query_id", "vector").join(
-        numbers, F.col("q_dim") == F.col("of_dim")).select("q_dim", F.col("to_shard").alias("q_shard"), "q_block", "query_id", "vector")
-    every = index.join(blocks, F.col("dim") == F.col("of_dim")).withColumn(
-        "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("of_dim", "blocks")
-
-    def search(left: pa.Table, right: pa.Table) -> pa.Table:
-        out: list[tuple[int, int, float]] = []
-        if left.num_rows and right.num_rows:
-            row = left.to_pylist()[0]
-            vectors = np.frombuffer(row["vectors"], np.float64).reshape(-1, row["dim"])
-            scaled = unit(vectors)
-            graph = Hnsw.restored(scaled, row)
-            counts = np.frombuffer(row["id_counts"], np.int32)
-            ends = np.cumsum(counts)
-            ids = np.frombuffer(row["ids"], np.int64)
-            for query_id, vector in zip(right["query_id"].to_pylist(), right["vector"].to_pylist(), strict=True):
-                q = np.array([vector], np.float64)
-                found = np.array(graph.search(unit(q)[0], k + 1, beam))
-                scores = _cosine(vectors[found], q[0])
-                best = []
-                for s, node in sorted(zip((-scores).tolist(), found.tolist(), strict=True))[:k + 1]:
-                    best += [(s, int(i)) for i in ids[ends[node] - counts[node]:ends[node]] if i != query_id]
-                out += [(query_id, i, -s) for s, i in sorted(best)[:k]]
-        cols = list(zip(*out, strict=True)) or [[]] * 3
-        return pa.table({"query_id": pa.array(cols[0], pa.int64()), "vec_id": pa.array(cols[1], pa.int64()),
-                         "score": pa.array(cols[2], pa.float64())})
-
-    return (every.groupBy("dim", "shard", "block").cogroup(each.groupBy("q_dim", "q_shard", "q_block"))
-            .applyInArrow(search, "query_id bigint, vec_id bigint, score double"))
+def search_index(index: DataFrame, queries: DataFrame, k: int = K, beam: int = SEARCH_BEAM) -> DataFrame:
+    """(query_id, vec_id, score): each shard's best ``k`` other ids for every query (query_id, vector).
+
+    All shards of a query's width are searched. A shard is one task's: it is shuffled once, stands
+    before its queries, and these are streamed past it, however many there are.
+    """
+    shards = index.select(F.col("dim").alias("of_dim"), F.col("shard").alias("to_shard"))
+    asked = queries.withColumn("dim", F.size("vector")).join(shards, F.col("dim") == F.col("of_dim")).select(
+        "dim", F.col("to_shard").alias("shard"), F.lit(1).alias("side"), "query_id", "vector")
+    stored = index.withColumn("side", F.lit(0))
+    both = stored.unionByName(asked, allowMissingColumns=True)
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, graph = None, None
+        for batch in batches:
+            out: list[tuple[int, int, float]] = []
+            for n in range(batch.num_rows):
+                row = batch.slice(n, 1).to_pylist()[0]
+                if row["side"] == 0:
+                    at = (row["dim"], row["shard"])
+                    vectors = np.frombuffer(row["vectors"], np.float64).reshape(-1, row["dim"])
+                    graph = Hnsw.restored(unit(vectors), row)
+                    counts = np.frombuffer(row["id_counts"], np.int32)
+                    ends, ids = np.cumsum(counts), np.frombuffer(row["ids"], np.int64)
+                elif at == (row["dim"], row["shard"]):
+                    q = np.array([row["vector"]], np.float64)
+                    found = np.array(graph.search(unit(q)[0], k + 1, beam))
+                    scores = _cosine(vectors[found], q[0])
+                    best = []
+                    for s, node in sorted(zip((-scores).tolist(), found.tolist(), strict=True))[:k + 1]:
+                        best += [(s, int(i)) for i in ids[ends[node] - counts[node]:ends[node]] if i != row["query_id"]]
+                    out += [(row["query_id"], i, -s) for s, i in sorted(best)[:k]]
+            cols = list(zip(*out, strict=True)) or [[]] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.float64())],
+                                             ["query_id", "vec_id", "score"])
+
+    dealt = both.repartition("dim", "shard").sortWithinPartitions("dim", "shard", "side")
+    return dealt.mapInArrow(search, "query_id bigint, vec_id bigint, score double")
 
 
 def _cosine(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
@@ -281,7 +281,7 @@ def nearest(vectors: DataFrame, queries: Column, k: int = K, id_col: str = "vec_
                          .select(F.size("vector").alias("dim"), "vector", "ids"), "nodes")
     index = build_index(nodes, scratch, shard_nodes, links, build_beam)
     asked = rows.where("asks").select(F.col("vec_id").alias("query_id"), "vector")
-    found = search_index(index, asked, scratch, k, search_beam)
+    found = search_index(index, asked, k, search_beam)
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
