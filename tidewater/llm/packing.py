@@ -42,9 +42,9 @@ ISLANDS = 3
 POPULATION = 4
 GENERATIONS = 5  # in each of the two epochs
 VOCABULARY = "word_bpe_49k.json"
-CACHE_BYTES = 96 << 20  # about, of each of a worker's word and part caches; one starts anew when full
+CACHE_BYTES = 32 << 20  # about, of each of a worker's word and part caches; one starts anew when full
 LONGEST_CACHED = 48
-SLICE_CHARS = 4 << 20  # texts encoded together; a longer one goes alone
+SLICE_CHARS = 1 << 20  # texts encoded together; a longer one goes alone
 
 #: The vocabulary's own split, for lowered texts of letters and signs below U+0180, where lower case
 #: and composed forms do not depend on the surroundings: endings, letters, a digit, other signs.
