@@ -4,6 +4,7 @@ import datetime as dt
 import random
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewater.operators import dedup as D
 from tidewater.plans.collect import build_envelopes
@@ -139,6 +140,24 @@ def test_first_copies_and_late_rows_in_one_pass(spark, tmp_dir):
     assert max(held) < len({i for i, *_ in want})  # ids are forgotten
 
 
+def test_first_or_late_handles_ids_as_a_table_and_replays_an_epoch(spark, tmp_dir):
+    """50,000 ids a micro-batch (a Python call per id took minutes); a replayed epoch changes nothing."""
+    fields = "id string, user_id bigint, event_type string, value double, ts timestamp_ntz"
+    schema = T.StructType([*T.StructType.fromDDL(fields).fields, T.StructField("tag", T.StringType())])
+    rows = lambda lo, hi, day: spark.range(lo, hi).selectExpr(
+        "CAST(id AS STRING) AS id", "id AS user_id", "'x' AS event_type", "1.0D AS value", f"TIMESTAMP_NTZ '2024-01-{day:02d}' AS ts")
+    batches = [rows(0, 50_000, 10).unionByName(rows(0, 50_000, 11)), rows(40_000, 60_000, 12).unionByName(rows(59_990, 60_010, 1))]
+    job = J.FirstOrLate(tmp_dir + "/out", tmp_dir + "/state", schema, 0, 86400_000)
+    for epoch, batch in enumerate(batches):
+        for _ in range(2):
+            job.tag(batch, epoch)
+    job.close(spark)
+    got = spark.read.parquet(tmp_dir + "/out").groupBy("_epoch", "tag").count().collect()
+    # of the second batch 40,000 to 49,999 are remembered; old rows are late, also of ids with a timely one
+    assert sorted(tuple(r) for r in got) == [(0, "first", 50_000), (1, "first", 10_000), (1, "late", 20)]
+    assert job.held == [50_000, 50_000, 10_000, 10_000, 10_000]
+
+
 def test_rejects_and_accepted_add_up(spark, tmp_dir):
     lines = ['{"page":1,"status":"ok","data":[]}', '{"page":1,"status":"ok","data":[{"id":"a"}]}', '{"page":2,"status":"ok","da', "[]", "null", "7",
              '{"status":"ok","data":[]}', '{"page":"x","status":"ok","data":[]}', '{"page":3,"status":"odd"}', '{"page":4}', '{"page":5,"status":"failed"}',

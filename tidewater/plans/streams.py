@@ -66,6 +66,8 @@ def q_stream_collect_bounded(spark, sf_dir):
 
 
 LATE_BEFORE = "2024-01-15"
+# Files of a landing at most: written side by side, and all of them in one micro-batch.
+LANDING_FILES = 48
 
 
 @query("stream_first_and_late", f"""WITH {ENV_SQL},
@@ -74,12 +76,12 @@ SELECT DISTINCT *, 'first' AS tag FROM named WHERE ts >= TIMESTAMP '{LATE_BEFORE
 UNION ALL SELECT *, 'late' FROM named WHERE ts < TIMESTAMP '{LATE_BEFORE}'""")
 def q_stream_first_and_late(spark, sf_dir):
     """Newer items land first; the query is restarted when the older ones have landed, which are all late."""
-    env = build_envelopes(table(spark, sf_dir, "events"))
+    env = materialize(build_envelopes(table(spark, sf_dir, "events")), "envelopes")
     landing, how = shared_dir(spark, "landing"), (shared_dir(spark, "tagged"), shared_dir(spark, "ckpt"), "0 seconds", 86400, 100)
     newer = lambda i: i["ts"] >= F.lit(LATE_BEFORE).cast("timestamp_ntz")
     for keep in (newer, lambda i: ~newer(i)):
         part = env.withColumn("data", F.filter("data", keep))
-        part.coalesce(2).write.mode("append").options(**TEXT_OPTIONS).json(landing)
+        part.coalesce(LANDING_FILES).write.mode("append").options(**TEXT_OPTIONS).json(landing)
         items = J.stream_first_and_late(spark, landing, *how)[0]
     return items
 

@@ -2,7 +2,7 @@
 
 * ``stream_collect``: landed response envelopes → items → streaming dedup on the item id.
 * ``stream_landing``: landed lines → envelopes, with malformed ones as rejects and counts that add up.
-* ``stream_first_and_late``: the dedup with keyed state and timers; late rows are tagged output.
+* ``stream_first_and_late``: the dedup with remembered ids that expire; late rows are tagged output.
 * ``stream_increment``: a file source is its own high-water mark: the checkpoint records
   which files were read, so each run (``availableNow``) picks up only new files.
 * ``stream_upsert``: ``foreachBatch`` upsert (last write wins). A micro-batch is appended as
@@ -16,12 +16,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor
 
 from tidewater.operators.dedup import dedup_lww
+from tidewater.session import drop_path, path_exists
 from tidewater.sources.collector import ENVELOPE_SCHEMA, accepted, landed_lines, parse_envelopes, rejected
 from tidewater.sources.sinks import TEXT_OPTIONS
 
@@ -116,80 +116,114 @@ def stream_landing(spark: SparkSession, landing: str, out: str, checkpoint: str,
 # ---- first copies and late rows of a bounded stream, from one pass over it ---------------------
 
 FIRST, LATE = "first", "late"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-class FirstOrLate(StatefulProcessor):
-    """Per id: the first row is emitted as ``first`` and remembered until ``keep_ms`` after its time.
+def _ms() -> Column:
+    return F.unix_millis(F.col("ts").cast("timestamp"))
+
+
+class FirstOrLate:
+    """Per id: the first row is tagged ``first`` and remembered until ``keep_ms`` after its time.
 
     Later rows of a remembered id are repeats and give nothing. A row older than the watermark whose
-    id is not remembered is emitted as ``late``: whether it is a repeat can no longer be told.
+    id is not remembered is tagged ``late``: whether it is a repeat can no longer be told.
+
+    The remembered ids are a table (``seen``: id, until), one folder an epoch, and an epoch's clock is
+    the newest time seen and the watermark up to which ids are forgotten. An epoch reads the one
+    before it and replaces its own folders, so a replayed epoch gives the same.
     """
 
-    def __init__(self, keep_ms: int, ts_col: str, order_by: Sequence[str]):
-        self.keep_ms, self.ts_col, self.order_by = keep_ms, ts_col, list(order_by)
-
-    def init(self, handle) -> None:
-        self.handle = handle
-        self.seen = handle.getValueState("seen", T.StructType([T.StructField("until", T.LongType())]))
-
-    def handleInputRows(self, key, rows, timerValues):  # noqa: N802, N803 (Spark's names)
-        known = self.seen.exists()
-        watermark = timerValues.getCurrentWatermarkInMs()
-        for batch in rows:
-            batch = batch.sort_values([self.ts_col, *self.order_by], kind="stable", na_position="last")
-            times = batch[self.ts_col].astype("datetime64[ms]").astype("int64")
-            for k, ms in enumerate(times.tolist()):
-                if known:
-                    break
-                if ms < watermark:
-                    yield batch.iloc[[k]].assign(tag=LATE)
-                else:
-                    known, until = True, ms + self.keep_ms
-                    self.seen.update((until,))
-                    self.handle.registerTimer(until)
-                    yield batch.iloc[[k]].assign(tag=FIRST)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):  # noqa: N802, N803
-        self.seen.clear()
-        return iter(())
-
-    def close(self) -> None:
-        pass
+    def __init__(self, out_path: str, state: str, schema: T.StructType, delay_ms: int, keep_ms: int):
+        self.out_path, self.state, self.schema = out_path, state, schema
+        self.delay_ms, self.keep_ms = delay_ms, keep_ms
+        self.held: list[int] = []
+        self.epoch: int | None = None
+
+    def _at(self, name: str, epoch: int) -> str:
+        return f"{self.state}/{name}/{EPOCH_COLUMN}={epoch}"
+
+    def _set_clock(self, spark: SparkSession, epoch: int, newest: int, forgotten: int) -> None:
+        clock = spark.createDataFrame([(newest, forgotten)], "newest bigint, forgotten bigint")
+        clock.coalesce(1).write.mode("overwrite").parquet(self._at("clock", epoch))
+
+    def _clock(self, spark: SparkSession, epoch: int) -> tuple[int, int]:
+        return tuple(spark.read.parquet(self._at("clock", epoch)).first())
+
+    def _seen(self, spark: SparkSession, epoch: int, forgotten: int) -> DataFrame:
+        seen = spark.read.schema("id string, until bigint").parquet(self._at("seen", epoch))
+        return seen.where(F.col("until") > forgotten)
+
+    def _watermark(self, newest: int) -> int:
+        return max(0, newest - self.delay_ms)
+
+    def tag(self, batch: DataFrame, epoch: int) -> None:
+        """Write one micro-batch's tagged rows, then the ids remembered after it, then its clock."""
+        spark = batch.sparkSession
+        batch = batch.persist()
+        try:
+            latest = batch.select(F.max(_ms())).first()[0] or 0
+            newest, known = 0, None
+            if path_exists(spark, self._at("clock", epoch - 1)):
+                newest, forgotten = self._clock(spark, epoch - 1)
+                known = self._seen(spark, epoch - 1, forgotten)
+            watermark = self._watermark(newest)
+            # a row without a time counts as one of 1970
+            rows = batch.withColumn("ts", F.coalesce("ts", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")))
+            late, timely = rows.where(_ms() < watermark), rows.where(_ms() >= watermark)
+            if known is not None:
+                late, timely = (r.join(known, "id", "left_anti") for r in (late, timely))
+            order = [F.col(f.name).asc_nulls_last() for f in batch.schema.fields if f.name not in ("id", "ts")]
+            w = Window.partitionBy("id").orderBy("ts", *order)
+            first = timely.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank")
+            tagged = first.withColumn("tag", F.lit(FIRST)).unionByName(late.withColumn("tag", F.lit(LATE)))
+            out = f"{self.out_path}/{EPOCH_COLUMN}={epoch}"
+            tagged.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("tag").parquet(out)
+        finally:
+            batch.unpersist()
+        firsts = spark.read.schema(self.schema).parquet(out).where(F.col("tag") == FIRST)
+        seen = firsts.select("id", (_ms() + self.keep_ms).alias("until"))
+        seen = seen if known is None else seen.unionByName(known)
+        seen.where(F.col("until") > watermark).write.mode("overwrite").parquet(self._at("seen", epoch))
+        self._set_clock(spark, epoch, max(newest, latest), watermark)
+        self.held.append(self._seen(spark, epoch, watermark).count())
+        self.epoch = epoch
+        for name in ("seen", "clock"):  # a replay goes back one epoch at most
+            drop_path(spark, self._at(name, epoch - 2))
+
+    def close(self, spark: SparkSession) -> None:
+        """Forget what the last micro-batch's own times have made old."""
+        if self.epoch is None:
+            return
+        newest, _ = self._clock(spark, self.epoch)
+        self._set_clock(spark, self.epoch, newest, self._watermark(newest))
+        self.held.append(self._seen(spark, self.epoch, self._watermark(newest)).count())
 
 
 def stream_first_and_late(spark: SparkSession, envelope_dir: str, out_path: str, checkpoint: str, watermark: str,
                           keep_seconds: int, files_per_trigger: int = 1) -> tuple[DataFrame, list[int]]:
-    """(items with a ``tag``, rows of state after each micro-batch) of landed envelopes.
+    """(items with a ``tag``, ids remembered after each micro-batch and at the end) of landed envelopes.
 
     The first copy of every id is tagged ``first``. Rows older than the watermark are not dropped
     but tagged ``late``, in the same pass and with the same checkpoint. State holds only ids whose time
     is less than ``keep_seconds`` behind the watermark; a row without a time has no place in a stream
-    bounded by time and is late. The output is partitioned by tag.
+    bounded by time and is late. The output is partitioned by epoch and tag. A micro-batch costs its
+    own rows and the remembered ids, in joins and windows on the JVM, with no call per id.
     """
     env = (spark.readStream.schema(ENVELOPE_SCHEMA).options(**TEXT_OPTIONS)
            .option("maxFilesPerTrigger", files_per_trigger).json(envelope_dir))
     items = (env.filter(F.col("status") == "ok").select(F.explode("data").alias("item")).select("item.*")
              .filter(F.col("id").isNotNull() & (F.col("id") != "")))
-    # the watermark is told by a column of its own that ends here, so no later step drops late rows by it
-    timed = items.withColumn("_ts", F.col("ts").cast("timestamp")).withWatermark("_ts", watermark).drop("_ts")
-    timed = timed.withColumn("ts", F.coalesce("ts", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")))
     schema = T.StructType([*items.schema.fields, T.StructField("tag", T.StringType())])
-    order = [f.name for f in items.schema.fields if f.name not in ("id", "ts")]
-    tagged = timed.groupBy("id").transformWithStateInPandas(
-        FirstOrLate(1000 * keep_seconds, "ts", order), schema, "Append", "EventTime")
-    old = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    try:
-        q = _run(tagged.writeStream.format("parquet").option("path", out_path).partitionBy("tag")
-                 .option("checkpointLocation", checkpoint).outputMode("append"))
-    finally:
-        if old is None:
-            spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
-        else:
-            spark.conf.set("spark.sql.streaming.stateStore.providerClass", old)
-    held = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]]
-    return spark.read.schema(schema).parquet(out_path), held
+    delay_ms = spark.sql(f"SELECT unix_millis(timestamp_millis(0) + INTERVAL '{watermark}')").first()[0]
+    if delay_ms < 0:
+        raise ValueError(f"a watermark's delay is not negative: {watermark}")
+    job = FirstOrLate(out_path, f"{checkpoint}/first_or_late", schema, delay_ms, 1000 * keep_seconds)
+    _run(items.writeStream.option("checkpointLocation", checkpoint).foreachBatch(job.tag))
+    job.close(spark)
+    if not path_exists(spark, out_path):  # nothing has landed yet
+        return spark.createDataFrame([], schema), job.held
+    full = T.StructType([*schema.fields, T.StructField(EPOCH_COLUMN, T.LongType())])
+    return spark.read.schema(full).parquet(out_path).select(*schema.names), job.held
 
 
 EPOCH_COLUMN = "_epoch"
