@@ -122,3 +122,20 @@ def test_k_of_each_query_and_ties(spark, tmp_dir):
     q = frame(spark, {1: [2.0, 0.0], 2: [1.0, 0.0]}, "query_id").withColumn("k", F.when(F.col("query_id") == 1, 2).otherwise(0))
     rows = IV.search_exact(q, index, k="k", min_score=0.5, tie_cols=["age"]).orderBy("query_id", "rank").collect()
     assert [(r["query_id"], r["id"]) for r in rows] == [(1, 5), (1, 4)] + [(2, i) for i in (5, 4, 3, 2, 1)]
+
+
+def test_scores_are_held_a_slice_at_a_time(monkeypatch):
+    """However many queries meet however many chunks, the scores in hand stay below the bound."""
+    rng = np.random.default_rng(5)
+    asked, units = (IV.unit_rows(rng.normal(size=(n, 8)))[1] for n in (300, 70))
+    ks = [1 + i % 4 for i in range(300)]
+    monkeypatch.setattr(IV, "SCORE_CELLS", 700)
+    seen, held = {}, []
+    plain = IV.best_of
+    monkeypatch.setattr(IV, "best_of", lambda s, k, floor: held.append(s.base.size) or plain(s, k, floor))
+    for again, hits, scores in IV.best_pairs(asked, ks, units, 0.2):
+        assert len(set(again)) <= 10
+        seen |= {(int(q), int(c)): x for q, c, x in zip(again, hits, scores, strict=True)}
+    whole = np.minimum(asked @ units.T, 1.0)
+    assert set(seen) == {(q, int(c)) for q in range(300) for c in plain(whole[q], ks[q], 0.2)}
+    assert all(abs(whole[at] - x) < 1e-12 for at, x in seen.items()) and max(held) <= 700

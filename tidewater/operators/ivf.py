@@ -40,6 +40,8 @@ IVF_FIT_ROWS = 20_000
 # Chunks of a list that one task holds, and lists that an exact search reads before it prunes.
 LIST_BLOCK_ROWS = 8192
 FIRST_PROBES = 2
+# Scores that a task holds at a time at most (8 bytes each): queries are scored in slices that keep to it.
+SCORE_CELLS = 1 << 20
 NO_LIST = -1
 # Scores are compared with this slack, more than products of unit vectors can be off.
 SLACK = 1e-9
@@ -167,11 +169,12 @@ Choice = Callable[[np.ndarray, np.ndarray], list[np.ndarray]]
 def _routes(queries: DataFrame, index: Index, choose: Choice) -> DataFrame:
     """(query, _emb, _k, list_id): each query once per list that ``choose`` names, written once.
 
-    ``choose`` gets the angles to all centers (a row a query) and the queries' present floors.
+    ``choose`` gets the angles to all centers (a row a query) and the queries' present floors. A query
+    is written with the array of its lists, and repeated only when that is read.
     """
     shared = queries.sparkSession.sparkContext.broadcast(index.centers)
     names = queries.columns
-    schema = T.StructType([*[f for f in queries.schema.fields if f.name != "_floor"], T.StructField("list_id", T.IntegerType())])
+    schema = T.StructType([*[f for f in queries.schema.fields if f.name != "_floor"], T.StructField("_lists", T.ArrayType(T.IntegerType()))])
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -180,11 +183,11 @@ def _routes(queries: DataFrame, index: Index, choose: Choice) -> DataFrame:
                 continue
             floors = batch["_floor"].to_numpy()[at] if "_floor" in names else np.zeros(len(at))
             chosen = choose(_angles(units, shared.value), floors)
-            again = np.repeat(at, [len(c) for c in chosen])
-            out = batch.iloc[again].drop(columns="_floor", errors="ignore")
-            yield out.assign(list_id=np.concatenate(chosen).astype(np.int32) if len(again) else np.zeros(0, np.int32))
+            out = batch.iloc[at].drop(columns="_floor", errors="ignore")
+            yield out.assign(_lists=pd.Series([c.astype(np.int32) for c in chosen], index=out.index, dtype=object))
 
-    return materialize(queries.mapInPandas(route, schema), "ivf_routes")
+    routes = materialize(queries.mapInPandas(route, schema), "ivf_routes")
+    return routes.withColumn("list_id", F.explode("_lists")).drop("_lists")
 
 
 def best_of(scores: np.ndarray, k: int, floor: float) -> np.ndarray:
@@ -196,20 +199,35 @@ def best_of(scores: np.ndarray, k: int, floor: float) -> np.ndarray:
     return hit
 
 
+def best_pairs(asked: np.ndarray, ks: Sequence[int], units: np.ndarray, floor: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(positions in ``asked``, positions in ``units``, scores) of what ``best_of`` keeps, a slice of queries at a time."""
+    step = max(1, SCORE_CELLS // max(1, len(units)))
+    for lo in range(0, len(asked), step):
+        scores = asked[lo:lo + step] @ units.T
+        np.minimum(scores, 1.0, out=scores)
+        found = [best_of(s, k, floor) for s, k in zip(scores, ks[lo:lo + step], strict=True)]
+        again = np.repeat(np.arange(len(found)), [len(f) for f in found])
+        if len(again):
+            hits = np.concatenate(found)
+            yield lo + again, hits, scores[again, hits]
+
+
 def _candidates(routes: DataFrame, index: Index, query_id: str, min_score: float, block_rows: int) -> DataFrame:
     """(query, chunk, score): for every routed query and each block of its lists, the block's best."""
     spark, cid = routes.sparkSession, index.chunk_id
     blocks = F.get(F.array(*[F.lit(int(max(1, -(-n // block_rows)))) for n in index.sizes] or [F.lit(1)]), F.col("list_id"))
     # at most as many numbers as the index has lists; other lists' folders are not read
     probed = [r["list_id"] for r in routes.select("list_id").distinct().collect()]
-    chunk = index.rows(spark).select(F.col(cid).alias("_cid"), F.col(index.emb).cast("array<double>").alias("_emb"), "list_id")
+    chunk = index.rows(spark).select(F.col(cid).alias("_cid"), F.col(index.emb).alias("_emb"), "list_id")
+    if chunk.schema["_emb"].dataType != routes.schema["_emb"].dataType:  # else they are widened where they are scored
+        chunk, routes = (side.withColumn("_emb", F.col("_emb").cast("array<double>")) for side in (chunk, routes))
     chunk = chunk.where(F.col("list_id").isin(probed)).withColumn("_sub", F.pmod(F.xxhash64("_cid"), blocks).cast("int"))
     routed = routes.withColumn("_sub", F.explode(F.sequence(F.lit(0), blocks - 1)))
     kinds = {"_cid": dict(chunk.dtypes)["_cid"], "_qid": dict(routes.dtypes)[query_id]}
     nothing = lambda name: F.lit(None).cast(kinds[name]).alias(name)
     both = chunk.select("list_id", "_sub", F.lit(0).alias("_side"), "_cid", nothing("_qid"), "_emb", F.lit(0).alias("_k")).unionByName(
         routed.select("list_id", "_sub", F.lit(1).alias("_side"), nothing("_cid"), F.col(query_id).alias("_qid"),
-                      F.col("_emb").cast("array<double>").alias("_emb"), "_k"))
+                      "_emb", "_k"))
     schema = T.StructType([routes.schema[query_id], T.StructField(cid, chunk.schema["_cid"].dataType),
                            T.StructField("score", T.DoubleType())])
 
@@ -228,12 +246,9 @@ def _candidates(routes: DataFrame, index: Index, query_id: str, min_score: float
                     at, units = unit_rows(vectors)
                     names = np.array(ids, dtype=object)[at]
                 at, asked = unit_rows(queries["_emb"], units.shape[1])
-                scores = np.minimum(asked @ units.T, 1.0)
-                found = [best_of(s, k, min_score) for s, k in zip(scores, queries["_k"].to_numpy()[at].tolist(), strict=True)]
-                again = np.repeat(np.arange(len(at)), [len(f) for f in found])
-                if len(again):
-                    hits = np.concatenate(found)
-                    yield pd.DataFrame({query_id: queries["_qid"].to_numpy()[at[again]], cid: names[hits], "score": scores[again, hits]})
+                qids, ks = queries["_qid"].to_numpy()[at], queries["_k"].to_numpy()[at].tolist()
+                for again, hits, scores in best_pairs(asked, ks, units, min_score):
+                    yield pd.DataFrame({query_id: qids[again], cid: names[hits], "score": scores})
 
     together = both.repartition("list_id", "_sub").sortWithinPartitions("list_id", "_sub", "_side")
     return together.mapInPandas(score, schema)

@@ -12,13 +12,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.operators.ivf import (DEFAULT_LISTS, DEFAULT_MIN_SCORE, DEFAULT_TOP_K, LIST_BLOCK_ROWS, best_of,
+from tidewater.operators.ivf import (DEFAULT_LISTS, DEFAULT_MIN_SCORE, DEFAULT_TOP_K, LIST_BLOCK_ROWS, best_pairs,
                                      build_index, effective_k, search_exact, unit_rows)
 from tidewater.operators.ivf import top_k as merge_top_k
 from tidewater.session import shared_dir
@@ -80,12 +79,9 @@ def _scan_chunks(q: DataFrame, c: DataFrame, query_id: str, chunk_id: str, floor
             at, vectors = unit_rows(batch["_emb"], wanted.shape[1] if len(wanted) else None)
             if not len(at) or not len(wanted):
                 continue
-            scores = np.minimum(wanted @ vectors.T, 1.0)
-            found = [best_of(s, k, floor) for s, k in zip(scores, ks, strict=True)]
-            again = np.repeat(np.arange(len(qids)), [len(f) for f in found])
-            if len(again):
-                hits = np.concatenate(found)
-                yield pd.DataFrame({query_id: qids[again], chunk_id: batch[chunk_id].to_numpy()[at[hits]], "score": scores[again, hits]})
+            cids = batch[chunk_id].to_numpy()[at]
+            for again, hits, scores in best_pairs(wanted, ks, vectors, floor):
+                yield pd.DataFrame({query_id: qids[again], chunk_id: cids[hits], "score": scores})
 
     return c.mapInPandas(scan, schema)
 
