@@ -133,3 +133,19 @@ def test_clean_items_sniff(spark):
     assert out[0].content == "Hello world" and out[0].title == "T"
     assert out[0].crawl_timestamp == "2024-02-01T00:00:00+00:00"
     assert out[1].content == "plain <b> kept" and out[1].crawl_timestamp == "2023-01-01"
+
+
+def test_page_readers_share_workers_and_hold_slices(spark, monkeypatch):
+    """A page's parts come from one worker, its texts from a second; strings are made a slice at a time."""
+    import pyarrow as pa
+
+    pages = spark.createDataFrame([(1, "http://a/", "<title>T</title><main>x</main>")], "page_id int, url string, html string")
+    evals = lambda df: df._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython")  # noqa: E731, SLF001
+    items = P.crawl_items(pages)
+    assert evals(items) == 1
+    clean = P.clean_items(items.select("page_id", "url", "title", "content"), "2024-01-01")
+    assert evals(clean) == 2
+    monkeypatch.setattr(TX, "SLICE_ROWS", 3)
+    texts = pa.array(["a", None, "", "é"] * 4)
+    assert TX.map_slices(lambda t: t and t * 2, pa.string(), texts).to_pylist() == ["aa", None, "", "éé"] * 4
+    assert TX.map_slices(str, pa.string(), texts.slice(0, 0)).to_pylist() == []

@@ -9,9 +9,9 @@ from __future__ import annotations
 
 import html
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,6 +28,9 @@ HTML_MARKERS = ["<html", "<!doctype", "<div", "<p>", "<span"]
 SNIFF_CHARS = 500
 
 
+# Rows that a task's Python holds as strings at a time.
+SLICE_ROWS = 128
+
 # Every character Python's str.isspace() accepts (the same set as WS_CLASS), for trim().
 WS_CHARS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
@@ -45,16 +48,24 @@ def _printable_ranges() -> str:
 NOT_PRINTABLE = rf"[\p{{C}}&&[^{_printable_ranges()}]]"
 
 
-@F.pandas_udf(T.StringType())
-def _decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for texts in batches:
-        yield texts.map(html.unescape, na_action="ignore")
+def map_slices(f: Callable, kind: pa.DataType, *columns: pa.Array) -> pa.Array:
+    """``f`` of every row, as an array of ``kind``. Rows are Python objects ``SLICE_ROWS`` at a time, so a
+    batch is held as Arrow alone. Functions that take whole batches share a worker; iterators each have theirs."""
+    parts = []
+    for lo in range(0, len(columns[0]), SLICE_ROWS):
+        rows = zip(*(c.slice(lo, SLICE_ROWS).to_pylist() for c in columns), strict=True)
+        parts.append(pa.array([f(*row) for row in rows], kind))
+    return pa.concat_arrays(parts) if parts else pa.array([], kind)
+
+
+@F.arrow_udf(T.StringType())
+def _decoded(texts: pa.Array) -> pa.Array:
+    return map_slices(lambda t: None if t is None else html.unescape(t), pa.string(), texts)
 
 
-@F.pandas_udf(T.StringType())
-def _visible(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for pages in batches:
-        yield pages.map(visible_text, na_action="ignore")
+@F.arrow_udf(T.StringType())
+def _visible(pages: pa.Array) -> pa.Array:
+    return map_slices(visible_text, pa.string(), pages)
 
 
 def decode_entities(s: Column) -> Column:

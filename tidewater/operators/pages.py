@@ -8,9 +8,8 @@ from __future__ import annotations
 
 import datetime as dt
 import re
-from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,20 +23,22 @@ def _nz(c: Column) -> Column:
     return F.when(c != "", c)
 
 
-_HEAD = ("title string, wiki_page_id string, revision string, author string, category string, tags array<string>, "
-         "links array<string>")
+_STRINGS = pa.list_(pa.string())
+_HEAD = pa.struct([*[(name, pa.string()) for name in ("title", "wiki_page_id", "revision", "author", "category")],
+                   ("tags", _STRINGS), ("links", _STRINGS)])
 
 
 def _head_reader(deny: str):
-    @F.pandas_udf(_HEAD)
-    def read(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(", ".join(f"{f.name} {'array<string>' if f.type == _STRINGS else 'string'}" for f in _HEAD))
+    def read(pages: pa.Array, urls: pa.Array) -> pa.Array:
         pattern = re.compile(deny)
-        for pages, urls in batches:
-            rows = []
-            for page, url in zip(pages, urls, strict=True):
-                h = M.Head(page)
-                rows.append((h.title, *(h.field(f) for f in h.FIELDS), h.tags, h.links(url, pattern, U.FOLLOW_SCHEMES)))
-            yield pd.DataFrame(rows, columns=[f.split()[0] for f in _HEAD.split(", ")])
+
+        def head(page: str | None, url: str | None) -> dict:
+            h = M.Head(page)
+            values = (h.title, *(h.field(f) for f in h.FIELDS), h.tags, h.links(url, pattern, U.FOLLOW_SCHEMES))
+            return dict(zip(_HEAD.names, values, strict=True))
+
+        return TX.map_slices(head, _HEAD, pages, urls)
 
     return read
 
@@ -52,10 +53,9 @@ def page_title(page: Column) -> Column:
     return page_head(page)["title"]
 
 
-@F.pandas_udf(T.StringType())
-def _main_area(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for pages in batches:
-        yield pages.map(M.main_area, na_action="ignore")
+@F.arrow_udf(T.StringType())
+def _main_area(pages: pa.Array) -> pa.Array:
+    return TX.map_slices(M.main_area, pa.string(), pages)
 
 
 def page_body(page: Column) -> Column:
