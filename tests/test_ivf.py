@@ -139,3 +139,10 @@ def test_scores_are_held_a_slice_at_a_time(monkeypatch):
     whole = np.minimum(asked @ units.T, 1.0)
     assert set(seen) == {(q, int(c)) for q in range(300) for c in plain(whole[q], ks[q], 0.2)}
     assert all(abs(whole[at] - x) < 1e-12 for at, x in seen.items()) and max(held) <= 700
+
+
+def test_blocks_are_as_large_as_their_width_allows():
+    """A query is sent to every block, so narrow vectors come in few blocks, and wide ones keep to the same memory."""
+    index = lambda width: IV.Index("", "id", "embedding", np.ones((3, width)), np.zeros(3), np.array([0, 32_000, 100_000]))
+    assert IV.list_blocks(index(64)) == [1, 1, 4] and IV.list_blocks(index(1024)) == [1, 16, 49]
+    assert IV.list_blocks(index(64), 8192) == [1, 4, 13]

@@ -37,8 +37,9 @@ DEFAULT_LISTS = 100
 
 # Rows that the lists are fitted on at most; every row is assigned to a list.
 IVF_FIT_ROWS = 20_000
-# Chunks of a list that one task holds, and lists that an exact search reads before it prunes.
-LIST_BLOCK_ROWS = 8192
+# Numbers in the chunks of a list that one task holds (8 bytes each): a query is sent once to every block of
+# the lists that it probes, so blocks are as large as memory allows. Lists that an exact search reads before it prunes.
+BLOCK_CELLS = 1 << 21
 FIRST_PROBES = 2
 # Scores that a task holds at a time at most (8 bytes each): queries are scored in slices that keep to it.
 SCORE_CELLS = 1 << 20
@@ -212,10 +213,16 @@ def best_pairs(asked: np.ndarray, ks: Sequence[int], units: np.ndarray, floor: f
             yield lo + again, hits, scores[again, hits]
 
 
-def _candidates(routes: DataFrame, index: Index, query_id: str, min_score: float, block_rows: int) -> DataFrame:
+def list_blocks(index: Index, block_rows: int | None = None) -> list[int]:
+    """Blocks of each list: of at most ``block_rows`` chunks on average, or of what ``BLOCK_CELLS`` holds at their width."""
+    rows = block_rows or max(1, BLOCK_CELLS // max(1, *index.centers.shape[1:]))
+    return [int(max(1, -(-n // rows))) for n in index.sizes]
+
+
+def _candidates(routes: DataFrame, index: Index, query_id: str, min_score: float, block_rows: int | None) -> DataFrame:
     """(query, chunk, score): for every routed query and each block of its lists, the block's best."""
     spark, cid = routes.sparkSession, index.chunk_id
-    blocks = F.get(F.array(*[F.lit(int(max(1, -(-n // block_rows)))) for n in index.sizes] or [F.lit(1)]), F.col("list_id"))
+    blocks = F.get(F.array(*[F.lit(n) for n in list_blocks(index, block_rows)] or [F.lit(1)]), F.col("list_id"))
     # at most as many numbers as the index has lists; other lists' folders are not read
     probed = [r["list_id"] for r in routes.select("list_id").distinct().collect()]
     chunk = index.rows(spark).select(F.col(cid).alias("_cid"), F.col(index.emb).alias("_emb"), "list_id")
@@ -279,7 +286,7 @@ def _prepared(queries: DataFrame, query_id: str, q_emb: str, k: int | str | None
 
 
 def search(queries: DataFrame, index: Index, query_id: str = "query_id", q_emb: str = "embedding", k: int | str | None = None,
-           min_score: float | None = None, probes: int = 10, block_rows: int = LIST_BLOCK_ROWS) -> DataFrame:
+           min_score: float | None = None, probes: int = 10, block_rows: int | None = None) -> DataFrame:
     """Approximate top-k (query, chunk, rank, score): the ``probes`` nearest lists of each query, exactly scored.
 
     Query ids are unique; vectors without a direction find nothing and are not found.
@@ -291,7 +298,7 @@ def search(queries: DataFrame, index: Index, query_id: str = "query_id", q_emb:
     return top_k(found, q.select(query_id, "_k"), query_id, index.chunk_id)
 
 
-def exact_routes(queries: DataFrame, index: Index, query_id: str, min_score: float, block_rows: int,
+def exact_routes(queries: DataFrame, index: Index, query_id: str, min_score: float, block_rows: int | None,
                  first: int = FIRST_PROBES) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(first routes, their candidates, further routes) of an exact search over ``queries`` (query, _emb, _k).
 
@@ -317,7 +324,7 @@ def exact_routes(queries: DataFrame, index: Index, query_id: str, min_score: flo
 
 
 def search_exact(queries: DataFrame, index: Index, query_id: str = "query_id", q_emb: str = "embedding", k: int | str | None = None,
-                 min_score: float | None = None, block_rows: int = LIST_BLOCK_ROWS, tie_cols: Sequence[str] = ()) -> DataFrame:
+                 min_score: float | None = None, block_rows: int | None = None, tie_cols: Sequence[str] = ()) -> DataFrame:
     """Exact top-k (query, chunk, rank, score) that reads only lists which can hold a result.
 
     Query ids are unique; vectors without a direction find nothing and are not found. Ties go by
@@ -334,7 +341,7 @@ def search_exact(queries: DataFrame, index: Index, query_id: str = "query_id", q
 
 
 def scored_share(queries: DataFrame, index: Index, query_id: str = "query_id", q_emb: str = "embedding", k: int | str | None = None,
-                 min_score: float | None = None, block_rows: int = LIST_BLOCK_ROWS) -> DataFrame:
+                 min_score: float | None = None, block_rows: int | None = None) -> DataFrame:
     """One row: pairs that ``search_exact`` scores, all pairs of a query and a chunk in a list, and their share."""
     floor = DEFAULT_MIN_SCORE if min_score is None else min_score
     q = materialize(_prepared(queries, query_id, q_emb, k), "ivf_queries")

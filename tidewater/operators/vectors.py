@@ -17,8 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.operators.ivf import (DEFAULT_LISTS, DEFAULT_MIN_SCORE, DEFAULT_TOP_K, LIST_BLOCK_ROWS, best_pairs,
-                                     build_index, effective_k, search_exact, unit_rows)
+from tidewater.operators.ivf import (DEFAULT_LISTS, DEFAULT_MIN_SCORE, DEFAULT_TOP_K, best_pairs, build_index,
+                                     effective_k, search_exact, unit_rows)
 from tidewater.operators.ivf import top_k as merge_top_k
 from tidewater.session import shared_dir
 
@@ -44,7 +44,7 @@ def vector_topk_batch(queries: DataFrame, chunks: DataFrame, query_id: str = "qu
                       chunk_id: str = "id", q_emb: str = "embedding", c_emb: str = "embedding",
                       top_k: int | str | None = None, min_score: float | None = None,
                       tie_cols: Sequence[str] | None = None, lists: int = DEFAULT_LISTS,
-                      list_block_rows: int = LIST_BLOCK_ROWS,
+                      list_block_rows: int | None = None,
                       broadcast_bytes: int = QUERY_BROADCAST_BYTES) -> DataFrame:
     """Exact cosine top-k for many queries: (query_id, chunk_id, rank, score).
 
