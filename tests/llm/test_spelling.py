@@ -1,9 +1,11 @@
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -60,6 +62,34 @@ def test_distances_and_edits():
     assert not np.any(S.one_edit(codes("abcdef"), codes("abcdef")))
 
 
+def test_memory_of_words_of_the_same_letters():
+    rnd = random.Random(3)
+    words = {"abcdefghijkm", "abcdefghijkmn"}
+    while len(words) < 1500:
+        words.add("".join(rnd.sample("abcdefghijkl", 12)))
+    keys = {"cell": 1, "row": 0, "column": 0}
+    home = pd.DataFrame({"word": sorted(words), "n": 5, **keys})
+    visiting = pd.DataFrame({"visitor": sorted(words), "times": 5, "inside": True, **keys})
+    tracemalloc.start()
+    links = S._links(home, visiting)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # 2.2 million pairs of 12 letters all look close; they are never held at once
+    assert peak < 60e6, peak
+    linked = [("abcdefghijkm", "abcdefghijkmn"), ("abcdefghijkmn", "abcdefghijkm")]
+    assert sorted(zip(links["word"], links["near"], strict=True)) == linked
+
+
+def test_groups_do_not_grow_with_their_cells(spark, monkeypatch):
+    # words of one cell in small blocks, so that each meets many
+    words = ["".join("bcdfghjk"[(i >> 3 * k) & 7] for k in range(6)) for i in range(2000)]
+    vocabulary = spark.createDataFrame([(w, 5) for w in words], "word string, n long")
+    monkeypatch.setattr(S, "TASK_ROWS", 2000)
+    home, visiting = S.block_pairs(vocabulary, block=50)
+    rows = home.select("task").union(visiting.select("task")).groupBy("task").count().toPandas()["count"]
+    assert rows.sum() == 2 * 2000 * 40 and rows.max() < 3 * 2000
+
+
 def plain(rows):
     counts = Counter()
     for doc, text in rows:

@@ -10,7 +10,10 @@ Scale: text is read once, counted with partial aggregation, and only words (with
 further. A length is cut into cells by the number of letters from each of ``GROUPS``; an edit moves a
 word to its own cell or to one of a few neighbours, so a word visits those (one way round, each pair
 of cells meets once) and no others. Cells of more than ``BLOCK`` words are cut into blocks, and so are
-the visitors of a cell; pairs of blocks are dealt to tasks of about ``TASK_ROWS`` visitors. A word has a bounded number of words
+the visitors of a cell; pairs of blocks are dealt to groups of about ``TASK_ROWS`` words and visitors, counted
+as often as they meet another block, so that a group does not grow with its cells. Of a product a task holds
+``PRODUCT_ROWS`` rows at a time, and of the pairs found in it ``EDIT_LETTERS`` letters. Tables kept on the way
+are written in files of about ``FILE_ROWS`` words. A word has a bounded number of words
 one letter away, so links stay in proportion to the vocabulary. A form has at least ``RATIO``
 times the count of its word, so chains of forms are logarithmic in the largest count; they are
 followed by doubling, a joined table a round.
@@ -42,6 +45,11 @@ RATIO = 5
 GROUPS = ("eao", "itn", "srlu")
 BLOCK = 2048
 TASK_ROWS = 20_000
+#: Rows of a product, and letters of the pairs found in it, that a task holds at a time.
+PRODUCT_ROWS = 256
+EDIT_LETTERS = 1 << 20
+#: Words in a file of a kept table.
+FILE_ROWS = 100_000
 #: Letters are counted by code point modulo this; letters that share a count only lower distances.
 DIM = 64
 
@@ -82,11 +90,25 @@ def one_edit(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     length = a.shape[1]
     if length == b.shape[1]:
         return (a != b).sum(1) == 1
-    head = np.cumprod(a == b[:, :length], axis=1).sum(1)
-    tail = np.cumprod((a == b[:, 1:])[:, ::-1], axis=1).sum(1)
+    head = np.cumprod(a == b[:, :length], axis=1, dtype=np.uint8).sum(1)
+    tail = np.cumprod((a == b[:, 1:])[:, ::-1], axis=1, dtype=np.uint8).sum(1)
     return head + tail >= length
 
 
+def linked_pairs(a_codes: np.ndarray, a_counts: np.ndarray, b_codes: np.ndarray, b_counts: np.ndarray):
+    """Rows of words ``a`` and ``b`` (of ``a``'s length or one more) one edit apart, a slice at a time.
+
+    Words of the same letters all look close, so their number is no bound of the pairs to look at.
+    """
+    pairs = EDIT_LETTERS // b_codes.shape[1] + 1
+    for start in range(0, len(a_codes), PRODUCT_ROWS):
+        i, j = close_pairs(a_counts[start:start + PRODUCT_ROWS], b_counts)
+        for k in range(0, len(i), pairs):
+            x, y = i[k:k + pairs] + start, j[k:k + pairs]
+            linked = one_edit(a_codes[x], b_codes[y])
+            yield x[linked], y[linked]
+
+
 LINKS = "word string, near string, near_n long"
 NO_LINKS = pd.DataFrame({"word": pd.Series(dtype=str), "near": pd.Series(dtype=str), "near_n": pd.Series(dtype="int64")})
 
@@ -124,13 +146,13 @@ def _links(at_home: pd.DataFrame, visiting: pd.DataFrame) -> pd.DataFrame:
             for other, some, there in visitors.by_length(guests[key]):
                 if not length - 1 <= other <= length:
                     continue
-                i, j = close_pairs(visitors.counts[other][there], home.counts[length][place])
-                linked = one_edit(visitors.codes[other][there[i]], home.codes[length][place[j]])
-                u, v = some[i[linked]], own[j[linked]]
-                # the words of the cell itself visit it too: each pair of them is taken once
-                once = ~inside[u] | (visitors.words[u] < home.words[v])
-                u, v = u[once], v[once]
-                out += [(visitors.words[u], home.words[v], n[v]), (home.words[v], visitors.words[u], times[u])]
+                for i, j in linked_pairs(visitors.codes[other][there], visitors.counts[other][there],
+                                         home.codes[length][place], home.counts[length][place]):
+                    u, v = some[i], own[j]
+                    # the words of the cell itself visit it too: each pair of them is taken once
+                    once = ~inside[u] | (visitors.words[u] < home.words[v])
+                    u, v = u[once], v[once]
+                    out += [(visitors.words[u], home.words[v], n[v]), (home.words[v], visitors.words[u], times[u])]
     if not out:
         return NO_LINKS
     return pd.DataFrame({c: np.concatenate([x[k] for x in out]) for k, c in enumerate(NO_LINKS.columns)})
@@ -161,15 +183,22 @@ def _visits() -> list[int]:
     return [0, *moves, *[length + g for g in groups]]
 
 
-def near_words(vocabulary: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(word, near, near_n): the words of ``vocabulary`` (word, n; distinct) one edit apart, both ways."""
+def block_pairs(vocabulary: DataFrame, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+    """The words of ``vocabulary`` at home and visiting, once for each block they meet, with the ``task`` of that pair of blocks."""
     here = vocabulary.select("word", "n", cell(F.col("word")).alias("cell"))
-    there = here.select("word", "n", "cell", F.explode(F.array(*[F.lit(v) for v in _visits()])).alias("step"))
+    step = F.explode(F.array(*[F.lit(v) for v in _visits()])).alias("step")
+    there = here.select("word", "n", "cell", step)
     there = there.select("word", "n", (F.col("step") == 0).alias("inside"), (F.col("cell") + F.col("step")).alias("cell"))
-    # as many tasks as the visits need, of ``TASK_ROWS`` each
-    tasks = vocabulary.count() * len(_visits()) // TASK_ROWS + 1
-    blocks = lambda name: F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias(name)
-    sizes = here.groupBy("cell").agg(blocks("rows")).join(there.groupBy("cell").agg(blocks("columns")), "cell")
+    # a cell's visitors are the words of other cells: the counts of cells give them, without a word
+    words = here.groupBy("cell").agg(F.count(F.lit(1)).alias("words"))
+    visitors = words.select("words", "cell", step).select("words", (F.col("cell") + F.col("step")).alias("cell"))
+    visitors = visitors.groupBy("cell").agg(F.sum("words").alias("visitors"))
+    blocks = lambda name: F.ceil(F.col(name) / F.lit(block)).cast("int")
+    counts = words.join(visitors, "cell").withColumn("rows", blocks("words")).withColumn("columns", blocks("visitors"))
+    sizes = counts.select("cell", "rows", "columns")
+    # as many tasks as the rows below need, of ``TASK_ROWS`` each
+    met = counts.agg(F.sum(F.col("words") * F.col("columns") + F.col("visitors") * F.col("rows"))).first()[0] or 0
+    tasks = met // TASK_ROWS + 1
     spread = lambda own, other: (F.pmod(F.xxhash64("word"), F.col(own)).cast("int"),
                                  F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
     row, every_column = spread("rows", "columns")
@@ -178,20 +207,29 @@ def near_words(vocabulary: DataFrame, block: int = BLOCK) -> DataFrame:
     home = here.join(sizes, "cell").select("word", "n", "cell", row.alias("row"), every_column.alias("column"))
     visiting = there.join(sizes, "cell").select(F.col("word").alias("visitor"), F.col("n").alias("times"), "inside", "cell",
                                                column.alias("column"), every_row.alias("row"))
-    dealt = lambda df: df.withColumn("task", F.pmod(F.xxhash64("cell", "row", "column"), F.lit(tasks)).cast("int")).groupBy("task")
-    return dealt(home).cogroup(dealt(visiting)).applyInPandas(lambda a, b: _links(a, b), LINKS)
+    task = F.pmod(F.xxhash64("cell", "row", "column"), F.lit(tasks)).cast("int")
+    return home.withColumn("task", task), visiting.withColumn("task", task)
 
 
-def follow_forms(forms: DataFrame, scratch: Scratch) -> DataFrame:
-    """(word, root): the end of the chain of forms from each word of ``forms`` (word, form; form non-null)."""
-    steps, n = scratch.save(forms.select("word", F.col("form").alias("root")), "steps-0"), 0
+def near_words(vocabulary: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(word, near, near_n): the words of ``vocabulary`` (word, n; distinct) one edit apart, both ways."""
+    home, visiting = block_pairs(vocabulary, block)
+    return home.groupBy("task").cogroup(visiting.groupBy("task")).applyInPandas(lambda a, b: _links(a, b), LINKS)
+
+
+def follow_forms(forms: DataFrame, scratch: Scratch, files: int) -> DataFrame:
+    """(word, root): the end of the chain of forms from each word of ``forms`` (word, form; form non-null).
+
+    ``forms`` is read again each round, so it should be a kept table; a round's table has ``files`` files.
+    """
+    steps, n = forms.select("word", F.col("form").alias("root")), 0
     while True:
         further = steps.select(F.col("word").alias("root"), F.col("root").alias("beyond"))
         if steps.join(further, "root", "left_semi").isEmpty():
             return steps
         n += 1
         jumped = steps.join(further, "root", "left").select("word", F.coalesce("beyond", "root").alias("root"))
-        steps = scratch.save(jumped, f"steps-{n}")
+        steps = scratch.save(jumped.repartition(files), f"steps-{n}")
 
 
 def group_variants(vocabulary: DataFrame, ratio: int = RATIO, block: int = BLOCK) -> DataFrame:
@@ -202,13 +240,15 @@ def group_variants(vocabulary: DataFrame, ratio: int = RATIO, block: int = BLOCK
     """
     scratch = Scratch(vocabulary.sparkSession, "spelling")
     words = scratch.save(vocabulary.select("word", F.col("n").cast("long").alias("n")), "words")
+    files = max(words.count() // FILE_ROWS + 1, vocabulary.sparkSession.sparkContext.defaultParallelism)
     best = near_words(words, block).groupBy("word").agg(
         F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("less"), "near")).alias("best"))
     enough = -F.col("best.less") >= F.col("n") * ratio
-    found = scratch.save(words.join(best, "word", "left").select(
+    found = words.join(best, "word", "left").select(
         "word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
-        F.when(enough, F.col("best.near")).alias("form"), F.when(enough, -F.col("best.less")).alias("form_n")), "forms")
-    roots = follow_forms(found.where(F.col("form").isNotNull()), scratch)
+        F.when(enough, F.col("best.near")).alias("form"), F.when(enough, -F.col("best.less")).alias("form_n"))
+    found = scratch.save(found.repartition(files), "forms")
+    roots = follow_forms(found.where(F.col("form").isNotNull()), scratch, files)
     return found.join(roots, "word", "left").select("word", "n", "n_near", "form", "form_n", F.coalesce("root", "word").alias("root"))
 
 
