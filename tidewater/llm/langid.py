@@ -24,7 +24,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -239,14 +238,21 @@ def train(docs: DataFrame, per_label: int = PER_LABEL, dim: int = DIM) -> Langua
     return LanguageModel(labels, idf, weights, bias, fit_temperature(logits, target[apart]))
 
 
+def predictions(batches: Iterator[pa.Array], model: LanguageModel) -> Iterator[pa.Array]:
+    """Structs (lang, score) of texts, of which one at a time is a Python string."""
+    for texts in batches:
+        found = [model.predict(t.as_py()) for t in texts]
+        yield pa.StructArray.from_arrays([pa.array([lang for lang, _ in found], pa.string()),
+                                          pa.array([score for _, score in found], pa.float64())], ["lang", "score"])
+
+
 def predict_column(spark: SparkSession, model: LanguageModel, text: Column) -> Column:
     """struct(lang, score) for a text column."""
     shared = spark.sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang string, score double")
-    def predicted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
-            yield pd.DataFrame([shared.value.predict(t) for t in texts], columns=["lang", "score"])
+    @F.arrow_udf("lang string, score double")
+    def predicted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from predictions(batches, shared.value)
 
     return predicted(text)
 

@@ -46,6 +46,8 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS = 25
 ROWS = 5  # registers in a band
+OUT_ROWS = 512  # rows whose bands a worker hands on together
+OUT_ELEMENTS = 1 << 18  # elements of sets that it hands on together; a larger set goes alone
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.uint64(0x100000001B3)
@@ -159,7 +161,7 @@ def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, width: int
     kind = dict(named.dtypes)["doc_id"]
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(k, OUT_ROWS) for b in batches for k in range(0, b.num_rows, OUT_ROWS)):
             keys, found = [], []
             for value in batch.column(2):
                 text = value.as_py()
@@ -205,6 +207,33 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
 
 
 # --------------------------------------------------------------------------------- the search
+def formed_sets(batches: Iterator[pa.RecordBatch], width: int = SHINGLE) -> Iterator[pa.RecordBatch]:
+    """rep, n, elements from rep, key, text, where the text has that key.
+
+    One text at a time is a Python string, and about ``OUT_ELEMENTS`` elements wait to be handed on.
+    """
+    for batch in batches:
+        reps, sizes, sets, held = [], [], [], 0
+        for rep, key, value in zip(*batch.columns, strict=True):
+            text = value.as_py()
+            elements, _ = shingles(text or "", width)
+            if text is not None and set_key(elements, text) == key.as_py():
+                reps.append(rep.as_py())
+                sizes.append(len(elements))
+                sets.append((elements >> np.uint64(32)).astype(np.uint32).view(np.int32))
+                held += len(elements)
+            if held >= OUT_ELEMENTS:
+                yield _set_batch(reps, sizes, sets)
+                reps, sizes, sets, held = [], [], [], 0
+        if reps:
+            yield _set_batch(reps, sizes, sets)
+
+
+def _set_batch(reps: list[int], sizes: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(reps, pa.int64()), pa.array(sizes, pa.int32()),
+                                       pa.array(sets, pa.list_(pa.int32()))], ["rep", "n", "elements"])
+
+
 def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """(rep, n, elements) for ``wanted`` (doc_id, text_md5, key, rep), formed again from their texts.
 
@@ -216,19 +245,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     hashed = docs.withColumn("text_md5", F.md5("text"))
     texts = hashed.join(ids, (hashed["text_md5"] == ids["text_md5"]) & hashed["doc_id"].eqNullSafe(F.col("of_id"))).select("rep", "key", "text")
 
-    def form(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            reps, sizes, sets = [], [], []
-            for rep, key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                elements, _ = shingles(text or "", width)
-                if text is not None and set_key(elements, text) == key:
-                    reps.append(rep)
-                    sizes.append(len(elements))
-                    sets.append((elements >> np.uint64(32)).astype(np.uint32).view(np.int32))
-            yield pa.RecordBatch.from_arrays([pa.array(reps, pa.int64()), pa.array(sizes, pa.int32()),
-                                              pa.array(sets, pa.list_(pa.int32()))], ["rep", "n", "elements"])
-
-    formed = texts.mapInArrow(form, "rep bigint, n int, elements array<int>")
+    formed = texts.mapInArrow(lambda batches: formed_sets(batches, width), "rep bigint, n int, elements array<int>")
     return formed.dropDuplicates(["rep"])
 
 

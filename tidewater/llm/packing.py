@@ -44,7 +44,7 @@ GENERATIONS = 5  # in each of the two epochs
 VOCABULARY = "word_bpe_49k.json"
 CACHE_BYTES = 32 << 20  # about, of each of a worker's word and part caches; one starts anew when full
 LONGEST_CACHED = 48
-SLICE_CHARS = 1 << 20  # texts encoded together; a longer one goes alone
+SLICE_CHARS = 1 << 19  # texts encoded together; a longer one goes alone
 
 #: The vocabulary's own split, for lowered texts of letters and signs below U+0180, where lower case
 #: and composed forms do not depend on the surroundings: endings, letters, a digit, other signs.
@@ -136,13 +136,12 @@ class WordTokenizer:
 
     def encode(self, texts: pa.Array) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text of a string array, nulls as empty."""
-        texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        ends = np.cumsum(pc.utf8_length(texts).to_numpy(zero_copy_only=False))
+        ends = np.cumsum(pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False))
         first = 0
         while first < len(texts):
             before = ends[first - 1] if first else 0
             last = max(first + 1, int(np.searchsorted(ends, before + SLICE_CHARS, side="right")))
-            yield from self._encode_slice(texts.slice(first, last - first))
+            yield from self._encode_slice(pc.fill_null(texts.slice(first, last - first).cast(pa.large_string()), ""))
             first = last
 
     def _encode_slice(self, texts: pa.Array) -> Iterator[bytes]:

@@ -30,7 +30,7 @@ import random
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -367,13 +367,18 @@ def _join(spans) -> str:
 _RESULT = "base array<struct<kind:int,start:bigint,end:bigint>>, added array<struct<kind:int,start:bigint,end:bigint>>"
 
 
+_SPANS = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("end", pa.int64())]))
+OUT_CHARS = 1 << 19  # redacted texts that are handed on together; a longer one goes alone
+
+
 def _finder(model: SemiCrf):
-    @F.pandas_udf(_RESULT)
-    def find(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(_RESULT)
+    def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        shape = lambda spans: [{"kind": k, "start": s, "end": e} for k, s, e in spans]
         for texts in batches:
-            both = [all_spans(t or "", model) for t in texts]
-            shape = lambda spans: [{"kind": k, "start": s, "end": e} for k, s, e in spans]
-            yield pd.DataFrame({"base": [shape(b) for b, _ in both], "added": [shape(a) for _, a in both]})
+            both = [all_spans(t.as_py() or "", model) for t in texts]
+            yield pa.StructArray.from_arrays([pa.array([shape(b) for b, _ in both], _SPANS),
+                                              pa.array([shape(a) for _, a in both], _SPANS)], ["base", "added"])
 
     return find
 
@@ -388,14 +393,28 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with every found span replaced by its kind in brackets; a null text stays null."""
     model = trained()
 
-    @F.pandas_udf("string")
-    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield pd.Series([None if t is None else redacted(t, model) for t in texts], dtype=object)
+    @F.arrow_udf("string")
+    def clean(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from redactions(batches, model)
 
     return docs.withColumn(text_col, clean(F.col(text_col)))
 
 
+def redactions(batches: Iterator[pa.Array], model: SemiCrf) -> Iterator[pa.Array]:
+    """The texts redacted, about ``OUT_CHARS`` of them in an array, so that no whole batch is Python strings."""
+    for texts in batches:
+        out, held = [], 0
+        for value in texts:
+            text = value.as_py()
+            out.append(None if text is None else redacted(text, model))
+            held += len(text or "")
+            if held >= OUT_CHARS:
+                yield pa.array(out, pa.string())
+                out, held = [], 0
+        if out:
+            yield pa.array(out, pa.string())
+
+
 def redacted(text: str, model: SemiCrf) -> str:
     base, added = all_spans(text, model)
     if not base and not added:
