@@ -90,6 +90,41 @@ def test_groups_do_not_grow_with_their_cells(spark, monkeypatch):
     assert rows.sum() == 2 * 2000 * 40 and rows.max() < 3 * 2000
 
 
+def sent(node):
+    """Names of the columns of each broadcast below a node of a plan of the JVM, as planned from estimated sizes."""
+    if node.nodeName() == "AdaptiveSparkPlan":
+        return sent(node.initialPlan())
+    below = node.children()
+    found = [x for i in range(below.size()) for x in sent(below.apply(i))]
+    if node.nodeName() == "BroadcastExchange":
+        found.append({node.output().apply(i).name() for i in range(node.output().size())})
+    return found
+
+
+@pytest.mark.parametrize("cells", [S.SENT_CELLS, 0])
+def test_words_are_never_broadcast(spark, monkeypatch, cells):
+    # chains of four, so that forms are followed for two rounds
+    counts = {}
+    for i in range(200):
+        stem = "".join("bcdfghjk"[(i >> 3 * k) & 7] * 2 for k in range(3))
+        counts |= {stem + end: n for end, n in zip(("", "e", "ea", "eao"), (5000, 900, 50, 10), strict=True)}
+    plans = []
+    planned = lambda df: plans.append(sent(df._jdf.queryExecution().executedPlan()))  # noqa: E731, SLF001
+
+    class Watched(S.Scratch):
+        def save(self, df, name):
+            planned(df)
+            return super().save(df, name)
+
+    monkeypatch.setattr(S, "Scratch", Watched)
+    monkeypatch.setattr(S, "SENT_CELLS", cells)
+    found = S.group_variants(spark.createDataFrame(list(counts.items()), "word string, n long"), block=50)
+    planned(found)
+    assert as_rows(found) == brute(counts)
+    assert len(plans) == 5  # words, forms, two rounds, the result
+    assert [x for plan in plans for x in plan] == ([{"cell", "rows", "columns"}] * 2 if cells else [])
+
+
 def plain(rows):
     counts = Counter()
     for doc, text in rows:

@@ -13,7 +13,9 @@ of cells meets once) and no others. Cells of more than ``BLOCK`` words are cut i
 the visitors of a cell; pairs of blocks are dealt to groups of about ``TASK_ROWS`` words and visitors, counted
 as often as they meet another block, so that a group does not grow with its cells. Of a product a task holds
 ``PRODUCT_ROWS`` rows at a time, and of the pairs found in it ``EDIT_LETTERS`` letters. Tables kept on the way
-are written in files of about ``FILE_ROWS`` words. A word has a bounded number of words
+are written in files of about ``FILE_ROWS`` words. Only the sizes of cells are broadcast, where a count finds at
+most ``SENT_CELLS``; all other joins name the sort-merge join, as Spark sizes words by their compressed files,
+however many rows an explode makes of them. A word has a bounded number of words
 one letter away, so links stay in proportion to the vocabulary. A form has at least ``RATIO``
 times the count of its word, so chains of forms are logarithmic in the largest count; they are
 followed by doubling, a joined table a round.
@@ -50,6 +52,8 @@ PRODUCT_ROWS = 256
 EDIT_LETTERS = 1 << 20
 #: Words in a file of a kept table.
 FILE_ROWS = 100_000
+#: Cells whose sizes are broadcast, at about 80 bytes each; those of more cells are joined by a shuffle.
+SENT_CELLS = 100_000
 #: Letters are counted by code point modulo this; letters that share a count only lower distances.
 DIM = 64
 
@@ -194,11 +198,13 @@ def block_pairs(vocabulary: DataFrame, block: int = BLOCK) -> tuple[DataFrame, D
     visitors = words.select("words", "cell", step).select("words", (F.col("cell") + F.col("step")).alias("cell"))
     visitors = visitors.groupBy("cell").agg(F.sum("words").alias("visitors"))
     blocks = lambda name: F.ceil(F.col(name) / F.lit(block)).cast("int")
-    counts = words.join(visitors, "cell").withColumn("rows", blocks("words")).withColumn("columns", blocks("visitors"))
+    counts = words.join(visitors.hint("merge"), "cell").withColumn("rows", blocks("words")).withColumn("columns", blocks("visitors"))
     sizes = counts.select("cell", "rows", "columns")
     # as many tasks as the rows below need, of ``TASK_ROWS`` each
-    met = counts.agg(F.sum(F.col("words") * F.col("columns") + F.col("visitors") * F.col("rows"))).first()[0] or 0
-    tasks = met // TASK_ROWS + 1
+    met = F.sum(F.col("words") * F.col("columns") + F.col("visitors") * F.col("rows"))
+    cells, met = counts.agg(F.count(F.lit(1)), met).first()
+    tasks = (met or 0) // TASK_ROWS + 1
+    sizes = F.broadcast(sizes) if cells <= SENT_CELLS else sizes.hint("merge")
     spread = lambda own, other: (F.pmod(F.xxhash64("word"), F.col(own)).cast("int"),
                                  F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
     row, every_column = spread("rows", "columns")
@@ -224,7 +230,7 @@ def follow_forms(forms: DataFrame, scratch: Scratch, files: int) -> DataFrame:
     """
     steps, n = forms.select("word", F.col("form").alias("root")), 0
     while True:
-        further = steps.select(F.col("word").alias("root"), F.col("root").alias("beyond"))
+        further = steps.select(F.col("word").alias("root"), F.col("root").alias("beyond")).hint("merge")
         if steps.join(further, "root", "left_semi").isEmpty():
             return steps
         n += 1
@@ -244,12 +250,12 @@ def group_variants(vocabulary: DataFrame, ratio: int = RATIO, block: int = BLOCK
     best = near_words(words, block).groupBy("word").agg(
         F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("less"), "near")).alias("best"))
     enough = -F.col("best.less") >= F.col("n") * ratio
-    found = words.join(best, "word", "left").select(
+    found = words.join(best.hint("merge"), "word", "left").select(
         "word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
         F.when(enough, F.col("best.near")).alias("form"), F.when(enough, -F.col("best.less")).alias("form_n"))
     found = scratch.save(found.repartition(files), "forms")
     roots = follow_forms(found.where(F.col("form").isNotNull()), scratch, files)
-    return found.join(roots, "word", "left").select("word", "n", "n_near", "form", "form_n", F.coalesce("root", "word").alias("root"))
+    return found.join(roots.hint("merge"), "word", "left").select("word", "n", "n_near", "form", "form_n", F.coalesce("root", "word").alias("root"))
 
 
 def with_deletions(found: DataFrame, one_in: int = 199) -> DataFrame:
